@@ -1,4 +1,4 @@
-"""Bronze load: replace one month and reconcile its row counts."""
+"""Bronze loads: replace whole months and reconcile their row counts."""
 
 from __future__ import annotations
 
@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 
 from tripflow.contracts import BRONZE, BRONZE_PARTITIONS
 from tripflow.sinks.tables import clear_partition, replace_partitions
-from tripflow.sources.landing import scan_month
-from tripflow.sources.tables import read_bronze_month
+from tripflow.sources.landing import landing_files, read_landing, scan_month
+from tripflow.sources.tables import read_bronze, read_bronze_month
 
 
 @dataclass(frozen=True)
@@ -28,7 +28,9 @@ class LoadStats:
         return self.input_count == self.output_count
 
     def to_frame(self, spark: SparkSession) -> DataFrame:
-        schema = "year int, month int, input_count bigint, output_count bigint, duration_seconds double"
+        schema = (
+            "year int, month int, input_count bigint, output_count bigint, duration_seconds double"
+        )
         return spark.createDataFrame([tuple(asdict(self).values())], schema)
 
 
@@ -59,6 +61,29 @@ def load_month(
     return LoadStats(year, month, input_count, output_count, time.monotonic() - started)
 
 
+def load_landing(
+    spark: SparkSession,
+    bronze_path: str,
+    *paths: str,
+    ingested_at: datetime | str | None = None,
+) -> DataFrame:
+    """Replaces every month found under the paths in one map-only job; returns its reconciliation.
+
+    For backfills of deliveries that share one file schema.
+    """
+    incoming = read_landing(spark, *paths, ingested_at=ingested_at)
+    replace_partitions(incoming, bronze_path, BRONZE_PARTITIONS)
+    months = landing_files(spark, *paths).select(*BRONZE_PARTITIONS).distinct()
+    filled = incoming.groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
+    for row in months.join(filled, BRONZE_PARTITIONS, "left_anti").collect():
+        clear_partition(spark, bronze_path, BRONZE, row.asDict())
+    # At most 12 months per year of deliveries: the broadcast prunes the partitions to count.
+    stored = read_bronze(spark, bronze_path).join(
+        F.broadcast(months), BRONZE_PARTITIONS, "left_semi"
+    )
+    return reconcile(incoming, stored)
+
+
 def reconcile(incoming: DataFrame, stored: DataFrame) -> DataFrame:
     """Input and output rows of every month on either side; a difference is only reported."""
     counts = [

@@ -28,6 +28,14 @@ def create_table(
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
+def ensure_table(
+    spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str] = ()
+) -> None:
+    """Creates an empty table folder, unless there is one."""
+    empty = spark.createDataFrame([], schema)
+    empty.write.mode("ignore").partitionBy(*partitions).parquet(path)
+
+
 def overwrite_table(df: DataFrame, path: str) -> None:
     """Full refresh."""
     df.write.mode("overwrite").parquet(path)

@@ -91,6 +91,30 @@ def read_landing(
     )
 
 
+def landing_files(spark: SparkSession, *paths: str) -> DataFrame:
+    """Part files of raw months under the paths. Contents are not read: the binary source
+    opens a file only when ``content`` is selected."""
+    source_file = F.regexp_extract("path", NAME_PATTERN, 1)
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", "true")
+        .load(list(paths))
+        .select(
+            source_file.alias("_source_file"),
+            F.regexp_extract("path", NAME_PATTERN, 2).alias("year_text"),
+            F.regexp_extract("path", NAME_PATTERN, 3).alias("month_text"),
+            "length",
+        )
+        .filter(F.col("_source_file") != "")
+        .select(
+            "_source_file",
+            F.col("year_text").cast("int").alias("_year"),
+            F.col("month_text").cast("int").alias("_month"),
+            "length",
+        )
+    )
+
+
 def audit_landing(
     spark: SparkSession,
     *paths: str,
@@ -101,16 +125,10 @@ def audit_landing(
 
     ``action`` is ``fetch`` for an empty or undersized delivery, ``skip`` for one that is
     already in ``loaded`` (any frame with ``_source_file``) and ``load`` for the rest.
-    File contents are not read: the binary source skips ``content`` when it is not selected.
     """
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(list(paths))
-        .select(F.regexp_extract("path", NAME_PATTERN, 1).alias("_source_file"), "length")
-        .filter(F.col("_source_file") != "")
+    audit = (
+        landing_files(spark, *paths).groupBy("_source_file").agg(F.sum("length").alias("bytes"))
     )
-    audit = files.groupBy("_source_file").agg(F.sum("length").alias("bytes"))
     if loaded is None:
         audit = audit.withColumn("already_loaded", F.lit(False))
     else:
