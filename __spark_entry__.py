@@ -99,7 +99,7 @@ def landing(spark: SparkSession, sf_dir: str) -> str:
     name = F.concat(
         F.lit("yellow_tripdata_"), F.date_format("l_shipdate", "yyyy-MM"), F.lit(".parquet")
     )
-    raw = fixtures.raw_trips(fixtures.table(spark, sf_dir, "lineitem"))
+    raw = fixtures.raw_trips(spark, sf_dir)
     (
         raw.withColumn("file", name)
         .drop("l_shipdate")
@@ -365,24 +365,32 @@ def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(run_rules(bronze(spark, sf_dir), suites.bronze_suite()))
 
 
-def built_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    columns = {
-        "silver_trips": [*suites.NOT_NULL["silver_trips"], "payment_type"],
-        "fact_trips": [*suites.NOT_NULL["fact_trips"], "payment_type"],
-    }
-    return {
-        "silver_trips": silver_trips(bronze(spark, sf_dir), columns=columns["silver_trips"]),
-        "silver_zones": staged_zones(spark, sf_dir),
-        "fact_trips": fact(spark, sf_dir, *columns["fact_trips"]),
-        "dim_zones": zones(spark, sf_dir),
-        "dim_datetime": calendar(spark, sf_dir),
-    }
+def built_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
+    match name:
+        case "silver_trips":
+            return silver_trips(bronze(spark, sf_dir), columns=columns)
+        case "silver_zones":
+            return staged_zones(spark, sf_dir)
+        case "fact_trips":
+            return fact(spark, sf_dir, *columns)
+        case "dim_zones":
+            return zones(spark, sf_dir)
+        case _:
+            return calendar(spark, sf_dir)
 
 
 def model_checks(check: str) -> Query:
+    """All tests of one kind, over tables that carry just the tested columns."""
+
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         tests = [test for test in suites.model_tests() if test.check == check]
-        return run_model_tests(built_tables(spark, sf_dir), tests)
+        columns: dict[str, list[str]] = {}
+        for test in tests:
+            columns.setdefault(test.table, []).append(test.column)
+            if test.parent:
+                columns.setdefault(test.parent, []).append(test.key)
+        tables = {name: built_table(spark, sf_dir, name, own) for name, own in columns.items()}
+        return run_model_tests(tables, tests)
 
     return query
 

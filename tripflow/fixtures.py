@@ -2,92 +2,97 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripflow.contracts import RAW
+LINES = """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,
+    l_quantity double, l_extendedprice double, l_discount double, l_tax double,
+    l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"""
+
+# Minutes and seconds added to the ship time give a trip's start and end; amounts follow prices.
+START = "timestampadd(SECOND, l_partkey % 1440 * 60 + l_orderkey % 60, l_shipdate)"
+END = """timestampadd(SECOND, (l_partkey % 1440 + cast(l_quantity AS bigint) - 2) * 60
+    + l_orderkey % 60 + l_suppkey % 97, l_shipdate)"""
+TRIP = {
+    "VendorID": "cast(l_linenumber AS int)",
+    "tpep_pickup_datetime": START,
+    "tpep_dropoff_datetime": END,
+    "passenger_count": "cast(l_quantity AS bigint) % 7",
+    "trip_distance": "l_quantity * 11.0E0 - 20.0E0",
+    "RatecodeID": "l_orderkey % 6 + 1",
+    "store_and_fwd_flag": "if(l_returnflag = 'R', 'Y', 'N')",
+    "PULocationID": "cast(l_suppkey % 27 AS int)",
+    "DOLocationID": "cast(l_partkey % 27 AS int)",
+    "payment_type": "l_partkey % 8",
+    "fare_amount": "l_extendedprice / 100.0E0",
+    "extra": "l_tax * 10.0E0",
+    "mta_tax": "0.5E0",
+    "tip_amount": "l_extendedprice / 100.0E0 * l_discount + tip_step",
+    "tolls_amount": "0.0E0",
+    "improvement_surcharge": "1.0E0",
+    "total_amount": """l_extendedprice / 100.0E0 * (1.0E0 + l_discount) + l_tax * 10.0E0
+        + 1.5E0 + tip_step""",
+    "congestion_surcharge": "2.5E0",
+    "Airport_fee": "if(l_suppkey % 27 IN (1, 24), 1.75E0, 0.0E0)",
+}
+LINEAGE = {
+    "_ingested_at": "if(batch = 2, timestamp_ntz'2026-01-02', timestamp_ntz'2026-01-01')",
+    "_source_file": "if(batch = 2, 'batch2.parquet', 'batch1.parquet')",
+    "_year": "year(l_shipdate)",
+    "_month": "month(l_shipdate)",
+}
+
+# Batch 1 is every order line. Batch 2 is a later delivery that repeats every tenth order with
+# another tip, which gives deduplication and upsert their overlap.
+DELIVERIES = {
+    (1,): "array(1)",
+    (2,): "if(l_orderkey % 10 = 0, array(2), array())",
+    (1, 2): "if(l_orderkey % 10 = 0, array(1, 2), array(1))",
+}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _later(ts: Column, minutes: Column, seconds: Column) -> Column:
-    return F.timestamp_add("SECOND", seconds, F.timestamp_add("MINUTE", minutes, ts))
-
-
-def raw_trips(lineitem: DataFrame, tip_step: Column | None = None) -> DataFrame:
-    """The raw columns of one trip per order line; extra columns of the input are kept."""
-    step = F.lit(0.0) if tip_step is None else tip_step
-    order, part, supplier = F.col("l_orderkey"), F.col("l_partkey"), F.col("l_suppkey")
-    quantity, discount, tax = F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")
-    shipped = F.col("l_shipdate").cast("timestamp_ntz")
-    fare = F.col("l_extendedprice") / 100.0
-    ride = part % 1440 + quantity.cast("bigint") - 2
-    values = {
-        "VendorID": F.col("l_linenumber").cast("int"),
-        "tpep_pickup_datetime": _later(shipped, part % 1440, order % 60),
-        "tpep_dropoff_datetime": _later(shipped, ride, order % 60 + supplier % 97),
-        "passenger_count": quantity.cast("bigint") % 7,
-        "trip_distance": quantity * 11.0 - 20.0,
-        "RatecodeID": order % 6 + 1,
-        "store_and_fwd_flag": F.when(F.col("l_returnflag") == "R", "Y").otherwise("N"),
-        "PULocationID": (supplier % 27).cast("int"),
-        "DOLocationID": (part % 27).cast("int"),
-        "payment_type": part % 8,
-        "fare_amount": fare,
-        "extra": tax * 10.0,
-        "mta_tax": F.lit(0.5),
-        "tip_amount": fare * discount + step,
-        "tolls_amount": F.lit(0.0),
-        "improvement_surcharge": F.lit(1.0),
-        "total_amount": fare * (F.lit(1.0) + discount) + tax * 10.0 + 1.5 + step,
-        "congestion_surcharge": F.lit(2.5),
-        "Airport_fee": F.when((supplier % 27).isin(1, 24), 1.75).otherwise(0.0),
-    }
-    extras = [name for name in lineitem.columns if not name.startswith("l_")]
-    return lineitem.select(*[values[name].alias(name) for name in RAW.names], "l_shipdate", *extras)
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line table, spread over the cores when its scan has too few tasks to occupy them.
+
+    Small scales keep all lines in one row group, which is one task. A scan of many tasks is
+    left as it is.
+    """
+    lines = spark.read.schema(LINES).parquet(f"{sf_dir}/lineitem.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() >= cores:
+        return lines
+    return lines.repartition(cores, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+
+
+def _expressions(columns: dict[str, str]) -> list[str]:
+    return [f"{value} AS {name}" for name, value in columns.items()]
+
+
+def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw columns of one trip per order line, and the line's ship time."""
+    lines = order_lines(spark, sf_dir).withColumn("tip_step", F.lit(0.0))
+    return lines.selectExpr(*_expressions(TRIP), "l_shipdate")
 
 
 def bronze_trips(spark: SparkSession, sf_dir: str, batches: tuple[int, ...] = (1, 2)) -> DataFrame:
-    """All order lines as batch 1; batch 2 is a later delivery that repeats every tenth order
-    with another tip, which gives deduplication and upsert their overlap."""
-    again = F.col("l_orderkey") % 10 == 0
-    delivered = {
-        (1, 2): F.when(again, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))),
-        (1,): F.array(F.lit(1)),
-        (2,): F.when(again, F.array(F.lit(2))).otherwise(F.array().cast("array<int>")),
-    }[batches]
-    lines = table(spark, sf_dir, "lineitem").select("*", F.explode(delivered).alias("batch"))
-    second = F.col("batch") == 2
-    trips = raw_trips(lines, F.when(second, 1.0).otherwise(0.0))
-    return trips.select(
-        *RAW.names,
-        F.when(second, "2026-01-02 00:00:00")
-        .otherwise("2026-01-01 00:00:00")
-        .cast("timestamp_ntz")
-        .alias("_ingested_at"),
-        F.when(second, "batch2.parquet").otherwise("batch1.parquet").alias("_source_file"),
-        F.year("l_shipdate").alias("_year"),
-        F.month("l_shipdate").alias("_month"),
+    lines = order_lines(spark, sf_dir).selectExpr(
+        "*", f"explode(cast({DELIVERIES[batches]} AS array<int>)) AS batch"
     )
+    trips = lines.withColumn("tip_step", F.expr("if(batch = 2, 1.0E0, 0.0E0)"))
+    return trips.selectExpr(*_expressions(TRIP | LINEAGE))
 
 
 def zone_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region, key = F.col("r_name"), F.col("n_nationkey")
-    borough = (
-        F.when(region == "AFRICA", "Manhattan")
-        .when(region == "AMERICA", "Brooklyn")
-        .when(region == "ASIA", "Queens")
-        .when(region == "EUROPE", "EWR")
-        .otherwise("Unknown")
-    )
-    named = F.when(key.isin(2, 7), F.concat("n_name", F.lit(" Airport"))).otherwise(F.col("n_name"))
     nations = table(spark, sf_dir, "nation")
     regions = table(spark, sf_dir, "region")
-    return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).select(
-        key.alias("LocationID"),
-        borough.alias("Borough"),
-        named.alias("Zone"),
-        F.when(key % 3 == 0, "Yellow Zone").otherwise("Boro Zone").alias("service_zone"),
+    return nations.join(regions, nations["n_regionkey"] == regions["r_regionkey"]).selectExpr(
+        "n_nationkey AS LocationID",
+        """CASE r_name WHEN 'AFRICA' THEN 'Manhattan' WHEN 'AMERICA' THEN 'Brooklyn'
+            WHEN 'ASIA' THEN 'Queens' WHEN 'EUROPE' THEN 'EWR' ELSE 'Unknown' END AS Borough""",
+        "if(n_nationkey IN (2, 7), concat(n_name, ' Airport'), n_name) AS Zone",
+        "if(n_nationkey % 3 = 0, 'Yellow Zone', 'Boro Zone') AS service_zone",
     )

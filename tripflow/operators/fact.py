@@ -25,20 +25,30 @@ MADE_FROM = {
 }
 
 
-def derived_columns() -> dict[str, Column]:
-    pickup, dropoff = F.col("pickup_datetime"), F.col("dropoff_datetime")
-    return {
-        "pickup_location_id": F.col("pickup_zone_id"),
-        "dropoff_location_id": F.col("dropoff_zone_id"),
-        "pickup_month": month_start(pickup),
-        "pickup_date": midnight(pickup),
-        "pickup_hour": F.hour(pickup),
-        "pickup_day_of_week": day_of_week(pickup),
-        "trip_duration_minutes": minute_steps(pickup, dropoff),
-        "fare_per_mile": ratio_or_zero(F.col("fare_amount"), F.col("trip_distance")),
-        "tip_percentage": ratio_or_zero(F.col("tip_amount"), F.col("total_amount")),
-        AUDIT: F.current_timestamp(),
-    }
+def derived_column(name: str) -> Column:
+    pickup, dropoff = "pickup_datetime", "dropoff_datetime"
+    match name:
+        case "pickup_location_id":
+            value = F.col("pickup_zone_id")
+        case "dropoff_location_id":
+            value = F.col("dropoff_zone_id")
+        case "pickup_month":
+            value = month_start(F.col(pickup))
+        case "pickup_date":
+            value = midnight(F.col(pickup))
+        case "pickup_hour":
+            value = F.hour(pickup)
+        case "pickup_day_of_week":
+            value = day_of_week(F.col(pickup))
+        case "trip_duration_minutes":
+            value = minute_steps(F.col(pickup), F.col(dropoff))
+        case "fare_per_mile":
+            value = ratio_or_zero(F.col("fare_amount"), F.col("trip_distance"))
+        case "tip_percentage":
+            value = ratio_or_zero(F.col("tip_amount"), F.col("total_amount"))
+        case _:
+            value = F.current_timestamp()
+    return value.alias(name)
 
 
 def silver_inputs(columns: Iterable[str]) -> list[str]:
@@ -50,9 +60,8 @@ def silver_inputs(columns: Iterable[str]) -> list[str]:
 
 
 def fact_trips(silver: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    derived = derived_columns()
     return silver.select(
-        *[derived.get(name, F.col(name)).alias(name) for name in columns or FACT.names]
+        *[derived_column(name) if name in MADE_FROM else name for name in columns or FACT.names]
     )
 
 

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,62 +56,67 @@ def run_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     range and set rules, a column without values passes them, and a rule succeeds when at
     least ``mostly`` of the evaluated values pass. A rule on an absent column fails.
     """
-    counters = {"rows": F.count(F.lit(1))}
+    counters = ["count(1) AS rows"]
     outcomes = []
     for position, rule in enumerate(rules):
         present, failing = f"present_{position}", f"failing_{position}"
         if rule.check == "column_exists":
-            missing = 0 if rule.column in rows.columns else 1
-            outcomes.append(_outcome(rule, F.lit(1), F.lit(missing)))
+            missing = int(rule.column not in rows.columns)
+            outcomes.append(_outcome(rule, "1", str(missing)))
             continue
         if rule.check == "row_count":
-            inside = F.col("rows") >= rule.low
+            inside = f"rows >= {rule.low}"
             if rule.high is not None:
-                inside = inside & (F.col("rows") <= rule.high)
-            outcomes.append(_outcome(rule, F.col("rows"), F.when(inside, 0).otherwise(1), inside))
+                inside += f" AND rows <= {rule.high}"
+            outcomes.append(_outcome(rule, "rows", f"if({inside}, 0, 1)", inside))
             continue
         if rule.column not in rows.columns:
-            outcomes.append(_outcome(rule, F.lit(0), F.lit(0), F.lit(False)))
+            outcomes.append(_outcome(rule, "0", "0", "false"))
             continue
-        value = F.col(f"`{rule.column}`")
-        absent = value.isNull()
+        value = f"`{rule.column}`"
+        absent = f"{value} IS NULL"
         if isinstance(rows.schema[rule.column].dataType, (T.DoubleType, T.FloatType)):
-            absent = absent | F.isnan(value)
+            absent = f"({absent} OR isnan({value}))"
         if rule.check == "not_null":
-            counters[failing] = F.count_if(absent)
-            outcomes.append(_outcome(rule, F.col("rows"), F.col(failing)))
+            counters.append(f"count_if({absent}) AS {failing}")
+            outcomes.append(_outcome(rule, "rows", failing))
             continue
-        good = value.isin(*rule.values) if rule.values else value.between(rule.low, rule.high)
-        counters[present] = F.count_if(~absent)
-        counters[failing] = F.count_if(~absent & ~good)
-        outcomes.append(_outcome(rule, F.col(present), F.col(failing)))
-    totals = rows.agg(*[counter.alias(name) for name, counter in counters.items()])
-    return totals.select(F.inline(F.array(*outcomes)))
+        if rule.values:
+            bad = f"{value} NOT IN ({', '.join(_literal(v) for v in rule.values)})"
+        else:
+            bad = f"{value} NOT BETWEEN {_literal(rule.low)} AND {_literal(rule.high)}"
+        counters.append(f"count_if(NOT {absent}) AS {present}")
+        counters.append(f"count_if(NOT {absent} AND {bad}) AS {failing}")
+        outcomes.append(_outcome(rule, present, failing))
+    return rows.agg(*map(F.expr, counters)).selectExpr(_rows_of(outcomes))
 
 
-def _outcome(rule: Rule, evaluated: Column, failed: Column, success: Column | None = None) -> Column:
-    evaluated, failed = evaluated.cast("bigint"), failed.cast("bigint")
+def _literal(value: object) -> str:
+    """A number or text as SQL; fractions as DOUBLE, not DECIMAL."""
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
+
+
+def _outcome(rule: Rule, evaluated: str, failed: str, success: str | None = None) -> str:
     if success is None:
-        passed = (evaluated - failed) / F.nullif(evaluated, F.lit(0))
-        success = F.coalesce(passed >= rule.mostly, F.lit(True))
-    return F.struct(
-        F.lit(rule.check).alias("check"),
-        F.lit(rule.column).alias("column"),
-        evaluated.alias("evaluated"),
-        failed.alias("failed"),
-        success.alias("success"),
-    )
+        passed = f"({evaluated} - {failed}) / nullif({evaluated}, 0)"
+        success = f"coalesce({passed} >= {_literal(float(rule.mostly))}, true)"
+    return f"""named_struct('check', '{rule.check}', 'column', {_literal(rule.column)},
+        'evaluated', cast({evaluated} AS bigint), 'failed', cast({failed} AS bigint),
+        'success', {success})"""
+
+
+def _rows_of(outcomes: Sequence[str]) -> str:
+    return f"inline(array({', '.join(outcomes)}))"
 
 
 def check_not_null(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows without a value, for several columns in one pass; NaN is a value here."""
-    names = {f"nulls_{position}": name for position, name in enumerate(columns)}
-    totals = rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(F.col(name).isNull()).alias(alias) for alias, name in names.items()],
-    )
-    outcomes = [_strict("not_null", name, F.col("rows"), F.col(alias)) for alias, name in names.items()]
-    return totals.select(F.inline(F.array(*outcomes)))
+    counters = [f"count_if(`{name}` IS NULL) AS nulls_{i}" for i, name in enumerate(columns)]
+    outcomes = [_strict("not_null", name, "rows", f"nulls_{i}") for i, name in enumerate(columns)]
+    totals = rows.agg(*map(F.expr, ["count(1) AS rows", *counters]))
+    return totals.selectExpr(_rows_of(outcomes))
 
 
 def duplicate_keys(rows: DataFrame, column: str) -> DataFrame:
@@ -121,19 +126,18 @@ def duplicate_keys(rows: DataFrame, column: str) -> DataFrame:
 
 def check_unique(rows: DataFrame, column: str) -> DataFrame:
     """``failed`` counts the repeated values."""
-    repeated = F.count_if(F.col("rows") > 1)
-    return _fold(_value_counts(rows, column), "unique", column, repeated)
+    return _fold(_value_counts(rows, column), "unique", column, "rows > 1")
 
 
 def unaccepted_values(rows: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Non-null values outside the set, with their counts."""
-    return _value_counts(rows, column).filter(~F.col("value").isin(*values))
+    return _value_counts(rows, column).filter(_outside(values))
 
 
 def check_accepted_values(rows: DataFrame, column: str, values: Sequence) -> DataFrame:
     """``failed`` counts the distinct values outside the set."""
-    outside = F.count_if(~F.col("value").isin(*values))
-    return _fold(_value_counts(rows, column), "accepted_values", column, outside)
+    counts = _value_counts(rows, column)
+    return _fold(counts, "accepted_values", column, _outside(values))
 
 
 def check_relationships(
@@ -153,36 +157,34 @@ def check_relationships(
     )
     keys = parent.select(F.col(key).alias("value")).distinct().withColumn("known", F.lit(True))
     counters, outcomes = [], []
-    for position, column in enumerate(columns):
-        mine, orphan = F.col("column") == column, F.col("known").isNull()
-        present, failing = f"present_{position}", f"failing_{position}"
-        for name, condition in ((present, mine), (failing, mine & orphan)):
-            total = F.coalesce(F.sum(F.when(condition, F.col("rows"))), F.lit(0))
-            counters.append(total.alias(name))
-        outcomes.append(_strict("relationships", column, F.col(present), F.col(failing)))
-    totals = counts.join(keys, "value", "left").agg(*counters)
-    return totals.select(F.inline(F.array(*outcomes)))
+    for i, column in enumerate(columns):
+        mine = f"column = {_literal(column)}"
+        counters.append(f"coalesce(sum(rows) FILTER (WHERE {mine}), 0) AS present_{i}")
+        orphan = f"{mine} AND known IS NULL"
+        counters.append(f"coalesce(sum(rows) FILTER (WHERE {orphan}), 0) AS failing_{i}")
+        outcomes.append(_strict("relationships", column, f"present_{i}", f"failing_{i}"))
+    totals = counts.join(keys, "value", "left").agg(*map(F.expr, counters))
+    return totals.selectExpr(_rows_of(outcomes))
 
 
 def _value_counts(rows: DataFrame, column: str) -> DataFrame:
-    value = F.col(column).alias("value")
-    return (
-        rows.select(value)
-        .filter(F.col("value").isNotNull())
-        .groupBy("value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    values = rows.selectExpr(f"`{column}` AS value").filter("value IS NOT NULL")
+    return values.groupBy("value").agg(F.expr("count(1) AS rows"))
 
 
-def _fold(counts: DataFrame, check: str, column: str, failed: Column) -> DataFrame:
-    totals = counts.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"), failed.alias("failing"))
-    return totals.select(
-        _strict(check, column, F.col("rows"), F.col("failing")).alias("outcome")
-    ).select("outcome.*")
+def _outside(values: Sequence) -> str:
+    return f"value NOT IN ({', '.join(_literal(v) for v in values)})"
+
+
+def _fold(counts: DataFrame, check: str, column: str, failing: str) -> DataFrame:
+    totals = counts.agg(
+        F.expr("coalesce(sum(rows), 0) AS present"), F.expr(f"count_if({failing}) AS failing")
+    )
+    return totals.selectExpr(_rows_of([_strict(check, column, "present", "failing")]))
 
 
-def _strict(check: str, column: str, evaluated: Column, failed: Column) -> Column:
-    return _outcome(Rule(check, column), evaluated, failed, failed == 0)
+def _strict(check: str, column: str, evaluated: str, failed: str) -> str:
+    return _outcome(Rule(check, column), evaluated, failed, f"{failed} = 0")
 
 
 @dataclass(frozen=True)
