@@ -18,6 +18,7 @@ from tripflow.contracts import (
     BRONZE_PARTITIONS,
     FACT_PARTITIONS,
     PAYMENT_TYPES,
+    TIE_BREAK,
     TRIP_KEY,
 )
 from tripflow.functions import surrogate_key
@@ -178,10 +179,16 @@ def bronze_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Audits the delivered months against a bronze that already holds one year."""
+    """Audits the months delivered or ordered in, against a bronze that holds one year."""
     files, path = landing(spark, sf_dir), scratch_path(spark, "bronze")
     load_landing(spark, path, f"{files}/file=yellow_tripdata_{RELOADED_YEAR}-*")
-    audit = audit_landing(spark, files, loaded=read_bronze(spark, path), min_bytes=1_000)
+    ordered = F.date_format("o_orderdate", "yyyy-MM")
+    expected = fixtures.table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("yellow_tripdata_"), ordered, F.lit(".parquet")).alias("_source_file")
+    )
+    audit = audit_landing(
+        spark, files, loaded=read_bronze(spark, path), expected=expected, min_bytes=1_000
+    )
     return audit.drop("bytes")
 
 
@@ -206,8 +213,6 @@ def silver_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tripflow.contracts import TIE_BREAK
-
     return keep_latest(rename_trips(bronze(spark, sf_dir)), TRIP_KEY, "_ingested_at", TIE_BREAK)
 
 

@@ -291,9 +291,13 @@ REBUILT = """SELECT pickup_month, _source_file, count(*) AS trips, round(sum(tip
 TOUCHED = """(SELECT DISTINCT cast(date_trunc('month', tpep_pickup_datetime) AS timestamp)
     FROM batch_2 WHERE _year = 1997)"""
 
-AUDITED = f"""SELECT DISTINCT _source_file, _year = 1997 AS already_loaded, false AS is_empty,
-    false AS below_minimum, CASE WHEN _year = 1997 THEN 'skip' ELSE 'load' END AS action
-    FROM {STORED}"""
+AUDITED = f"""SELECT coalesce(d._source_file, o._source_file) AS _source_file,
+    coalesce(loaded, false) AS already_loaded, loaded IS NULL AS is_empty,
+    loaded IS NULL AS below_minimum,
+    CASE loaded WHEN true THEN 'skip' WHEN false THEN 'load' ELSE 'fetch' END AS action
+    FROM (SELECT DISTINCT _source_file, _year = 1997 AS loaded FROM {STORED}) d
+    FULL JOIN (SELECT DISTINCT 'yellow_tripdata_' || strftime(o_orderdate, '%Y-%m') || '.parquet'
+      AS _source_file FROM orders) o ON d._source_file = o._source_file"""
 
 TARGETS = """SELECT cast(year(target) AS int) AS year, cast(month(target) AS int) AS month, count(*) AS runs
     FROM (SELECT date_trunc('month', o_orderdate) - INTERVAL 13 MONTH AS target FROM orders)

@@ -1,0 +1,69 @@
+"""Small hand-made trips."""
+
+from __future__ import annotations
+
+from datetime import datetime
+from pathlib import Path
+
+import pyarrow as pa
+import pyarrow.parquet as pq
+
+from tripflow.contracts import BRONZE, RAW
+from tripflow.sources.landing import landing_path
+
+RAW_DEFAULTS = {
+    "VendorID": 1,
+    "tpep_pickup_datetime": datetime(2024, 1, 15, 8, 0, 0),
+    "tpep_dropoff_datetime": datetime(2024, 1, 15, 8, 20, 0),
+    "passenger_count": 1,
+    "trip_distance": 4.0,
+    "RatecodeID": 1,
+    "store_and_fwd_flag": "N",
+    "PULocationID": 10,
+    "DOLocationID": 20,
+    "payment_type": 1,
+    "fare_amount": 20.0,
+    "extra": 0.0,
+    "mta_tax": 0.5,
+    "tip_amount": 5.0,
+    "tolls_amount": 0.0,
+    "improvement_surcharge": 1.0,
+    "total_amount": 26.5,
+    "congestion_surcharge": 0.0,
+    "Airport_fee": 0.0,
+}
+BRONZE_DEFAULTS = RAW_DEFAULTS | {
+    "_ingested_at": datetime(2025, 2, 5, 6, 0, 0),
+    "_source_file": "yellow_tripdata_2024-01.parquet",
+    "_year": 2024,
+    "_month": 1,
+}
+
+
+def at(text: str) -> datetime:
+    return datetime.fromisoformat(text)
+
+
+def raw(**values) -> dict:
+    return RAW_DEFAULTS | values
+
+
+def bronze(spark, *rows: dict):
+    full = [BRONZE_DEFAULTS | row for row in rows]
+    return spark.createDataFrame([[row[c] for c in BRONZE.names] for row in full], BRONZE)
+
+
+def write_month(root: Path, year: int, month: int, rows: list[dict], **types: pa.DataType) -> Path:
+    """A raw month as a plain file, with other column types on request."""
+    arrow = {"int": pa.int32(), "bigint": pa.int64(), "double": pa.float64(), "string": pa.string()}
+    fields = []
+    for field in RAW.fields:
+        kind = arrow.get(field.dataType.simpleString(), pa.timestamp("us"))
+        fields.append(pa.field(field.name, types.get(field.name, kind)))
+    extra = sorted({name for row in rows for name in row} - set(RAW.names))
+    fields += [pa.field(name, pa.string()) for name in extra]
+    table = pa.Table.from_pylist(rows, schema=pa.schema(fields))
+    path = Path(landing_path(str(root), year, month))
+    path.parent.mkdir(parents=True, exist_ok=True)
+    pq.write_table(table, path)
+    return path

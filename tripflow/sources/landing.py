@@ -119,16 +119,25 @@ def audit_landing(
     spark: SparkSession,
     *paths: str,
     loaded: DataFrame | None = None,
+    expected: DataFrame | None = None,
     min_bytes: int = MIN_FILE_BYTES,
 ) -> DataFrame:
     """One row per raw month found under the paths, from file sizes alone.
 
+    Spark's file sources pass over files of zero bytes. Name the months that should be there
+    in ``expected`` (any frame with ``_source_file``) to see missing and empty ones as 0 bytes.
+
     ``action`` is ``fetch`` for an empty or undersized delivery, ``skip`` for one that is
     already in ``loaded`` (any frame with ``_source_file``) and ``load`` for the rest.
     """
     audit = (
         landing_files(spark, *paths).groupBy("_source_file").agg(F.sum("length").alias("bytes"))
     )
+    if expected is not None:
+        wanted = expected.select("_source_file").distinct()
+        audit = wanted.join(audit, "_source_file", "full").select(
+            "_source_file", F.coalesce("bytes", F.lit(0)).alias("bytes")
+        )
     if loaded is None:
         audit = audit.withColumn("already_loaded", F.lit(False))
     else:
