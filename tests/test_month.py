@@ -49,7 +49,9 @@ def test_two_months_then_a_corrected_one(spark, layout):
     write_month(layout.landing, 2024, 1, month_of("2024-01-05", 1300, tip_amount=1.0))
     run_month(spark, layout, 2024, 1, ingested_at="2025-03-05 06:00:00")
     assert read_fact(spark, layout.fact).count() == 2400  # behind the mark
-    run_month(spark, layout, 2024, 1, mode="rebuild", ingested_at="2025-04-05 06:00:00")
+    run_month(
+        spark, layout, 2024, 1, mode="rebuild", scope="month", ingested_at="2025-04-05 06:00:00"
+    )
     bronze = read_bronze(spark, layout.bronze)
     assert facts(read_fact(spark, layout.fact)) == facts(fact_from_bronze(bronze))
     assert read_fact(spark, layout.fact).filter("tip_amount = 1").count() == 1300

@@ -111,12 +111,32 @@ def _rows_of(outcomes: Sequence[str]) -> str:
     return f"inline(array({', '.join(outcomes)}))"
 
 
+def check_values(
+    rows: DataFrame, not_null: Sequence[str] = (), accepted: Mapping[str, Sequence] | None = None
+) -> DataFrame:
+    """Strict value checks of a table in one pass; NaN is a value here.
+
+    ``failed`` counts rows without a value, and for accepted values the distinct values
+    outside the set.
+    """
+    counters, outcomes = ["count(1) AS rows"], []
+    for i, name in enumerate(not_null):
+        counters.append(f"count_if(`{name}` IS NULL) AS nulls_{i}")
+        outcomes.append(_strict("not_null", name, "rows", f"nulls_{i}"))
+    for i, (name, values) in enumerate((accepted or {}).items()):
+        counters.append(f"count(`{name}`) AS values_{i}")
+        outside = f"CASE WHEN {_outside(f'`{name}`', values)} THEN `{name}` END"
+        counters.append(f"count(DISTINCT {outside}) AS outside_{i}")
+        outcomes.append(_strict("accepted_values", name, f"values_{i}", f"outside_{i}"))
+    return rows.agg(*map(F.expr, counters)).selectExpr(_rows_of(outcomes))
+
+
 def check_not_null(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows without a value, for several columns in one pass; NaN is a value here."""
-    counters = [f"count_if(`{name}` IS NULL) AS nulls_{i}" for i, name in enumerate(columns)]
-    outcomes = [_strict("not_null", name, "rows", f"nulls_{i}") for i, name in enumerate(columns)]
-    totals = rows.agg(*map(F.expr, ["count(1) AS rows", *counters]))
-    return totals.selectExpr(_rows_of(outcomes))
+    return check_values(rows, not_null=columns)
+
+
+def check_accepted_values(rows: DataFrame, column: str, values: Sequence) -> DataFrame:
+    return check_values(rows, accepted={column: values})
 
 
 def duplicate_keys(rows: DataFrame, column: str) -> DataFrame:
@@ -131,13 +151,7 @@ def check_unique(rows: DataFrame, column: str) -> DataFrame:
 
 def unaccepted_values(rows: DataFrame, column: str, values: Sequence) -> DataFrame:
     """Non-null values outside the set, with their counts."""
-    return _value_counts(rows, column).filter(_outside(values))
-
-
-def check_accepted_values(rows: DataFrame, column: str, values: Sequence) -> DataFrame:
-    """``failed`` counts the distinct values outside the set."""
-    counts = _value_counts(rows, column)
-    return _fold(counts, "accepted_values", column, _outside(values))
+    return _value_counts(rows, column).filter(_outside("value", values))
 
 
 def check_relationships(
@@ -172,8 +186,8 @@ def _value_counts(rows: DataFrame, column: str) -> DataFrame:
     return values.groupBy("value").agg(F.expr("count(1) AS rows"))
 
 
-def _outside(values: Sequence) -> str:
-    return f"value NOT IN ({', '.join(_literal(v) for v in values)})"
+def _outside(value: str, values: Sequence) -> str:
+    return f"{value} NOT IN ({', '.join(_literal(v) for v in values)})"
 
 
 def _fold(counts: DataFrame, check: str, column: str, failing: str) -> DataFrame:
@@ -204,15 +218,11 @@ def run_model_tests(tables: Mapping[str, DataFrame], tests: Sequence[ModelTest])
     results = []
     for name in dict.fromkeys(test.table for test in tests):
         rows, own = tables[name], [test for test in tests if test.table == name]
-        of = {kind: [t for t in own if t.check == kind] for kind in {t.check for t in own}}
-        parts = []
-        if "not_null" in of:
-            parts.append(check_not_null(rows, [t.column for t in of["not_null"]]))
-        parts += [check_unique(rows, t.column) for t in of.get("unique", [])]
-        parts += [
-            check_accepted_values(rows, t.column, t.values) for t in of.get("accepted_values", [])
-        ]
-        related = of.get("relationships", [])
+        not_null = [t.column for t in own if t.check == "not_null"]
+        accepted = {t.column: t.values for t in own if t.check == "accepted_values"}
+        parts = [check_values(rows, not_null, accepted)] if not_null or accepted else []
+        parts += [check_unique(rows, t.column) for t in own if t.check == "unique"]
+        related = [t for t in own if t.check == "relationships"]
         for parent, key in dict.fromkeys((t.parent, t.key) for t in related):
             columns = [t.column for t in related if (t.parent, t.key) == (parent, key)]
             parts.append(check_relationships(rows, columns, tables[parent], key))

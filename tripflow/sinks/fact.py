@@ -6,7 +6,7 @@ from collections.abc import Iterable, Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.contracts import FACT, FACT_PARTITIONS
@@ -40,12 +40,11 @@ def upsert_fact(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Delete by ``trip_id`` and insert, rewriting only the months the batch has rows in.
 
     A trip's key covers its pickup time, so equal keys share a month. The batch is staged
-    because it is read three times. There are at most 12 months per calendar year, which
-    bounds the broadcast that prunes the target's partitions.
+    because it is read three times. Its months, at most 12 per calendar year, come to the
+    driver so that the target's partitions are pruned by literals.
     """
     batch = stage(batch, "fact-batch")
-    months = F.broadcast(batch.select(*FACT_PARTITIONS).distinct())
-    touched = read_fact(spark, path).join(months, FACT_PARTITIONS, "left_semi")
+    touched = of_months(read_fact(spark, path), months_of(batch, "pickup_datetime"))
     merged = delete_insert(touched, batch, ["trip_id"])
     replace_partitions(_by_month(merged), path, FACT_PARTITIONS)
 
@@ -53,32 +52,49 @@ def upsert_fact(spark: SparkSession, path: str, batch: DataFrame) -> None:
 def append_new_trips(spark: SparkSession, path: str, silver: DataFrame) -> datetime | None:
     """Loads the trips picked up after the newest stored one; returns the mark it used.
 
-    The mark is fetched first (one value), so it reaches the bronze scan as a literal. Late
-    rows never pass it: use ``rebuild_months`` for late or re-delivered data.
+    The mark is fetched first (one value), so it reaches the bronze scan as a literal. No
+    stored key can come again after it, so nothing is looked up: the mark's own month is
+    rewritten together with the new rows, and older months are not read. Late rows never
+    pass the mark: use ``rebuild_months`` for late or re-delivered data.
     """
-    mark = latest_pickup(read_fact(spark, path)).first()["pickup_datetime"]
-    literal = F.lit(None if mark is None else str(mark)).cast("timestamp_ntz")
-    upsert_fact(spark, path, fact_trips(later_than(silver, literal)))
+    stored = read_fact(spark, path)
+    mark = latest_pickup(stored).first()["pickup_datetime"]
+    if mark is None:
+        write_fact(fact_trips(silver), path)
+        return None
+    new = fact_trips(later_than(silver, F.lit(str(mark)).cast("timestamp_ntz")))
+    current = of_months(stored, [datetime(mark.year, mark.month, 1)])
+    replace_partitions(_by_month(current.unionByName(new)), path, FACT_PARTITIONS)
     return mark
 
 
+def months_of(rows: DataFrame, pickup: str) -> list[datetime]:
+    """Distinct pickup months, a list bounded by the calendar."""
+    months = rows.select(month_start(F.col(pickup)).alias("month")).distinct()
+    return sorted(row["month"] for row in months.filter("month IS NOT NULL").collect())
+
+
+def of_months(fact: DataFrame, months: Iterable[datetime]) -> DataFrame:
+    """Stored facts of some months; only their partitions are listed in the plan."""
+    wanted = ", ".join(f"timestamp_ntz'{month:%Y-%m-%d}'" for month in months)
+    return fact.filter(f"pickup_month IN ({wanted})" if wanted else "false")
+
+
 def touched_months(spark: SparkSession, bronze_periods: DataFrame, path: str) -> list[datetime]:
     """Pickup months to rebuild after some bronze periods were reloaded.
 
     Months of the new rows, plus months that still hold rows of the same source files. The
     list on the driver is bounded by the calendar.
     """
-    new = bronze_periods.select(month_start(F.col("tpep_pickup_datetime")).alias("pickup_month"))
     files = bronze_periods.select("_source_file").distinct()
     old = (
         read_fact(spark, path)
         .groupBy("pickup_month", "_source_file")
         .agg(F.count(F.lit(1)).alias("rows"))
         .join(files, "_source_file", "left_semi")
-        .select("pickup_month")
     )
-    months = new.distinct().union(old).distinct().filter(F.col("pickup_month").isNotNull())
-    return sorted(row["pickup_month"] for row in months.collect())
+    new = months_of(bronze_periods, "tpep_pickup_datetime")
+    return sorted({*new, *months_of(old, "pickup_month")})
 
 
 def picked_up_in(bronze: DataFrame, months: Iterable[datetime]) -> DataFrame:
@@ -100,11 +116,20 @@ def rebuild_months(
     Copies of a trip share their pickup time, so a month can be deduplicated by itself:
     nothing of the stored fact is read, and repeating the call changes nothing.
     """
-    fact = stage(fact_trips(silver_trips(picked_up_in(bronze, months))), "fact-months")
+    if not months:
+        return
+    filled = Observation("rebuild_months")
+    fact = fact_trips(silver_trips(picked_up_in(bronze, months))).observe(
+        filled,
+        *[
+            F.expr(f"count_if(pickup_month = timestamp_ntz'{month:%Y-%m-%d}')").alias(f"{month:%Y-%m}")
+            for month in months
+        ],
+    )
     replace_partitions(_by_month(fact), path, FACT_PARTITIONS)
-    filled = {row["pickup_month"] for row in fact.select(*FACT_PARTITIONS).distinct().collect()}
-    for month in set(months) - filled:
-        clear_partition(spark, path, FACT, {"pickup_month": month})
+    for month in months:
+        if not filled.get[f"{month:%Y-%m}"]:
+            clear_partition(spark, path, FACT, {"pickup_month": month})
 
 
 def _next_month(month: datetime) -> datetime:
