@@ -9,7 +9,7 @@ from tripflow.contracts import BRONZE, BRONZE_PARTITIONS, FACT
 from tripflow.operators.fact import fact_trips, later_than
 from tripflow.operators.merge import delete_insert
 from tripflow.operators.silver import silver_trips
-from tripflow.sinks.bronze import load_landing, load_month
+from tripflow.sinks.bronze import count_rows, load_landing, load_month, reconcile
 from tripflow.sinks.fact import (
     append_new_trips,
     rebuild_months,
@@ -111,8 +111,16 @@ def test_load_landing_equals_month_by_month(spark, tmp_path):
     result = load_landing(spark, other, files, ingested_at="2025-02-05 06:00:00")
     assert sorted((r["month"], r["input_count"], r["difference"]) for r in result.collect()) == [
         (1, 2, 0),
+        (2, 0, 0),
         (3, 1, 0),
     ]
+    seen = spark.createDataFrame([(2024, 1, 5), (2024, 2, 1)], "_year int, _month int, input_count bigint")
+    assert sorted(map(tuple, reconcile(seen, count_rows(read_bronze(spark, other), "output_count")).collect())) == [
+        (2024, 1, 5, 2, 3, False),
+        (2024, 2, 1, 0, 1, False),
+        (2024, 3, 0, 1, -1, False),
+        (2024, 6, 0, 1, -1, False),
+    ]
     bulk = read_bronze(spark, other)
     assert rows_of(bulk.filter("_month <> 6")) == rows_of(stored(spark, tmp_path))
     assert bulk.filter("_month = 6").count() == 1

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.contracts import BRONZE, BRONZE_PARTITIONS
+from tripflow.operators.silver import in_periods
 from tripflow.sinks.tables import clear_partition, replace_partitions
 from tripflow.sources.landing import landing_files, read_landing, scan_month
 from tripflow.sources.tables import read_bronze, read_bronze_month
@@ -65,32 +66,38 @@ def load_landing(
     spark: SparkSession,
     bronze_path: str,
     *paths: str,
+    dataset: str = "yellow",
     ingested_at: datetime | str | None = None,
 ) -> DataFrame:
     """Replaces every month found under the paths in one map-only job; returns its reconciliation.
 
     For backfills of deliveries that share one file schema.
     """
-    incoming = read_landing(spark, *paths, ingested_at=ingested_at)
+    incoming = read_landing(spark, *paths, dataset=dataset, ingested_at=ingested_at)
     replace_partitions(incoming, bronze_path, BRONZE_PARTITIONS)
+    # One row per delivered month, at most 12 per year of deliveries.
     months = landing_files(spark, *paths).select(*BRONZE_PARTITIONS).distinct()
-    filled = incoming.groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias("rows"))
-    for row in months.join(filled, BRONZE_PARTITIONS, "left_anti").collect():
-        clear_partition(spark, bronze_path, BRONZE, row.asDict())
-    # At most 12 months per year of deliveries: the broadcast prunes the partitions to count.
-    stored = read_bronze(spark, bronze_path).join(
-        F.broadcast(months), BRONZE_PARTITIONS, "left_semi"
+    delivered = months.join(count_rows(incoming, "input_count"), BRONZE_PARTITIONS, "left")
+    counted = delivered.fillna(0, ["input_count"]).collect()
+    for row in counted:
+        if not row["input_count"]:
+            values = {name: row[name] for name in BRONZE_PARTITIONS}
+            clear_partition(spark, bronze_path, BRONZE, values)
+    stored = in_periods(
+        read_bronze(spark, bronze_path), [(row["_year"], row["_month"]) for row in counted]
     )
-    return reconcile(incoming, stored)
+    inputs = spark.createDataFrame(counted, delivered.schema)
+    return reconcile(inputs, count_rows(stored, "output_count"))
+
+
+def count_rows(bronze: DataFrame, name: str) -> DataFrame:
+    """Rows per month; the stored files' footers answer it."""
+    return bronze.groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias(name))
 
 
-def reconcile(incoming: DataFrame, stored: DataFrame) -> DataFrame:
+def reconcile(inputs: DataFrame, outputs: DataFrame) -> DataFrame:
     """Input and output rows of every month on either side; a difference is only reported."""
-    counts = [
-        side.groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias(name))
-        for side, name in ((incoming, "input_count"), (stored, "output_count"))
-    ]
-    both = counts[0].join(counts[1], BRONZE_PARTITIONS, "full")
+    both = inputs.join(outputs, BRONZE_PARTITIONS, "full")
     rows = {name: F.coalesce(name, F.lit(0)) for name in ("input_count", "output_count")}
     difference = rows["input_count"] - rows["output_count"]
     return both.select(

@@ -77,17 +77,25 @@ def scan_month(
 
 
 def read_landing(
-    spark: SparkSession, *paths: str, ingested_at: datetime | str | None = None
+    spark: SparkSession,
+    *paths: str,
+    dataset: str = "yellow",
+    ingested_at: datetime | str | None = None,
 ) -> DataFrame:
-    """Many raw months of one physical schema in a single scan; lineage comes from the paths."""
+    """Many raw months of one dataset and physical schema in a single scan.
+
+    Lineage comes from the paths by plain substrings, since it is computed per row; a path
+    that does not follow the naming rule fails the cast to a year.
+    """
     raw = spark.read.parquet(*paths)
-    name = F.regexp_extract("_metadata.file_path", NAME_PATTERN, 1).alias("_source_file")
-    return raw.select(*contract_columns(raw), name).select(
+    prefix = landing_name(0, 0, dataset).partition("0-")[0]
+    suffix = F.substring_index("_metadata.file_path", prefix, -1).alias("suffix")
+    return raw.select(*contract_columns(raw), suffix).select(
         *RAW.names,
         stamp(ingested_at).alias("_ingested_at"),
-        "_source_file",
-        F.regexp_extract("_source_file", NAME_PATTERN, 2).cast("int").alias("_year"),
-        F.regexp_extract("_source_file", NAME_PATTERN, 3).cast("int").alias("_month"),
+        F.expr(f"concat('{prefix}', left(suffix, {len('YYYY-MM.parquet')}))").alias("_source_file"),
+        F.expr("cast(left(suffix, 4) AS int)").alias("_year"),
+        F.expr("cast(substr(suffix, 6, 2) AS int)").alias("_month"),
     )
 
 
