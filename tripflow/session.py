@@ -41,12 +41,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
     Only a local master may fall back to a temporary folder of the machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    root = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tripflow-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tripflow-"))
+        root = context.getCheckpointDir()
     return f"{root.rstrip('/')}/tripflow/{label}-{uuid.uuid4().hex}"
 
 
