@@ -58,6 +58,8 @@ def test_two_months_then_a_corrected_one(spark, layout):
     register_tables(spark, layout)
     assert spark.table("gold.fact_trips").count() == 2500
     assert spark.table("gold.dim_datetime").count() == 96_432
+    assert spark.sql("SELECT count(*) FROM silver_trips").first()[0] == 2500
+    assert spark.table("silver_zones").count() == 6
     assert bronze_view(spark, layout.bronze, "b").filter("_month = 2").count() == 1200
 
 

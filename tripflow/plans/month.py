@@ -112,8 +112,12 @@ def built_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
 
 
 def register_tables(spark: SparkSession, layout: Layout) -> None:
-    """Puts the stored tables into the catalog, one database per layer."""
+    """Puts the stored tables into the catalog, one database per layer, and the silver layer
+    into the session as views that are computed when they are read."""
     create_table(spark, "bronze.trips", BRONZE, layout.bronze, BRONZE_PARTITIONS)
     create_table(spark, "gold.fact_trips", FACT, layout.fact, FACT_PARTITIONS)
     for name in ("seeds.zones", "gold.dim_zones", "gold.dim_datetime"):
         create_table(spark, name, spark.read.parquet(layout.path(name)).schema, layout.path(name))
+    tables = built_tables(spark, layout)
+    for name in ("silver_trips", "silver_zones"):
+        tables[name].createOrReplaceTempView(name)
