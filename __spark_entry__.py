@@ -61,6 +61,14 @@ from tripflow.sources.landing import audit_landing, read_landing
 from tripflow.sources.seeds import read_zone_seed
 from tripflow.sources.tables import bronze_view, read_bronze, read_fact
 
+try:  # absent when only the reference's own operators are wanted
+    import corpus_pipeline
+    from tripflow.llm import registry as llm
+except ModuleNotFoundError as missing:
+    if missing.name not in ("corpus_pipeline", "tripflow.llm"):
+        raise
+    llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ENTRY_DIR = "/root/testdata/sf0.001"
@@ -415,6 +423,17 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    return reference_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
+
+
+def oracle_sql() -> dict[str, str]:
+    statements = oracle.statements() | (llm.SQL if llm else {})
+    if llm and corpus_pipeline.ORACLE_SQL:
+        statements["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return statements
+
+
+def reference_queries() -> dict[str, Query]:
     return {
         "bronze_load": bronze_load,
         "bronze_write": bronze_write,
@@ -461,7 +480,3 @@ def queries() -> dict[str, Query]:
         "dq_unaccepted_values": dq_unaccepted_values,
         "dq_duplicate_keys": dq_duplicate_keys,
     }
-
-
-def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
