@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from tripflow.llm import exact_dedup
+from tripflow.llm import exact_dedup, mixing
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+    "op3_mixing": mixing.op3_mixing,
 }
 
 SQL = {
