@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from tripflow.llm import exact_dedup, mixing, sharding
+from tripflow.llm import exact_dedup, mixing, sharding, token_files
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_mixing": mixing.op3_mixing,
+    "op4_token_files": token_files.op4_token_files,
     "op8_sharding": sharding.op8_sharding,
 }
 
