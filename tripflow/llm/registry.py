@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, exact_dedup, fingerprints, mixing, sharding, token_files
+from tripflow.llm import chat, exact_dedup, fingerprints, language, mixing, sharding, token_files
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
@@ -10,6 +10,7 @@ QUERIES = {
     "op4_token_files": token_files.op4_token_files,
     "op5_fingerprints": fingerprints.op5_fingerprints,
     "op8_sharding": sharding.op8_sharding,
+    "op9_language_id": language.op9_language_id,
     "op10_chat_formatting": chat.op10_chat_formatting,
 }
 
