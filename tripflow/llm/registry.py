@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, exact_dedup, fingerprints, language, mixing, sharding, token_files
+from tripflow.llm import chat, exact_dedup, fingerprints, language, mixing, sentencepiece, sharding, token_files
 
 QUERIES = {
+    "op1_sentencepiece": sentencepiece.op1_sentencepiece,
     "op2_exact_dedup": exact_dedup.op2_exact_dedup,
     "op3_mixing": mixing.op3_mixing,
     "op4_token_files": token_files.op4_token_files,
