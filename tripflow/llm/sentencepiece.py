@@ -34,6 +34,7 @@ import public_tokenizers
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.llm.text import packed, table, whole
 from tripflow.session import stage
@@ -318,7 +319,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", chunk_chars: int = CH
     held = packed(docs)
     inside = F.col(f"row.`{text}`")
     long = F.length(whole(inside)) > chunk_chars
-    schema = held.schema.add("ids", "array<int>")
+    schema = T.StructType(held.schema.fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram(path)
@@ -341,7 +342,7 @@ def encode(docs: DataFrame, path: str, text: str = "text", chunk_chars: int = CH
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
     """Adds ``decoded``, the text of ``ids``; the space mark of the vocabulary comes back as a space."""
-    schema = rows.schema.add("decoded", "string")
+    schema = T.StructType(rows.schema.fields + [T.StructField("decoded", T.StringType())])
     place = rows.columns.index("ids")
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
