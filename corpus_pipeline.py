@@ -1,25 +1,53 @@
 """From raw documents to token ids: the stages of a training corpus, in order.
 
-Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept.
+Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and returns a
+DataFrame. All but the last return the columns of ``docs``.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tripflow.llm.exact_dedup import drop_duplicates
+from tripflow.llm import exact_dedup, language, mixing, near_duplicates, sentencepiece
 from tripflow.llm.text import table
 from tripflow.session import stage
 
 
-def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_duplicates(docs)
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents without a letter: no language can be told. The rest stays, whatever its language."""
+    found = language.identify(docs, language.fit_unheld(docs))
+    return found.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.drop_duplicates(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component stays, the one with the smallest id."""
+    return near_duplicates.drop_near_duplicates(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents repeated or left out, so that sources come near their targets."""
+    return mixing.mixed_documents(docs)
+
+
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every copy in the mix."""
+    return sentencepiece.encoded_documents(docs).select("row.doc_id", "row.source", F.size("ids").alias("n_ids"), "ids")
 
 
 STAGES = [
-    ("exact dedup", dedup_stage),
+    ("language ID", language_stage),
+    ("exact dedup", exact_stage),
+    ("n-gram Jaccard join", near_stage),
+    ("mixing to target weights", mixing_stage),
+    ("SentencePiece encoding", encoding_stage),
 ]
 
+# Language filters, multipliers and paths through a lattice are beyond SQL; tests/llm has a brute-force version.
 ORACLE_SQL = None
 
 
