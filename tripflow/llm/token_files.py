@@ -15,6 +15,7 @@ from functools import lru_cache
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,7 +27,9 @@ from tripflow.session import scratch_path, stage
 END_ID = 2
 BLOCK_IDS = 1 << 20
 CACHED_WORDS = 1_000_000
-CACHED_CHARS = 64
+SLICE_BYTES = 4 << 20
+RUN = 10_000
+CACHED_BYTES = 64 << 20
 
 BLOCKS = (
     "part int, block int, first long, keys array<long>, lengths array<long>, n_ids long, lanes int, "
@@ -34,33 +37,96 @@ BLOCKS = (
 )
 
 
+# A plain word of Latin letters, and marks that always start a piece of their own after a letter and
+# that no special token ends with.
+LETTERS = r"a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
+PLAIN = rf"^(?P<word>[{LETTERS}]+)(?P<tail>[.,;:!?*&%$#()\[\]{{}}/=+-]*)$"
+
+
+class Known:
+    """Strings with their ids; item 0 is the empty string."""
+
+    def __init__(self, width: str):
+        self.items = pa.array([""])
+        self.ids = np.zeros(0, dtype=width)
+        self.lengths = np.zeros(1, dtype=np.int64)
+
+    def full(self) -> bool:
+        return len(self.items) > CACHED_WORDS or self.items.nbytes > CACHED_BYTES
+
+    def places(self, wanted: pa.Array, encode) -> np.ndarray:
+        """Where the strings are in ``items``, which learns those it lacks."""
+        at = pc.index_in(wanted, value_set=self.items)
+        missing = at.is_null()
+        found = at.fill_null(0).to_numpy().astype(np.int64)
+        if at.null_count:
+            coded = wanted.filter(missing).dictionary_encode()
+            new = coded.dictionary
+            # In runs: the library's own result takes many times the memory of its ids.
+            learned = [encode(new.slice(k, RUN).to_pylist()) for k in range(0, len(new), RUN)]
+            found[missing.to_numpy(zero_copy_only=False)] = len(self.items) + coded.indices.to_numpy()
+            self.items = pa.concat_arrays([self.items, new])
+            self.ids = np.concatenate([self.ids, *(ids for ids, _ in learned)])
+            self.lengths = np.concatenate([self.lengths, *(lengths for _, lengths in learned)])
+        return found
+
+
 class Encoder:
-    """Ids as bytes (two or four a piece). A text is cut at spaces and line feeds, which the
-    tokenizer drops and never merges over, and the ids of short cuts are kept for the next time."""
+    """Ids of texts. A text is cut at spaces and line feeds, which the tokenizer drops and never merges
+    over. Of the different cuts of a batch, plain words are told from the marks that close them; words
+    seen before come from memory, new ones are encoded in one call, and numpy puts the texts together."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.width = "<u2" if self.tokenizer.get_vocab_size() < 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {"": b""}
-
-    def ids(self, words: list[str]) -> list[bytes]:
-        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(each.ids, dtype=self.width).tobytes() for each in found]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cuts = [text.replace("\n", " ").split(" ") for text in texts]
-        if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        new = list({word for words in cuts for word in words if word not in self.known})
-        known = dict(zip(new, self.ids(new), strict=True))
-        self.known.update(known)
-        found = [b"".join(map(self.known.__getitem__, words)) for words in cuts]
-        for word in known:
-            if len(word) > CACHED_CHARS:
-                del self.known[word]
-        return found
+        size = self.tokenizer.get_vocab_size()
+        self.width = "<u2" if size < 1 << 16 else "<u4"
+        pieces = (self.tokenizer.id_to_token(k) or "" for k in range(size))
+        self.closes = np.array([piece.endswith("</w>") for piece in pieces])
+        self.forget()
+
+    def forget(self) -> None:
+        self.words, self.rest = Known(self.width), Known(self.width)
+
+    def each(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = [one.ids for one in self.tokenizer.encode_batch_fast(items, add_special_tokens=False)]
+        ids = np.fromiter((k for one in found for k in one), dtype=self.width)
+        return ids, np.array([len(one) for one in found], dtype=np.int64)
+
+    def plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """For words of letters alone: each ends with the piece that closes it."""
+        ids = np.array(self.tokenizer.encode(" ".join(words), add_special_tokens=False).ids, dtype=self.width)
+        ends = np.flatnonzero(self.closes[ids]) + 1
+        return (ids, np.diff(ends, prepend=0)) if len(ends) == len(words) else self.each(words)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, and where each text ends."""
+        if self.words.full() or self.rest.full():
+            self.forget()
+        lists = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = lists.flatten().dictionary_encode()
+        cuts = coded.dictionary
+        parts = pc.extract_regex(cuts, PLAIN)
+        plain = parts.is_valid()
+        word, tail = (pc.struct_field(parts.filter(plain), name) for name in ("word", "tail"))
+        word = pc.if_else(pc.string_is_ascii(word), pc.ascii_lower(word), word)
+        tails = tail.dictionary_encode()
+        is_plain = plain.to_numpy(zero_copy_only=False)
+        pair = np.zeros((len(cuts), 2), dtype=np.int64)  # of a word and its tail, counting ``rest`` on
+        pair[is_plain, 0] = self.words.places(word, self.plain)
+        shared = len(self.words.items)
+        pair[is_plain, 1] = shared + self.rest.places(tails.dictionary, self.each)[tails.indices.to_numpy()]
+        pair[~is_plain, 0] = shared + self.rest.places(cuts.filter(pc.invert(plain)), self.each)
+        both = self.words, self.rest
+        own_ids, own_lengths = (np.concatenate([getattr(each, name) for each in both]) for name in ("ids", "lengths"))
+        used = pair[coded.indices.to_numpy()].ravel()
+        lengths = own_lengths[used]
+        ends = np.cumsum(lengths)
+        shift = (np.cumsum(own_lengths) - own_lengths)[used] - (ends - lengths)
+        ids = own_ids[np.repeat(shift, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        bounds = np.concatenate([[0], ends])[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+        return ids, bounds[1:]
 
 
 @lru_cache(maxsize=2)
@@ -69,6 +135,14 @@ def encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def slices(batch: pa.RecordBatch, sizes: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Parts of about SLICE_BYTES, so that a batch of long texts takes no more memory than others."""
+    number = np.cumsum(sizes) // SLICE_BYTES
+    starts = np.flatnonzero(np.diff(number, prepend=-1))
+    for start, end in zip(starts, [*starts[1:], len(sizes)], strict=True):
+        yield batch.slice(start, end - start)
+
+
 def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", end_id: int = END_ID) -> DataFrame:
     """``key`` and ``ids``, the ids of the whole text and ``end_id`` as bytes; NULL counts as empty."""
 
@@ -76,10 +150,11 @@ def encode_documents(docs: DataFrame, path: str, key: str = "doc_id", text: str
         coder = encoder(path)
         end = np.array([end_id], dtype=coder.width).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [each + end for each in coder.encode(part.column(1).to_pylist())]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(ids, pa.binary())], names=["key", "ids"])
+            for part in slices(batch, pc.binary_length(batch.column(1)).to_numpy()):
+                ids, bounds = coder.encode(part.column(1))
+                data, bounds = ids.tobytes(), (bounds * ids.itemsize).tolist()
+                texts = [data[a:b] + end for a, b in zip([0, *bounds[:-1]], bounds, strict=True)]
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(texts, pa.binary())], names=["key", "ids"])
 
     named = docs.select(F.col(key).cast("long").alias("key"), whole(F.col(text)).alias("text"))
     return named.mapInArrow(encoded, "key long, ids binary")
@@ -91,8 +166,9 @@ def frequency_table(ids: DataFrame, width: str) -> np.ndarray:
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                own = np.bincount(np.frombuffer(value.as_buffer(), dtype=width), minlength=len(counts))
+            for at in range(0, batch.num_rows, 500):
+                values = b"".join(batch.column(0).slice(at, 500).to_pylist())
+                own = np.bincount(np.frombuffer(values, dtype=width), minlength=len(counts))
                 own[: len(counts)] += counts
                 counts = own
         used = np.flatnonzero(counts)
