@@ -19,7 +19,7 @@ from tripflow.llm.text import SPACE, packed, table, whole
 K, S = 5, 2
 W = K - S + 1  # inner substrings of K words
 SKETCH = 64
-BUCKET_ROWS = 8_000
+BUCKET_ROWS = 4_000
 
 
 def word_hashes(text: Column) -> Column:
@@ -41,7 +41,8 @@ def neighbours(items: Column, by: int, combine) -> Column:
 
 
 def with_fingerprint(rows: DataFrame, text: Column, name: str, size: int = SKETCH) -> DataFrame:
-    """Adds ``name``: the ``size`` anchors of least hash as (hash, position of the first such anchor).
+    """Adds ``name``: the ``size`` anchors of least hash, ``hash`` in order beside ``position``, the
+    place of the first such anchor. The hash has 31 bits, so that both are arrays of int.
 
     Texts with no more than ``size`` different anchors are represented in full.
     """
@@ -55,20 +56,17 @@ def with_fingerprint(rows: DataFrame, text: Column, name: str, size: int = SKETC
     places = F.transform(F.col(least), lambda low, i: F.when(at_edge(low, i), i))
     rows = rows.withColumn(closed, F.filter(places, lambda i: i.isNotNull()))
     anchor = lambda i: F.xxhash64(F.get(inner, i), F.get(inner, i + S), F.get(inner, i + W - 1))
-    rows = rows.withColumn(hashes, F.transform(closed, lambda i: anchor(i).bitwiseAND(F.lit(2**32 - 1))))
+    rows = rows.withColumn(hashes, F.transform(closed, lambda i: anchor(i).bitwiseAND(F.lit(2**31 - 1)).cast("int")))
     chosen = F.slice(F.array_sort(F.array_distinct(hashes)), 1, size)
-    sketch = F.transform(
-        chosen,
-        lambda h: F.struct(
-            h.alias("hash"), F.get(closed, (F.array_position(hashes, h) - 1).cast("int")).alias("position")
-        ),
-    )
+    place = lambda h: F.get(closed, (F.array_position(hashes, h) - 1).cast("int"))
+    rows = rows.withColumn(least, chosen)
+    sketch = F.struct(F.col(least).alias("hash"), F.transform(least, place).alias("position"))
     return rows.withColumn(name, sketch).drop(words, inner, least, closed, hashes)
 
 
 def as_text(fingerprint: Column) -> Column:
     """``position:hash`` of every anchor, in order of position."""
-    placed = F.array_sort(F.transform(fingerprint, lambda a: F.struct(a["position"], a["hash"])))
+    placed = F.array_sort(F.arrays_zip(fingerprint["position"].alias("position"), fingerprint["hash"].alias("hash")))
     return F.array_join(
         F.transform(placed, lambda a: F.concat(a["position"].cast("string"), F.lit(":"), F.lower(F.hex(a["hash"])))), " "
     )
@@ -85,10 +83,12 @@ def likeness(one: Column, other: Column, size: int = SKETCH) -> Column:
 def matches(one: Column, other: Column) -> Column:
     """Shared anchors as (position in one, position in the other): what a passage's offset is read from."""
     theirs = F.map_from_arrays(other["hash"], other["position"])
-    shared = F.filter(one, lambda a: F.array_contains(other["hash"], a["hash"]))
-    return F.transform(
-        shared, lambda a: F.struct(a["position"].alias("position"), F.element_at(theirs, a["hash"]).alias("other"))
+    pairs = F.zip_with(
+        one["hash"],
+        one["position"],
+        lambda h, at: F.struct(at.alias("position"), F.try_element_at(theirs, h).alias("other")),
     )
+    return F.filter(pairs, lambda pair: pair["other"].isNotNull())
 
 
 def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
