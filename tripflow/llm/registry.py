@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, exact_dedup, fingerprints, language, mixing, near_duplicates, sentencepiece, sharding, token_files
+from tripflow.llm import chat, exact_dedup, fingerprints, language, line_dedup, mixing, near_duplicates, sentencepiece, sharding, token_files
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
@@ -10,6 +10,7 @@ QUERIES = {
     "op3_mixing": mixing.op3_mixing,
     "op4_token_files": token_files.op4_token_files,
     "op5_fingerprints": fingerprints.op5_fingerprints,
+    "op6_line_dedup": line_dedup.op6_line_dedup,
     "op7_near_duplicates": near_duplicates.op7_near_duplicates,
     "op8_sharding": sharding.op8_sharding,
     "op9_language_id": language.op9_language_id,
@@ -18,4 +19,5 @@ QUERIES = {
 
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
+    "op6_line_dedup": line_dedup.SQL,
 }
