@@ -1,0 +1,101 @@
+from __future__ import annotations
+
+import zlib
+from dataclasses import replace
+
+import numpy as np
+import public_tokenizers
+import pyarrow as pa
+import pytest
+from tokenizers import Tokenizer
+
+from tests.llm.cases import clashing, documents, frame
+from tripflow.llm import rans, token_files
+
+PATH = public_tokenizers.path("word_bpe_49k.json")
+ODD = ["H̱a İx ΣΑΣ. don't it's. 'S rock'n <|endoftext|>. a<|endoftext|> x.. y.,z   a b ½ 12ab \x1c t\tu", "ß, É! é. ﬁ ǅ., ²x a'. x', .'s", "", " ", "a" * 500]
+
+
+def expected(text):
+    return Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False).ids
+
+
+def test_encoder_gives_the_library_ids():
+    texts = [*ODD, *(text or "" for _, text, *_ in documents())]
+    ids, ends = token_files.Encoder(PATH).encode(pa.array(texts))
+    starts = [0, *ends[:-1]]
+    assert [ids[a:b].tolist() for a, b in zip(starts, ends, strict=True)] == [expected(text) for text in texts]
+
+
+def test_memory_of_words_may_be_cleared(monkeypatch):
+    monkeypatch.setattr(token_files, "CACHED_WORDS", 1)
+    coder = token_files.Encoder(PATH)
+    for text in ("one two", "two three", ""):
+        assert coder.encode(pa.array([text]))[0].tolist() == expected(text)
+
+
+@pytest.mark.parametrize("n", [1, 63, 64, 5000, 300_000])
+def test_rans_round_trip_from_every_checkpoint(n):
+    rng = np.random.default_rng(n)
+    ids = np.minimum(rng.zipf(1.3, n), 40_000).astype(np.uint32)
+    table = rans.Table.of(rans.scaled(np.bincount(ids)))
+    block = rans.encode(ids, table, lanes=64, every=100)
+    assert (rans.decode_checked(block, table) == ids).all()
+    for mark in range(len(block.steps)):
+        until = mark + 1 if mark + 1 < len(block.steps) else None
+        part = rans.decode(block, table, mark, until)
+        first = block.steps[mark] * block.lanes
+        assert (part == ids[first : first + len(part)]).all()
+
+
+def test_rans_keeps_near_the_entropy():
+    ids = np.minimum(np.random.default_rng(1).zipf(1.5, 200_000), 5000)
+    share = np.bincount(ids) / len(ids)
+    entropy = -(share[share > 0] * np.log2(share[share > 0])).sum() * len(ids) / 8
+    table = rans.Table.of(rans.scaled(np.bincount(ids)))
+    assert len(rans.encode(ids, table).payload) < 1.05 * entropy
+
+
+def test_damage_is_noticed():
+    ids = np.arange(1000) % 7
+    table = rans.Table.of(rans.scaled(np.bincount(ids)))
+    block = rans.encode(ids, table)
+    broken = replace(block, payload=b"\0" + block.payload[1:])
+    with pytest.raises(ValueError, match="damaged"):
+        rans.decode_checked(broken, table)
+    with pytest.raises(ValueError, match="does not decode"):
+        rans.decode_checked(replace(block, ids_crc=0), table)
+
+
+def test_files_give_back_all_documents_in_order(spark, tmp_path):
+    docs = clashing(frame(spark))
+    token_files.write_tokens(docs.repartition(5), str(tmp_path / "t"), PATH, block_ids=500)
+    rows = token_files.read_tokens(spark, str(tmp_path / "t")).collect()
+    want = {}
+    for doc_id, text, *_ in documents():
+        want.setdefault(doc_id, []).append(expected(text) + [2])
+    got = {}
+    for row in rows:
+        got.setdefault(row["key"], []).append(np.frombuffer(row["ids"], "<u4").tolist())
+    assert {key: sorted(ids) for key, ids in got.items()} == {key: sorted(ids) for key, ids in want.items()}
+    ordered = sorted(rows, key=lambda row: row["start"])
+    assert [row["key"] for row in ordered if row["key"] is not None] == sorted(key for key, *_ in documents() if key is not None)
+    at = 0
+    for row in ordered:
+        assert row["start"] == at
+        at += len(row["ids"]) // 4
+
+
+def test_empty_table(spark, tmp_path):
+    token_files.write_tokens(frame(spark, []), str(tmp_path / "t"), PATH)
+    assert token_files.read_tokens(spark, str(tmp_path / "t")).count() == 0
+
+
+def test_query_counts_and_checksums(spark, tmp_path):
+    frame(spark).filter("doc_id IS NOT NULL").dropDuplicates(["doc_id"]).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = {row["doc_id"]: row for row in token_files.op4_token_files(spark, str(tmp_path)).collect()}
+    for doc_id, text, *_ in documents():
+        if doc_id is not None:
+            ids = expected(text) + [2]
+            assert rows[doc_id]["n_tokens"] == len(ids)
+            assert rows[doc_id]["ids_crc32"] == zlib.crc32(np.array(ids, "<u4").tobytes())

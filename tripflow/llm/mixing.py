@@ -11,9 +11,10 @@ Newton steps find the multipliers. A step is one distributed aggregate over the
 (source, size), which stands for all documents exactly. Sums are taken in decimals, so they do not
 depend on the order of tasks and a rerun gives the same copies.
 
-Rates become whole copies per histogram cell: a cell of n documents gets floor(n * rate) copies or
-one more, going from the largest size down and carrying the rounding error, in tokens, to the next
-cell. A source with T tokens has at most sqrt(2 T) distinct sizes, which bounds that sequential pass.
+Rates become whole copies per histogram cell, going from the largest size down: a cell of n documents
+gets the whole number of copies next to n * rate and the rounding error so far, in tokens, and passes
+its own error on. Each of its documents gets its rate rounded down or up. A source with T tokens has at
+most sqrt(2 T) distinct sizes, which bounds that sequential pass.
 The documents of a cell that get the extra copy are its first ones by hash of the id; their places
 come from a range sort, never from a window over a cell, so a cell may hold any share of the rows.
 """
@@ -130,20 +131,15 @@ def solve_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> D
     return state.drop("low", "high", "gap")
 
 
-def whole_copies(cells: pd.DataFrame, cap: int = CAP) -> pd.DataFrame:
+def whole_copies(cells: pd.DataFrame) -> pd.DataFrame:
     """Copies per cell of one source, largest sizes first, the error carried on in tokens."""
     cells = cells.sort_values("size", ascending=False, kind="stable")
     error, copies = 0.0, []
     for n, size, rate in zip(cells["n"], cells["size"], cells["rate"], strict=True):
-        wanted = n * rate
-        if size:
-            wanted += error / size
-            floor = math.floor(n * rate)
-            taken = min(max(round(wanted), floor), floor + 1, n * cap)
-            error = (wanted - taken) * size
-        else:
-            taken = round(wanted)
-        copies.append(min(int(taken), int(n) * cap))
+        wanted = n * rate + (error / size if size else 0)
+        taken = min(max(round(wanted), n * math.floor(rate)), n * math.ceil(rate))
+        error = (wanted - taken) * size
+        copies.append(int(taken))
     return cells.assign(copies=copies)[["source", "size", "n", "copies"]]
 
 
@@ -179,9 +175,7 @@ def mix(docs: DataFrame, size, source: str = "source", key: str = "doc_id", cap:
         F.least(F.exp(F.round(F.col("multiplier"), 9) * tilt_of()), F.lit(float(cap)))
     )
     rated = cells.alias("c").join(solved.alias("t"), same).select("c.source", "size", "n", rate.alias("rate"))
-    counted = rated.groupBy("source").applyInPandas(
-        lambda part: whole_copies(part, cap), "source string, size long, n long, copies long"
-    )
+    counted = rated.groupBy("source").applyInPandas(whole_copies, "source string, size long, n long, copies long")
     cell = F.col("c.source").eqNullSafe(F.col("r.source")) & (F.col("c.size") == F.col("r.size"))
     plan = (
         runs.alias("r").join(counted.alias("c"), cell).select("r.*", "n", "copies").alias("c")
