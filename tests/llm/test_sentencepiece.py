@@ -7,6 +7,7 @@ import struct
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from sentencepiece import SentencePieceProcessor
 
@@ -85,6 +86,8 @@ def texts():
 def test_ids_are_those_of_the_library(model, oracle):
     for text in texts():
         assert ids_of(model.encode(text)) == oracle.encode(text)
+    ids, ends = model.encode_batch(pa.array(texts()))
+    assert [own.tolist() for own in np.split(ids, ends[:-1])] == [oracle.encode(text) for text in texts()]
 
 
 def test_decoding_gives_the_text_back(model):

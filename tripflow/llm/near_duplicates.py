@@ -8,10 +8,11 @@
 3. Rows of an n-gram are compared under filters that never reject a link: sizes within t (length), what
    is left of both sets from the shared n-gram on (positional), and a lower bound of the symmetric
    difference from parity sketches of the sets (suffix).
-4. First each class is compared with its nearest one by sketch, and links make components. Then all
-   remaining pairs are, but for those within a component, which could add nothing. Each pair is compared
-   once, on full sets. So a group of thousands of near copies costs about as many comparisons as it has
-   members and borderline pairs, and no link between components is missed.
+4. First each class is compared with its nearest one by sketch and with the one that passes with most
+   others, and links make components. Then all remaining pairs are, but for those within a component,
+   which could add nothing. Each pair is compared once, on full sets. So a group of thousands of near
+   copies costs about as many comparisons as it has members and borderline pairs, and no link between
+   components is missed.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ WORDS = 3
 PERCENT = 90
 BUCKETS = 1 << 18
 SKETCH_WORDS = 16  # of 64 bits
-HOT = 2048
+HOT = 1024
 BLOOM_BITS = 1 << 26
 SEEN = 100_000
 
@@ -188,12 +189,18 @@ def prefix_rows(named: DataFrame, counts: np.ndarray, percent: int) -> DataFrame
     return named.mapInArrow(made, "gram long, class long, n long, at long")
 
 
-def shared_rows(rows: DataFrame, sketches: DataFrame) -> DataFrame:
+def shared_rows(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     """Rows of n-grams that several classes share, with sketch and blocks to be compared."""
+    by_size = Window.partitionBy("gram").orderBy("n", "class")
+    # No class of the n-gram is near enough in size unless one of the neighbours is.
+    near = (F.lag("n").over(by_size) * 100 >= F.col("n") * percent) | (
+        F.col("n") * 100 >= F.lead("n").over(by_size) * percent
+    )
     held = F.count(F.lit(1)).over(Window.partitionBy("gram"))
     shared = (
         rows.repartition("gram").dropDuplicates(["gram", "class"])
-        .withColumn("held", held).filter("held > 1")
+        .withColumn("near", near).filter("near").drop("near")
+        .withColumn("held", held)
         .withColumn("blocks", F.ceil(F.col("held") / HOT).cast("int"))
         .withColumn("block", F.pmod(F.col("class"), F.col("blocks")).cast("int"))
     )
@@ -209,7 +216,8 @@ def shared_rows(rows: DataFrame, sketches: DataFrame) -> DataFrame:
 
 
 def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs ``a`` < ``b`` of classes that pass all filters: each class's nearest, or all across components.
+    """Pairs ``a`` < ``b`` of classes that pass all filters, across components: all of them, or for each
+    class the nearest one and the one that most others pass with, which brings large groups together.
 
     ``rows`` has a ``component``. Rows of an n-gram and a pair of blocks, at most 2 * HOT, come together.
     """
@@ -220,7 +228,7 @@ def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
         rows = len(gram)
         best = np.full(rows, np.iinfo(np.int64).max)
         partner = np.full(rows, -1)
-        left, right = [], []
+        left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
         live = np.arange(rows)
         for step in range(1, rows):
             live = live[live + step < rows]
@@ -235,29 +243,33 @@ def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
             rest = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
             ok = (100 * least >= percent * np.maximum(n[i], n[j])) & (rest >= overlap) & (own[i] != own[j])
             ok &= (low[i] == high[i]) | (block[i] != block[j])
-            if not nearest:
-                ok &= component[i] != component[j]
+            ok &= component[i] != component[j]
             i, j, limit = i[ok], j[ok], (both - 2 * overlap)[ok]
             for start in range(0, len(i), 100_000):
                 x, y = i[start : start + 100_000], j[start : start + 100_000]
                 apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
                 near = apart <= limit[start : start + 100_000]
                 x, y, apart = x[near], y[near], apart[near]
+                left.append(x)
+                right.append(y)
                 if nearest:
                     for one, two in ((x, y), (y, x)):
                         closer = apart < best[one]
                         best[one[closer]], partner[one[closer]] = apart[closer], two[closer]
-                else:
-                    left.append(own[x])
-                    right.append(own[y])
+        x, y = np.concatenate(left), np.concatenate(right)
         if nearest:
-            found = np.flatnonzero(partner >= 0)
-            left, right = [own[found]], [own[partner[found]]]
-        if not left:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-        a, b = np.concatenate(left), np.concatenate(right)
-        found = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)]), axis=1) if len(a) else np.zeros((2, 0), np.int64)
-        return found[0], found[1]
+            met = np.flatnonzero(partner >= 0)
+            degree = np.bincount(np.concatenate([x, y]), minlength=rows)
+            one, two = np.concatenate([x, y]), np.concatenate([y, x])
+            order = np.lexsort((own[two], -degree[two], one))  # the best connected partner first
+            hubs = order[np.unique(one[order], return_index=True)[1]]
+            x, y = np.concatenate([met, one[hubs]]), np.concatenate([partner[met], two[hubs]])
+        a, b = np.minimum(own[x], own[y]), np.maximum(own[x], own[y])
+        order = np.lexsort((b, a))
+        a, b = a[order], b[order]
+        fresh = np.ones(len(a), dtype=bool)
+        fresh[1:] = (a[1:] != a[:-1]) | (b[1:] != b[:-1])
+        return a[fresh], b[fresh]
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         carry: pa.Table | None = None
@@ -349,6 +361,29 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.mapInArrow(checked, "a long, b long")
 
 
+def with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
+    """Adds the ``component`` of ``class``: its own name where it has no link."""
+    found = rows.join(components.withColumnRenamed("node", "class"), "class", "left")
+    return found.withColumn("component", F.coalesce("component", "class"))
+
+
+def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after further links, each of which counts once for the two components it joins."""
+    between = links
+    for end in ("a", "b"):
+        named = components.select(F.col("node").alias(end), F.col("component").alias(f"{end}_in"))
+        between = between.join(named, end, "left")
+    between = between.select(
+        F.coalesce("a_in", "a").alias("a"), F.coalesce("b_in", "b").alias("b")
+    ).distinct()
+    between = stage(between, "near-between")
+    joined = connected_components(between).toDF("component", "over")
+    known = components.union(
+        between.select("a", "a").union(between.select("b", "b")).distinct()
+    ).distinct()
+    return known.join(joined, "component", "left").select("node", F.coalesce("over", "component").alias("component")).distinct()
+
+
 def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
     """``id``, ``n`` (size of the n-gram set) and ``component``, the smallest id linked to it, per row.
 
@@ -363,23 +398,18 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
         counts[row["bucket"]] = row["n"]  # BUCKETS rows at most
     members = rows.filter("bucket IS NULL")
     sketches = members.filter("class IS NOT NULL").groupBy("class").agg(F.first("sketch").alias("sketch"))
-    shared = stage(shared_rows(prefix_rows(named, counts, percent), sketches), "near-shared")
+    shared = stage(shared_rows(prefix_rows(named, counts, percent), sketches, percent), "near-shared")
     first = stage(compared(shared.withColumn("component", F.col("class")), percent, nearest=True), "near-first")
     classes = stage(first.select(F.col("a").alias("class")).union(first.select("b")).distinct(), "near-classes")
     sets = needed_sets(named, classes)
     links = stage(verified(first, sets, percent), "near-links")
     components = connected_components(links)
-    labelled = shared.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
+    # A class without any pair so far has none.
+    labelled = with_component(shared.join(classes, "class", "left_semi"), components)
     others = stage(compared(labelled, percent, nearest=False), "near-others")
-    more = stage(verified(others.join(first, ["a", "b"], "left_anti"), sets, percent), "near-more")
-    if not more.isEmpty():
-        components = connected_components(links.union(more))
-    member = members.select("id", "n", "class")
-    labelled = member.join(components.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "component", F.coalesce("component", "class")
-    )
+    more = verified(others.join(first, ["a", "b"], "left_anti"), sets, percent)
+    components = stage(joined_components(components, more), "near-components")
+    labelled = with_component(members.select("id", "n", "class"), components)
     smallest = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("smallest"))
     return labelled.join(smallest, "component", "left").select(
         "id", "n", F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("smallest")).alias("component")
