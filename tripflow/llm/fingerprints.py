@@ -92,8 +92,8 @@ def matches(one: Column, other: Column) -> Column:
 
 
 def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows as struct ``row`` with ``text``, ``fingerprint``, and ``next``: text and fingerprint of
-    the document that follows in descending order of key.
+    """Rows as struct ``row`` with ``text``, ``fingerprint``, and ``next``, ``next_fingerprint`` of the
+    document that follows in descending order of key.
 
     NULL keys come last, equal keys go by a hash of the text, the last row is followed by the first.
     Rows are dealt to buckets of about ``bucket_rows`` neighbouring keys, bounded by quantiles (a number
@@ -112,16 +112,29 @@ def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_RO
     heads = docs.groupBy(bucket.alias("bucket")).agg(F.max(rank).alias("head")).collect()
     order = sorted((row["bucket"], row["head"]) for row in heads)
     before = {head: order[k - 1][0] for k, (_, head) in enumerate(order)}
-    held = with_fingerprint(packed(docs, rank=rank, text=whole(F.col(text)), bucket=bucket), F.col("text"), "fingerprint")
+    held = packed(docs, rank=rank, bucket=bucket)
+    inside = F.col(f"row.`{text}`")
+    held = with_fingerprint(held.withColumn("tie", F.xxhash64(whole(inside))), inside, "fingerprint")
     if before:
         lookup = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
         copies = F.array_compact(F.array(F.col("bucket"), F.try_element_at(lookup, F.col("rank"))))
     else:
         copies = F.array("bucket")
-    spread = held.select("row", "rank", "text", "fingerprint", F.posexplode(copies).alias("copy", "bucket"))
-    follows = Window.partitionBy("bucket").orderBy("copy", F.desc("rank"), F.xxhash64("text"))
-    follower = F.lead(F.struct("text", "fingerprint")).over(follows)
-    return spread.withColumn("next", follower).filter("copy = 0").select("row", "text", "fingerprint", "next")
+    spread = held.select("row", "rank", "tie", "fingerprint", F.posexplode(copies).alias("copy", "bucket"))
+    follows = Window.partitionBy("bucket").orderBy("copy", F.desc("rank"), "tie")
+    # Whole columns lead, so that no second copy of a text goes through the exchange.
+    followed = spread.select(
+        "*",
+        F.lead("row").over(follows).alias("follower"),
+        F.lead("fingerprint").over(follows).alias("next_fingerprint"),
+    )
+    return followed.filter("copy = 0").select(
+        "row",
+        whole(inside).alias("text"),
+        "fingerprint",
+        whole(F.col(f"follower.`{text}`")).alias("next"),
+        "next_fingerprint",
+    )
 
 
 def bucket_of(rank: Column, bounds: list[int]) -> Column:
@@ -159,10 +172,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     rows = with_next(docs, key, text).withColumn("n_chars", F.length("text").cast("long"))
     replaced = F.floor(F.col("n_chars") / 3).cast("int")
     kept = F.col("n_chars").cast("int") - replaced
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), kept), F.substring(F.col("next.text"), F.lit(1), replaced))
+    edited = F.concat(F.substring(F.col("text"), F.lit(1), kept), F.substring(F.col("next"), F.lit(1), replaced))
     rows = with_fingerprint(rows.withColumn("edited", edited), F.col("edited"), "edited_fingerprint")
     return rows.select(
-        "row", "n_chars", "edited", "fingerprint", "edited_fingerprint", F.col("next.fingerprint").alias("next_fingerprint")
+        "row", "n_chars", "edited", "fingerprint", "edited_fingerprint", "next_fingerprint"
     )
 
 
