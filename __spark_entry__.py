@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import sys
+import uuid
 from collections.abc import Callable
+from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
@@ -15,6 +17,7 @@ import oracle
 from tripflow import fixtures
 from tripflow.contracts import (
     AUDIT,
+    BRONZE,
     BRONZE_PARTITIONS,
     FACT_PARTITIONS,
     PAYMENT_TYPES,
@@ -33,10 +36,10 @@ from tripflow.operators.fact import fact_trips, later_than
 from tripflow.operators.lookup import with_calendar, with_zones
 from tripflow.operators.merge import delete_insert
 from tripflow.operators.quality import (
-    check_accepted_values,
-    check_relationships,
-    check_unique,
+    QualityError,
     duplicate_keys,
+    failing_values,
+    orphan_values,
     run_model_tests,
     run_rules,
     summarize,
@@ -46,9 +49,10 @@ from tripflow.operators.sample import sample_rows
 from tripflow.operators.silver import keep_latest, rename_trips, silver_trips, valid_trips
 from tripflow.periods import target_periods
 from tripflow.plans import marts, suites
+from tripflow.plans.month import Layout, run_month
 from tripflow.plans.star import FACT_VALUES, fact_from_bronze
-from tripflow.session import scratch_path
-from tripflow.sinks.bronze import load_landing
+from tripflow.session import scratch_path, stage
+from tripflow.sinks.bronze import load_landing, load_month
 from tripflow.sinks.fact import (
     append_new_trips,
     rebuild_months,
@@ -56,8 +60,8 @@ from tripflow.sinks.fact import (
     upsert_fact,
     write_fact,
 )
-from tripflow.sinks.tables import overwrite_table
-from tripflow.sources.landing import audit_landing, read_landing
+from tripflow.sinks.tables import create_table, overwrite_table
+from tripflow.sources.landing import audit_landing, bronze_manifest, landing_path, read_landing
 from tripflow.sources.seeds import read_zone_seed
 from tripflow.sources.tables import bronze_view, read_bronze, read_fact
 
@@ -88,11 +92,6 @@ def bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fixtures.bronze_trips(spark, sf_dir)
 
 
-def scanned_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same rows for queries that only aggregate them."""
-    return fixtures.bronze_trips(spark, sf_dir, spread=False)
-
-
 def zones(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dim_zones(stg_zones(fixtures.zone_seed(spark, sf_dir))).drop(AUDIT)
 
@@ -102,9 +101,13 @@ def fact(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The calendar of the days that occur in the trips."""
-    trips = fixtures.bronze_trips(spark, sf_dir, (1,), spread=False)
-    return dim_datetime(date_spine(day_bounds(trips, "tpep_pickup_datetime"))).drop(AUDIT)
+    """The calendar of the days that occur in the valid trips."""
+    return dim_datetime(hours_of_trips(spark, sf_dir)).drop(AUDIT)
+
+
+def hours_of_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trips = valid_trips(rename_trips(fixtures.bronze_trips(spark, sf_dir, (1,))))
+    return date_spine(day_bounds(trips, "pickup_datetime"))
 
 
 def landing(spark: SparkSession, sf_dir: str) -> str:
@@ -200,7 +203,7 @@ def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("yellow_tripdata_"), ordered, F.lit(".parquet")).alias("_source_file")
     )
     audit = audit_landing(
-        spark, files, loaded=read_bronze(spark, path), expected=expected, min_bytes=1_000
+        spark, files, loaded=bronze_manifest(read_bronze(spark, path)), expected=expected, min_bytes=1_000
     )
     return audit.drop("bytes")
 
@@ -304,9 +307,7 @@ def fact_ratios(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def spine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    trips = fixtures.bronze_trips(spark, sf_dir, (1,), spread=False)
-    hours = date_spine(day_bounds(trips, "tpep_pickup_datetime"))
-    return hours.withColumn("date_day", F.col("date_day").cast("string"))
+    return hours_of_trips(spark, sf_dir).withColumn("date_day", F.col("date_day").cast("string"))
 
 
 def calendar_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,16 +372,16 @@ def trips_by_daypart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dq_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_rules(scanned_bronze(spark, sf_dir), suites.bronze_columns())
+    return run_rules(bronze(spark, sf_dir), suites.bronze_columns())
 
 
 def dq_bronze_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return run_rules(scanned_bronze(spark, sf_dir), suites.bronze_values())
+    return run_rules(bronze(spark, sf_dir), suites.bronze_values())
 
 
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict a gate acts on, over the whole bronze suite."""
-    return summarize(run_rules(scanned_bronze(spark, sf_dir), suites.bronze_suite()))
+    return summarize(run_rules(bronze(spark, sf_dir), suites.bronze_suite()))
 
 
 def built_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> DataFrame:
@@ -422,6 +423,108 @@ def dq_duplicate_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return duplicate_keys(surrogate_keys(spark, sf_dir), "trip_id")
 
 
+def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing values of the range and set rules with their share, and orphan zones."""
+    trips = bronze(spark, sf_dir)
+    failing = failing_values(trips, suites.bronze_values())
+    orphans = orphan_values(
+        fact(spark, sf_dir, "pickup_location_id", "dropoff_location_id"),
+        ["pickup_location_id", "dropoff_location_id"],
+        zones(spark, sf_dir),
+        "zone_id",
+    )
+    return failing.withColumn("share", F.round("share", 9)).unionByName(
+        orphans.select(
+            F.lit("relationships").alias("check"),
+            "column",
+            F.col("value").cast("double").alias("value"),
+            "rows",
+            F.lit(None).cast("double").alias("share"),
+        )
+    )
+
+
+def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The row-count rule with an upper bound that the table keeps, and one that it breaks."""
+    rules = [suites.row_count(1000, 10**12), suites.row_count(1000, 1001)]
+    return run_rules(bronze(spark, sf_dir), rules)
+
+
+# Months of the run
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> Layout:
+    """All trips, shaped to pass the checks, as three monthly deliveries; the second has wrong fares."""
+    root = scratch_path(spark, "lake")
+    trips = fixtures.clean_raw_trips(spark, sf_dir)
+    for month, condition in fixtures.DELIVERY_MONTHS.items():
+        write_delivery(trips.filter(condition), f"{root}/raw", month, fare=900.0 if month == 2 else None)
+    csv = f"{root}/zones"
+    fixtures.zone_seed(spark, sf_dir).coalesce(1).write.option("header", "true").csv(csv)
+    return Layout(root=f"{root}/tables", landing=f"{root}/raw", zone_csv=csv)
+
+
+def write_delivery(trips: DataFrame, landing_root: str, month: int, fare: float | None = None) -> None:
+    if fare is not None:
+        trips = trips.withColumn("fare_amount", F.lit(fare))
+    trips.write.mode("overwrite").parquet(landing_path(landing_root, 2024, month))
+
+
+def month_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good, a bad and a good month, then the bad one corrected: what the fact holds after each phase."""
+    layout = deliveries(spark, sf_dir)
+    for month in (1, 2, 3):
+        try:
+            run_month(spark, layout, 2024, month, mode="rebuild", ingested_at=FIRST_LOAD)
+        except QualityError:
+            if month != 2:
+                raise
+    first = stage(fact_summary(spark, layout, "without"), "month-run")
+    trips = fixtures.clean_raw_trips(spark, sf_dir).filter(fixtures.DELIVERY_MONTHS[2])
+    write_delivery(trips, layout.landing, 2)
+    run_month(spark, layout, 2024, 2, mode="rebuild", ingested_at=SECOND_LOAD)
+    return first.union(fact_summary(spark, layout, "with"))
+
+
+def fact_summary(spark: SparkSession, layout: Layout, phase: str) -> DataFrame:
+    return (
+        read_fact(spark, layout.fact)
+        .groupBy(F.lit(phase).alias("phase"), "_source_file", "pickup_month")
+        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("fare_amount"), 2).alias("fares"))
+    )
+
+
+def bronze_load_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics of loading three deliveries one by one, and the last of them again."""
+    layout = deliveries(spark, sf_dir)
+    loads = [load_month(spark, layout.landing, layout.bronze, 2024, month) for month in (1, 2, 3, 3)]
+    frames = [load.to_frame(spark).drop("duration_seconds") for load in loads]
+    return reduce(DataFrame.union, frames).withColumn(
+        "stored", F.lit(read_bronze(spark, layout.bronze).count())
+    )
+
+
+def catalog_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the catalog's bronze table by month, over files loaded beforehand."""
+    path, name = loaded_bronze(spark, sf_dir), f"bronze_{uuid.uuid4().hex[:8]}.trips"
+    create_table(spark, name, BRONZE, path, BRONZE_PARTITIONS)
+    return spark.table(name).groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias("trips"))
+
+
+def bronze_load_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A backfill of deliveries whose column types differ from file to file."""
+    root = scratch_path(spark, "drift")
+    trips = fixtures.clean_raw_trips(spark, sf_dir)
+    for month, condition in fixtures.DELIVERY_MONTHS.items():
+        part = trips.filter(condition)
+        if month == 2:
+            part = part.withColumn("passenger_count", F.col("passenger_count").cast("double"))
+            part = part.withColumn("VendorID", F.col("VendorID").cast("long"))
+        write_delivery(part, root, month)
+    load_landing(spark, f"{root}/bronze", f"{root}/yellow", ingested_at=FIRST_LOAD)
+    return read_bronze(spark, f"{root}/bronze")
+
+
 def queries() -> dict[str, Query]:
     return reference_queries() | (llm.QUERIES | {"pipeline": corpus_pipeline.run} if llm else {})
 
@@ -479,4 +582,10 @@ def reference_queries() -> dict[str, Query]:
         "dq_relationships": model_checks("relationships"),
         "dq_unaccepted_values": dq_unaccepted_values,
         "dq_duplicate_keys": dq_duplicate_keys,
+        "dq_failures": dq_failures,
+        "dq_row_count": dq_row_count,
+        "month_run": month_run,
+        "bronze_load_month": bronze_load_month,
+        "bronze_load_drift": bronze_load_drift,
+        "catalog_tables": catalog_tables,
     }

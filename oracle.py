@@ -6,28 +6,59 @@ table contracts, not derived from the Spark code.
 
 from __future__ import annotations
 
-from tripflow.contracts import (
-    AUDIT,
-    BOROUGH_GROUPS,
-    BRONZE,
-    CLEAN_NAMES,
-    DAYPARTS,
-    FACT,
-    PAYMENT_TYPES,
-    SILVER,
-    TIE_BREAK,
-    TRIP_KEY,
-)
-from tripflow.plans.suites import (
-    ACCEPTED,
-    BRONZE_MIN_ROWS,
-    BRONZE_MOSTLY,
-    BRONZE_RANGES,
-    BRONZE_REQUIRED,
-    NOT_NULL,
-    UNIQUE,
-    ZONE_REFERENCES,
-)
+# Fixed values, written out here so that a wrong one on the other side shows.
+AUDIT = "_updated_at"
+BRONZE = """VendorID tpep_pickup_datetime tpep_dropoff_datetime passenger_count trip_distance RatecodeID
+    store_and_fwd_flag PULocationID DOLocationID payment_type fare_amount extra mta_tax tip_amount tolls_amount
+    improvement_surcharge total_amount congestion_surcharge Airport_fee
+    _ingested_at _source_file _year _month""".split()
+SILVER = """trip_id vendor_id pickup_zone_id dropoff_zone_id pickup_datetime dropoff_datetime passenger_count
+    trip_distance rate_code_id store_and_fwd_flag payment_type fare_amount extra mta_tax tip_amount tolls_amount
+    improvement_surcharge congestion_surcharge airport_fee total_amount
+    _ingested_at _source_file _year _month""".split()
+FACT = """trip_id vendor_id pickup_location_id dropoff_location_id pickup_datetime dropoff_datetime pickup_month
+    pickup_date pickup_hour pickup_day_of_week passenger_count trip_distance trip_duration_minutes rate_code_id
+    store_and_fwd_flag payment_type fare_amount extra mta_tax tip_amount tolls_amount improvement_surcharge
+    congestion_surcharge airport_fee total_amount fare_per_mile tip_percentage
+    _ingested_at _source_file _updated_at""".split()
+CLEAN_NAMES = {
+    "VendorID": "vendor_id",
+    "PULocationID": "pickup_zone_id",
+    "DOLocationID": "dropoff_zone_id",
+    "tpep_pickup_datetime": "pickup_datetime",
+    "tpep_dropoff_datetime": "dropoff_datetime",
+    "RatecodeID": "rate_code_id",
+    "Airport_fee": "airport_fee",
+}
+TRIP_KEY = ["vendor_id", "pickup_datetime", "dropoff_datetime", "pickup_zone_id"]
+TIE_BREAK = """dropoff_zone_id trip_distance fare_amount tip_amount total_amount payment_type passenger_count
+    rate_code_id store_and_fwd_flag extra mta_tax tolls_amount improvement_surcharge congestion_surcharge
+    airport_fee _source_file _year _month""".split()
+PAYMENT_TYPES = [0, 1, 2, 3, 4, 5, 6]
+BOROUGH_GROUPS = {
+    "Manhattan": "Manhattan",
+    "Brooklyn": "Brooklyn",
+    "Queens": "Queens",
+    "Bronx": "Bronx",
+    "Staten Island": "Staten Island",
+    "EWR": "Airport",
+}
+DAYPARTS = [("Morning", 6, 11), ("Afternoon", 12, 16), ("Evening", 17, 20)]
+BRONZE_REQUIRED = """tpep_pickup_datetime tpep_dropoff_datetime trip_distance fare_amount total_amount
+    PULocationID DOLocationID""".split()
+BRONZE_RANGES = {"fare_amount": (-500, 500), "trip_distance": (0, 100), "total_amount": (-1000, 1000)}
+BRONZE_MOSTLY = 0.99
+BRONZE_MIN_ROWS = 1000
+NOT_NULL = {
+    "silver_trips": ["trip_id", "pickup_zone_id", "dropoff_zone_id", "pickup_datetime", "total_amount"],
+    "silver_zones": ["zone_id", "borough", "zone_name"],
+    "fact_trips": ["trip_id", "pickup_location_id", "dropoff_location_id", "pickup_datetime", "total_amount"],
+    "dim_zones": ["zone_id", "borough", "zone_name"],
+    "dim_datetime": ["datetime_hour"],
+}
+UNIQUE = {"silver_zones": "zone_id", "dim_zones": "zone_id", "dim_datetime": "datetime_hour"}
+ACCEPTED = {"silver_trips": "payment_type", "fact_trips": "payment_type"}
+ZONE_REFERENCES = ["pickup_location_id", "dropoff_location_id"]
 
 
 def commas(items) -> str:
@@ -70,7 +101,7 @@ BATCH_2 = delivery(2, "1.0E0", "2026-01-02", "l_orderkey % 10 = 0")
 def clean(source: str) -> str:
     types = {"passenger_count": "int", "RatecodeID": "int", "payment_type": "int"}
     columns = []
-    for raw in BRONZE.names:
+    for raw in BRONZE:
         value = f'cast("{raw}" AS {types[raw]})' if raw in types else f'"{raw}"'
         columns.append(f"{value} AS {CLEAN_NAMES.get(raw, raw)}")
     return f"SELECT {commas(columns)} FROM {source}"
@@ -89,7 +120,7 @@ TRIP_ID = "md5({})".format(
 
 
 def silver_of(source: str) -> str:
-    columns = [f"{TRIP_ID} AS trip_id", *SILVER.names[1:]]
+    columns = [f"{TRIP_ID} AS trip_id", *SILVER[1:]]
     return f"SELECT {commas(columns)} FROM (SELECT * FROM ({clean(source)}) WHERE {VALID} QUALIFY {NEWEST})"
 
 
@@ -105,7 +136,7 @@ def fact_of(source: str) -> str:
         "fare_per_mile": "CASE WHEN trip_distance > 0 THEN fare_amount / trip_distance ELSE 0.0E0 END",
         "tip_percentage": "CASE WHEN total_amount > 0 THEN tip_amount / total_amount ELSE 0.0E0 END",
     }
-    columns = [f"{made.get(name, name)} AS {name}" for name in FACT.names if name != AUDIT]
+    columns = [f"{made.get(name, name)} AS {name}" for name in FACT if name != AUDIT]
     return f"SELECT {commas(columns)} FROM {source}"
 
 
@@ -125,10 +156,12 @@ DIM_ZONES = f"""SELECT *, CASE borough {GROUPS} ELSE 'Unknown' END AS borough_gr
     coalesce(contains(zone_name, 'Airport') OR borough = 'EWR', false) AS is_airport
     FROM stg_zones"""
 
-SPINE = """SELECT date_day + to_hours(hour_of_day) AS datetime_hour, cast(date_day AS date) AS date_day,
+VALID_1 = f"(SELECT * FROM ({clean('batch_1')}) WHERE {VALID})"
+
+SPINE = f"""SELECT date_day + to_hours(hour_of_day) AS datetime_hour, cast(date_day AS date) AS date_day,
       cast(hour_of_day AS int) AS hour_of_day
-    FROM (SELECT unnest(generate_series(min(tpep_pickup_datetime)::date::timestamp,
-        max(tpep_pickup_datetime)::date::timestamp, INTERVAL 1 DAY)) AS date_day FROM batch_1),
+    FROM (SELECT unnest(generate_series(min(pickup_datetime)::date::timestamp,
+        max(pickup_datetime)::date::timestamp, INTERVAL 1 DAY)) AS date_day FROM {VALID_1}),
       range(24) AS hours(hour_of_day)"""
 
 BANDS = " ".join(f"WHEN hour_of_day BETWEEN {a} AND {b} THEN '{name}'" for name, a, b in DAYPARTS)
@@ -203,7 +236,7 @@ def bronze_values() -> str:
 
 
 def bronze_columns() -> str:
-    wanted = commas(f"'{name}'" for name in BRONZE.names)
+    wanted = commas(f"'{name}'" for name in BRONZE)
     described = "(SELECT column_name FROM (DESCRIBE SELECT * FROM bronze))"
     return f"""SELECT 'column_exists' AS "check", wanted AS "column", cast(1 AS bigint) AS evaluated,
       cast(CASE WHEN wanted IN {described} THEN 0 ELSE 1 END AS bigint) AS failed,
@@ -320,6 +353,48 @@ GRID = commas(f"count(*) FILTER (pickup_hour = {h}) AS hour_{h:02d}" for h in ra
 CALENDAR_TEXT = "SELECT * REPLACE (cast(date_day AS varchar) AS date_day) FROM {}"
 
 
+# The trips as three deliveries that pass the checks, once corrected.
+PERIOD = """CASE WHEN tpep_pickup_datetime < TIMESTAMP '1994-07-01' THEN 1
+    WHEN tpep_pickup_datetime < TIMESTAMP '1996-07-01' THEN 2 ELSE 3 END"""
+DELIVERED = f"""SELECT * REPLACE (cast(2024 AS int) AS _year, cast({PERIOD} AS int) AS _month,
+      'yellow_tripdata_2024-0' || {PERIOD} || '.parquet' AS _source_file)
+    FROM ({BATCH_1.replace('l_quantity * 11.0E0 - 20.0E0 AS trip_distance', 'l_quantity * 1.0E0 AS trip_distance')
+      .replace('l_suppkey % 27 AS int) AS "PULocationID"', 'l_suppkey % 25 AS int) AS "PULocationID"')
+      .replace('l_partkey % 27 AS int)', 'l_partkey % 25 AS int)')
+      .replace('l_partkey % 8 AS payment_type', 'l_partkey % 7 AS payment_type')
+      .replace('l_extendedprice / 100.0E0 AS fare_amount', 'l_extendedprice / 1000.0E0 AS fare_amount')
+      .replace('l_extendedprice / 100.0E0 * (1.0E0 + l_discount) + l_tax * 10.0E0 + 1.5E0 + 0.0E0 AS total_amount',
+               'l_extendedprice / 1000.0E0 + 4.0E0 AS total_amount')})"""
+
+
+def fact_after(phase: str, condition: str) -> str:
+    silver = silver_of(f"(SELECT * FROM ({DELIVERED}) WHERE {condition})")
+    return f"""SELECT '{phase}' AS phase, _source_file, pickup_month, count(*) AS trips,
+      round(sum(fare_amount), 2) AS fares FROM ({fact_of(f'({silver})')}) GROUP BY ALL"""
+
+
+def failing(check: str, column: str, bad: str) -> str:
+    return f"""SELECT '{check}' AS "check", '{column}' AS "column", cast({column} AS double) AS value,
+      count(*) AS rows, round(count(*) / (SELECT count({column}) FROM bronze), 9) AS share
+    FROM bronze WHERE {bad} GROUP BY {column}"""
+
+
+def failures() -> str:
+    parts = [failing("between", c, f"NOT {c} BETWEEN {a} AND {b}") for c, (a, b) in BRONZE_RANGES.items()]
+    parts.append(failing("in_set", "payment_type", f"payment_type NOT IN ({commas(PAYMENT_TYPES)})"))
+    for column in ZONE_REFERENCES:
+        parts.append(f"""SELECT 'relationships', '{column}', cast({column} AS double), count(*), NULL
+          FROM fact WHERE {column} NOT IN (SELECT zone_id FROM zones) GROUP BY {column}""")
+    return "\nUNION ALL ".join(parts)
+
+
+LOADED = f"""SELECT cast(2024 AS int) AS year, cast(month AS int) AS month,
+      (SELECT count(*) FROM ({DELIVERED}) WHERE _month = month) AS input_count,
+      (SELECT count(*) FROM ({DELIVERED}) WHERE _month = month) AS output_count,
+      (SELECT count(*) FROM lineitem) AS stored
+    FROM (SELECT unnest([1, 2, 3, 3]) AS month)"""
+
+
 def statements() -> dict[str, str]:
     bodies = {
         "bronze_load": f"SELECT * FROM {STORED}",
@@ -356,7 +431,7 @@ def statements() -> dict[str, str]:
         "monthly_revenue": """SELECT pickup_month, round(sum(total_amount), 2) AS revenue FROM fact
             GROUP BY pickup_month ORDER BY pickup_month""",
         "trips_by_zone": ZONE_COUNTS,
-        "top_pickup_zones": f"""SELECT * FROM ({ZONE_COUNTS}) WHERE zone_name IS NOT NULL
+        "top_pickup_zones": f"""SELECT * FROM ({ZONE_COUNTS})
             ORDER BY trips DESC, pickup_location_id LIMIT 10""",
         "trips_between_boroughs": f"""SELECT pickup_borough_group, dropoff_borough_group,
             count(*) AS trips FROM ({WITH_ZONES}) GROUP BY ALL""",
@@ -380,6 +455,15 @@ def statements() -> dict[str, str]:
         "dq_relationships": model_relationships(),
         "dq_unaccepted_values": f"""SELECT payment_type AS value, count(*) AS rows FROM fact
             WHERE payment_type NOT IN ({commas(PAYMENT_TYPES)}) GROUP BY 1""",
+        "dq_failures": failures(),
+        "dq_row_count": "\nUNION ALL ".join(
+            outcome("row_count", "*", "count(*)", f"CASE WHEN {inside} THEN 0 ELSE 1 END", inside, "bronze")
+            for inside in (f"count(*) BETWEEN {BRONZE_MIN_ROWS} AND {10**12}", f"count(*) BETWEEN {BRONZE_MIN_ROWS} AND 1001")
+        ),
+        "month_run": f"{fact_after('without', '_month <> 2')}\nUNION ALL {fact_after('with', 'true')}",
+        "bronze_load_month": LOADED,
+        "bronze_load_drift": DELIVERED,
+        "catalog_tables": "SELECT _year, _month, count(*) AS trips FROM batch_1 GROUP BY ALL",
         "dq_duplicate_keys": f"""SELECT {TRIP_ID} AS value, count(*) AS rows
             FROM ({clean('bronze')}) GROUP BY 1 HAVING count(*) > 1""",
     }

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tests.trips import at, bronze
 from tripflow.operators.dimensions import calendar, date_spine, day_bounds, dim_zones, stg_zones
 from tripflow.operators.fact import fact_trips
-from tripflow.operators.lookup import broadcast_if_small, with_calendar, with_zones
+from tripflow.operators.lookup import with_calendar, with_zones
 from tripflow.operators.sample import sample_rows
 from tripflow.operators.silver import silver_trips
 from tripflow.plans import marts
@@ -68,7 +68,7 @@ def test_marts(spark, zones):
     counts = {r["pickup_location_id"]: (r["zone_name"], r["trips"]) for r in marts.trips_by_zone(facts, zones).collect()}
     assert counts == {4: ("Alphabet City", 3), 132: ("JFK Airport", 3), 1: ("Newark Airport", 1), 99: (None, 5)}
     top = marts.top_pickup_zones(facts, zones, 2).collect()
-    assert [r["pickup_location_id"] for r in top] == [4, 132]
+    assert [r["pickup_location_id"] for r in top] == [99, 4]
     kpis = marts.kpi_summary(facts).first()
     assert tuple(kpis) == (120.0, 12, 120.0 / 48.0)
     assert marts.kpi_summary(facts.limit(0)).first()["revenue_per_mile"] is None
@@ -91,12 +91,28 @@ def test_row_level_joins_keep_every_trip(spark, zones):
     assert {r["time_of_day"] for r in hours.collect()} == {"Morning"} and hours.count() == 2
 
 
-def test_broadcast_only_below_the_bound(spark):
-    def hinted(frame):
-        return "ResolvedHint" in frame._jdf.queryExecution().analyzed().toString()
+def test_lookups_run_no_job_while_they_are_built(spark, zones):
+    spark.sparkContext.setJobGroup("building", "lookups")
+    facts = fact_trips(silver_trips(bronze(spark, {})))
+    with_calendar(with_zones(facts, zones), calendar(spark, "2024-01-15", "2024-01-15"))
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("building")
+    spark.sparkContext.setJobGroup("tests", "")
 
-    assert hinted(broadcast_if_small(spark.range(10), 10))
-    assert not hinted(broadcast_if_small(spark.range(11), 10))
+
+def test_a_stray_date_spreads_over_tasks(spark):
+    bounds = spark.createDataFrame([("2024-01-01", "2400-01-01")], "a string, b string").selectExpr(
+        "cast(a AS date) AS first_day", "cast(b AS date) AS last_day"
+    )
+    hours = date_spine(bounds)
+    assert hours.count() == 24 * 137_332 // 1
+    assert "Exchange" in hours._jdf.queryExecution().executedPlan().toString()
+
+
+def test_all_zones_are_ranked(spark, zones):
+    trips = [{"PULocationID": place, "VendorID": v} for place, n in ((99, 3), (1, 2), (None, 1)) for v in range(n)]
+    top = marts.top_pickup_zones(fact_trips(silver_trips(bronze(spark, *trips))), zones).collect()
+    assert [(row["pickup_location_id"], row["trips"]) for row in top] == [(99, 3), (1, 2), (None, 1)]
+    assert top[0]["zone_name"] is None
 
 
 def test_sample_is_exact_and_whole_below_the_cap(spark):

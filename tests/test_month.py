@@ -77,11 +77,40 @@ def test_orphan_zone_fails_the_model_tests(spark, layout):
         run_month(spark, layout, 2024, 1)
 
 
-def test_sampled_check_counts_the_sample(spark, layout):
+@pytest.mark.parametrize("scope", ["month", "table"])
+@pytest.mark.parametrize("mode", ["append", "rebuild"])
+def test_gold_takes_only_months_that_passed(spark, layout, mode, scope):
+    write_month(layout.landing, 2024, 1, month_of("2024-01-05"))
+    write_month(layout.landing, 2024, 2, month_of("2024-02-05", fare_amount=900.0))
+    write_month(layout.landing, 2024, 3, month_of("2024-03-05"))
+    run = lambda month, mode: run_month(spark, layout, 2024, month, mode=mode, scope=scope)
+    run(1, mode)
+    with pytest.raises(QualityError, match="fare_amount"):
+        run(2, mode)
+    run(3, mode)
+    months = lambda: [row[0].month for row in read_fact(spark, layout.fact).select("pickup_month").distinct().sort("pickup_month").collect()]
+    assert months() == [1, 3]
+    write_month(layout.landing, 2024, 2, month_of("2024-02-05"))
+    run(2, "rebuild")
+    assert months() == [1, 2, 3]
+    assert facts(read_fact(spark, layout.fact)) == facts(fact_from_bronze(read_bronze(spark, layout.bronze)))
+
+
+def test_an_empty_delivery_withdraws_its_month(spark, layout):
+    for month in (1, 2):
+        write_month(layout.landing, 2024, month, month_of(f"2024-0{month}-05"))
+        run_month(spark, layout, 2024, month)
+    write_month(layout.landing, 2024, 1, [])
+    run_month(spark, layout, 2024, 1, mode="rebuild")
+    assert [row[0].month for row in read_fact(spark, layout.fact).select("pickup_month").distinct().collect()] == [2]
+
+
+def test_checks_count_all_rows(spark, layout):
     write_month(layout.landing, 2024, 1, month_of("2024-01-05", 3000))
     run_month(spark, layout, 2024, 1)
-    rows = check_bronze(read_bronze(spark, layout.bronze), sample_cap=2000).collect()
-    counted = {r["check"]: r for r in rows}["row_count"]
-    assert (counted["evaluated"], counted["success"]) == (2000, True)
+    for bound, success in ((3000, True), (2999, False)):
+        rows = check_bronze(read_bronze(spark, layout.bronze), bound).collect()
+        counted = {r["check"]: r for r in rows}["row_count"]
+        assert (counted["evaluated"], counted["success"]) == (3000, success)
     with pytest.raises(ValueError):
         run_month(spark, layout, 2024, 1, mode="other")

@@ -12,13 +12,14 @@ from tripflow.operators.silver import silver_trips
 from tripflow.sinks.bronze import count_rows, load_landing, load_month, reconcile
 from tripflow.sinks.fact import (
     append_new_trips,
+    picked_up_in,
     rebuild_months,
     touched_months,
     upsert_fact,
     write_fact,
 )
 from tripflow.sinks.tables import create_table, ensure_table
-from tripflow.sources.landing import audit_landing, landing_name
+from tripflow.sources.landing import audit_landing, bronze_manifest, landing_name
 from tripflow.sources.tables import read_bronze, read_fact
 
 NO_AUDIT = [name for name in FACT.names if name != "_updated_at"]
@@ -224,6 +225,54 @@ def test_rebuild_takes_late_corrected_and_withdrawn_rows(spark, tmp_path):
         )
 
 
+def test_upsert_keeps_stored_trips_without_a_month(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    stored = fact(spark, FEB, JAN).withColumns(
+        {name: F.expr(f"if(pickup_month = timestamp_ntz'2024-01-01', NULL, {name})") for name in ("pickup_datetime", "pickup_month")}
+    ).select(*FACT.names)
+    write_fact(stored, path)
+    batch = fact(spark, JAN | {"VendorID": 9}).withColumns(
+        {name: F.lit(None).cast("timestamp_ntz") for name in ("pickup_datetime", "pickup_month")}
+    ).select(*FACT.names)
+    for _ in range(2):
+        upsert_fact(spark, path, batch)
+        assert sorted(row["vendor_id"] for row in read_fact(spark, path).collect()) == [1, 1, 9]
+
+
+def test_backfill_names_the_delivery_that_lacks_a_column(spark, tmp_path):
+    write_month(tmp_path / "raw", 2024, 1, [raw()])
+    path = write_month(tmp_path / "raw", 2024, 2, [raw()])
+    import pyarrow.parquet as pq
+
+    pq.write_table(pq.read_table(path).drop_columns(["tip_amount"]), path)
+    with pytest.raises(ValueError, match=r"tip_amount.*2024-02"):
+        load_landing(spark, str(tmp_path / "bulk"), f"{tmp_path}/raw/yellow/*")
+    assert not (tmp_path / "bulk").exists()
+
+
+def test_backfill_of_drifting_types_equals_month_by_month(spark, tmp_path):
+    write_month(tmp_path / "raw", 2024, 1, [raw()], passenger_count=pa.int64())
+    write_month(tmp_path / "raw", 2024, 2, [raw(passenger_count=2.5)], passenger_count=pa.float64(), VendorID=pa.int64())
+    for month in (1, 2):
+        load(spark, tmp_path, month)
+    load_landing(spark, str(tmp_path / "bulk"), f"{tmp_path}/raw/yellow/*", ingested_at="2025-02-05 06:00:00")
+    assert rows_of(read_bronze(spark, str(tmp_path / "bulk"))) == rows_of(stored(spark, tmp_path))
+
+
+def test_manifest_comes_from_partitions(spark, tmp_path):
+    write_month(tmp_path / "raw", 2024, 3, [raw()])
+    load(spark, tmp_path, 3)
+    manifest = bronze_manifest(stored(spark, tmp_path))
+    assert [row[0] for row in manifest.collect()] == [landing_name(2024, 3)]
+    assert "ReadSchema: struct<>" in manifest._jdf.queryExecution().toString()
+
+
+def test_months_in_a_row_are_one_range(spark):
+    months = [at(f"2024-{m:02d}-01") for m in (1, 2, 3, 7, 12)] + [at("2025-01-01")]
+    plan = picked_up_in(bronze(spark, JAN), months)._jdf.queryExecution().analyzed().toString()
+    assert plan.count(">=") == 3
+
+
 def test_catalog_tables(spark, tmp_path):
     write_month(tmp_path / "raw", 2024, 1, [raw()])
     load(spark, tmp_path)

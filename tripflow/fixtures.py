@@ -55,17 +55,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def order_lines(spark: SparkSession, sf_dir: str, spread: bool = True) -> DataFrame:
-    """The line table, spread over the cores when its scan has too few tasks to occupy them.
-
-    Small scales keep all lines in one row group, which is one task. A scan of many tasks is
-    left as it is, and so is one that only feeds an aggregate.
-    """
-    lines = spark.read.schema(LINES).parquet(f"{sf_dir}/lineitem.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if not spread or lines.rdd.getNumPartitions() >= cores:
-        return lines
-    return lines.repartition(cores, "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(LINES).parquet(f"{sf_dir}/lineitem.parquet")
 
 
 def _expressions(columns: dict[str, str]) -> list[str]:
@@ -74,14 +65,38 @@ def _expressions(columns: dict[str, str]) -> list[str]:
 
 def raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The raw columns of one trip per order line, and the line's ship time."""
-    lines = order_lines(spark, sf_dir, spread=False).withColumn("tip_step", F.lit(0.0))
+    lines = order_lines(spark, sf_dir).withColumn("tip_step", F.lit(0.0))
     return lines.selectExpr(*_expressions(TRIP), "l_shipdate")
 
 
+# All order lines as three monthly deliveries of one year.
+DELIVERY_MONTHS = {
+    1: "tpep_pickup_datetime < timestamp_ntz'1994-07-01'",
+    2: "tpep_pickup_datetime >= timestamp_ntz'1994-07-01' AND tpep_pickup_datetime < timestamp_ntz'1996-07-01'",
+    3: "tpep_pickup_datetime >= timestamp_ntz'1996-07-01'",
+}
+
+# What the checks would reject, brought inside their bounds.
+CLEAN = {
+    "trip_distance": "l_quantity * 1.0E0",
+    "PULocationID": "cast(l_suppkey % 25 AS int)",
+    "DOLocationID": "cast(l_partkey % 25 AS int)",
+    "payment_type": "l_partkey % 7",
+    "fare_amount": "l_extendedprice / 1000.0E0",
+    "total_amount": "l_extendedprice / 1000.0E0 + 4.0E0",
+}
+
+
+def clean_raw_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw columns that pass all checks."""
+    lines = order_lines(spark, sf_dir).withColumn("tip_step", F.lit(0.0))
+    return lines.selectExpr(*_expressions(TRIP | CLEAN))
+
+
 def bronze_trips(
-    spark: SparkSession, sf_dir: str, batches: tuple[int, ...] = (1, 2), spread: bool = True
+    spark: SparkSession, sf_dir: str, batches: tuple[int, ...] = (1, 2)
 ) -> DataFrame:
-    lines = order_lines(spark, sf_dir, spread).selectExpr(
+    lines = order_lines(spark, sf_dir).selectExpr(
         "*", f"explode(cast({DELIVERIES[batches]} AS array<int>)) AS batch"
     )
     trips = lines.withColumn("tip_step", F.expr("if(batch = 2, 1.0E0, 0.0E0)"))

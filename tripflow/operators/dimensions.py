@@ -34,9 +34,11 @@ def dim_zones(zones: DataFrame) -> DataFrame:
 def date_spine(bounds: DataFrame) -> DataFrame:
     """Every hour of every day from ``first_day`` to ``last_day`` of a one-row frame.
 
-    Days and hours are generated in place, without a join.
+    Days and hours are generated in place, without a join. One task makes the days (a stray date
+    far off costs it a row per day); they are spread before each becomes 24 rows.
     """
     days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("date_day"))
+    days = days.repartition("date_day")
     hours = days.select("date_day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_of_day"))
     return hours.select(
         F.timestamp_add("HOUR", "hour_of_day", F.col("date_day").cast("timestamp_ntz")).alias(

@@ -1,3 +1,5 @@
+"""Row-level lookups of dimensions. No hint: AQE broadcasts a side whose shuffled size allows it."""
+
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
@@ -5,20 +7,10 @@ from pyspark.sql import functions as F
 
 from tripflow.functions import hour_start
 
-BROADCAST_ROWS = 200_000
-
-
-def broadcast_if_small(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Marks a dimension for broadcast once counting it (up to the bound) has shown it is small.
-
-    Beyond the bound the join stays a shuffle join, where AQE splits hot keys.
-    """
-    return F.broadcast(lookup) if lookup.limit(max_rows + 1).count() <= max_rows else lookup
-
 
 def with_zones(fact: DataFrame, zones: DataFrame) -> DataFrame:
     """Every trip with its pickup and its dropoff zone; unknown zones stay NULL."""
-    zones = broadcast_if_small(zones.select("zone_id", "borough_group", "zone_name", "is_airport"))
+    zones = zones.select("zone_id", "borough_group", "zone_name", "is_airport")
     for side in ("pickup", "dropoff"):
         named = zones.select(*[F.col(c).alias(f"{side}_{c}") for c in zones.columns])
         fact = fact.join(
@@ -30,8 +22,7 @@ def with_zones(fact: DataFrame, zones: DataFrame) -> DataFrame:
 def with_calendar(fact: DataFrame, calendar: DataFrame, hour: Column | None = None) -> DataFrame:
     """Every trip with the calendar row of its pickup hour; hours off the calendar stay NULL."""
     hour = hour_start(F.col("pickup_datetime")) if hour is None else hour
-    wanted = ["datetime_hour", "time_of_day", "is_rush_hour", "is_weekend"]
-    slots = broadcast_if_small(calendar.select(*wanted))
+    slots = calendar.select("datetime_hour", "time_of_day", "is_rush_hour", "is_weekend")
     return fact.withColumn("_hour", hour).join(
         slots, F.col("_hour") == F.col("datetime_hour"), "left"
     ).drop("_hour")

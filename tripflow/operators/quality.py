@@ -88,6 +88,8 @@ def run_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         counters.append(f"count_if(NOT {absent}) AS {present}")
         counters.append(f"count_if(NOT {absent} AND {bad}) AS {failing}")
         outcomes.append(_outcome(rule, present, failing))
+    if all(rule.check == "column_exists" for rule in rules):  # the schema answers
+        return rows.sparkSession.range(1).selectExpr(_rows_of(outcomes))
     return rows.agg(*map(F.expr, counters)).selectExpr(_rows_of(outcomes))
 
 
@@ -111,6 +113,46 @@ def _rows_of(outcomes: Sequence[str]) -> str:
     return f"inline(array({', '.join(outcomes)}))"
 
 
+def failing_values(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """What range and set rules reject: every failing value, its rows and its share of the values.
+
+    One row per rule and value; all rules count in one pass. Numbers only.
+    """
+    parts = []
+    for rule in rules:
+        if rule.check not in ("between", "in_set") or rule.column not in rows.columns:
+            continue
+        value = f"cast(`{rule.column}` AS double)"
+        if rule.values:
+            bad = f"{value} NOT IN ({', '.join(_literal(float(v)) for v in rule.values)})"
+        else:
+            bad = f"{value} NOT BETWEEN {_literal(float(rule.low))} AND {_literal(float(rule.high))}"
+        parts.append(f"named_struct('check', '{rule.check}', 'column', '{rule.column}', 'value', {value}, 'bad', {bad})")
+    values = rows.select(F.expr(f"inline(array({', '.join(parts)}))")).filter("value IS NOT NULL AND NOT isnan(value)")
+    # A failing value is a group, all others of its rule are one.
+    counts = values.groupBy("check", "column", F.expr("if(bad, value, NULL)").alias("value")).agg(F.expr("count(1) AS rows"))
+    everything = F.expr("sum(rows) OVER (PARTITION BY check, column)")
+    shared = counts.withColumn("share", F.col("rows") / everything)
+    return shared.filter("value IS NOT NULL")
+
+
+def orphan_values(child: DataFrame, columns: Sequence[str], parent: DataFrame, key: str) -> DataFrame:
+    """Values of the child that are no key of the parent, with their rows."""
+    counts = _values_of(child, columns)
+    keys = parent.select(F.col(key).alias("value")).distinct()
+    return counts.join(keys, "value", "left_anti").select("column", "value", "rows")
+
+
+def _values_of(child: DataFrame, columns: Sequence[str]) -> DataFrame:
+    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
+    return (
+        child.select(F.inline(F.array(*pairs)))
+        .filter(F.col("value").isNotNull())
+        .groupBy("column", "value")
+        .agg(F.count(F.lit(1)).alias("rows"))
+    )
+
+
 def check_values(
     rows: DataFrame, not_null: Sequence[str] = (), accepted: Mapping[str, Sequence] | None = None
 ) -> DataFrame:
@@ -162,13 +204,7 @@ def check_relationships(
     The child is counted per distinct value first, so the join sees values, not rows, and a
     value shared by a third of all rows is one of them.
     """
-    pairs = [F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in columns]
-    counts = (
-        child.select(F.inline(F.array(*pairs)))
-        .filter(F.col("value").isNotNull())
-        .groupBy("column", "value")
-        .agg(F.count(F.lit(1)).alias("rows"))
-    )
+    counts = _values_of(child, columns)
     keys = parent.select(F.col(key).alias("value")).distinct().withColumn("known", F.lit(True))
     counters, outcomes = [], []
     for i, column in enumerate(columns):

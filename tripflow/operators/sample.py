@@ -1,20 +1,13 @@
 from __future__ import annotations
 
-from math import sqrt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
 def sample_rows(rows: DataFrame, cap: int, seed: int = 0) -> DataFrame:
-    """``cap`` rows drawn uniformly when there are more than that, else all of them.
+    """``cap`` rows drawn uniformly, or all rows of a smaller table.
 
-    A Bernoulli sample of slightly more than ``cap`` rows (ten standard deviations) is drawn
-    in the scan, and only that is ordered at random and cut to size.
+    Rows get random numbers and the ``cap`` lowest are kept, first within each task, then in one.
+    That one task sees up to ``cap`` rows of every other, so the caller bounds ``cap``.
     """
-    total = rows.count()
-    if total <= cap:
-        return rows
-    wanted = cap + 10 * sqrt(cap) + 100
-    drawn = rows if wanted >= total else rows.sample(wanted / total, seed)
-    return drawn.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(cap).drop("_draw")
+    return rows.withColumn("_draw", F.rand(seed)).orderBy("_draw").limit(cap).drop("_draw")

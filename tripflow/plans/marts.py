@@ -40,9 +40,12 @@ def trips_by_zone(fact: DataFrame, zones: DataFrame) -> DataFrame:
 
 
 def top_pickup_zones(fact: DataFrame, zones: DataFrame, n: int = 10) -> DataFrame:
-    """The n busiest known pickup zones; equal counts go by zone id."""
-    known = trips_by_zone(fact, zones).filter(F.col("zone_name").isNotNull())
-    return known.orderBy(F.desc(TRIPS), "pickup_location_id").limit(n)
+    """The n busiest pickup zones; equal counts go by zone id, a NULL one last.
+
+    A zone without a name, or without an entry in the dimension, ranks like any other.
+    """
+    order = [F.desc(TRIPS), F.col("pickup_location_id").asc_nulls_last()]
+    return trips_by_zone(fact, zones).orderBy(*order).limit(n)
 
 
 def trips_between_boroughs(fact: DataFrame, zones: DataFrame) -> DataFrame:

@@ -1,7 +1,12 @@
-"""One reporting month through all layers, in order; a failed gate stops what follows."""
+"""One reporting month through all layers, in order; a failed gate stops what follows.
+
+A month is loaded into bronze first and judged there. Its verdict is stored, and the layers after
+bronze read only months whose last delivery passed, whatever the mode and scope of a run.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -10,7 +15,6 @@ from pyspark.sql import DataFrame, SparkSession
 from tripflow.contracts import BRONZE, BRONZE_PARTITIONS, FACT, FACT_PARTITIONS
 from tripflow.operators.dimensions import calendar, dim_zones, stg_zones
 from tripflow.operators.quality import gate, run_model_tests, run_rules
-from tripflow.operators.sample import sample_rows
 from tripflow.operators.silver import in_periods, silver_trips
 from tripflow.plans.suites import bronze_suite, model_tests
 from tripflow.sinks.bronze import LoadStats, load_month
@@ -21,11 +25,15 @@ from tripflow.sinks.fact import (
     rebuild_months,
     touched_months,
 )
-from tripflow.sinks.tables import create_table, ensure_table, overwrite_table
+from tripflow.sinks.tables import create_table, ensure_table, overwrite_table, replace_partitions
+from tripflow.sources.landing import landing_name
 from tripflow.sources.seeds import read_zone_seed
 from tripflow.sources.tables import read_bronze, read_fact
 
 
+VERDICT = "passed boolean, _year int, _month int"
+
+
 @dataclass(frozen=True)
 class Layout:
     """Where the layers live: one folder per layer under ``root``, raw months elsewhere."""
@@ -53,45 +61,83 @@ def run_month(
     month: int,
     dataset: str = "yellow",
     mode: str = "append",
-    scope: str = "table",
-    sample_cap: int | None = None,
+    scope: str = "month",
     ingested_at: datetime | str | None = None,
 ) -> LoadStats:
     """Loads, checks, transforms and tests one month.
 
     ``append`` adds trips later than the newest stored one; ``rebuild`` recomputes the pickup
-    months the reloaded data touches, which also takes late and corrected rows. Checks cover
-    whole tables, or with scope ``month`` just the loaded period and the months it touches,
-    so that a run costs as much as its month and not as its history.
+    months the reloaded data touches, which also takes late and corrected rows. Checks cover the
+    loaded period and the months it touches, or with scope ``table`` all that has passed before too.
     """
     if mode not in ("append", "rebuild") or scope not in ("table", "month"):
         raise ValueError(f"no such mode or scope: {mode!r}, {scope!r}")
     ensure_table(spark, layout.bronze, BRONZE, BRONZE_PARTITIONS)
     ensure_table(spark, layout.fact, FACT, FACT_PARTITIONS)
+    record_verdict(spark, layout, year, month, False)
     stats = load_month(spark, layout.landing, layout.bronze, year, month, dataset, ingested_at)
-    bronze = read_bronze(spark, layout.bronze)
-    loaded = in_periods(bronze, [(year, month)])
-    gate(check_bronze(loaded if scope == "month" else bronze, sample_cap))
+    judge_periods(spark, layout, [(year, month)], scope, may_be_empty=mode == "rebuild")
+    loaded = in_periods(read_bronze(spark, layout.bronze), [(year, month)])
+    bronze = passed_bronze(spark, layout)
     build_dimensions(spark, layout)
     if mode == "append":
         append_new_trips(spark, layout.fact, silver_trips(bronze))
     else:
-        touched = touched_months(spark, loaded, layout.fact)
+        files = [landing_name(year, month, dataset)]
+        touched = touched_months(spark, loaded, layout.fact, files)
         rebuild_months(spark, layout.fact, bronze, touched)
     tables = built_tables(spark, layout)
     if scope == "month":
-        tables["silver_trips"] = silver_trips(loaded)
+        tables["silver_trips"] = silver_trips(loaded, columns=tested_columns("silver_trips"))
         months = months_of(loaded, "tpep_pickup_datetime")
         tables["fact_trips"] = of_months(tables["fact_trips"], months)
     gate(run_model_tests(tables, model_tests()))
     return stats
 
 
-def check_bronze(bronze: DataFrame, sample_cap: int | None = None) -> DataFrame:
-    """The bronze suite over the whole table, or over a fixed-size sample of a larger one."""
-    if sample_cap is None:
-        return run_rules(bronze, bronze_suite())
-    return run_rules(sample_rows(bronze, sample_cap), bronze_suite(sample_cap + 10_000))
+def check_bronze(bronze: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """The bronze suite over all rows given; more than ``max_rows`` of them fail it."""
+    return run_rules(bronze, bronze_suite(max_rows))
+
+
+def tested_columns(table: str) -> list[str]:
+    return list(dict.fromkeys(test.column for test in model_tests() if test.table == table))
+
+
+def record_verdict(spark: SparkSession, layout: Layout, year: int, month: int, passed: bool) -> None:
+    row = spark.createDataFrame([(passed, year, month)], VERDICT)
+    replace_partitions(row.coalesce(1), layout.path("bronze.verdicts"), BRONZE_PARTITIONS)
+
+
+def passed_periods(spark: SparkSession, layout: Layout) -> list[tuple[int, int]]:
+    """Months whose last delivery passed its gate: at most 12 per calendar year."""
+    ensure_table(spark, layout.path("bronze.verdicts"), VERDICT, BRONZE_PARTITIONS)
+    verdicts = spark.read.schema(VERDICT).parquet(layout.path("bronze.verdicts"))
+    return sorted((row["_year"], row["_month"]) for row in verdicts.filter("passed").collect())
+
+
+def passed_bronze(spark: SparkSession, layout: Layout) -> DataFrame:
+    return in_periods(read_bronze(spark, layout.bronze), passed_periods(spark, layout))
+
+
+def judge_periods(
+    spark: SparkSession,
+    layout: Layout,
+    periods: Sequence[tuple[int, int]],
+    scope: str = "month",
+    may_be_empty: bool = False,
+) -> None:
+    """Runs the bronze gate over loaded months and records that they passed; a backfill calls it too.
+
+    With scope ``table`` they are judged together with all months that passed before. An empty
+    delivery withdraws its month; ``may_be_empty`` lets it pass.
+    """
+    judged = [*periods, *(passed_periods(spark, layout) if scope == "table" else ())]
+    rows = in_periods(read_bronze(spark, layout.bronze), judged)
+    if not (may_be_empty and rows.isEmpty()):
+        gate(check_bronze(rows))
+    for year, month in periods:
+        record_verdict(spark, layout, year, month, True)
 
 
 def build_dimensions(spark: SparkSession, layout: Layout) -> None:
@@ -103,7 +149,7 @@ def build_dimensions(spark: SparkSession, layout: Layout) -> None:
 
 def built_tables(spark: SparkSession, layout: Layout) -> dict[str, DataFrame]:
     return {
-        "silver_trips": silver_trips(read_bronze(spark, layout.bronze)),
+        "silver_trips": silver_trips(passed_bronze(spark, layout)),
         "silver_zones": stg_zones(spark.read.parquet(layout.path("seeds.zones"))),
         "fact_trips": read_fact(spark, layout.fact),
         "dim_zones": spark.read.parquet(layout.path("gold.dim_zones")),

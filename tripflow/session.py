@@ -7,8 +7,10 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Sized for executors of about 4 GB per core. AQE picks the real number of reduce tasks, so the
-# shuffle partition count of a cluster job is only an upper bound.
+# Sized for executors of about 4 GB per core. AQE merges reduce partitions but splits only those of
+# joins and rebalances, not those below a window or an aggregate, so a job over many terabytes sets
+# ``spark.sql.shuffle.partitions`` to ``shuffle_partitions`` of its input.
+PARTITION_BYTES = 256 << 20
 CLUSTER_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -22,6 +24,11 @@ CLUSTER_CONF = {
 }
 
 
+def shuffle_partitions(input_bytes: int, partition_bytes: int = PARTITION_BYTES) -> int:
+    """Partitions of a shuffle of the whole input: 400,000 for 100 TB."""
+    return max(200, -(-input_bytes // partition_bytes))
+
+
 def local_session(name: str, cores: str = "*", **conf: str) -> SparkSession:
     settings = CLUSTER_CONF | {
         "spark.sql.shuffle.partitions": "8",
@@ -51,6 +58,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/tripflow/{label}-{uuid.uuid4().hex}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes what ``stage`` or a sink wrote for the time of one job."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def stage(df: DataFrame, label: str) -> DataFrame:
     """Write once to the shared folder and read back, so that several consumers share the work.
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +13,7 @@ from tripflow.functions import month_start
 from tripflow.operators.fact import fact_trips, later_than
 from tripflow.operators.merge import delete_insert
 from tripflow.operators.silver import silver_trips
-from tripflow.session import stage
+from tripflow.session import drop_path, scratch_path
 from tripflow.sinks.tables import clear_partition, replace_partitions
 from tripflow.sources.tables import latest_pickup, read_fact
 
@@ -43,13 +42,19 @@ def upsert_fact(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Delete by ``trip_id`` and insert, rewriting only the months the batch has rows in.
 
     A trip's key covers its pickup time, so equal keys share a month. The batch is staged
-    because it is read three times. Its months, at most 12 per calendar year, come to the
-    driver so that the target's partitions are pruned by literals.
+    because it is read three times, and the copy deleted at the end. Its months, at most 12 per
+    calendar year, come to the driver so that the target's partitions are pruned by literals. Trips
+    without a pickup time make a partition of their own, which is read and rewritten like a month.
     """
-    batch = stage(batch, "fact-batch")
-    touched = of_months(read_fact(spark, path), months_of(batch, "pickup_datetime"))
+    copy = scratch_path(spark, "fact-batch")
+    batch.write.parquet(copy)
+    batch = spark.read.schema(batch.schema).parquet(copy)
+    undated = not batch.filter("pickup_datetime IS NULL").isEmpty()
+    stored = read_fact(spark, path)
+    touched = of_months(stored, months_of(batch, "pickup_datetime"), undated)
     merged = delete_insert(touched, batch, ["trip_id"])
     replace_partitions(_by_month(merged), path, FACT_PARTITIONS)
+    drop_path(spark, copy)
 
 
 def append_new_trips(spark: SparkSession, path: str, silver: DataFrame) -> datetime | None:
@@ -77,38 +82,47 @@ def months_of(rows: DataFrame, pickup: str) -> list[datetime]:
     return sorted(row["month"] for row in months.filter("month IS NOT NULL").collect())
 
 
-def of_months(fact: DataFrame, months: Iterable[datetime]) -> DataFrame:
-    """Stored facts of some months; only their partitions are listed in the plan."""
+def of_months(fact: DataFrame, months: Iterable[datetime], undated: bool = False) -> DataFrame:
+    """Stored facts of some months; only their partitions are listed in the plan. ``undated`` adds
+    those without a month."""
     wanted = ", ".join(f"timestamp_ntz'{month:%Y-%m-%d}'" for month in months)
-    return fact.filter(f"pickup_month IN ({wanted})" if wanted else "false")
+    parts = [f"pickup_month IN ({wanted})"] if wanted else []
+    parts += ["pickup_month IS NULL"] if undated else []
+    return fact.filter(" OR ".join(parts) or "false")
 
 
-def touched_months(spark: SparkSession, bronze_periods: DataFrame, path: str) -> list[datetime]:
+def touched_months(
+    spark: SparkSession, bronze_periods: DataFrame, path: str, files: Iterable[str] = ()
+) -> list[datetime]:
     """Pickup months to rebuild after some bronze periods were reloaded.
 
-    Months of the new rows, plus months that still hold rows of the same source files. The
-    list on the driver is bounded by the calendar.
+    Months of the new rows, plus months that still hold rows of the reloaded files. Name those in
+    ``files``, or a delivery without rows leaves no trace of itself. The names are literals, so that
+    Parquet dictionaries rule out row groups without them. All lists are bounded by the calendar.
     """
-    files = bronze_periods.select("_source_file").distinct()
-    old = (
-        read_fact(spark, path)
-        .groupBy("pickup_month", "_source_file")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .join(files, "_source_file", "left_semi")
-    )
+    names = {row["_source_file"] for row in bronze_periods.select("_source_file").distinct().collect()}
+    stored = read_fact(spark, path).filter(F.col("_source_file").isin(sorted({*names, *files})))
     new = months_of(bronze_periods, "tpep_pickup_datetime")
-    return sorted({*new, *months_of(old, "pickup_month")})
+    return sorted({*new, *months_of(stored, "pickup_month")})
 
 
 def picked_up_in(bronze: DataFrame, months: Iterable[datetime]) -> DataFrame:
-    """Bronze rows of some pickup months, as plain ranges that Parquet statistics can prune."""
-    pickup = F.col("tpep_pickup_datetime")
-    ranges = []
-    for month in months:
-        first = F.lit(f"{month:%Y-%m}-01 00:00:00").cast("timestamp_ntz")
-        after = F.lit(f"{_next_month(month):%Y-%m}-01 00:00:00").cast("timestamp_ntz")
-        ranges.append((pickup >= first) & (pickup < after))
-    return bronze.filter(reduce(lambda a, b: a | b, ranges, F.lit(False)))
+    """Bronze rows of some pickup months, as plain ranges that Parquet statistics can prune.
+
+    Months in a row are one range.
+    """
+    ranges: list[list[datetime]] = []
+    for month in sorted(months):
+        if ranges and ranges[-1][1] == month:
+            ranges[-1][1] = _next_month(month)
+        else:
+            ranges.append([month, _next_month(month)])
+    stamp = lambda moment: f"timestamp_ntz'{moment:%Y-%m-%d}'"
+    parts = [
+        f"(tpep_pickup_datetime >= {stamp(first)} AND tpep_pickup_datetime < {stamp(after)})"
+        for first, after in ranges
+    ]
+    return bronze.filter(" OR ".join(parts) or "false")
 
 
 def rebuild_months(
@@ -123,15 +137,12 @@ def rebuild_months(
         return
     filled = Observation("rebuild_months")
     fact = fact_trips(silver_trips(picked_up_in(bronze, months))).observe(
-        filled,
-        *[
-            F.expr(f"count_if(pickup_month = timestamp_ntz'{month:%Y-%m-%d}')").alias(f"{month:%Y-%m}")
-            for month in months
-        ],
+        filled, F.collect_set("pickup_month").alias("months")
     )
     replace_partitions(_by_month(fact), path, FACT_PARTITIONS)
+    written = set(filled.get["months"])
     for month in months:
-        if not filled.get[f"{month:%Y-%m}"]:
+        if month not in written:
             clear_partition(spark, path, FACT, {"pickup_month": month})
 
 

@@ -29,7 +29,7 @@ def create_table(
 
 
 def ensure_table(
-    spark: SparkSession, path: str, schema: T.StructType, partitions: Sequence[str] = ()
+    spark: SparkSession, path: str, schema: T.StructType | str, partitions: Sequence[str] = ()
 ) -> None:
     """Creates an empty table folder, unless there is one."""
     empty = spark.createDataFrame([], schema)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, datetime
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,23 +84,52 @@ def read_landing(
     dataset: str = "yellow",
     ingested_at: datetime | str | None = None,
 ) -> DataFrame:
-    """Many raw months of one dataset and physical schema in a single scan.
+    """Many raw months of one dataset, one scan per physical schema that occurs among them.
 
-    Lineage comes from the paths by plain substrings, since it is computed per row; a path
-    that does not follow the naming rule fails the cast to a year.
+    Deliveries drift, so every month's schema is looked up (one footer each) and held against the
+    contract before anything is read: a month that lacks a column fails by name. Lineage comes from
+    the paths by plain substrings, since it is computed per row; a path that does not follow the
+    naming rule fails the cast to a year.
     """
-    raw = spark.read.parquet(*paths)
     prefix = landing_name(0, 0, dataset).partition("0-")[0]
-    suffix = F.substring_index("_metadata.file_path", prefix, -1).alias("suffix")
-    return raw.select(*contract_columns(raw), suffix).select(
+    length = len("YYYY-MM.parquet")
+    scans = []
+    for months in months_by_schema(spark, *paths):
+        raw = spark.read.parquet(*months)
+        suffix = F.substring_index("_metadata.file_path", prefix, -1).alias("suffix")
+        try:
+            columns = contract_columns(raw)
+        except ValueError as error:
+            raise ValueError(f"{error}, in {', '.join(months)}") from error
+        scans.append(raw.select(*columns, suffix))
+    stamped = stamp(ingested_at).alias("_ingested_at")
+    return reduce(DataFrame.unionAll, scans).select(
         *RAW.names,
-        stamp(ingested_at).alias("_ingested_at"),
-        F.expr(f"concat('{prefix}', left(suffix, {len('YYYY-MM.parquet')}))").alias("_source_file"),
+        stamped,
+        F.expr(f"concat('{prefix}', left(suffix, {length}))").alias("_source_file"),
         F.expr("cast(left(suffix, 4) AS int)").alias("_year"),
         F.expr("cast(substr(suffix, 6, 2) AS int)").alias("_month"),
     )
 
 
+def months_by_schema(spark: SparkSession, *paths: str) -> list[list[str]]:
+    """Paths of the raw months found, grouped by schema. At most 12 months a year come to the driver."""
+    found = (
+        spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(list(paths))
+        .select(F.regexp_extract("path", f"^(.*{NAME_PATTERN})", 1).alias("month"))
+        .filter("month != ''").distinct()
+    )
+    months = sorted(row["month"] for row in found.collect())
+    if not months:
+        raise ValueError(f"no raw months under {', '.join(paths)}")
+    with ThreadPoolExecutor(8) as pool:
+        schemas = list(pool.map(lambda month: spark.read.parquet(month).schema.json(), months))
+    groups: dict[str, list[str]] = {}
+    for month, schema in zip(months, schemas, strict=True):
+        groups.setdefault(schema, []).append(month)
+    return list(groups.values())
+
+
 def landing_files(spark: SparkSession, *paths: str) -> DataFrame:
     """Part files of raw months under the paths. Contents are not read: the binary source
     opens a file only when ``content`` is selected."""
@@ -123,6 +154,16 @@ def landing_files(spark: SparkSession, *paths: str) -> DataFrame:
     )
 
 
+def bronze_manifest(bronze: DataFrame, dataset: str = "yellow") -> DataFrame:
+    """Names of the raw months a bronze table holds. A month is one partition, so only partition
+    values are read, no column of any row."""
+    name = F.concat(
+        F.lit(landing_name(0, 0, dataset).partition("0-")[0]),
+        F.col("_year"), F.lit("-"), F.lpad(F.col("_month").cast("string"), 2, "0"), F.lit(".parquet"),
+    )
+    return bronze.select("_year", "_month").distinct().select(name.alias("_source_file"))
+
+
 def audit_landing(
     spark: SparkSession,
     *paths: str,
