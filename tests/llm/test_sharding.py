@@ -59,3 +59,17 @@ def test_query_sizes_and_checksums(spark, tmp_path):
     rows = sharding.op8_sharding(spark, str(tmp_path)).collect()
     want = Counter((doc_id, len((text or "").encode()) + 8, zlib.crc32((text or "").encode())) for doc_id, text, *_ in documents())
     assert Counter((row["doc_id"], row["size"], row["text_crc32"]) for row in rows) == want
+
+
+def test_other_rows_than_were_counted_mean_another_attempt(spark, monkeypatch):
+    planned, calls = sharding.communication_matrix, []
+
+    def wrong_once(parts, shards, seed):
+        calls.append(seed)
+        matrix = planned(parts, shards, seed)
+        if len(calls) == 1:
+            matrix[0, 0] += 1
+        return matrix
+
+    monkeypatch.setattr(sharding, "communication_matrix", wrong_once)
+    assert sharding.shard_rows(frame(spark), 3).count() == len(documents()) and len(calls) == 2

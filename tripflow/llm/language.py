@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tripflow.llm.text import packed, table
 
@@ -189,7 +190,8 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 columns = [part.column(0), pa.array(names), pa.array(scores)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score"])
 
-    schema = kept.select("row").schema.add("lang_pred", "string").add("score", "double")
+    added = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+    schema = T.StructType(kept.schema.fields + added)
     return kept.mapInArrow(predicted, schema)
 
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -32,18 +33,23 @@ import numpy as np
 import pandas as pd
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm.text import packed, table, whole
+from tripflow.llm.token_files import Known, slices
 from tripflow.session import stage
 
 SPACE = "▁"
-CHUNK = 1 << 15
+CHUNK = 1 << 16
 BLOCK = 64
-CACHED = 500_000
+CACHED = 200_000
+TOGETHER = 64  # chunks whose stretches are solved in one go
 CACHED_CHARS = 64
+SHORT = 24
+WHOLE = "(?s:.+)"
 NEVER = -(10**15)
 SCALE = 64
 PENALTY = 10 * SCALE  # fixed value: an unknown character scores this below the worst piece
@@ -55,6 +61,54 @@ def zipf_scores(count: int) -> list[int]:
     return [-round(SCALE * (math.log(rank) + total)) for rank in range(1, count + 1)]
 
 
+def spread(codes: np.ndarray, points: np.ndarray) -> np.ndarray:
+    """Hashes of strings with one more character."""
+    mixed = (codes + points + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    return mixed ^ (mixed >> np.uint64(29))
+
+
+class Index:
+    """Pieces by hash: a table of slots, and a second one for those that find theirs taken."""
+
+    def __init__(self, pieces: list[str], ids: list[int], scores: list[int]):
+        keys = np.zeros(len(pieces), dtype=np.uint64)
+        for k, piece in enumerate(pieces):
+            code = np.zeros(1, dtype=np.uint64)
+            for point in map(ord, piece):
+                code = spread(code, np.array([point], dtype=np.uint64))
+            keys[k] = code[0]
+        if len(np.unique(keys)) < len(keys):
+            raise ValueError("two pieces have the same hash")
+        # Number 0 is no piece.
+        self.keys = np.concatenate([np.zeros(1, dtype=np.uint64), keys])
+        self.ids = np.array([0, *ids], dtype=np.int32)
+        self.scores = np.array([NEVER, *scores], dtype=np.int64)
+        self.tables = []
+        left = np.arange(1, len(self.keys))
+        for bits, shift in ((20, 0), (16, 20), (16, 36)):
+            slots = self.slots(self.keys[left], bits, shift)
+            _, first = np.unique(slots, return_index=True)
+            table = np.zeros(1 << bits, dtype=np.int32)
+            table[slots[first]] = left[first]
+            self.tables.append((table, bits, shift))
+            left = np.delete(left, first)
+            if not len(left):
+                break
+        if len(left):
+            raise ValueError("the tables are too small for the pieces")
+
+    @staticmethod
+    def slots(keys: np.ndarray, bits: int, shift: int) -> np.ndarray:
+        return ((keys >> np.uint64(shift)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        found = np.zeros(keys.shape, dtype=np.int32)
+        for table, bits, shift in self.tables:
+            number = table[self.slots(keys, bits, shift)]
+            found = np.where(self.keys[number] == keys, number, found)
+        return found
+
+
 class Unigram:
     def __init__(self, path: str):
         from sentencepiece import SentencePieceProcessor
@@ -64,6 +118,9 @@ class Unigram:
         normal = [k for k in ids if not (model.is_control(k) or model.is_unknown(k) or model.is_byte(k))]
         scores = zipf_scores(len(normal))
         self.pieces = {model.id_to_piece(k): (k, score) for k, score in zip(normal, scores, strict=True)}
+        # Scores of pieces (not above 0), None for what only starts one.
+        self.table: dict[str, int | None] = {piece[:k]: None for piece in self.pieces for k in range(1, len(piece))}
+        self.table.update((piece, score) for piece, (_, score) in self.pieces.items())
         self.byte_ids = {int(model.id_to_piece(k)[1:-1], 16): k for k in ids if model.is_byte(k)}
         self.unknown = min(scores) - PENALTY
         self.reach = max(map(len, self.pieces))
@@ -73,26 +130,42 @@ class Unigram:
         for k in ids:
             if model.is_control(k) or model.is_unknown(k):
                 self.raw[k] = b""
-        parted = all(SPACE not in piece.lstrip(SPACE) and "\n" not in piece for piece in self.pieces)
-        self.stretch = re.compile(f"\n|{SPACE}*[^{SPACE}\n]+|{SPACE}+" if parted else "(?s:.+)")
-        self.known: dict[str, tuple[bytes, int]] = {}
+        self.pieces_as = np.array(self.raw, dtype=object)
+        self.stretch = re.compile(self.stretches())
+        self.parted_at_spaces = self.stretch.pattern != WHOLE
+        self.index = Index(list(self.pieces), [k for k, _ in self.pieces.values()], scores)
+        self.words = Known("<i4")
+        self.known: dict[str, bytes] = {}
+        self.scores: dict[str, int] = {}
+
+    def stretches(self) -> str:
+        """A pattern that cuts only between characters that no piece has side by side."""
+        pairs = {piece[k : k + 2] for piece in self.pieces for k in range(len(piece) - 1)}
+        if any(pair[1] == SPACE != pair[0] or "\n" in pair for pair in pairs):
+            return WHOLE
+        after_letters = {pair[1] for pair in pairs if pair[0].isalpha()}
+        closing = "".join(mark for mark in ".,;:!?*&%$#" if mark not in after_letters)
+        word = f"{SPACE}*[a-zA-Z\xc0-\xd6\xd8-\xf6\xf8-\u024f]+(?=[{closing}])|" if closing else ""
+        return f"\n|{word}{SPACE}*[^{SPACE}\n]+|{SPACE}+"
 
     def walk(self, text: str, values: list[int], start: int) -> tuple[list[int], list[int]]:
         """Best scores of all nodes, and the node before each. ``values`` holds the nodes up to ``start``."""
-        pieces, reach, end = self.pieces, self.reach, len(text)
+        table, end = self.table, len(text)
         best = values + [NEVER] * (end - start)
         back = [-1] * (end + 1)
-        for node in range(max(0, start - reach + 1), end):
+        for node in range(max(0, start - self.reach + 1), end):
             score = best[node]
             if score == NEVER:
                 continue
             single = node < start
-            for to in range(max(node, start) + 1, min(node + reach, end) + 1):
-                found = pieces.get(text[node:to])
-                if found:
-                    single |= to == node + 1
-                    if score + found[1] > best[to]:
-                        best[to], back[to] = score + found[1], node
+            for to in range(node + 1, end + 1):
+                found = table.get(text[node:to], 1)
+                if found == 1:  # no piece starts like this
+                    break
+                if found is not None and to > start:
+                    single = single or to == node + 1
+                    if score + found > best[to]:
+                        best[to], back[to] = score + found, node
             if not single and score + self.unknown > best[node + 1]:
                 best[node + 1], back[node + 1] = score + self.unknown, node
         return best, back
@@ -105,41 +178,173 @@ class Unigram:
             found = self.pieces.get(piece)
             ids.extend([found[0]] if found else [self.byte_ids[value] for value in reversed(piece.encode())])
             node = back[node]
-        return np.array(ids[::-1], dtype="<i4").tobytes(), node
-
-    def best(self, stretch: str) -> tuple[bytes, int]:
-        found = self.known.get(stretch)
-        if found is None:
-            scores, back = self.walk(stretch, [0], 0)
-            found = self.path(stretch, back, len(stretch), 0)[0], scores[-1]
-            if len(stretch) <= CACHED_CHARS:
-                if len(self.known) >= CACHED:
-                    self.known.clear()
-                self.known[stretch] = found
+        ids.reverse()
+        return array("i", ids).tobytes(), node
+
+    def solve_short(self, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids, numbers of ids and scores of texts of one length, given as rows of code points.
+
+        The lattices of all rows are walked in step. A number of ids is -1 where a character is
+        unknown, which ``path`` spells in bytes.
+        """
+        rows, length = texts.shape
+        codes = np.zeros((rows, length), dtype=np.uint64)
+        scores, pieces = [], []
+        for size in range(1, min(length, self.reach) + 1):
+            codes = spread(codes[:, : length - size + 1], texts[:, size - 1 :])
+            found = self.index.find(codes)
+            pieces.append(self.index.ids[found])
+            scores.append(self.index.scores[found])
+        unknown = scores[0] == NEVER
+        scores[0] = np.where(unknown, self.unknown, scores[0])
+        best = np.full((rows, length + 1), NEVER, dtype=np.int64)
+        best[:, 0] = 0
+        back = np.zeros((rows, length + 1), dtype=np.int8)
+        for to in range(1, length + 1):
+            for size in range(min(to, self.reach), 0, -1):
+                score = best[:, to - size] + scores[size - 1][:, to - size]
+                better = score > best[:, to]
+                best[better, to] = score[better]
+                back[better, to] = size
+        ids = np.zeros((rows, length), dtype=np.int32)
+        counts = np.zeros(rows, dtype=np.int64)
+        spelled = np.zeros(rows, dtype=bool)
+        live, place = np.arange(rows), np.full(rows, length)
+        while len(live):
+            size = back[live, place].astype(np.int64)
+            place = place - size
+            for one in np.unique(size):
+                same = size == one
+                ids[live[same], length - 1 - counts[live[same]]] = pieces[one - 1][live[same], place[same]]
+            spelled[live] |= (size == 1) & unknown[live, place]
+            counts[live] += 1
+            live, place = live[place > 0], place[place > 0]
+        used = np.arange(length) >= (length - counts)[:, None]
+        return ids[used & ~spelled[:, None]], np.where(spelled, -1, counts), best[:, -1]
+
+    def solve_all(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, numbers of ids, scores."""
+        lengths = np.array([len(each) for each in texts])
+        points = np.frombuffer("".join(texts).encode("utf-32-le", errors="surrogatepass"), dtype=np.uint32)
+        starts = np.cumsum(lengths) - lengths
+        parts: list = [np.zeros(0, dtype=np.int32)] * len(texts)
+        scores = np.zeros(len(texts), dtype=np.int64)
+        for length in np.unique(lengths):
+            rows = np.flatnonzero(lengths == length)
+            for at in range(0, len(rows), 20_000):
+                own = rows[at : at + 20_000]
+                if length > SHORT:
+                    for k in own:
+                        values, back = self.walk(texts[k], [0], 0)
+                        parts[k] = np.frombuffer(self.path(texts[k], back, len(texts[k]), 0)[0], dtype=np.int32)
+                        scores[k] = values[-1]
+                elif length:
+                    ids, counts, scores[own] = self.solve_short(points[starts[own, None] + np.arange(length)])
+                    ends = np.cumsum(np.maximum(counts, 0))
+                    for k, n, end in zip(own.tolist(), counts.tolist(), ends.tolist(), strict=True):
+                        if n < 0:
+                            _, back = self.walk(texts[k], [0], 0)
+                            parts[k] = np.frombuffer(self.path(texts[k], back, length, 0)[0], dtype=np.int32)
+                        else:
+                            parts[k] = ids[end - n : end]
+        ids = np.concatenate(parts) if parts else np.zeros(0, dtype=np.int32)
+        return ids, np.array([len(each) for each in parts], dtype=np.int64), scores
+
+    def learn(self, stretches: set[str]) -> None:
+        """Ids and scores of stretches, kept for the next time."""
+        texts = list(stretches)
+        ids, counts, scores = self.solve_all(texts)
+        data, ends = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        starts = [0, *ends][:-1]
+        self.known.update((each, data[a:b]) for each, a, b in zip(texts, starts, ends, strict=True))
+        self.scores.update(zip(texts, scores.tolist(), strict=True))
+
+    def forget_long(self, stretches: set[str]) -> None:
+        for each in stretches:
+            if len(each) > CACHED_CHARS:
+                del self.known[each], self.scores[each]
+
+    def parted(self, texts: list[str]) -> tuple[list[list[str]], set[str]]:
+        """The stretches of texts, and those that were not known; all of them are now."""
+        lists = [self.stretch.findall(text) for text in texts]
+        wanted = set().union(*lists)
+        new = wanted.difference(self.known)
+        if len(self.known) + len(new) > CACHED:
+            self.known, self.scores, new = {}, {}, wanted
+        self.learn(new)
+        return lists, new
+
+    def encode_texts(self, texts: list[str]) -> list[bytes]:
+        """Ids of texts, 32 bits each, by their stretches."""
+        lists, new = self.parted([SPACE + text.replace(" ", SPACE) if text else "" for text in texts])
+        found = [b"".join(map(self.known.__getitem__, each)) for each in lists]
+        self.forget_long(new)
         return found
 
     def encode(self, text: str) -> bytes:
-        """Ids of a text, 32 bits each."""
-        if not text:
-            return b""
-        stretches = self.stretch.findall(SPACE + text.replace(" ", SPACE))
-        try:
-            return b"".join([self.known[each][0] for each in stretches])
-        except KeyError:
-            return b"".join([self.best(each)[0] for each in stretches])
-
-    def decode(self, ids: list[int]) -> str:
-        joined = b"".join(map(self.raw.__getitem__, ids)).decode(errors="replace")
+        return self.encode_texts([text])[0]
+
+    def encode_batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts in a row, and where each text ends.
+
+        Of texts without runs of spaces or marks the different words are looked up once; the others go by stretches.
+        """
+        if self.words.full():
+            self.words = Known("<i4")
+        lists = pc.split_pattern(texts, " ")
+        coded = lists.flatten().dictionary_encode()
+        marked = pc.binary_join_element_wise(pa.scalar(SPACE), coded.dictionary, "")
+        places = self.words.places(marked, lambda words: self.solve_all(words)[:2])
+        used = places[coded.indices.to_numpy()]
+        bounds = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+        odd = np.ones(len(texts), dtype=bool)
+        if self.parted_at_spaces:
+            odd = pc.match_substring_regex(texts, f"^ |  |{SPACE}").to_numpy(zero_copy_only=False)
+        empty = pc.equal(texts, "").to_numpy(zero_copy_only=False)
+        owner = np.repeat(np.arange(len(texts)), np.diff(bounds))
+        used[(odd | empty)[owner]] = 0
+        lengths = self.words.lengths[used]
+        ends = np.cumsum(lengths)
+        shift = (np.cumsum(self.words.lengths) - self.words.lengths)[used] - (ends - lengths)
+        ids = self.words.ids[np.repeat(shift, lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        ends = np.concatenate([[0], ends])[bounds]
+        if not odd.any():
+            return ids, ends[1:]
+        rows = np.flatnonzero(odd)
+        own = self.encode_texts(texts.take(pa.array(rows)).to_pylist())
+        parts = [ids[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for row, data in zip(rows.tolist(), own, strict=True):
+            parts[row] = np.frombuffer(data, dtype="<i4")
+        return np.concatenate(parts), np.cumsum([len(each) for each in parts])
+
+    def decode(self, ids: np.ndarray) -> str:
+        joined = b"".join(self.pieces_as[ids].tolist()).decode(errors="replace")
         return joined.replace(SPACE, " ")[1:]
 
     def parts(self, text: str, start: int) -> tuple[int, int] | None:
-        """The first place after ``start`` that no piece spans, and the last one before the end nodes."""
+        """A place after ``start`` that no piece spans, the first one, and the last before the end nodes."""
         last = len(text) - self.reach
-        places = [found.start() for found in self.stretch.finditer(text, start) if start < found.start() <= last]
-        return (places[0], places[-1]) if places else None
-
-    def middle(self, text: str, first: int, last: int) -> list[tuple[bytes, int]]:
-        return [self.best(found[0]) for found in self.stretch.finditer(text, first, last)]
+        places = (found.start() for found in self.stretch.finditer(text, start))
+        first = next((place for place in places if place > start), None)
+        if first is None or first > last:
+            return None
+        near = max(first, text.rfind(SPACE, first, last))  # a stretch starts there or has run of marks
+        while near > first and text[near - 1] == SPACE:
+            near -= 1
+        final = first
+        for found in self.stretch.finditer(text, near):
+            if found.start() > last:
+                break
+            final = found.start()
+        return first, final
+
+    def middle(self, text: str, first: int, last: int) -> tuple[bytes, int]:
+        """Ids and score between two places that no piece spans."""
+        lists, new = self.parted([text[first:last]])
+        ids = b"".join(map(self.known.__getitem__, lists[0]))
+        score = sum(map(self.scores.__getitem__, lists[0]))
+        self.forget_long(new)
+        return ids, score
 
     def matrix(self, text: str, start: int) -> np.ndarray:
         """Scores from the nodes up to ``start`` to the nodes at the end, by distance from either."""
@@ -148,7 +353,7 @@ class Unigram:
         head = text[: cut[0]] if cut else text
         rows = np.full((size, size), NEVER, dtype=np.int64)
         if cut:
-            between = sum(score for _, score in self.middle(text, *cut))
+            _, between = self.middle(text, *cut)
             tail, _ = self.walk(text[cut[1] :], [0], 0)
         for behind in range(min(size, start + 1)):
             values = [NEVER] * (start + 1)
@@ -191,9 +396,8 @@ class Unigram:
         first, last = cut
         tail = text[last:]
         _, tail_back = self.walk(tail, [0], 0)
-        ids = [self.path(head, back, first, start)[0]]
-        ids += [each for each, _ in self.middle(text, first, last)]
-        return b"".join([*ids, self.path(tail, tail_back, len(tail) - left, 0)[0]])
+        ids, _ = self.middle(text, first, last)
+        return self.path(head, back, first, start)[0] + ids + self.path(tail, tail_back, len(tail) - left, 0)[0]
 
 
 @lru_cache(maxsize=2)
@@ -263,12 +467,15 @@ def per_chunk(chunks: DataFrame, path: str, work, kind: str, arrow: pa.DataType)
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram(path)
         for batch in batches:
-            for k in range(batch.num_rows):
-                row = {name: batch.column(i)[k].as_py() for i, name in enumerate(batch.schema.names)}
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([row["at"]], pa.int64()), pa.array([row["chunk"]], pa.int32()), pa.array([work(model, row)], arrow)],
-                    names=["at", "chunk", "made"],
-                )
+            for at in range(0, batch.num_rows, TOGETHER):
+                rows = batch.slice(at, TOGETHER).to_pylist()
+                model.parted([row["text"] for row in rows])
+                columns = [
+                    pa.array([row["at"] for row in rows], pa.int64()),
+                    pa.array([row["chunk"] for row in rows], pa.int32()),
+                    pa.array([work(model, row) for row in rows], arrow),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=["at", "chunk", "made"])
 
     return chunks.mapInArrow(made, f"at long, chunk int, made {kind}")
 
@@ -324,12 +531,11 @@ def encode(docs: DataFrame, path: str, text: str = "text", chunk_chars: int = CH
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                ids = [model.encode(each or "") for each in part.column(0).field(text).to_pylist()]
-                ends = np.cumsum([0, *(len(each) // 4 for each in ids)])
-                values = pa.array(np.frombuffer(b"".join(ids), dtype="<i4"))
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values)
+            sizes = pc.binary_length(batch.column(0).field(text)).fill_null(0).to_numpy()
+            for part in slices(batch, sizes):
+                ids, ends = model.encode_batch(pc.fill_null(part.column(0).field(text), ""))
+                ends = pa.array(np.concatenate([[0], ends]), pa.int32())
+                lists = pa.ListArray.from_arrays(ends, pa.array(ids))
                 yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
 
     short = held.filter(~long).mapInArrow(encoded, schema)
@@ -350,7 +556,9 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
         for batch in batches:
             for at in range(0, batch.num_rows, 500):
                 part = batch.slice(at, 500)
-                texts = [model.decode(ids) for ids in part.column(place).to_pylist()]
+                lists = part.column(place)
+                ids, ends = lists.flatten().to_numpy(), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+                texts = [model.decode(ids[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=schema.names)
 
     return rows.mapInArrow(decoded, schema)

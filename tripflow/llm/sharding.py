@@ -17,6 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import PythonException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +27,8 @@ from tripflow.session import stage
 
 SHARDS = 24
 SEED = 20
+TRIES = 3
+RECOUNT = "rows in a partition than were counted"
 
 
 def hypergeometric(good: int, bad: int, drawn: int, rng: np.random.Generator) -> int:
@@ -66,7 +69,17 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     Contents play no part: NULLs, equal rows and any columns are shuffled like others. With fewer
     rows than shards the last shards are empty; an empty table gives no rows.
     """
-    held = packed(docs)
+    for attempt in range(TRIES):
+        try:
+            return placed_rows(packed(docs), shards, seed + attempt)
+        except PythonException as error:
+            if RECOUNT not in str(error) or attempt + 1 == TRIES:
+                raise
+
+
+def placed_rows(held: DataFrame, shards: int, seed: int) -> DataFrame:
+    """One attempt. The scan may be split otherwise when it runs again (executors came or went); a task
+    that finds other rows than were counted ends it."""
     counts = held.groupBy(F.spark_partition_id().alias("part")).count().collect()  # a row per task
     sizes = {row["part"]: row["count"] for row in counts}
     order = sorted(sizes)
@@ -81,18 +94,20 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
         for batch in batches:
             if labels is None:  # the column says where the rows were counted, whoever asks for them
                 part = batch.column(1)[0].as_py()
+                if part not in wanted:
+                    raise RuntimeError(f"more {RECOUNT}")
                 rng = np.random.default_rng([seed, 1, part])
                 labels = np.repeat(np.arange(shards, dtype=np.int32), wanted[part])
                 rng.shuffle(labels)
             own = labels[at : at + batch.num_rows]
             at += batch.num_rows
             if at > len(labels):
-                raise RuntimeError("the partition holds more rows than were counted")
+                raise RuntimeError(f"more {RECOUNT}")
             draw = rng.integers(-(2**63), 2**63 - 1, batch.num_rows)
             columns = [batch.column(0), pa.array(own), pa.array(draw)]
             yield pa.RecordBatch.from_arrays(columns, names=schema.names)
         if at and at < len(labels):
-            raise RuntimeError("the partition holds fewer rows than were counted")
+            raise RuntimeError(f"fewer {RECOUNT}")
 
     exchanged = stage(
         held.withColumn("part", F.spark_partition_id())
