@@ -138,7 +138,7 @@ def test_matrices_combine_in_any_order(model):
 @pytest.mark.parametrize("chunk", [40, 3000])
 def test_documents_are_encoded_whole(spark, model, chunk):
     docs = clashing(frame(spark))
-    rows = sp.decode(sp.encode(docs.drop("ids"), PATH, chunk_chars=chunk), PATH).select("row.doc_id", "row.text", "ids", "decoded").collect()
+    rows = sp.encode(docs, PATH, chunk_chars=chunk, decoded=True).select("row.doc_id", "row.text", "ids", "decoded").collect()
     assert len(rows) == len(documents())
     for row in rows:
         assert row["ids"] == ids_of(model.encode(row["text"] or ""))
@@ -147,3 +147,4 @@ def test_documents_are_encoded_whole(spark, model, chunk):
 
 def test_empty_table(spark):
     assert sp.decode(sp.encode(frame(spark, []), PATH), PATH).count() == 0
+    assert sp.encode(frame(spark, []), PATH, decoded=True).count() == 0

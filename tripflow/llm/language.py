@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.text import packed, table
+from tripflow.llm.text import bounded_batches, packed, table
 
 UNKNOWN = "und"
 N = 4
@@ -170,6 +170,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     has learned no language. Ties go to the first language by name. Other columns travel in ``row``. An
     empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     kept = packed(docs)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB for each 8 languages
 

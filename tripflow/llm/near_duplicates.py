@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import connected_components
-from tripflow.llm.text import table, whole
+from tripflow.llm.text import bounded_batches, table, whole
 from tripflow.session import stage
 
 WORDS = 3
@@ -44,7 +44,7 @@ LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 BASE = np.uint64(0x9E3779B97F4A7C15)
 _rng = np.random.default_rng(7)
 BYTE_CODES = _rng.integers(1, 2**63, 256, dtype=np.uint64) | np.uint64(1)
-PIECE = 4 << 20
+PIECE = 1 << 20
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -125,8 +125,8 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
 
 def texts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 500):
-            part = batch.slice(at, 500)
+        for at in range(0, batch.num_rows, 250):
+            part = batch.slice(at, 250)
             yield part, shingle_sets(part.column(column).to_pylist())
 
 
@@ -391,6 +391,7 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     set and is its own component. Rows of one id are one document as far as ``component`` goes; NULL ids
     are passed over when the smallest is sought. An empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     named = docs.select(F.col(key).cast("long").alias("id"), whole(F.col(text)).alias("text"))
     rows = described(named)
     counts = np.zeros(BUCKETS, dtype=np.int64)

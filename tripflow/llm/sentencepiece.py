@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.text import packed, table, whole
+from tripflow.llm.text import bounded_batches, packed, table, whole
 from tripflow.llm.token_files import Known, slices
 from tripflow.session import stage
 
@@ -231,8 +231,8 @@ class Unigram:
         scores = np.zeros(len(texts), dtype=np.int64)
         for length in np.unique(lengths):
             rows = np.flatnonzero(lengths == length)
-            for at in range(0, len(rows), 20_000):
-                own = rows[at : at + 20_000]
+            for at in range(0, len(rows), 5_000):
+                own = rows[at : at + 5_000]
                 if length > SHORT:
                     for k in own:
                         values, back = self.walk(texts[k], [0], 0)
@@ -516,17 +516,22 @@ def encode_giants(giants: DataFrame, path: str, chunk_chars: int) -> DataFrame:
     return ids.groupBy("at").agg(F.flatten(F.transform(ordered, lambda part: part["made"])).alias("ids"))
 
 
-def encode(docs: DataFrame, path: str, text: str = "text", chunk_chars: int = CHUNK) -> DataFrame:
-    """All rows as struct ``row`` with ``ids`` (array<int>) of the whole text.
+def encode(
+    docs: DataFrame, path: str, text: str = "text", chunk_chars: int = CHUNK, decoded: bool = False
+) -> DataFrame:
+    """All rows as struct ``row`` with ``ids`` (array<int>) of the whole text, on request ``decoded`` again.
 
     NULL and empty texts have no ids. Characters outside the vocabulary become bytes. Rows are told
     apart by where they were read, so ids may be NULL or repeated; other columns travel in ``row``. An
     empty table gives no rows. ``chunk_chars`` is at least the length of the longest piece.
     """
+    bounded_batches(docs.sparkSession)
     held = packed(docs)
     inside = F.col(f"row.`{text}`")
     long = F.length(whole(inside)) > chunk_chars
-    schema = T.StructType(held.schema.fields + [T.StructField("ids", T.ArrayType(T.IntegerType()))])
+    added = [T.StructField("ids", T.ArrayType(T.IntegerType()))]
+    added += [T.StructField("decoded", T.StringType())] if decoded else []
+    schema = T.StructType(held.schema.fields + added)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = unigram(path)
@@ -534,16 +539,20 @@ def encode(docs: DataFrame, path: str, text: str = "text", chunk_chars: int = CH
             sizes = pc.binary_length(batch.column(0).field(text)).fill_null(0).to_numpy()
             for part in slices(batch, sizes):
                 ids, ends = model.encode_batch(pc.fill_null(part.column(0).field(text), ""))
-                ends = pa.array(np.concatenate([[0], ends]), pa.int32())
-                lists = pa.ListArray.from_arrays(ends, pa.array(ids))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=["row", "ids"])
+                bounds = np.concatenate([[0], ends])
+                columns = [part.column(0), pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))]
+                if decoded:
+                    spans = zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)
+                    columns.append(pa.array([model.decode(ids[a:b]) for a, b in spans], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     short = held.filter(~long).mapInArrow(encoded, schema)
     giants = stage(held.filter(long).withColumn("at", F.monotonically_increasing_id()), "pieces-giants")
     if giants.isEmpty():
         return short
     ids = encode_giants(giants.select("at", inside.alias("text")), path, chunk_chars)
-    return short.unionByName(giants.join(ids, "at").select("row", "ids"))
+    long_rows = giants.join(ids, "at").select("row", "ids")
+    return short.unionByName(decode(long_rows, path) if decoded else long_rows)
 
 
 def decode(rows: DataFrame, path: str) -> DataFrame:
@@ -571,7 +580,7 @@ def encoded_documents(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model") -
 def op1_sentencepiece(spark, sf_dir: str, tokenizer: str = "piece_bpe_32k.model") -> DataFrame:
     path = public_tokenizers.path(tokenizer)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    rows = decode(encode(docs, path), path)
+    rows = encode(docs, path, decoded=True)
     text = whole(F.col("row.text"))
     return rows.select(
         "row.doc_id",

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.llm.text import packed, table, whole
+from tripflow.llm.text import bounded_batches, packed, table, whole
 from tripflow.session import stage
 
 SHARDS = 24
@@ -69,6 +69,7 @@ def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataF
     Contents play no part: NULLs, equal rows and any columns are shuffled like others. With fewer
     rows than shards the last shards are empty; an empty table gives no rows.
     """
+    bounded_batches(docs.sparkSession)
     for attempt in range(TRIES):
         try:
             return placed_rows(packed(docs), shards, seed + attempt)

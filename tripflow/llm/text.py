@@ -13,6 +13,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def bounded_batches(spark: SparkSession, rows: int = 2_000) -> None:
+    """Fewer rows per Arrow batch, where the session has left Spark's default: rows hold whole texts."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(setting) == "10000":
+        spark.conf.set(setting, rows)
+
+
 def whole(text: Column) -> Column:
     """The text, with NULL as empty."""
     return F.coalesce(text, F.lit(""))

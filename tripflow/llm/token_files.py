@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tripflow.llm import rans
-from tripflow.llm.text import table, whole
+from tripflow.llm.text import bounded_batches, table, whole
 from tripflow.session import scratch_path, stage
 
 END_ID = 2
@@ -189,6 +189,7 @@ def write_tokens(docs: DataFrame, out: str, path: str, key: str = "doc_id", text
     or NULL keys (these come first) are separate documents. An empty table writes empty folders.
     """
     spark = docs.sparkSession
+    bounded_batches(spark)
     ids = stage(encode_documents(docs, path, key, text, end_id), "token-ids")
     width = encoder(path).width
     freq = frequency_table(ids, width)
