@@ -5,11 +5,16 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 
-def delete_insert(target: DataFrame, batch: DataFrame, key: Sequence[str]) -> DataFrame:
+def delete_insert(
+    target: DataFrame, batch: DataFrame, key: Sequence[str], replaced: DataFrame | None = None
+) -> DataFrame:
     """Target rows whose key is not in the batch, then all rows of the batch.
 
     Only distinct keys of the batch meet the target, so a key repeated many times in the
-    batch costs one row; a NULL key deletes nothing.
+    batch costs one row; a NULL key deletes nothing. ``replaced`` are those keys where a caller
+    has written them: from files Spark knows their size before it plans, and when they are few
+    the wide target is not shuffled.
     """
-    replaced = batch.select(*key).distinct()
+    if replaced is None:
+        replaced = batch.select(*key).distinct()
     return target.join(replaced, list(key), "left_anti").unionByName(batch)

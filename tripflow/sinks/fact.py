@@ -42,19 +42,21 @@ def upsert_fact(spark: SparkSession, path: str, batch: DataFrame) -> None:
     """Delete by ``trip_id`` and insert, rewriting only the months the batch has rows in.
 
     A trip's key covers its pickup time, so equal keys share a month. The batch is staged
-    because it is read three times, and the copy deleted at the end. Its months, at most 12 per
+    because it is read several times, and the copy deleted at the end. Its months, at most 12 per
     calendar year, come to the driver so that the target's partitions are pruned by literals. Trips
     without a pickup time make a partition of their own, which is read and rewritten like a month.
     """
-    copy = scratch_path(spark, "fact-batch")
+    copy, keys = scratch_path(spark, "fact-batch"), scratch_path(spark, "fact-keys")
     batch.write.parquet(copy)
     batch = spark.read.schema(batch.schema).parquet(copy)
+    batch.select("trip_id").distinct().write.parquet(keys)
     undated = not batch.filter("pickup_datetime IS NULL").isEmpty()
     stored = read_fact(spark, path)
     touched = of_months(stored, months_of(batch, "pickup_datetime"), undated)
-    merged = delete_insert(touched, batch, ["trip_id"])
+    merged = delete_insert(touched, batch, ["trip_id"], spark.read.schema("trip_id string").parquet(keys))
     replace_partitions(_by_month(merged), path, FACT_PARTITIONS)
-    drop_path(spark, copy)
+    for written in (copy, keys):
+        drop_path(spark, written)
 
 
 def append_new_trips(spark: SparkSession, path: str, silver: DataFrame) -> datetime | None:
