@@ -125,7 +125,7 @@ def placed_rows(held: DataFrame, shards: int, seed: int) -> DataFrame:
         "coalesce(sum(rows) OVER (PARTITION BY shard ORDER BY part ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)"
     )
     runs = runs.select("shard", "part", (before - F.col("first")).alias("shift"))
-    placed = exchanged.join(runs, ["shard", "part"])
+    placed = exchanged.join(F.broadcast(runs), ["shard", "part"])  # tasks + shards rows of three numbers
     return placed.select("row", "shard", (F.col("at") + F.col("shift")).alias("slot"))
 
 
