@@ -48,6 +48,7 @@ BLOCK = 64
 CACHED = 200_000
 TOGETHER = 64  # chunks whose stretches are solved in one go
 CACHED_CHARS = 64
+KNOWN = 400_000
 SHORT = 24
 WHOLE = "(?s:.+)"
 NEVER = -(10**15)
@@ -134,7 +135,7 @@ class Unigram:
         self.stretch = re.compile(self.stretches())
         self.parted_at_spaces = self.stretch.pattern != WHOLE
         self.index = Index(list(self.pieces), [k for k, _ in self.pieces.values()], scores)
-        self.words = Known("<i4")
+        self.words = Known("<i4", KNOWN)
         self.known: dict[str, bytes] = {}
         self.scores: dict[str, int] = {}
 
@@ -290,7 +291,7 @@ class Unigram:
         Of texts without runs of spaces or marks the different words are looked up once; the others go by stretches.
         """
         if self.words.full():
-            self.words = Known("<i4")
+            self.words = Known("<i4", KNOWN)
         lists = pc.split_pattern(texts, " ")
         coded = lists.flatten().dictionary_encode()
         marked = pc.binary_join_element_wise(pa.scalar(SPACE), coded.dictionary, "")

@@ -46,13 +46,14 @@ PLAIN = rf"^(?P<word>[{LETTERS}]+)(?P<tail>[.,;:!?*&%$#()\[\]{{}}/=+-]*)$"
 class Known:
     """Strings with their ids; item 0 is the empty string."""
 
-    def __init__(self, width: str):
+    def __init__(self, width: str, limit: int = CACHED_WORDS):
+        self.limit = limit
         self.items = pa.array([""])
         self.ids = np.zeros(0, dtype=width)
         self.lengths = np.zeros(1, dtype=np.int64)
 
     def full(self) -> bool:
-        return len(self.items) > CACHED_WORDS or self.items.nbytes > CACHED_BYTES
+        return len(self.items) > self.limit or self.items.nbytes > CACHED_BYTES
 
     def places(self, wanted: pa.Array, encode) -> np.ndarray:
         """Where the strings are in ``items``, which learns those it lacks."""
@@ -87,7 +88,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.words, self.rest = Known(self.width), Known(self.width)
+        self.words, self.rest = Known(self.width, CACHED_WORDS), Known(self.width, CACHED_WORDS)
 
     def each(self, items: list[str]) -> tuple[np.ndarray, np.ndarray]:
         found = [one.ids for one in self.tokenizer.encode_batch_fast(items, add_special_tokens=False)]
