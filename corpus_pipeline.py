@@ -14,6 +14,9 @@ from tripflow.llm.text import table
 from tripflow.session import stage
 
 
+NEAR_WORDS, NEAR_PERCENT = 5, 80
+
+
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without a letter: no language can be told. The rest stays, whatever its language."""
     found = language.identify(docs, language.fit_unheld(docs))
@@ -25,8 +28,8 @@ def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest id."""
-    return near_duplicates.drop_near_duplicates(docs)
+    """One document of each component stays, the one with the smallest id. Five-word n-grams, Jaccard 0.8 or more."""
+    return near_duplicates.drop_near_duplicates(docs, words=NEAR_WORDS, percent=NEAR_PERCENT)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import corpus_pipeline
 from tests.compare import connect, difference
-from tests.llm.cases import components, documents, frame
+from tests.llm.cases import components, documents, frame, shingles
 from tripflow.llm import registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -37,6 +37,21 @@ def test_filtering_stages_match_brute_force(spark):
     assert sum(row["doc_id"] is None for row in found) == 1
 
 
+def five_word_likeness(one, other):
+    ours, theirs = shingles(one, 5), shingles(other, 5)
+    return len(ours & theirs) / len(ours | theirs)
+
+
+def test_near_stage_links_at_five_words_and_four_fifths(spark):
+    base = [f"w{k}" for k in range(200)]
+    changed = lambda places: " ".join("new" + word if k in places else word for k, word in enumerate(base))
+    texts = [" ".join(base), changed({40, 80, 120, 160}), changed({20, 50, 80, 110, 140, 170})]
+    assert five_word_likeness(texts[0], texts[1]) > 0.8 > five_word_likeness(texts[0], texts[2])
+    assert five_word_likeness(texts[1], texts[2]) < 0.8
+    docs = frame(spark, [(k, text, "en", "s1", 0) for k, text in enumerate(texts)])
+    assert sorted(row["doc_id"] for row in corpus_pipeline.near_stage(spark, docs, FOLDER).collect()) == [0, 2]
+
+
 def test_run_encodes_every_copy_of_the_mix(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     per_doc = rows.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n"), F.countDistinct("ids").alias("versions")).collect()

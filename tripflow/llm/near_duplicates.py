@@ -29,8 +29,7 @@ from tripflow.llm.components import connected_components
 from tripflow.llm.text import bounded_batches, table, whole
 from tripflow.session import stage
 
-WORDS = 3
-PERCENT = 90
+WORDS, PERCENT = 3, 90  # the contract of op7
 BUCKETS = 1 << 18
 SKETCH_WORDS = 16  # of 64 bits
 HOT = 1024
@@ -123,19 +122,21 @@ def prefix_length(n: int, percent: int = PERCENT) -> int:
     return n - -(-percent * n // 100) + 1
 
 
-def texts_of(batches: Iterator[pa.RecordBatch], column: int) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
+def texts_of(
+    batches: Iterator[pa.RecordBatch], column: int, words: int
+) -> Iterator[tuple[pa.RecordBatch, list[np.ndarray]]]:
     for batch in batches:
         for at in range(0, batch.num_rows, 250):
             part = batch.slice(at, 250)
-            yield part, shingle_sets(part.column(column).to_pylist())
+            yield part, shingle_sets(part.column(column).to_pylist(), words)
 
 
-def described(named: DataFrame) -> DataFrame:
+def described(named: DataFrame, words: int) -> DataFrame:
     """A row per document (``id``, ``n``, ``class``, ``sketch``) and a row per task and bucket with its count."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(BUCKETS, dtype=np.int64)
-        for part, sets in texts_of(batches, 1):
+        for part, sets in texts_of(batches, 1, words):
             for grams in sets:
                 counts += np.bincount(buckets_of(grams), minlength=BUCKETS) if len(grams) > BUCKETS // 8 else 0
             small = [grams for grams in sets if 0 < len(grams) <= BUCKETS // 8]
@@ -161,13 +162,13 @@ def described(named: DataFrame) -> DataFrame:
     return stage(named.mapInArrow(made, "id long, n long, class long, sketch binary, bucket int"), "near-described")
 
 
-def prefix_rows(named: DataFrame, counts: np.ndarray, percent: int) -> DataFrame:
+def prefix_rows(named: DataFrame, counts: np.ndarray, words: int, percent: int) -> DataFrame:
     """``gram``, ``class``, ``n``, ``at``: the prefix of every class. A task tells recent copies by class."""
     shared = named.sparkSession.sparkContext.broadcast(counts)  # BUCKETS numbers
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequency, seen = shared.value, set()
-        for _, sets in texts_of(batches, 1):
+        for _, sets in texts_of(batches, 1, words):
             grams, owners, sizes, places = [], [], [], []
             for own in sets:
                 if not len(own) or (name := class_of(own)) in seen:
@@ -296,7 +297,7 @@ def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     return ordered.mapInArrow(made, "a long, b long").distinct()
 
 
-def needed_sets(named: DataFrame, classes: DataFrame) -> DataFrame:
+def needed_sets(named: DataFrame, classes: DataFrame, words: int) -> DataFrame:
     """``class`` and ``grams`` of the classes, found by another pass over the texts.
 
     A Bloom filter of fixed size tells which texts may be wanted; the join settles it.
@@ -318,7 +319,7 @@ def needed_sets(named: DataFrame, classes: DataFrame) -> DataFrame:
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits, seen = shared.value, set()
-        for _, sets in texts_of(batches, 1):
+        for _, sets in texts_of(batches, 1, words):
             names = np.array([class_of(own) if len(own) else 0 for own in sets], dtype=np.int64)
             wanted = np.array([len(own) > 0 for own in sets], dtype=bool)
             for place in bloom_places(names.view(np.uint64)):
@@ -384,25 +385,27 @@ def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
     return known.join(joined, "component", "left").select("node", F.coalesce("over", "component").alias("component")).distinct()
 
 
-def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
+def link_components(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """``id``, ``n`` (size of the n-gram set) and ``component``, the smallest id linked to it, per row.
 
-    Sets link when 100 * intersection >= percent * union. A text without words (NULL, empty) has an empty
+    Sets of n-grams of ``words`` words link when 100 * intersection >= percent * union. A text without words (NULL, empty) has an empty
     set and is its own component. Rows of one id are one document as far as ``component`` goes; NULL ids
     are passed over when the smallest is sought. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     named = docs.select(F.col(key).cast("long").alias("id"), whole(F.col(text)).alias("text"))
-    rows = described(named)
+    rows = described(named, words)
     counts = np.zeros(BUCKETS, dtype=np.int64)
     for row in rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
         counts[row["bucket"]] = row["n"]  # BUCKETS rows at most
     members = rows.filter("bucket IS NULL")
     sketches = members.filter("class IS NOT NULL").groupBy("class").agg(F.first("sketch").alias("sketch"))
-    shared = stage(shared_rows(prefix_rows(named, counts, percent), sketches, percent), "near-shared")
+    shared = stage(shared_rows(prefix_rows(named, counts, words, percent), sketches, percent), "near-shared")
     first = stage(compared(shared.withColumn("component", F.col("class")), percent, nearest=True), "near-first")
     classes = stage(first.select(F.col("a").alias("class")).union(first.select("b")).distinct(), "near-classes")
-    sets = needed_sets(named, classes)
+    sets = needed_sets(named, classes, words)
     links = stage(verified(first, sets, percent), "near-links")
     components = connected_components(links)
     # A class without any pair so far has none.
@@ -417,9 +420,12 @@ def link_components(docs: DataFrame, key: str = "doc_id", text: str = "text", pe
     )
 
 
-def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def drop_near_duplicates(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
+) -> DataFrame:
     """The document with the smallest id of each component, with the columns of ``docs``."""
-    found = link_components(docs, key, text).filter("id <=> component").select(F.col("id").alias("_kept_id")).distinct()
+    linked = link_components(docs, key, text, words, percent)
+    found = linked.filter("id <=> component").select(F.col("id").alias("_kept_id")).distinct()
     return docs.join(found, docs[key].eqNullSafe(found["_kept_id"]), "left_semi")
 
 
