@@ -37,6 +37,37 @@ def test_anchors_do_not_depend_on_what_is_around(spark):
     assert max(set(offsets), key=offsets.count) == 11
 
 
+def test_all_anchors_of_a_long_text_are_kept(spark):
+    rows = spark.createDataFrame([(prose(21, 3000),), (prose(22, 150) * 3,)], "text string")
+    inner = fingerprints.neighbours(fingerprints.word_hashes(F.col("text")), fingerprints.S - 1, lambda a, b: F.xxhash64(a, b))
+    found = fingerprints.with_fingerprint(rows.withColumn("s", inner), F.col("text"), "f")
+    for row in found.select("f", "s").collect():
+        assert row["f"]["position"] == brute_anchors(row["s"])
+        assert len(row["f"]["hash"]) == len(row["f"]["position"])
+
+
+def test_a_shared_passage_shows_in_long_texts(spark, tmp_path):
+    passage = prose(30, 200)
+    texts = [f"{prose(31, 9000)} {passage} {prose(32, 9000)}", f"{prose(33, 6000)} {passage} {prose(34, 12000)}"]
+    rows = [(k, text, None, None, 0) for k, text in enumerate(texts)]
+    frame(spark, rows).write.parquet(str(tmp_path / "documents.parquet"))
+    found = fingerprints.op5_fingerprints(spark, str(tmp_path)).collect()
+    for row in found:
+        anchors = len(row["fingerprint"].split())
+        assert anchors > 5000
+        assert 60 < row["near_next"] * 2 * anchors < 140
+        # A third is replaced, so half of all different anchors are shared.
+        assert abs(row["near_edited"] - 0.5) < 0.02
+
+
+def test_an_anchor_elsewhere_is_not_shared(spark):
+    kind = "struct<hash: array<int>, position: array<int>>"
+    rows = [(([1, 2, 3], [0, 2, 3]), ([1, 2, 3], [7, 9, 10])), (([1, 2, 3], [0, 2, 3]), ([1, 2, 3], [0, 5, 9]))]
+    pairs = spark.createDataFrame(rows, f"a {kind}, b {kind}")
+    like = fingerprints.likeness(fingerprints.links(F.col("a")), fingerprints.links(F.col("b")))
+    assert [row["l"] for row in pairs.select(like.alias("l")).collect()] == [1.0, 0.2]
+
+
 def found_schema(_):
     kind = "struct<hash: array<int>, position: array<int>>"
     return f"a {kind}, b {kind}"

@@ -18,7 +18,6 @@ from tripflow.llm.text import SPACE, packed, table, whole
 
 K, S = 5, 2
 W = K - S + 1  # inner substrings of K words
-SKETCH = 64
 BUCKET_ROWS = 4_000
 
 
@@ -40,11 +39,11 @@ def neighbours(items: Column, by: int, combine) -> Column:
     return F.zip_with(kept, shifted(items, by), combine)
 
 
-def with_fingerprint(rows: DataFrame, text: Column, name: str, size: int = SKETCH) -> DataFrame:
-    """Adds ``name``: the ``size`` anchors of least hash, ``hash`` in order beside ``position``, the
-    place of the first such anchor. The hash has 31 bits, so that both are arrays of int.
+def with_fingerprint(rows: DataFrame, text: Column, name: str, size: int | None = None) -> DataFrame:
+    """Adds ``name``: all anchors in order of ``position``, with ``hash`` beside it. The hash has 31 bits,
+    so that both are arrays of int.
 
-    Texts with no more than ``size`` different anchors are represented in full.
+    With ``size`` it is a sketch: only so many different anchors of least hash, each at its first place.
     """
     words, inner, least, closed, hashes = (f"{name}_{part}" for part in "wilch")
     rows = rows.withColumn(words, word_hashes(text))
@@ -57,43 +56,61 @@ def with_fingerprint(rows: DataFrame, text: Column, name: str, size: int = SKETC
     rows = rows.withColumn(closed, F.filter(places, lambda i: i.isNotNull()))
     anchor = lambda i: F.xxhash64(F.get(inner, i), F.get(inner, i + S), F.get(inner, i + W - 1))
     rows = rows.withColumn(hashes, F.transform(closed, lambda i: anchor(i).bitwiseAND(F.lit(2**31 - 1)).cast("int")))
-    chosen = F.slice(F.array_sort(F.array_distinct(hashes)), 1, size)
-    place = lambda h: F.get(closed, (F.array_position(hashes, h) - 1).cast("int"))
-    rows = rows.withColumn(least, chosen)
-    sketch = F.struct(F.col(least).alias("hash"), F.transform(least, place).alias("position"))
-    return rows.withColumn(name, sketch).drop(words, inner, least, closed, hashes)
+    found = F.struct(F.col(hashes).alias("hash"), F.col(closed).alias("position"))
+    if size is not None:
+        place = lambda h: F.get(closed, (F.array_position(hashes, h) - 1).cast("int"))
+        rows = rows.withColumn(least, F.slice(F.array_sort(F.array_distinct(hashes)), 1, size))
+        found = F.struct(F.col(least).alias("hash"), F.transform(least, place).alias("position"))
+    return rows.withColumn(name, found).drop(words, inner, least, closed, hashes)
 
 
 def as_text(fingerprint: Column) -> Column:
-    """``position:hash`` of every anchor, in order of position."""
-    placed = F.array_sort(F.arrays_zip(fingerprint["position"].alias("position"), fingerprint["hash"].alias("hash")))
-    return F.array_join(
-        F.transform(placed, lambda a: F.concat(a["position"].cast("string"), F.lit(":"), F.lower(F.hex(a["hash"])))), " "
+    """``position:hash`` of every anchor, in the order of the fingerprint."""
+    shown = lambda at, h: F.concat(at.cast("string"), F.lit(":"), F.lower(F.hex(h)))
+    return F.array_join(F.zip_with(fingerprint["position"], fingerprint["hash"], shown), " ")
+
+
+def links(fingerprint: Column) -> Column:
+    """A hash for every anchor, of itself, the next anchor and the distance between them; the last has no next.
+
+    Two texts that share a link have two neighbouring anchors at one offset.
+    """
+    hashes, places = fingerprint["hash"], fingerprint["position"]
+    return F.transform(
+        hashes, lambda h, i: F.xxhash64(h, F.get(hashes, i + 1), F.get(places, i + 1) - F.get(places, i))
     )
 
 
-def likeness(one: Column, other: Column, size: int = SKETCH) -> Column:
-    """Jaccard likeness of the anchors: of the least hashes of both, the share that both have."""
-    ours, theirs = one["hash"], other["hash"]
-    both = F.slice(F.array_sort(F.array_union(ours, theirs)), 1, size)
-    shared = F.size(F.array_intersect(both, F.array_intersect(ours, theirs)))
-    return F.when(F.size(both) == 0, 1.0).otherwise(shared / F.size(both))
+def likeness(one: Column, other: Column) -> Column:
+    """Jaccard likeness of all different ``links``: anchors count as shared where their offset goes on to the next.
+
+    A passage that is moved as a whole stays shared; an anchor that occurs in other surroundings is not.
+    """
+    both = F.size(F.array_union(one, other))
+    return F.when(both == 0, 1.0).otherwise(F.size(F.array_intersect(one, other)) / both)
 
 
 def matches(one: Column, other: Column) -> Column:
-    """Shared anchors as (position in one, position in the other): what a passage's offset is read from."""
-    theirs = F.map_from_arrays(other["hash"], other["position"])
+    """Shared anchors as (position in one, position in the other): what a passage's offset is read from.
+
+    An anchor that is repeated is matched with all its places. For single pairs of texts: the work is
+    the product of both sizes.
+    """
+    theirs = F.arrays_zip(other["hash"].alias("hash"), other["position"].alias("position"))
     pairs = F.zip_with(
         one["hash"],
         one["position"],
-        lambda h, at: F.struct(at.alias("position"), F.try_element_at(theirs, h).alias("other")),
+        lambda h, at: F.transform(
+            F.filter(theirs, lambda anchor: anchor["hash"] == h),
+            lambda anchor: F.struct(at.alias("position"), anchor["position"].alias("other")),
+        ),
     )
-    return F.filter(pairs, lambda pair: pair["other"].isNotNull())
+    return F.flatten(pairs)
 
 
 def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
-    """Rows as struct ``row`` with ``text``, ``fingerprint``, and ``next``, ``next_fingerprint`` of the
-    document that follows in descending order of key.
+    """Rows as struct ``row`` with ``text``, and ``next``, the text of the document that follows in
+    descending order of key.
 
     NULL keys come last, equal keys go by a hash of the text, the last row is followed by the first.
     Rows are dealt to buckets of about ``bucket_rows`` neighbouring keys, bounded by quantiles (a number
@@ -114,26 +131,18 @@ def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_RO
     before = {head: order[k - 1][0] for k, (_, head) in enumerate(order)}
     held = packed(docs, rank=rank, bucket=bucket)
     inside = F.col(f"row.`{text}`")
-    held = with_fingerprint(held.withColumn("tie", F.xxhash64(whole(inside))), inside, "fingerprint")
+    held = held.withColumn("tie", F.xxhash64(whole(inside)))
     if before:
         lookup = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
         copies = F.array_compact(F.array(F.col("bucket"), F.try_element_at(lookup, F.col("rank"))))
     else:
         copies = F.array("bucket")
-    spread = held.select("row", "rank", "tie", "fingerprint", F.posexplode(copies).alias("copy", "bucket"))
+    spread = held.select("row", "rank", "tie", F.posexplode(copies).alias("copy", "bucket"))
     follows = Window.partitionBy("bucket").orderBy("copy", F.desc("rank"), "tie")
     # Whole columns lead, so that no second copy of a text goes through the exchange.
-    followed = spread.select(
-        "*",
-        F.lead("row").over(follows).alias("follower"),
-        F.lead("fingerprint").over(follows).alias("next_fingerprint"),
-    )
+    followed = spread.select("*", F.lead("row").over(follows).alias("follower"))
     return followed.filter("copy = 0").select(
-        "row",
-        whole(inside).alias("text"),
-        "fingerprint",
-        whole(F.col(f"follower.`{text}`")).alias("next"),
-        "next_fingerprint",
+        "row", whole(inside).alias("text"), whole(F.col(f"follower.`{text}`")).alias("next")
     )
 
 
@@ -163,7 +172,7 @@ def _halved(span: Column, table: Column, rank: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """All rows as struct ``row`` with the fingerprints of the text, of its edited form, and likenesses.
+    """All rows as struct ``row`` with the fingerprints of the text, of its edited form, and of the next text.
 
     The edited form has its last third replaced by the start of the next text. NULL texts are empty;
     a text without words has an empty fingerprint, and two empty ones are alike (1.0). Other columns
@@ -173,7 +182,10 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
     replaced = F.floor(F.col("n_chars") / 3).cast("int")
     kept = F.col("n_chars").cast("int") - replaced
     edited = F.concat(F.substring(F.col("text"), F.lit(1), kept), F.substring(F.col("next"), F.lit(1), replaced))
-    rows = with_fingerprint(rows.withColumn("edited", edited), F.col("edited"), "edited_fingerprint")
+    rows = rows.withColumn("edited", edited)
+    # Made again for the next text: anchors are not much smaller than the text they would travel with.
+    for source, name in (("text", "fingerprint"), ("edited", "edited_fingerprint"), ("next", "next_fingerprint")):
+        rows = with_fingerprint(rows, F.col(source), name)
     return rows.select(
         "row", "n_chars", "edited", "fingerprint", "edited_fingerprint", "next_fingerprint"
     )
@@ -182,12 +194,14 @@ def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> Da
 def op5_fingerprints(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     marked = fingerprints(docs)
+    names = ("fingerprint", "edited_fingerprint", "next_fingerprint")
+    marked = marked.withColumns({f"{name}_links": links(F.col(name)) for name in names})
     return marked.select(
         "row.doc_id",
         "n_chars",
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text(F.col("fingerprint")).alias("fingerprint"),
         as_text(F.col("edited_fingerprint")).alias("edited_fingerprint"),
-        likeness(F.col("fingerprint"), F.col("edited_fingerprint")).alias("near_edited"),
-        likeness(F.col("fingerprint"), F.col("next_fingerprint")).alias("near_next"),
+        likeness(F.col("fingerprint_links"), F.col("edited_fingerprint_links")).alias("near_edited"),
+        likeness(F.col("fingerprint_links"), F.col("next_fingerprint_links")).alias("near_next"),
     )
