@@ -98,6 +98,17 @@ def test_many_buckets_give_the_same_neighbours(spark):
     assert pairs(3) == pairs(10_000)
 
 
+def test_equal_and_null_keys_spread_over_buckets(spark):
+    keys = [None] * 200 + [7] * 200 + list(range(200))
+    rows = [(key, f"text {k}", None, None, 0) for k, key in enumerate(keys)]
+    docs = frame(spark, rows)
+    held, heads = fingerprints.dealt(docs, "doc_id", "text", 20)
+    sizes = [row["count"] for row in held.groupBy("bucket").count().collect()]
+    assert sum(sizes) == len(rows) and max(sizes) <= 60 and len(heads) == len(sizes)
+    pairs = lambda size: sorted(str(row) for row in fingerprints.with_next(docs, "doc_id", "text", size).select("text", "next").collect())
+    assert pairs(20) == pairs(10_000)
+
+
 def test_one_row_and_none(spark):
     assert fingerprints.fingerprints(frame(spark, [])).count() == 0
     row = fingerprints.with_next(frame(spark, [(1, "abc", None, None, 0)]), "doc_id", "text").first()

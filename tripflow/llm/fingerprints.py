@@ -11,6 +11,9 @@ All steps are array expressions within one row: shifted copies of the array of w
 
 from __future__ import annotations
 
+from collections import Counter
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -108,35 +111,50 @@ def matches(one: Column, other: Column) -> Column:
     return F.flatten(pairs)
 
 
+def dealt(docs: DataFrame, key: str, text: str, bucket_rows: int) -> tuple[DataFrame, list[tuple]]:
+    """Rows as struct ``row`` with ``rank``, ``tie`` and ``bucket``, and the head of every bucket in use.
+
+    Buckets follow the order of (rank descending, tie). Quantiles of the rank bound them; a rank that several
+    quantiles fall on has buckets of its own, which part the range of ``tie``. A head is (bucket, rank, tie).
+    """
+    rank = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
+    parts = max(1, docs.count() // bucket_rows)
+    shares = [(parts - i) / parts for i in range(1, parts)]
+    found = docs.select(F.percentile_approx(rank, shares, max(10_000, 100 * parts))).first()[0] if shares else []
+    times = Counter(found)
+    hot = {value: n for value, n in times.items() if n > 1}
+    bounds = sorted({*times, *(value + 1 for value in hot if value < 2**63 - 1)}, reverse=True)
+    pieces = [hot.get(low, 0) + 1 for low in bounds] + [1]
+    starts = list(accumulate(pieces, initial=0))[:-1]
+    held = packed(docs, rank=rank, tie=F.xxhash64(whole(F.col(text))), range=bucket_of(rank, bounds))
+    own = F.get(F.lit(pieces), F.col("range"))
+    piece = F.least(F.floor((F.col("tie") / F.lit(2.0**64) + 0.5) * own).cast("int"), own - 1)
+    held = held.select("row", "rank", "tie", (F.get(F.lit(starts), F.col("range")) + piece).alias("bucket"))
+    first = F.min(F.struct(F.bitwise_not("rank").alias("falling"), "tie")).alias("first")
+    heads = held.groupBy("bucket").agg(first).collect()  # a row per bucket
+    return held, sorted((row["bucket"], ~row["first"]["falling"], row["first"]["tie"]) for row in heads)
+
+
 def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     """Rows as struct ``row`` with ``text``, and ``next``, the text of the document that follows in
     descending order of key.
 
     NULL keys come last, equal keys go by a hash of the text, the last row is followed by the first.
-    Rows are dealt to buckets of about ``bucket_rows`` neighbouring keys, bounded by quantiles (a number
-    per bucket comes to the driver), and a bucket also gets a copy of the first row after it; so no
-    order is ever made over all rows in one task.
+    Rows are dealt to buckets of about ``bucket_rows`` neighbours in this order (some numbers per bucket
+    come to the driver), and a bucket also gets a copy of the first row after it; so no order is ever
+    made over all rows in one task. Only rows equal in key and text cannot be parted.
     """
-    rank = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    n = docs.count()
-    parts = max(1, n // bucket_rows)
-    shares = [(parts - i) / parts for i in range(1, parts)]
-    bounds = []
-    if shares:
-        bounds = docs.select(F.percentile_approx(rank, shares, max(10_000, 100 * parts))).first()[0]
-    bounds = sorted(set(bounds), reverse=True)
-    bucket = bucket_of(rank, bounds)
-    heads = docs.groupBy(bucket.alias("bucket")).agg(F.max(rank).alias("head")).collect()
-    order = sorted((row["bucket"], row["head"]) for row in heads)
-    before = {head: order[k - 1][0] for k, (_, head) in enumerate(order)}
-    held = packed(docs, rank=rank, bucket=bucket)
+    held, heads = dealt(docs, key, text, bucket_rows)
     inside = F.col(f"row.`{text}`")
-    held = held.withColumn("tie", F.xxhash64(whole(inside)))
-    if before:
-        lookup = F.create_map(*[F.lit(x) for pair in before.items() for x in pair])
-        copies = F.array_compact(F.array(F.col("bucket"), F.try_element_at(lookup, F.col("rank"))))
-    else:
-        copies = F.array("bucket")
+    copies = F.array("bucket")
+    if heads:
+        size = heads[-1][0] + 1
+        ranks, ties, before = [0] * size, [0] * size, [0] * size
+        for k, (bucket, rank, tie) in enumerate(heads):
+            ranks[bucket], ties[bucket], before[bucket] = rank, tie, heads[k - 1][0]
+        of_bucket = lambda values, kind: F.get(F.lit(values).cast(f"array<{kind}>"), F.col("bucket"))
+        leads = (F.col("rank") == of_bucket(ranks, "bigint")) & (F.col("tie") == of_bucket(ties, "bigint"))
+        copies = F.array_compact(F.array(F.col("bucket"), F.when(leads, of_bucket(before, "int"))))
     spread = held.select("row", "rank", "tie", F.posexplode(copies).alias("copy", "bucket"))
     follows = Window.partitionBy("bucket").orderBy("copy", F.desc("rank"), "tie")
     # Whole columns lead, so that no second copy of a text goes through the exchange.
