@@ -70,6 +70,15 @@ def test_one_document_of_each_component_stays(spark):
     assert sorted(row["doc_id"] for row in kept.collect()) == sorted(set(want.values()))
 
 
+def test_rows_without_an_id_and_with_one_id_are_told_apart(spark):
+    one, two = prose(61, 300), prose(62, 300)
+    rows = [(None, one), (None, one + " a"), (5, one + " b"), (7, two), (7, two + " a"), (None, prose(63, 50)), (None, "")]
+    docs = frame(spark, [(key, text, None, None, 0) for key, text in rows])
+    kept = near.drop_near_duplicates(docs).collect()
+    assert sorted(str(row["doc_id"]) for row in kept) == ["5", "7", "None", "None"]
+    assert {row["text"] for row in kept if row["doc_id"] is None} == {rows[5][1], ""}
+
+
 def test_sketches_never_exceed_the_difference():
     rng = np.random.default_rng(1)
     for size in (3, 300, 5000):

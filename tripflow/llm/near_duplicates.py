@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.components import connected_components
+from tripflow.llm.line_dedup import placed_rows
 from tripflow.llm.text import bounded_batches, table, whole
 from tripflow.session import stage
 
@@ -423,10 +424,15 @@ def link_components(
 def drop_near_duplicates(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """The document with the smallest id of each component, with the columns of ``docs``."""
-    linked = link_components(docs, key, text, words, percent)
-    found = linked.filter("id <=> component").select(F.col("id").alias("_kept_id")).distinct()
-    return docs.join(found, docs[key].eqNullSafe(found["_kept_id"]), "left_semi")
+    """One row of each component, with the columns of ``docs``: the one with the smallest id, NULL last.
+
+    Rows are told apart by their place in the order of the key, so ids may be NULL or repeated; which one
+    of equal ids stays is open. Rows without words all stay.
+    """
+    rows = placed_rows(docs, key)
+    linked = link_components(rows.select("at", F.col(f"row.`{text}`").alias("text")), "at", "text", words, percent)
+    found = linked.filter("id = component").select(F.col("id").alias("at"))
+    return rows.join(found, "at", "left_semi").select("row.*")
 
 
 def op7_near_duplicates(spark, sf_dir: str) -> DataFrame:
