@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripflow.llm import exact_dedup, language, mixing, near_duplicates, sentencepiece
-from tripflow.llm.text import table
+from tripflow.llm.text import table, whole
 from tripflow.session import stage
 
 
@@ -38,8 +38,11 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every copy in the mix."""
-    return sentencepiece.encoded_documents(docs).select("row.doc_id", "row.source", F.size("ids").alias("n_ids"), "ids")
+    """Token ids of every copy in the mix, and whether they decode to its text again."""
+    round_trip = F.col("decoded") == whole(F.col("row.text"))
+    return sentencepiece.encoded_documents(docs, decoded=True).select(
+        "row.doc_id", "row.source", F.size("ids").alias("n_ids"), "ids", round_trip.alias("round_trip")
+    )
 
 
 STAGES = [

@@ -59,6 +59,13 @@ def test_run_encodes_every_copy_of_the_mix(spark):
     assert rows.filter("n_ids != size(ids) OR n_ids = 0").isEmpty()
 
 
+def test_encoding_tells_texts_that_do_not_come_back(spark):
+    texts = ["some words", "a \u2581 mark", None, "", "漢字 é"]
+    docs = frame(spark, [(k, text, "en", "s1", 0) for k, text in enumerate(texts)])
+    found = {row["doc_id"]: row["round_trip"] for row in corpus_pipeline.encoding_stage(spark, docs, FOLDER).collect()}
+    assert found == {0: True, 1: False, 2: True, 3: True, 4: True}
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
     assert numbers == list(range(1, 11))

@@ -574,8 +574,8 @@ def decode(rows: DataFrame, path: str) -> DataFrame:
     return rows.mapInArrow(decoded, schema)
 
 
-def encoded_documents(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model") -> DataFrame:
-    return encode(docs, public_tokenizers.path(tokenizer))
+def encoded_documents(docs: DataFrame, tokenizer: str = "piece_bpe_32k.model", decoded: bool = False) -> DataFrame:
+    return encode(docs, public_tokenizers.path(tokenizer), decoded=decoded)
 
 
 def op1_sentencepiece(spark, sf_dir: str, tokenizer: str = "piece_bpe_32k.model") -> DataFrame:
