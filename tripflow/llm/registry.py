@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, exact_dedup, fingerprints, language, line_dedup, mixing, near_duplicates, sentencepiece, sharding, token_files
+from tripflow.llm import chat, exact_dedup, fingerprints, language, line_dedup, mixing, near_duplicates, repair, sentencepiece, sharding, token_files
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_language_id": language.op9_language_id,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op13_conversation_repair": repair.op13_conversation_repair,
 }
 
 SQL = {
