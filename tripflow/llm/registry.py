@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tripflow.llm import chat, exact_dedup, fingerprints, language, line_dedup, mixing, near_duplicates, repair, sentencepiece, sharding, suffix_tree, token_files
+from tripflow.llm import chat, exact_dedup, fingerprints, language, lexical, line_dedup, mixing, near_duplicates, repair, sentencepiece, sharding, suffix_tree, token_files
 
 QUERIES = {
     "op1_sentencepiece": sentencepiece.op1_sentencepiece,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_sharding": sharding.op8_sharding,
     "op9_language_id": language.op9_language_id,
     "op10_chat_formatting": chat.op10_chat_formatting,
+    "op11_lexical_search": lexical.op11_lexical_search,
     "op12_lm_scores": suffix_tree.op12_lm_scores,
     "op13_conversation_repair": repair.op13_conversation_repair,
 }
@@ -22,4 +23,5 @@ QUERIES = {
 SQL = {
     "op2_exact_dedup": exact_dedup.SQL,
     "op6_line_dedup": line_dedup.SQL,
+    "op11_lexical_search": lexical.SQL,
 }
