@@ -5,11 +5,13 @@ from __future__ import annotations
 import sys
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 from pathlib import Path
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,9 +51,10 @@ from tripflow.operators.sample import sample_rows
 from tripflow.operators.silver import keep_latest, rename_trips, silver_trips, valid_trips
 from tripflow.periods import target_periods
 from tripflow.plans import marts, suites
-from tripflow.plans.month import Layout, run_month
+from tripflow.plans.month import Layout, ensure_layers, refresh_late, run_month
 from tripflow.plans.star import FACT_VALUES, fact_from_bronze
 from tripflow.session import scratch_path, stage
+from tripflow.sinks import fact_runs
 from tripflow.sinks.bronze import load_landing, load_month
 from tripflow.sinks.fact import (
     append_new_trips,
@@ -60,6 +63,7 @@ from tripflow.sinks.fact import (
     upsert_fact,
     write_fact,
 )
+from tripflow.sinks.published import publish, publish_all
 from tripflow.sinks.tables import create_table, overwrite_table
 from tripflow.sources.landing import audit_landing, bronze_manifest, landing_path, read_landing
 from tripflow.sources.seeds import read_zone_seed
@@ -281,6 +285,16 @@ def fact_upsert_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, path).drop(AUDIT)
 
 
+def fact_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert on a published table, where only files with a replaced key are written again."""
+    layout = Layout(root=scratch_path(spark, "lake"), landing="", zone_csv="")
+    ensure_layers(spark, layout)
+    first, second = (batch_facts(spark, sf_dir, batch) for batch in (1, 2))
+    publish_all(spark, layout.fact, fact_runs.staged(first, layout.fact).values())
+    publish(spark, layout.fact, fact_runs.upsert_run(spark, layout.fact, second).folders)
+    return read_fact(spark, layout.fact).drop(AUDIT)
+
+
 def fact_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored fact of the first delivery, brought up to date for one reloaded year."""
     path = stored_fact(spark, batch_facts(spark, sf_dir, 1))
@@ -486,6 +500,48 @@ def month_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first.union(fact_summary(spark, layout, "with"))
 
 
+def mixed_deliveries(spark: SparkSession, sf_dir: str) -> tuple[Layout, DataFrame]:
+    """All trips as three deliveries that have trips of all pickup months each; and the trips with their delivery."""
+    root = scratch_path(spark, "lake")
+    trips = fixtures.clean_raw_trips(spark, sf_dir).withColumn("delivery", F.expr(fixtures.MIXED))
+    for month in (1, 2, 3):
+        write_delivery(trips.filter(F.col("delivery") == month).drop("delivery"), f"{root}/raw", month)
+    csv = f"{root}/zones"
+    fixtures.zone_seed(spark, sf_dir).coalesce(1).write.option("header", "true").csv(csv)
+    return Layout(root=f"{root}/tables", landing=f"{root}/raw", zone_csv=csv), trips
+
+
+def month_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A good month and a bad one, then deliveries that must not touch the first: one is missing, one fails its
+    gate, a backfill is never judged. A good month that shares all pickup months with it is rebuilt after each."""
+    layout, trips = mixed_deliveries(spark, sf_dir)
+    missing, bad = (replace(layout, landing=f"{layout.landing}-{name}") for name in ("missing", "bad"))
+    for month in (1, 2):
+        write_delivery(trips.filter(F.col("delivery") == month).drop("delivery"), bad.landing, month, fare=900.0)
+    run = lambda month, where: run_month(spark, where, 2024, month, mode="rebuild", ingested_at=FIRST_LOAD)
+    run(1, layout)
+    refused = 0
+    for month, where in ((2, bad), (1, missing), (1, bad)):
+        try:
+            run(month, where)
+        except (QualityError, AnalysisException):
+            refused += 1
+    load_landing(spark, layout.bronze, f"{bad.landing}/yellow", ingested_at=SECOND_LOAD)
+    run(3, layout)
+    refresh_late(spark, layout)
+    return fact_summary(spark, layout, f"refused {refused}")
+
+
+def fact_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries whose trips mostly come behind the mark are appended; then the months that got rows since they
+    were built are found and rebuilt."""
+    layout, _ = mixed_deliveries(spark, sf_dir)
+    for month in (1, 2, 3):
+        run_month(spark, layout, 2024, month, ingested_at=FIRST_LOAD)
+    refresh_late(spark, layout)
+    return read_fact(spark, layout.fact).drop(AUDIT)
+
+
 def fact_summary(spark: SparkSession, layout: Layout, phase: str) -> DataFrame:
     return (
         read_fact(spark, layout.fact)
@@ -557,6 +613,7 @@ def reference_queries() -> dict[str, Query]:
         "fact_append": fact_append,
         "fact_upsert": fact_upsert,
         "fact_upsert_stored": fact_upsert_stored,
+        "fact_upsert_files": fact_upsert_files,
         "fact_rebuild": fact_rebuild,
         "trip_duration": trip_duration,
         "fact_ratios": fact_ratios,
@@ -585,6 +642,8 @@ def reference_queries() -> dict[str, Query]:
         "dq_failures": dq_failures,
         "dq_row_count": dq_row_count,
         "month_run": month_run,
+        "month_redelivery": month_redelivery,
+        "fact_late_rows": fact_late_rows,
         "bronze_load_month": bronze_load_month,
         "bronze_load_drift": bronze_load_drift,
         "catalog_tables": catalog_tables,

@@ -367,12 +367,16 @@ DELIVERED = f"""SELECT * REPLACE (cast(2024 AS int) AS _year, cast({PERIOD} AS i
                'l_extendedprice / 1000.0E0 + 4.0E0 AS total_amount')})"""
 
 
-def fact_after(phase: str, condition: str) -> str:
-    silver = silver_of(f"(SELECT * FROM ({DELIVERED}) WHERE {condition})")
+def fact_after(phase: str, condition: str, delivered: str = DELIVERED) -> str:
+    silver = silver_of(f"(SELECT * FROM ({delivered}) WHERE {condition})")
     return f"""SELECT '{phase}' AS phase, _source_file, pickup_month, count(*) AS trips,
       round(sum(fare_amount), 2) AS fares FROM ({fact_of(f'({silver})')}) GROUP BY ALL"""
 
 
+# The same trips as three deliveries that each have all pickup months.
+MIXED = DELIVERED.replace(PERIOD, '(("RatecodeID" - 1) % 3 + 1)')
+
+
 def failing(check: str, column: str, bad: str) -> str:
     return f"""SELECT '{check}' AS "check", '{column}' AS "column", cast({column} AS double) AS value,
       count(*) AS rows, round(count(*) / (SELECT count({column}) FROM bronze), 9) AS share
@@ -420,6 +424,7 @@ def statements() -> dict[str, str]:
         "fact_append": "SELECT * FROM fact",
         "fact_upsert": UPSERT,
         "fact_upsert_stored": UPSERT,
+        "fact_upsert_files": UPSERT,
         "fact_rebuild": REBUILT.replace("(SELECT * FROM months)", TOUCHED),
         "trip_duration": "SELECT trip_id, trip_duration_minutes FROM fact",
         "fact_ratios": "SELECT trip_id, fare_per_mile, tip_percentage FROM fact",
@@ -461,6 +466,8 @@ def statements() -> dict[str, str]:
             for inside in (f"count(*) BETWEEN {BRONZE_MIN_ROWS} AND {10**12}", f"count(*) BETWEEN {BRONZE_MIN_ROWS} AND 1001")
         ),
         "month_run": f"{fact_after('without', '_month <> 2')}\nUNION ALL {fact_after('with', 'true')}",
+        "month_redelivery": fact_after("refused 3", "_month <> 2", MIXED),
+        "fact_late_rows": fact_of(f"({silver_of(f'({MIXED})')})"),
         "bronze_load_month": LOADED,
         "bronze_load_drift": DELIVERED,
         "catalog_tables": "SELECT _year, _month, count(*) AS trips FROM batch_1 GROUP BY ALL",

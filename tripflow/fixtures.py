@@ -76,6 +76,9 @@ DELIVERY_MONTHS = {
     3: "tpep_pickup_datetime >= timestamp_ntz'1996-07-01'",
 }
 
+# The same as three deliveries that do not follow the pickup time.
+MIXED = "(RatecodeID - 1) % 3 + 1"
+
 # What the checks would reject, brought inside their bounds.
 CLEAN = {
     "trip_distance": "l_quantity * 1.0E0",

@@ -11,5 +11,7 @@ def partition_path(path: str, values: Mapping[str, object]) -> str:
 
 
 def _folder_text(value: object) -> str:
+    if value is None:
+        return "__HIVE_DEFAULT_PARTITION__"
     text = value.strftime("%Y-%m-%d %H:%M:%S") if isinstance(value, datetime) else str(value)
     return quote(text, safe=" ")

@@ -16,15 +16,17 @@ def create_table(
     schema: T.StructType,
     path: str,
     partitions: Sequence[str] = (),
+    recover: bool = True,
 ) -> None:
-    """Creates the layer's database and an external table over ``path``, if absent."""
+    """Creates the layer's database and an external table over ``path``, if absent. Its partitions are
+    taken from the folders there, unless ``recover`` is False."""
     database, _, _ = name.rpartition(".")
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
     by = f"PARTITIONED BY ({', '.join(partitions)})" if partitions else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {by} LOCATION '{path}'")
-    if partitions:
+    if partitions and recover:
         spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
 
 
