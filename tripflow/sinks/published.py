@@ -8,8 +8,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from dataclasses import replace
+from dataclasses import asdict, replace
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -18,6 +19,12 @@ from tripflow.session import drop_path
 from tripflow.sinks.tables import create_table, ensure_table
 from tripflow.sources.published import ENTRY, RUN, Folder, exists, is_published, last_of, last_seq, log_of, log_path, readable
 
+TEXTS = pa.list_(pa.string())
+COLUMNS = pa.schema(
+    [("seq", pa.int64()), ("partition", pa.string()), ("folder", pa.string()), ("passed", pa.bool_()),
+     ("sources", TEXTS), ("excluded", TEXTS), ("upto", pa.int64())]
+)
+
 
 def partition_name(values: Mapping[str, object]) -> str:
     return partition_path("", values).lstrip("/")
@@ -51,8 +58,7 @@ def publish(spark: SparkSession, path: str, folders: Iterable[Folder]) -> None:
     if not folders:
         return
     seq = last_seq(log_of(spark, path)) + 1
-    names = [column.split()[0] for column in ENTRY.split(", ")]
-    entries = [tuple(getattr(replace(folder, seq=seq), name) for name in names) for folder in folders]
+    entries = pa.Table.from_pylist([asdict(replace(folder, seq=seq)) for folder in folders], schema=COLUMNS)
     spark.createDataFrame(entries, ENTRY).coalesce(1).write.mode("append").parquet(log_path(path))
 
 
