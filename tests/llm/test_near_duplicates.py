@@ -101,3 +101,23 @@ def test_empty_tables(spark):
     assert connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
     rows = near.link_components(frame(spark, [(1, None, None, None, 0), (2, "", None, None, 0)])).collect()
     assert sorted((row["id"], row["n"], row["component"]) for row in rows) == [(1, 0, 1), (2, 0, 2)]
+
+
+def test_a_group_of_near_copies_costs_in_proportion(spark):
+    """Rows dealt by n-gram, pairs met first and rows left for all pairs, of twice as many copies of one text."""
+    costs = []
+    for copies in (400, 800):
+        rng, base = random.Random(5), prose(71, 200).split()
+        rows = [(k, edited(rng, base, 1), None, None, 0) for k in range(copies)]
+        named = frame(spark, rows).selectExpr("doc_id AS id", "text")
+        stage = near.Stages(spark)
+        described = near.described(named, 3, stage).filter("bucket IS NULL")
+        sketches = described.select("class", "sketch").dropDuplicates(["class"])
+        shared = near.shared_rows(near.prefix_rows(named, np.zeros(near.BUCKETS, dtype=np.int64), 3, 90), 90)
+        first = near.near_by_sketch(near.first_pairs(shared, 90), sketches)
+        linked = connected_components(first)
+        assert linked.select("component").distinct().count() == 1
+        assert near.open_rows(shared, linked, sketches).count() == 0
+        costs.append((shared.count(), first.count()))
+        stage.drop()
+    assert all(twice < 2.3 * once for once, twice in zip(*costs, strict=True))

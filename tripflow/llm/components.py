@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tripflow.llm.text import Stages
 from tripflow.session import stage
 
 
@@ -12,11 +13,14 @@ def connected_components(links: DataFrame) -> DataFrame:
     """``node`` and ``component``, its smallest reachable node, for links ``a``, ``b``.
 
     Each round takes the least label of all neighbours and then the label of that label, so a chain
-    shrinks to a fraction; rounds end when no label changes. Labels are written to the shared folder.
+    shrinks to a fraction; rounds end when no label changes. Labels are written to the shared folder, and those of a
+    round go when the next ones stand.
     """
+    held = Stages(links.sparkSession)
     edges = links.select("a", "b").union(links.select("b", "a")).toDF("node", "other").distinct()
-    edges = stage(edges, "component-edges")
-    labels = stage(edges.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")), "labels")
+    edges = held(edges, "edges")
+    labels = held(edges.groupBy("node").agg(F.least(F.min("other"), F.col("node")).alias("component")), "labels 0")
+    number = 0
     while True:
         seen = edges.join(labels.withColumnRenamed("node", "other"), "other")
         least = seen.groupBy("node").agg(F.min("component").alias("least"))
@@ -24,7 +28,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         target = labels.select(F.col("node").alias("component"), F.col("component").alias("next"))
         lowered = lowered.join(target, "component", "left")
         step = F.least("component", F.coalesce("next", "component"))
-        labels_next = stage(lowered.select("node", step.alias("component"), (step != F.col("was")).alias("moved")), "labels")
+        number += 1
+        labels_next = held(lowered.select("node", step.alias("component"), (step != F.col("was")).alias("moved")), f"labels {number}")
         labels = labels_next.select("node", "component")
         if labels_next.filter("moved").isEmpty():
-            return labels
+            result = stage(labels, "components")
+            held.drop()
+            return result
+        held.drop("edges", f"labels {number}")

@@ -3,16 +3,18 @@
 1. Every text becomes the set of its n-gram hashes. Documents with equal sets form a class, and classes
    are what is joined. Counters in ``BUCKETS`` hash buckets say how frequent an n-gram is at most.
 2. A set is ordered rarest n-gram first. Two sets that reach the threshold t share an n-gram within their
-   first n - ceil(t n) + 1; only these prefixes are dealt out by n-gram. N-grams that one class alone
-   has in its prefix go; one shared by more than ``HOT`` classes has its rows dealt to pairs of blocks.
-3. Rows of an n-gram are compared under filters that never reject a link: sizes within t (length), what
-   is left of both sets from the shared n-gram on (positional), and a lower bound of the symmetric
-   difference from parity sketches of the sets (suffix).
-4. First each class is compared with its nearest one by sketch and with the one that passes with most
-   others, and links make components. Then all remaining pairs are, but for those within a component,
-   which could add nothing. Each pair is compared once, on full sets. So a group of thousands of near
-   copies costs about as many comparisons as it has members and borderline pairs, and no link between
-   components is missed.
+   first n - ceil(t n) + 1; only these prefixes are dealt out by n-gram, and n-grams that one class alone
+   has in its prefix go.
+3. Pairs pass filters that never reject a link: sizes within t (length), what is left of both sets from
+   the shared n-gram on (positional), and a lower bound of the symmetric difference from parity sketches
+   of the sets (suffix). What passes is compared once, on full sets.
+4. First each class of an n-gram meets three others only: the one of least name, the one of greatest and its
+   neighbour by size. A group of near copies shares them, so it costs a few rows and pairs a member and
+   becomes one component. N-grams of up to three classes are done with that, and so are those whose
+   classes lie in one component, for links inside it change nothing.
+5. In the n-grams left all pairs across components are enumerated, an n-gram of more than ``HOT`` classes
+   by pairs of blocks, so no link between components is missed. Only classes that are much alike without being linked
+   through others still cost their square there, in filters; nothing is written for a pair that fails them.
 """
 
 from __future__ import annotations
@@ -27,13 +29,13 @@ from pyspark.sql import functions as F
 
 from tripflow.llm.components import connected_components
 from tripflow.llm.line_dedup import placed_rows
-from tripflow.llm.text import bounded_batches, table, whole
-from tripflow.session import stage
+from tripflow.llm.text import Stages, bounded_batches, table, whole
+from tripflow.session import stage as stage_of
 
 WORDS, PERCENT = 3, 90  # the contract of op7
 BUCKETS = 1 << 18
 SKETCH_WORDS = 16  # of 64 bits
-HOT = 1024
+HOT = 16_384
 BLOOM_BITS = 1 << 26
 SEEN = 100_000
 
@@ -132,7 +134,7 @@ def texts_of(
             yield part, shingle_sets(part.column(column).to_pylist(), words)
 
 
-def described(named: DataFrame, words: int) -> DataFrame:
+def described(named: DataFrame, words: int, stage: Stages) -> DataFrame:
     """A row per document (``id``, ``n``, ``class``, ``sketch``) and a row per task and bucket with its count."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -191,81 +193,104 @@ def prefix_rows(named: DataFrame, counts: np.ndarray, words: int, percent: int)
     return named.mapInArrow(made, "gram long, class long, n long, at long")
 
 
-def shared_rows(rows: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
-    """Rows of n-grams that several classes share, with sketch and blocks to be compared."""
+MET = ("least", "most", "next")
+
+
+def shared_rows(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of n-grams that several classes share, with the three classes that each meets first."""
     by_size = Window.partitionBy("gram").orderBy("n", "class")
     # No class of the n-gram is near enough in size unless one of the neighbours is.
     near = (F.lag("n").over(by_size) * 100 >= F.col("n") * percent) | (
         F.col("n") * 100 >= F.lead("n").over(by_size) * percent
     )
-    held = F.count(F.lit(1)).over(Window.partitionBy("gram"))
-    shared = (
+    of_gram = Window.partitionBy("gram")
+    own = F.struct("class", "n", "at")
+    return (
         rows.repartition("gram").dropDuplicates(["gram", "class"])
-        .withColumn("near", near).filter("near").drop("near")
-        .withColumn("held", held)
-        .withColumn("blocks", F.ceil(F.col("held") / HOT).cast("int"))
-        .withColumn("block", F.pmod(F.col("class"), F.col("blocks")).cast("int"))
+        .withColumns({"near": near, "next": F.lag(own).over(by_size)}).filter("near").drop("near")
+        .withColumns({"held": F.count(F.lit(1)).over(of_gram), "least": F.min(own).over(of_gram), "most": F.max(own).over(of_gram)})
     )
+
+
+def first_pairs(shared: DataFrame, percent: int) -> DataFrame:
+    """Pairs ``a`` < ``b`` of each class with those it meets first that pass by length and position; and their sizes."""
+    met = F.explode(F.array(*MET)).alias("other")
+    both = shared.select("class", "n", "at", met).filter("other IS NOT NULL AND other.class <> class")
+    larger, smaller = F.greatest("n", "other.n"), F.least("n", "other.n")
+    total = F.col("n") + F.col("other.n")
+    rest = F.least(F.col("n") - F.col("at"), F.col("other.n") - F.col("other.at"))
+    overlap = F.ceil(total * percent / (100 + percent))
+    ok = (smaller * 100 >= larger * percent) & (rest * (100 + percent) >= total * percent)
+    pair = (F.least("class", "other.class").alias("a"), F.greatest("class", "other.class").alias("b"))
+    return both.filter(ok).select(*pair, (total - 2 * overlap).alias("limit")).distinct()
+
+
+def near_by_sketch(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Pairs whose sketches differ in no more than ``limit`` bits."""
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (
+                np.frombuffer(b"".join(batch.column(k).to_pylist()), dtype=np.uint64).reshape(-1, SKETCH_WORDS) for k in (3, 4)
+            )
+            apart = np.bitwise_count(one ^ two).sum(axis=1, dtype=np.int64)
+            yield batch.select([0, 1]).filter(pa.array(apart <= batch.column(2).to_numpy()))
+
+    for end, name in (("a", "ours"), ("b", "theirs")):
+        pairs = pairs.join(sketches.toDF(end, name), end)
+    return pairs.select("a", "b", "limit", "ours", "theirs").mapInArrow(made, "a long, b long")
+
+
+def open_rows(shared: DataFrame, components: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows of n-grams in which some pairs across components have not met, with sketch and blocks."""
+    rows = with_component(shared.filter("held > 3").select("gram", "class", "n", "at", "held"), components)
+    of_gram = Window.partitionBy("gram")
+    spans = (F.min("component").over(of_gram) != F.max("component").over(of_gram)).alias("spans")
+    left = rows.select("*", spans).filter("spans").drop("spans")
+    blocked = left.withColumn("blocks", F.ceil(F.col("held") / HOT).cast("int")).withColumn("block", F.pmod("class", "blocks").cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     return (
-        shared.drop("held").join(sketches, "class")
-        .select("*", other.alias("other"))
+        blocked.join(sketches, "class").select("*", other.alias("other"))
         .select(
-            "gram", "class", "n", "at", "sketch", "block",
+            "gram", "class", "n", "at", "sketch", "block", "component",
             F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"),
         )
     )
 
 
-def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
-    """Pairs ``a`` < ``b`` of classes that pass all filters, across components: all of them, or for each
-    class the nearest one and the one that most others pass with, which brings large groups together.
+def compared(rows: DataFrame, percent: int) -> DataFrame:
+    """All pairs ``a`` < ``b`` of classes across components that pass all filters.
 
-    ``rows`` has a ``component``. Rows of an n-gram and a pair of blocks, at most 2 * HOT, come together.
+    Rows of an n-gram and a pair of blocks, at most 2 * HOT, come together.
     """
     names = ["gram", "low", "high", "class", "n", "at", "component", "block", "sketch"]
 
     def pairs_of(held: list[np.ndarray], sketch: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         gram, low, high, own, n, at, component, block = held
-        rows = len(gram)
-        best = np.full(rows, np.iinfo(np.int64).max)
-        partner = np.full(rows, -1)
         left, right = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
-        live = np.arange(rows)
-        for step in range(1, rows):
-            live = live[live + step < rows]
+        live = np.arange(len(gram))
+        for step in range(1, len(gram)):
+            live = live[live + step < len(gram)]
             i, j = live, live + step
-            same = (gram[i] == gram[j]) & (low[i] == low[j]) & (high[i] == high[j])
+            # Rows of a group are in order of size: once the other is too large, all after it are.
+            same = (gram[i] == gram[j]) & (low[i] == low[j]) & (high[i] == high[j]) & (100 * n[i] >= percent * n[j])
             live = i = live[same]
             if not len(i):
                 break
             j = i + step
-            both, least = n[i] + n[j], np.minimum(n[i], n[j])
+            both = n[i] + n[j]
             overlap = -(-percent * both // (100 + percent))
-            rest = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
-            ok = (100 * least >= percent * np.maximum(n[i], n[j])) & (rest >= overlap) & (own[i] != own[j])
+            rest = np.minimum(n[i] - at[i], n[j] - at[j])
+            ok = (rest >= overlap) & (own[i] != own[j]) & (component[i] != component[j])
             ok &= (low[i] == high[i]) | (block[i] != block[j])
-            ok &= component[i] != component[j]
             i, j, limit = i[ok], j[ok], (both - 2 * overlap)[ok]
             for start in range(0, len(i), 100_000):
                 x, y = i[start : start + 100_000], j[start : start + 100_000]
                 apart = np.bitwise_count(sketch[x] ^ sketch[y]).sum(axis=1, dtype=np.int64)
                 near = apart <= limit[start : start + 100_000]
-                x, y, apart = x[near], y[near], apart[near]
-                left.append(x)
-                right.append(y)
-                if nearest:
-                    for one, two in ((x, y), (y, x)):
-                        closer = apart < best[one]
-                        best[one[closer]], partner[one[closer]] = apart[closer], two[closer]
+                left.append(x[near])
+                right.append(y[near])
         x, y = np.concatenate(left), np.concatenate(right)
-        if nearest:
-            met = np.flatnonzero(partner >= 0)
-            degree = np.bincount(np.concatenate([x, y]), minlength=rows)
-            one, two = np.concatenate([x, y]), np.concatenate([y, x])
-            order = np.lexsort((own[two], -degree[two], one))  # the best connected partner first
-            hubs = order[np.unique(one[order], return_index=True)[1]]
-            x, y = np.concatenate([met, one[hubs]]), np.concatenate([partner[met], two[hubs]])
         a, b = np.minimum(own[x], own[y]), np.maximum(own[x], own[y])
         order = np.lexsort((b, a))
         a, b = a[order], b[order]
@@ -285,8 +310,8 @@ def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
         for batch in batches:
             part = pa.Table.from_batches([batch])
             carry = pa.concat_tables([carry, part]) if carry is not None else part
-            keys = np.stack([carry.column(name).to_numpy() for name in names[:3]])
-            whole_rows = np.flatnonzero((keys != keys[:, -1:]).any(axis=0))
+            last = np.stack([carry.column(name).to_numpy() for name in names[:3]])
+            whole_rows = np.flatnonzero((last != last[:, -1:]).any(axis=0))
             if len(whole_rows):  # all but the last group, which may go on in the next batch
                 end = int(whole_rows[-1]) + 1
                 yield emitted(carry.slice(0, end))
@@ -298,7 +323,7 @@ def compared(rows: DataFrame, percent: int, nearest: bool) -> DataFrame:
     return ordered.mapInArrow(made, "a long, b long").distinct()
 
 
-def needed_sets(named: DataFrame, classes: DataFrame, words: int) -> DataFrame:
+def needed_sets(named: DataFrame, classes: DataFrame, words: int, stage: Stages) -> DataFrame:
     """``class`` and ``grams`` of the classes, found by another pass over the texts.
 
     A Bloom filter of fixed size tells which texts may be wanted; the join settles it.
@@ -369,7 +394,7 @@ def with_component(rows: DataFrame, components: DataFrame) -> DataFrame:
     return found.withColumn("component", F.coalesce("component", "class"))
 
 
-def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
+def joined_components(components: DataFrame, links: DataFrame, stage: Stages) -> DataFrame:
     """Components after further links, each of which counts once for the two components it joins."""
     between = links
     for end in ("a", "b"):
@@ -386,6 +411,10 @@ def joined_components(components: DataFrame, links: DataFrame) -> DataFrame:
     return known.join(joined, "component", "left").select("node", F.coalesce("over", "component").alias("component")).distinct()
 
 
+def classes_of(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("class")).union(pairs.select("b")).distinct()
+
+
 def link_components(
     docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
@@ -395,25 +424,28 @@ def link_components(
     set and is its own component. Rows of one id are one document as far as ``component`` goes; NULL ids
     are passed over when the smallest is sought. An empty table gives no rows.
     """
-    bounded_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    stage = Stages(spark)
     named = docs.select(F.col(key).cast("long").alias("id"), whole(F.col(text)).alias("text"))
-    rows = described(named, words)
+    rows = described(named, words, stage)
     counts = np.zeros(BUCKETS, dtype=np.int64)
-    for row in rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[row["bucket"]] = row["n"]  # BUCKETS rows at most
+    found = rows.filter("bucket IS NOT NULL").groupBy("bucket").agg(F.sum("n").alias("n")).toArrow()  # BUCKETS rows at most
+    counts[found.column("bucket").to_numpy()] = found.column("n").to_numpy()
     members = rows.filter("bucket IS NULL")
     sketches = members.filter("class IS NOT NULL").groupBy("class").agg(F.first("sketch").alias("sketch"))
-    shared = stage(shared_rows(prefix_rows(named, counts, words, percent), sketches, percent), "near-shared")
-    first = stage(compared(shared.withColumn("component", F.col("class")), percent, nearest=True), "near-first")
-    classes = stage(first.select(F.col("a").alias("class")).union(first.select("b")).distinct(), "near-classes")
-    sets = needed_sets(named, classes, words)
-    links = stage(verified(first, sets, percent), "near-links")
+    shared = stage(shared_rows(prefix_rows(named, counts, words, percent), percent), "near-shared")
+    first = stage(near_by_sketch(first_pairs(shared, percent), sketches), "near-first")
+    links = stage(verified(first, needed_sets(named, classes_of(first), words, stage), percent), "near-links")
     components = connected_components(links)
-    # A class without any pair so far has none.
-    labelled = with_component(shared.join(classes, "class", "left_semi"), components)
-    others = stage(compared(labelled, percent, nearest=False), "near-others")
-    more = verified(others.join(first, ["a", "b"], "left_anti"), sets, percent)
-    components = stage(joined_components(components, more), "near-components")
+    stage.drop("near-described", "near-shared", "near-first")
+    others = compared(open_rows(shared, components, sketches), percent).join(first, ["a", "b"], "left_anti")
+    others = stage(others, "near-others")
+    if not others.isEmpty():
+        stage.drop("near-described", "near-others")
+        more = verified(others, needed_sets(named, classes_of(others), words, stage), percent)
+        components = stage_of(joined_components(components, more, stage), "near-components")
+    stage.drop("near-described")
     labelled = with_component(members.select("id", "n", "class"), components)
     smallest = labelled.filter("component IS NOT NULL").groupBy("component").agg(F.min("id").alias("smallest"))
     return labelled.join(smallest, "component", "left").select(

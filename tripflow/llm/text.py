@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tripflow.session import drop_path, scratch_path
+
 # Fixed value: the white space of all contracts, as the inside of a character class.
 SPACE = r"\x20\x09-\x0D"
 
@@ -31,3 +33,22 @@ def packed(docs: DataFrame, **columns: Column) -> DataFrame:
         F.struct(*[F.col(f"`{name}`") for name in docs.columns]).alias("row"),
         *[column.alias(name) for name, column in columns.items()],
     )
+
+
+class Stages:
+    """Tables written to the shared folder for the time of one operator. What follows one starts at its files, so
+    those before it can go: ``drop`` deletes all but the tables named, by their labels."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        path = scratch_path(self.spark, label)
+        df.write.parquet(path)
+        self.paths.setdefault(label, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *kept: str) -> None:
+        for label in [label for label in self.paths if label not in kept]:
+            for path in self.paths.pop(label):
+                drop_path(self.spark, path)
