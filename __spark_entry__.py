@@ -45,17 +45,19 @@ from tripflow.operators.quality import (
     run_model_tests,
     run_rules,
     summarize,
+    top_failing_values,
     unaccepted_values,
 )
 from tripflow.operators.sample import sample_rows
 from tripflow.operators.silver import keep_latest, rename_trips, silver_trips, valid_trips
 from tripflow.periods import target_periods
 from tripflow.plans import marts, suites
-from tripflow.plans.month import Layout, ensure_layers, refresh_late, run_month
+from tripflow.plans.month import Layout, ensure_layers, refresh_late, run_month, tested_columns
 from tripflow.plans.star import FACT_VALUES, fact_from_bronze
 from tripflow.session import scratch_path, stage
 from tripflow.sinks import fact_runs
 from tripflow.sinks.bronze import load_landing, load_month
+from tripflow.sinks.bucketed import read_bucketed, upsert_bucketed, write_bucketed
 from tripflow.sinks.fact import (
     append_new_trips,
     rebuild_months,
@@ -295,6 +297,14 @@ def fact_upsert_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_fact(spark, layout.fact).drop(AUDIT)
 
 
+def fact_upsert_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same upsert on a table bucketed by key, where the stored side is not exchanged."""
+    name = f"gold_{uuid.uuid4().hex[:8]}.fact_by_key"
+    write_bucketed(batch_facts(spark, sf_dir, 1), name, 8)
+    upsert_bucketed(spark, name, batch_facts(spark, sf_dir, 2))
+    return read_bucketed(spark, name).drop(AUDIT)
+
+
 def fact_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A stored fact of the first delivery, brought up to date for one reloaded year."""
     path = stored_fact(spark, batch_facts(spark, sf_dir, 1))
@@ -458,6 +468,20 @@ def dq_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dq_top_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five most frequent failing values of every range and set rule."""
+    top = top_failing_values(bronze(spark, sf_dir), suites.bronze_values(), 5)
+    return top.withColumn("share", F.round("share", 9))
+
+
+def dq_model_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All tests of all built tables, one scan a table."""
+    columns = {"silver_trips": tested_columns("silver_trips"), "fact_trips": tested_columns("fact_trips")}
+    names = dict.fromkeys(test.table for test in suites.model_tests())
+    tables = {name: built_table(spark, sf_dir, name, columns.get(name, [])) for name in names}
+    return run_model_tests(tables, suites.model_tests())
+
+
 def dq_row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The row-count rule with an upper bound that the table keeps, and one that it breaks."""
     rules = [suites.row_count(1000, 10**12), suites.row_count(1000, 1001)]
@@ -614,6 +638,7 @@ def reference_queries() -> dict[str, Query]:
         "fact_upsert": fact_upsert,
         "fact_upsert_stored": fact_upsert_stored,
         "fact_upsert_files": fact_upsert_files,
+        "fact_upsert_bucketed": fact_upsert_bucketed,
         "fact_rebuild": fact_rebuild,
         "trip_duration": trip_duration,
         "fact_ratios": fact_ratios,
@@ -641,6 +666,8 @@ def reference_queries() -> dict[str, Query]:
         "dq_duplicate_keys": dq_duplicate_keys,
         "dq_failures": dq_failures,
         "dq_row_count": dq_row_count,
+        "dq_top_failures": dq_top_failures,
+        "dq_model_tests": dq_model_tests,
         "month_run": month_run,
         "month_redelivery": month_redelivery,
         "fact_late_rows": fact_late_rows,

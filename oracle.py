@@ -392,6 +392,14 @@ def failures() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def top_failures(k: int) -> str:
+    parts = [failing("between", c, f"NOT {c} BETWEEN {a} AND {b}") for c, (a, b) in BRONZE_RANGES.items()]
+    parts.append(failing("in_set", "payment_type", f"payment_type NOT IN ({commas(PAYMENT_TYPES)})"))
+    every = "\nUNION ALL ".join(parts)
+    place = 'cast(row_number() OVER (PARTITION BY "check", "column" ORDER BY rows DESC, value) AS int)'
+    return f"""SELECT "check", "column", {place} AS place, value, rows, share FROM ({every}) QUALIFY place <= {k}"""
+
+
 LOADED = f"""SELECT cast(2024 AS int) AS year, cast(month AS int) AS month,
       (SELECT count(*) FROM ({DELIVERED}) WHERE _month = month) AS input_count,
       (SELECT count(*) FROM ({DELIVERED}) WHERE _month = month) AS output_count,
@@ -425,6 +433,7 @@ def statements() -> dict[str, str]:
         "fact_upsert": UPSERT,
         "fact_upsert_stored": UPSERT,
         "fact_upsert_files": UPSERT,
+        "fact_upsert_bucketed": UPSERT,
         "fact_rebuild": REBUILT.replace("(SELECT * FROM months)", TOUCHED),
         "trip_duration": "SELECT trip_id, trip_duration_minutes FROM fact",
         "fact_ratios": "SELECT trip_id, fare_per_mile, tip_percentage FROM fact",
@@ -461,6 +470,8 @@ def statements() -> dict[str, str]:
         "dq_unaccepted_values": f"""SELECT payment_type AS value, count(*) AS rows FROM fact
             WHERE payment_type NOT IN ({commas(PAYMENT_TYPES)}) GROUP BY 1""",
         "dq_failures": failures(),
+        "dq_top_failures": top_failures(5),
+        "dq_model_tests": "\nUNION ALL ".join((model_not_null(), model_unique(), model_accepted(), model_relationships())),
         "dq_row_count": "\nUNION ALL ".join(
             outcome("row_count", "*", "count(*)", f"CASE WHEN {inside} THEN 0 ELSE 1 END", inside, "bronze")
             for inside in (f"count(*) BETWEEN {BRONZE_MIN_ROWS} AND {10**12}", f"count(*) BETWEEN {BRONZE_MIN_ROWS} AND 1001")

@@ -124,3 +124,13 @@ def test_sample_is_exact_and_whole_below_the_cap(spark):
         assert drawn.distinct().count() == cap
     mean = sample_rows(rows, 5_000, seed=3).agg(F.avg("id")).first()[0]
     assert abs(mean - 25_000) < 1_500
+
+
+def test_sample_puts_no_more_than_one_slot_into_one_task(spark):
+    rows = spark.range(0, 400_000, 1, 8)
+    drawn = sample_rows(rows, 300_000, seed=5)
+    assert drawn.count() == drawn.distinct().count() == 300_000
+    limited = drawn._jdf.queryExecution().optimizedPlan().toString()
+    cut = int(limited.partition("GlobalLimit ")[2].split()[0])
+    assert 0 < cut <= 4096
+    assert sorted(map(tuple, sample_rows(rows, 1000, 9).collect())) == sorted(map(tuple, sample_rows(rows, 1000, 9).collect()))

@@ -108,3 +108,38 @@ def test_checks_on_empty_tables_pass(spark):
 def test_number_of_declared_tests():
     assert len(model_tests(unique_trips=False)) == 24
     assert len(model_tests()) == 25
+
+
+def test_all_tests_of_a_table_read_it_once(spark, tmp_path):
+    path = str(tmp_path / "child")
+    child = spark.createDataFrame([(1, "a", 5), (1, "b", 6), (None, "a", 7), (2, "z", None)], "id int, kind string, parent int")
+    child.write.parquet(path)
+    parent = spark.createDataFrame([(5,), (6,), (None,)], "key int")
+    tests = [
+        q.ModelTest("child", "not_null", "id"),
+        q.ModelTest("child", "not_null", "parent"),
+        q.ModelTest("child", "unique", "id"),
+        q.ModelTest("child", "accepted_values", "kind", values=("a", "b")),
+        q.ModelTest("child", "relationships", "parent", parent="parent", key="key"),
+    ]
+    found = q.run_model_tests({"child": spark.read.parquet(path), "parent": parent}, tests)
+    assert results(found) == {
+        ("not_null", "id"): (4, 1, False),
+        ("not_null", "parent"): (4, 1, False),
+        ("unique", "id"): (3, 1, False),
+        ("accepted_values", "kind"): (4, 1, False),
+        ("relationships", "parent"): (3, 1, False),
+    }
+    assert found._jdf.queryExecution().sparkPlan().toString().count("FileScan") == 1
+    none = q.run_model_tests({"child": child.limit(0), "parent": parent}, tests)
+    assert all(row["success"] and row["evaluated"] == 0 for row in none.collect())
+
+
+def test_top_failing_values_are_few_exact_and_cut_before_the_exchange(spark):
+    rows = numbers(spark, *[20.0] * 3, *[30.0] * 3, *[float(k) for k in range(100, 200)], 1.0, None, NAN)
+    top = q.top_failing_values(rows, [q.between("x", 0, 10), q.in_set("x", [1.0])], 3)
+    found = sorted((row["check"], row["place"], row["value"], row["rows"]) for row in top.collect())
+    for check in ("between", "in_set"):
+        assert [row[1:] for row in found if row[0] == check] == [(1, 20.0, 3), (2, 30.0, 3), (3, 100.0, 1)]
+    assert top.first()["share"] == 3 / 107
+    assert top._jdf.queryExecution().sparkPlan().toString().count("WindowGroupLimit") == 2

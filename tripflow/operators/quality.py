@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -118,6 +118,14 @@ def failing_values(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
     One row per rule and value; all rules count in one pass. Numbers only.
     """
+    counts = _failing_counts(rows, rules)
+    everything = F.expr("sum(rows) OVER (PARTITION BY check, column)")
+    shared = counts.withColumn("share", F.col("rows") / everything)
+    return shared.filter("value IS NOT NULL")
+
+
+def _failing_counts(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Rows of every failing value of a rule, and under NULL of all values that pass it."""
     parts = []
     for rule in rules:
         if rule.check not in ("between", "in_set") or rule.column not in rows.columns:
@@ -130,10 +138,22 @@ def failing_values(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         parts.append(f"named_struct('check', '{rule.check}', 'column', '{rule.column}', 'value', {value}, 'bad', {bad})")
     values = rows.select(F.expr(f"inline(array({', '.join(parts)}))")).filter("value IS NOT NULL AND NOT isnan(value)")
     # A failing value is a group, all others of its rule are one.
-    counts = values.groupBy("check", "column", F.expr("if(bad, value, NULL)").alias("value")).agg(F.expr("count(1) AS rows"))
-    everything = F.expr("sum(rows) OVER (PARTITION BY check, column)")
-    shared = counts.withColumn("share", F.col("rows") / everything)
-    return shared.filter("value IS NOT NULL")
+    return values.groupBy("check", "column", F.expr("if(bad, value, NULL)").alias("value")).agg(F.expr("count(1) AS rows"))
+
+
+def top_failing_values(rows: DataFrame, rules: Sequence[Rule], k: int) -> DataFrame:
+    """The ``k`` most frequent failing values of each rule, with exact rows and share of the rule's values.
+
+    Values are counted where they are and once more after one exchange; every task then hands on the
+    ``k`` best of a rule (equal counts by value), so however many distinct values fail, what comes out is
+    at most ``k`` rows a rule, and no task holds all values of one.
+    """
+    counts = _failing_counts(rows, rules)
+    totals = counts.groupBy("check", "column").agg(F.sum("rows").alias("evaluated"))
+    best = Window.partitionBy("check", "column").orderBy(F.desc("rows"), "value")
+    top = counts.filter("value IS NOT NULL").withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k)
+    shared = top.join(totals, ["check", "column"]).withColumn("share", F.col("rows") / F.col("evaluated"))
+    return shared.select("check", "column", "place", "value", "rows", "share")
 
 
 def orphan_values(child: DataFrame, columns: Sequence[str], parent: DataFrame, key: str) -> DataFrame:
@@ -250,22 +270,63 @@ class ModelTest:
 
 
 def run_model_tests(tables: Mapping[str, DataFrame], tests: Sequence[ModelTest]) -> DataFrame:
-    """Results of all tests with the table's name in front."""
+    """Results of all tests with the table's name in front; every table is computed and read once."""
     results = []
     for name in dict.fromkeys(test.table for test in tests):
-        rows, own = tables[name], [test for test in tests if test.table == name]
-        not_null = [t.column for t in own if t.check == "not_null"]
-        accepted = {t.column: t.values for t in own if t.check == "accepted_values"}
-        parts = [check_values(rows, not_null, accepted)] if not_null or accepted else []
-        parts += [check_unique(rows, t.column) for t in own if t.check == "unique"]
-        related = [t for t in own if t.check == "relationships"]
-        for parent, key in dict.fromkeys((t.parent, t.key) for t in related):
-            columns = [t.column for t in related if (t.parent, t.key) == (parent, key)]
-            parts.append(check_relationships(rows, columns, tables[parent], key))
-        results += [part.select(F.lit(name).alias("table"), *RESULT) for part in parts]
+        own = [test for test in tests if test.table == name]
+        if all(test.check in ("not_null", "accepted_values") for test in own):
+            not_null = [t.column for t in own if t.check == "not_null"]
+            found = check_values(tables[name], not_null, {t.column: t.values for t in own if t.check == "accepted_values"})
+        else:
+            found = _checked_by_value(tables, own)
+        results.append(found.select(F.lit(name).alias("table"), *RESULT))
     return reduce(DataFrame.unionByName, results)
 
 
+def _checked_by_value(tables: Mapping[str, DataFrame], tests: Sequence[ModelTest]) -> DataFrame:
+    """All tests of one table from one count of (column, value), so the table is scanned once.
+
+    Each row gives a pair per tested column; a column that is tested for NULL alone has two values, and pairs are
+    added up before the exchange. Parents come as keys beside the counts, of which a child's orphans are
+    those without one, so values meet the parent and rows do not.
+    """
+    rows = tables[tests[0].table]
+    by_value = {test.column for test in tests if test.check != "not_null"}
+    pairs = []
+    for name in dict.fromkeys(test.column for test in tests):
+        value = f"cast(`{name}` AS string)" if name in by_value else f"if(`{name}` IS NULL, NULL, '')"
+        pairs.append(f"named_struct('column', {_literal(name)}, 'value', {value})")
+    counts = rows.select(F.expr(f"inline(array({', '.join(pairs)}))")).groupBy("column", "value").agg(F.expr("count(1) AS rows"))
+    related = dict.fromkeys((t.column, t.parent, t.key) for t in tests if t.check == "relationships")
+    known = "false"
+    if related:
+        keys = [
+            tables[parent].select(F.lit(column).alias("column"), F.col(key).cast("string").alias("value")).distinct()
+            for column, parent, key in related
+        ]
+        counts = counts.join(reduce(DataFrame.union, keys).withColumn("known", F.lit(True)), ["column", "value"], "left")
+        known = "known"
+    first = _literal(tests[0].column)
+    counters = [f"coalesce(sum(rows) FILTER (WHERE column = {first}), 0) AS total"]
+    outcomes = []
+    for i, test in enumerate(tests):
+        mine = f"column = {_literal(test.column)}"
+        has = f"{mine} AND value IS NOT NULL"
+        match test.check:
+            case "not_null":
+                failing = f"coalesce(sum(rows) FILTER (WHERE {mine} AND value IS NULL), 0)"
+            case "unique":
+                failing = f"count_if({has} AND rows > 1)"
+            case "accepted_values":
+                failing = f"count_if({has} AND value NOT IN ({', '.join(_literal(str(v)) for v in test.values)}))"
+            case _:
+                failing = f"coalesce(sum(rows) FILTER (WHERE {has} AND {known} IS NULL), 0)"
+        counters += [f"coalesce(sum(rows) FILTER (WHERE {has}), 0) AS present_{i}", f"{failing} AS failing_{i}"]
+        evaluated = "total" if test.check == "not_null" else f"present_{i}"
+        outcomes.append(_strict(test.check, test.column, evaluated, f"failing_{i}"))
+    return counts.agg(*map(F.expr, counters)).selectExpr(_rows_of(outcomes))
+
+
 def summarize(results: DataFrame) -> DataFrame:
     """One row: how many checks ran, passed and failed, and whether all passed."""
     return results.agg(
