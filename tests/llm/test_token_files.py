@@ -27,6 +27,18 @@ def test_encoder_gives_the_library_ids():
     assert [ids[a:b].tolist() for a, b in zip(starts, ends, strict=True)] == [expected(text) for text in texts]
 
 
+def test_every_letter_before_every_closing_mark():
+    """Letters whose lower case is longer, or joins with what follows, must not take the short way."""
+    letters = [chr(c) for c in [*range(65, 91), *range(97, 123), *range(0xC0, 0x250)]]
+    marks = ".,;:!?*&%$#()[]{}/=+-"
+    texts = [f"{before}{letter}{mark}" for letter in letters for mark in marks for before in ("", "a")]
+    library = Tokenizer.from_file(PATH)
+    want = [one.ids for one in library.encode_batch_fast(texts, add_special_tokens=False)]
+    ids, ends = token_files.Encoder(PATH).encode(pa.array(texts))
+    starts = [0, *ends[:-1]]
+    assert [ids[a:b].tolist() for a, b in zip(starts, ends, strict=True)] == want
+
+
 def test_memory_of_words_may_be_cleared(monkeypatch):
     monkeypatch.setattr(token_files, "CACHED_WORDS", 1)
     coder = token_files.Encoder(PATH)
@@ -86,6 +98,33 @@ def test_files_give_back_all_documents_in_order(spark, tmp_path):
         at += len(row["ids"]) // 4
 
 
+def test_some_documents_from_the_checkpoints_around_them(spark, tmp_path, monkeypatch):
+    out, decode, cost = str(tmp_path / "t"), rans.decode, []
+    token_files.write_tokens(frame(spark).repartition(3), out, PATH)
+    whole = {}
+    for row in token_files.read_tokens(spark, out).collect():
+        whole.setdefault(row["key"], []).append((row["start"], bytes(row["ids"])))
+    for keys in ([3, 9, 10, 40, 7777], [0], []):
+        some = {}
+        for row in token_files.read_tokens(spark, out, keys).collect():
+            some.setdefault(row["key"], []).append((row["start"], bytes(row["ids"])))
+        assert {key: sorted(own) for key, own in some.items()} == {key: sorted(whole[key]) for key in keys if key in whole}
+    ids = np.random.default_rng(2).integers(0, 50, 200_000).astype(np.uint32)
+    shared = rans.Table.of(rans.scaled(np.bincount(ids)))
+    block = rans.encode(ids, shared, lanes=64, every=100)
+    monkeypatch.setattr(rans, "decode", lambda *given: cost.append(len(found := decode(*given))) or found)
+    for start, end in ((0, 1), (150_000, 150_400), (199_990, 200_000), (0, 200_000), (6400, 6400)):
+        assert (token_files.span(block, shared, start, end) == ids[start:end]).all()
+    assert max(cost[:3]) <= 2 * 6400 and cost[3] == 200_000
+
+
+def test_the_range_key_is_small(spark, tmp_path, monkeypatch):
+    keys, dealt = [], type(frame(spark)).repartitionByRange
+    monkeypatch.setattr(type(frame(spark)), "repartitionByRange", lambda self, *by: keys.append([self.schema[c].dataType.simpleString() for c in by]) or dealt(self, *by))
+    token_files.write_tokens(frame(spark), str(tmp_path / "t"), PATH)
+    assert keys == [["bigint", "bigint"]]
+
+
 def test_empty_table(spark, tmp_path):
     token_files.write_tokens(frame(spark, []), str(tmp_path / "t"), PATH)
     assert token_files.read_tokens(spark, str(tmp_path / "t")).count() == 0

@@ -119,9 +119,13 @@ def decode(block: Block, table: Table, mark: int = 0, until: int | None = None)
     return ids
 
 
-def decode_checked(block: Block, table: Table) -> np.ndarray:
+def check_payload(block: Block) -> None:
     if zlib.crc32(block.payload) != block.payload_crc:
         raise ValueError("a block's payload is damaged")
+
+
+def decode_checked(block: Block, table: Table) -> np.ndarray:
+    check_payload(block)
     ids = decode(block, table)
     if zlib.crc32(ids.tobytes()) != block.ids_crc:
         raise ValueError("a block does not decode to its ids")

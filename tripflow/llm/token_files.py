@@ -9,7 +9,7 @@ lost executors leave no half-written ones, and any storage that Spark reads will
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -38,8 +38,8 @@ BLOCKS = (
 
 
 # A plain word of Latin letters, and marks that always start a piece of their own after a letter and
-# that no special token ends with.
-LETTERS = r"a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{24F}"
+# that no special token ends with. U+0130 is left out: its lower case is a letter and a combining mark.
+LETTERS = r"a-zA-Z\x{C0}-\x{D6}\x{D8}-\x{F6}\x{F8}-\x{12F}\x{131}-\x{24F}"
 PLAIN = rf"^(?P<word>[{LETTERS}]+)(?P<tail>[.,;:!?*&%$#()\[\]{{}}/=+-]*)$"
 
 
@@ -223,8 +223,10 @@ def write_tokens(docs: DataFrame, out: str, path: str, key: str = "doc_id", text
             yield close()
 
     (
-        ids.repartitionByRange("key", "ids")
-        .sortWithinPartitions("key", "ids")
+        ids.withColumn("tie", F.xxhash64("ids"))
+        .repartitionByRange("key", "tie")  # the driver sees a sample of these, not of the ids
+        .sortWithinPartitions("key", "tie", "ids")
+        .drop("tie")
         .withColumn("part", F.spark_partition_id())
         .mapInArrow(coded, BLOCKS)
         .write.mode("overwrite").parquet(f"{out}/blocks")
@@ -237,12 +239,27 @@ ARROW = [
 ]
 
 
-def read_tokens(spark: SparkSession, out: str) -> DataFrame:
-    """``key``, ``start`` and ``ids`` (32 bits each, little-endian) of every document in the files.
+def span(block: rans.Block, shared: rans.Table, start: int, end: int) -> np.ndarray:
+    """Ids ``start`` to ``end`` of a block, decoded from the last checkpoint before them to the first behind."""
+    firsts = np.array(block.steps, dtype=np.int64) * block.lanes
+    mark = int(np.searchsorted(firsts, start, "right")) - 1
+    until = int(np.searchsorted(firsts, end))
+    ids = rans.decode(block, shared, mark, until if until < len(firsts) else None)
+    return ids[start - int(firsts[mark]) : end - int(firsts[mark])]
 
-    Blocks are decoded independently; a block that does not match its checksums is an error.
+
+def read_tokens(spark: SparkSession, out: str, keys: Sequence[int] | None = None) -> DataFrame:
+    """``key``, ``start`` and ``ids`` (32 bits each, little-endian) of every document in the files, or of the
+    documents with some keys.
+
+    Blocks are decoded independently; a block that does not match its checksums is an error. For some keys
+    only blocks that list one are read, and these from the checkpoints around each document; the payload's
+    checksum is held against all of it. A very long document is one block, whose ids one task holds.
     """
     blocks = spark.read.schema(BLOCKS).parquet(f"{out}/blocks")
+    all_blocks, wanted = blocks, None if keys is None else set(keys)
+    if keys is not None:
+        blocks = blocks.filter(F.arrays_overlap("keys", F.array(*map(F.lit, wanted)).cast("array<long>")))
     freq = np.zeros(0, dtype=np.int64)
     rows = spark.read.schema("id long, freq long").parquet(f"{out}/table").collect()  # one per id of the vocabulary
     if rows:
@@ -256,11 +273,16 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
             for at in range(batch.num_rows):
                 row = {name: batch.column(k)[at].as_py() for k, name in enumerate(batch.schema.names)}
                 block = rans.Block(**{name: row[name] for name in rans.Block.__dataclass_fields__})
-                ids = rans.decode_checked(block, shared)
                 ends = np.cumsum(row["lengths"])
                 starts = ends - row["lengths"]
-                data = memoryview(ids.astype("<u4").tobytes())
-                cut = [bytes(data[4 * a : 4 * b]) for a, b in zip(starts, ends, strict=True)]
+                if wanted is None:
+                    data = memoryview(rans.decode_checked(block, shared).astype("<u4").tobytes())
+                    cut = [bytes(data[4 * a : 4 * b]) for a, b in zip(starts, ends, strict=True)]
+                else:
+                    rans.check_payload(block)
+                    held = [k for k, key in enumerate(row["keys"]) if key in wanted]
+                    starts, ends, row["keys"] = starts[held], ends[held], [row["keys"][k] for k in held]
+                    cut = [span(block, shared, int(a), int(b)).astype("<u4").tobytes() for a, b in zip(starts, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array([row["part"]] * len(cut), pa.int32()),
@@ -272,7 +294,7 @@ def read_tokens(spark: SparkSession, out: str) -> DataFrame:
                 )
 
     # One row per file.
-    parts = blocks.groupBy("part").agg(F.sum("n_ids").alias("held"))
+    parts = all_blocks.groupBy("part").agg(F.sum("n_ids").alias("held"))
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     parts = parts.select("part", F.coalesce(F.sum("held").over(earlier), F.lit(0)).alias("before"))
     rows = blocks.mapInArrow(decoded, "part int, key long, local long, ids binary")
