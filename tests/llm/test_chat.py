@@ -56,6 +56,24 @@ def test_digests(spark, segment):
     assert len(found) == len({row[0] for row in turns})
 
 
+def test_a_conversation_with_most_rows_is_formatted_by_many_tasks(spark):
+    turns = [(7, k, ["user", "assistant"][k % 2], f"said {k}</s>") for k in range(3000)] + [(k, 0, "user", "x") for k in range(50)]
+    frame = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # or AQE makes one task of so few rows
+    try:
+        segments = chat.format_conversations(frame)
+        per_task = [row["count"] for row in segments.filter("conv_id = 7").groupBy("part").count().collect()]
+        assert len(per_task) > 2
+        found = {row["conv_id"]: row for row in chat.digest_conversations(segments).collect()}
+    finally:
+        spark.conf.unset(merging)
+    ordered = sorted((t for t in turns if t[0] == 7), key=lambda t: (t[1], t[2], t[3]))
+    said = "".join(f"{role}\n{text}\n" for _, _, role, text in ordered)
+    assert found[7]["n_turns"] == len(ordered) == 3001
+    assert found[7]["turns_sha256"] == hashlib.sha256(said.encode()).hexdigest()
+
+
 def test_no_rows(spark):
     _, frame = rows(spark)
     assert chat.digest_conversations(chat.format_conversations(frame.limit(0))).count() == 0

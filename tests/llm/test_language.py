@@ -40,6 +40,24 @@ def test_undecided_texts_and_clashing_columns(spark):
         assert row["lang_pred"] in ("und", "en", "fr") and 0 <= row["score"] <= 1
 
 
+def test_slots_follow_the_number_of_ngrams():
+    rng = np.random.default_rng(6)
+    codes = np.unique(rng.integers(0, 2**32, 300_000, dtype=np.uint32))
+    model = language.Model.of(["a", "b"], [codes, codes[:5]])
+    assert model.slot_bits == 23 and model.false_rate[0] < 0.01
+    assert language.Model.of(["a"], [codes[:0]]).slot_bits == language.SLOT_BITS
+
+
+def test_all_typical_ngrams_are_kept(spark):
+    letters = np.random.default_rng(9).integers(97, 123, (30_000, 4), dtype=np.uint8)
+    texts = [" ".join(word.tobytes().decode() for word in letters)] * 3
+    model = language.fit(frame(spark, [(k, text, "en", None, 0) for k, text in enumerate(texts)]))
+    own = np.unique(language.grams(np.frombuffer(language.as_bytes(texts[0]), dtype=np.uint8)))
+    bits = model.sliced[0]
+    assert len(own) > 50_000
+    assert all((bits[language.slots(own, multiplier, model.slot_bits)] == 1).all() for multiplier in language.HASHES)
+
+
 def test_nothing_to_learn_from(spark):
     model = language.fit(frame(spark, []))
     assert {row["lang_pred"] for row in language.identify(frame(spark), model).collect()} == {"und"}

@@ -21,6 +21,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,7 +35,9 @@ MARK = re.compile("|".join(re.escape(marker) for marker in CONTROL))
 LIKE = re.compile(r"([<\[])(\\*)(" + "|".join(sorted({re.escape(marker[1:]) for marker in CONTROL})) + ")")
 SEGMENT_CHARS = 4_000_000
 
-FORMATTED = "conv_id long, segment int, formatted string, loss_starts array<long>, loss_ends array<long>"
+PREFIX = 32  # characters of a text that decide where rows of one turn are dealt
+
+FORMATTED = "conv_id long, part int, segment int, formatted string, loss_starts array<long>, loss_ends array<long>"
 DIGEST = (
     "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 )
@@ -114,28 +117,25 @@ def render_segment(turns: list[tuple[str, str]]) -> tuple[str, list[tuple[int, i
     return formatted, loss
 
 
-def in_order(rows: DataFrame, *order: str) -> DataFrame:
-    return rows.repartition("conv_id").sortWithinPartitions("conv_id", *order)
-
-
 def format_conversations(rows: DataFrame, segment_chars: int = SEGMENT_CHARS) -> DataFrame:
     """Conversations of ``conv_id``, ``turn``, ``role``, ``text`` as formatted text with loss spans.
 
-    Turns stream through in order (equal turns by role and text), so a task holds one segment, never a
-    conversation; a conversation longer than ``segment_chars`` has several rows. NULL texts and roles
-    are empty, rows with a NULL id form one conversation, NULL turns come first, other columns go. An
-    empty table gives no rows.
+    Tasks hold ranges of conversations and turns (equal turns by role and text), so a conversation with very
+    many rows is formatted by many of them. A segment closes with its conversation, with its task and beyond
+    ``segment_chars``; ``part`` and ``segment`` order the segments of a conversation. A task holds one
+    segment, so a very long text is held alone. NULL texts and roles are empty, rows with a NULL id form one
+    conversation, NULL turns come first, other columns go. An empty table gives no rows.
     """
 
     def formatted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        conv, number, turns, chars = None, 0, [], 0
+        part, conv, number, turns, chars = TaskContext.get().partitionId(), None, 0, [], 0
 
         def close() -> pa.RecordBatch:
             text, loss = render_segment(turns)
             starts, ends = [a for a, _ in loss], [b for _, b in loss]
-            kinds = [pa.int64(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-            row = [conv, number, text, starts, ends]
-            names = ["conv_id", "segment", "formatted", "loss_starts", "loss_ends"]
+            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            row = [conv, part, number, text, starts, ends]
+            names = ["conv_id", "part", "segment", "formatted", "loss_starts", "loss_ends"]
             return pa.RecordBatch.from_arrays(
                 [pa.array([value], kind) for value, kind in zip(row, kinds, strict=True)], names=names
             )
@@ -158,11 +158,15 @@ def format_conversations(rows: DataFrame, segment_chars: int = SEGMENT_CHARS) ->
         F.coalesce("role", F.lit("")).alias("role"),
         F.coalesce("text", F.lit("")).alias("text"),
     )
-    return in_order(named, "turn", "role", "text").drop("turn").mapInArrow(formatted, FORMATTED)
+    dealt = named.repartitionByRange("conv_id", "turn", "role", F.substring("text", 1, PREFIX))
+    return dealt.sortWithinPartitions("conv_id", "turn", "role", "text").drop("turn").mapInArrow(formatted, FORMATTED)
 
 
 def digest_conversations(formatted: DataFrame) -> DataFrame:
-    """Per conversation, what a reader gets back from the formatted text alone."""
+    """Per conversation, what a reader gets back from the formatted text alone.
+
+    A digest of one text is sequential, so the segments of a conversation pass through one task, one by one.
+    """
 
     def digested(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, seen, done = None, False, []
@@ -181,7 +185,7 @@ def digest_conversations(formatted: DataFrame) -> DataFrame:
 
         state = fresh()
         for batch in batches:
-            for own, _, text, starts, ends in zip(*(column.to_pylist() for column in batch.columns), strict=True):
+            for own, _, _, text, starts, ends in zip(*(column.to_pylist() for column in batch.columns), strict=True):
                 if seen and own != conv:
                     done.append(row())
                     state = fresh()
@@ -200,7 +204,8 @@ def digest_conversations(formatted: DataFrame) -> DataFrame:
         if seen:
             yield batch_of([*done, row()])
 
-    return in_order(formatted, "segment").mapInArrow(digested, DIGEST)
+    ordered = formatted.repartition("conv_id").sortWithinPartitions("conv_id", "part", "segment")
+    return ordered.mapInArrow(digested, DIGEST)
 
 
 def op10_chat_formatting(spark, sf_dir: str) -> DataFrame:

@@ -6,8 +6,9 @@ taking the AND gives the mask of all languages that contain it. Over a document
 per language; each count is corrected for the filter's own rate of false positives, and the language
 with the highest corrected count wins.
 
-The filters are fitted on a bounded sample: about ``sample_docs`` documents per language, chosen by a
-hash of the id, with at most ``grams_per_language`` n-grams each. Prediction reads whole texts of all
+The filters are fitted on a bounded sample of labelled rows: about ``sample_docs`` documents per language,
+chosen by a hash of the id. All n-grams typical of a language in it are kept, and slots are as many as the largest
+language needs. Prediction reads whole texts of all
 documents and uses nothing but the text.
 """
 
@@ -27,8 +28,8 @@ from tripflow.llm.text import bounded_batches, packed, table
 UNKNOWN = "und"
 N = 4
 SAMPLE_DOCS = 3_000
-GRAMS = 50_000
-SLOT_BITS = 20
+SLOT_BITS = 20  # at least, and SPARE slots for each n-gram
+SPARE = 16
 HASHES = (0x9E3779B1, 0x85EBCA6B)  # odd multipliers; the top bits of the product choose the slot
 MIN_COUNT = 3
 TYPICAL = 0.25  # of the rate in the language that uses the n-gram most
@@ -55,8 +56,8 @@ def grams(data: np.ndarray) -> np.ndarray:
     return codes
 
 
-def slots(codes: np.ndarray, multiplier: int) -> np.ndarray:
-    return (codes * np.uint32(multiplier)) >> np.uint32(32 - SLOT_BITS)
+def slots(codes: np.ndarray, multiplier: int, bits: int) -> np.ndarray:
+    return (codes * np.uint32(multiplier)) >> np.uint32(32 - bits)
 
 
 @dataclass(frozen=True)
@@ -66,21 +67,24 @@ class Model:
     languages: list[str]
     sliced: list[np.ndarray]
     false_rate: np.ndarray
+    slot_bits: int = SLOT_BITS
 
     @staticmethod
     def of(languages: list[str], typical: list[np.ndarray]) -> Model:
         sliced, rates = [], []
+        largest = max((len(codes) for codes in typical), default=1)
+        slot_bits = min(32, max(SLOT_BITS, (SPARE * max(largest, 1) - 1).bit_length()))
         for at in range(0, len(languages), 64):
             group = typical[at : at + 64]
             kind = next(k for k in (np.uint8, np.uint16, np.uint32, np.uint64) if len(group) <= 8 * k().itemsize)
-            bits = np.zeros(1 << SLOT_BITS, dtype=kind)
+            bits = np.zeros(1 << slot_bits, dtype=kind)
             for k, codes in enumerate(group):
                 for multiplier in HASHES:
-                    bits[slots(codes, multiplier)] |= kind(1 << k)
+                    bits[slots(codes, multiplier, slot_bits)] |= kind(1 << k)
                 filled = np.count_nonzero(bits & kind(1 << k)) / len(bits)
                 rates.append(filled ** len(HASHES))
             sliced.append(bits)
-        return Model(languages, sliced, np.array(rates))
+        return Model(languages, sliced, np.array(rates), slot_bits)
 
     def counts(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """n-grams of each text (padded by ``as_bytes``), and how many of them each language contains."""
@@ -88,7 +92,7 @@ class Model:
         starts = np.cumsum(lengths) - lengths
         codes = grams(np.frombuffer(b"".join(texts) + b" " * (N - 1), dtype=np.uint8))
         found = np.zeros((len(texts), len(self.languages)), dtype=np.int64)
-        first, second = (slots(codes, multiplier) for multiplier in HASHES)
+        first, second = (slots(codes, multiplier, self.slot_bits) for multiplier in HASHES)
         ends = starts + lengths
         for group, bits in enumerate(self.sliced):
             mask = bits[first] & bits[second]
@@ -125,8 +129,8 @@ class Model:
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang",
-        sample_docs: int = SAMPLE_DOCS, grams_per_language: int = GRAMS) -> Model:
-    """Filters from labelled documents; those without language or text teach nothing."""
+        sample_docs: int = SAMPLE_DOCS) -> Model:
+    """Filters from labelled documents; those without language or text teach nothing. Texts are read whole."""
     labelled = docs.filter(F.col(lang).isNotNull() & F.col(text).isNotNull())
     sizes = {row[lang]: row["count"] for row in labelled.groupBy(lang).count().collect()}  # a row per language
     languages = sorted(sizes)
@@ -151,12 +155,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "l
     counts = sample.mapInArrow(counted, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rate = F.col("n") / F.sum("n").over(Window.partitionBy("lang"))
     rated = counts.withColumn("rate", rate).withColumn("most", F.max("rate").over(Window.partitionBy("code")))
-    best = Window.partitionBy("lang").orderBy(F.desc("n"), "code")
-    typical = (
-        rated.filter((F.col("n") >= MIN_COUNT) & (F.col("rate") >= TYPICAL * F.col("most")))
-        .withColumn("place", F.row_number().over(best))
-        .filter(F.col("place") <= grams_per_language)
-    )
+    typical = rated.filter((F.col("n") >= MIN_COUNT) & (F.col("rate") >= TYPICAL * F.col("most")))
     codes: dict[str, list[int]] = {name: [] for name in languages}
     for row in typical.select("lang", "code").toLocalIterator():
         codes[row["lang"]].append(row["code"])
@@ -167,12 +166,13 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """All rows as struct ``row`` with ``lang_pred`` and ``score``, the winner's part of all counts.
 
     NULL texts and those without a letter are ``und`` with score 0, and so is everything when the model
-    has learned no language. Ties go to the first language by name. Other columns travel in ``row``. An
-    empty table gives no rows.
+    has learned no language. A text none of whose n-grams any language has goes to the first one with
+    score 0. Ties go to the first language by name. Very long texts go through in pieces. Other columns travel in
+    ``row``. An empty table gives no rows.
     """
     bounded_batches(docs.sparkSession)
     kept = packed(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # 1 MB for each 8 languages
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # from 1 MB for each 8 languages on, by the n-grams of the sample
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         learned = shared.value
@@ -187,7 +187,7 @@ def identify(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     best, total = found.argmax(axis=1), found.sum(axis=1)
                     for k, winner, own, every in zip(known, best, found, total, strict=True):
                         names[k] = learned.languages[winner]
-                        scores[k] = float(own[winner] / every) if every else 1 / len(learned.languages)
+                        scores[k] = float(own[winner] / every) if every else 0.0
                 columns = [part.column(0), pa.array(names), pa.array(scores)]
                 yield pa.RecordBatch.from_arrays(columns, names=["row", "lang_pred", "score"])
 

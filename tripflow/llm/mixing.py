@@ -32,9 +32,9 @@ from tripflow.session import stage
 
 CAP = 3
 WEIGHTS = (1, 2, 3)
-STEPS = 40
+STEPS = 200
 TOLERANCE = 1e-7
-LIMIT = 1e4
+LIMIT = 1e15
 
 
 def source_targets(totals: DataFrame, cap: int = CAP, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
@@ -74,7 +74,9 @@ def solve_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> D
 
     ``cells`` has ``source``, ``size``, ``n``. Each step is one aggregate over all cells; what is
     carried from step to step, one row per source, is written to the shared folder. A source whose
-    target is its cap has its multiplier at infinity, one without a target at minus infinity.
+    target is its cap has its multiplier at infinity, one without a target at minus infinity. Where a Newton
+    step leaves the bracket, it is halved, which ends at the last bit of a double long before ``STEPS``;
+    a source still off its target then is an error.
     """
     cells = cells.filter("size > 0")
     means = cells.groupBy("source").agg((F.sum(F.col("size") * F.col("n")) / F.sum("n")).alias("mean"))
@@ -127,8 +129,9 @@ def solve_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> D
             "mix-state",
         )
         if state.filter("gap > 0").isEmpty():
-            break
-    return state.drop("low", "high", "gap")
+            return state.drop("low", "high", "gap")
+    missed = [row["source"] for row in state.filter("gap > 0").select("source").collect()]
+    raise RuntimeError(f"no multiplier after {STEPS} steps for sources {missed}")
 
 
 def whole_copies(cells: pd.DataFrame) -> pd.DataFrame:
