@@ -15,15 +15,24 @@ from tripflow.session import stage
 
 
 NEAR_WORDS, NEAR_PERCENT = 5, 80
+EVIDENCE = 20
 
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without a letter: no language can be told. The rest stays, whatever its language."""
-    found = language.identify(docs, language.fit_unheld(docs))
-    return found.filter(F.col("lang_pred") != language.UNKNOWN).select("row.*")
+    """Drops documents of no language: NULL and empty texts, texts without a letter, and texts of ``EVIDENCE``
+    characters or more of which no n-gram is typical of any language learned. All others stay, whatever their language.
+    Without a labelled row there is nothing to learn, and only the first two kinds go."""
+    model = language.fit_unheld(docs)
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
+    found = language.identify(docs, model)
+    foreign = (F.col("score") == 0) & (F.length("row.text") >= EVIDENCE)
+    return found.filter((F.col("lang_pred") != language.UNKNOWN) & ~foreign).select("row.*")
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of texts that are equal but for white space the longest stays, then the smallest id (NULL last); NULL texts
+    are empty and equal to each other. Very long texts are compared whole. An empty table stays empty."""
     return exact_dedup.drop_duplicates(docs)
 
 
@@ -33,7 +42,8 @@ def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents repeated or left out, so that sources come near their targets."""
+    """Documents repeated or left out, so that sources come near their targets; a NULL source is one, the last.
+    A copy is a row with the same values. Texts without words count 0 and stay once. An empty table stays empty."""
     return mixing.mixed_documents(docs)
 
 
