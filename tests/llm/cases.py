@@ -45,8 +45,8 @@ def shingles(text: str | None, n: int = 3) -> frozenset:
     return frozenset(tuple(words[k : k + size]) for k in range(len(words) - size + 1)) if words else frozenset()
 
 
-def components(rows: list[tuple[int, str | None]]) -> dict[int, int]:
-    sets = {key: shingles(text) for key, text in rows}
+def components(rows: list[tuple[int, str | None]], words: int = 3, percent: int = 90) -> dict[int, int]:
+    sets = {key: shingles(text, words) for key, text in rows}
     parent = {key: key for key in sets}
 
     def find(x):
@@ -58,7 +58,7 @@ def components(rows: list[tuple[int, str | None]]) -> dict[int, int]:
     for i, a in enumerate(keys):
         for b in keys[i + 1 :]:
             both = len(sets[a] & sets[b])
-            if both and 100 * both >= 90 * len(sets[a] | sets[b]):
+            if both and 100 * both >= percent * len(sets[a] | sets[b]):
                 one, two = find(a), find(b)
                 parent[max(one, two)] = min(one, two)
     return {key: find(key) for key in keys}

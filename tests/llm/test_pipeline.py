@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as driver
 import corpus_pipeline
 from tests.compare import connect, difference
-from tests.llm.cases import components, documents, frame, shingles
+from tests.llm.cases import components, documents, frame, prose, shingles
 from tripflow.llm import registry
 
 FOLDER = "/root/testdata/sf0.001"
@@ -31,12 +31,25 @@ def test_filtering_stages_match_brute_force(spark):
     for doc_id, text in left.items():
         texts.setdefault("".join(text.split()), []).append((-len(text), doc_id))
     distinct = {min(group)[1]: left[min(group)[1]] for group in texts.values()}
-    kept = set(components(list(distinct.items())).values())
+    kept = set(components(list(distinct.items()), words=5, percent=80).values())
     found = run_stages(spark, frame(spark), corpus_pipeline.STAGES[:3]).collect()
     assert sorted(row["doc_id"] for row in found if row["doc_id"] is not None) == sorted(kept)
     assert sum(row["doc_id"] is None for row in found) == 1
 
 
+def test_a_text_of_no_language_learned_goes(spark):
+    texts = [prose(k, 60) for k in range(30)] + ["\u6f22\u5b57\u4eee\u540d" * 20, "\u6f22\u5b57", "ok", "1234 " * 20, None]
+    docs = frame(spark, [(k, text, "en", "s1", 0) for k, text in enumerate(texts)])
+    kept = sorted(row["doc_id"] for row in corpus_pipeline.language_stage(spark, docs, FOLDER).collect())
+    assert kept == [*range(30), 31, 32]
+
+
+def test_a_corpus_without_labels_is_kept(spark):
+    docs = frame(spark, [(k, f"text number {k}" if k else " 12 ", None, "s1", 0) for k in range(20)])
+    kept = corpus_pipeline.language_stage(spark, docs, FOLDER)
+    assert kept.columns == docs.columns and sorted(row["doc_id"] for row in kept.collect()) == list(range(1, 20))
+
+
 def five_word_likeness(one, other):
     ours, theirs = shingles(one, 5), shingles(other, 5)
     return len(ours & theirs) / len(ours | theirs)
@@ -68,7 +81,7 @@ def test_encoding_tells_texts_that_do_not_come_back(spark):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(name[2:].split("_")[0]) for name in registry.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(registry.SQL) <= set(registry.QUERIES)
     assert {*registry.QUERIES, "pipeline"} <= set(driver.queries())
 
