@@ -62,14 +62,29 @@ def test_query_sizes_and_checksums(spark, tmp_path):
 
 
 def test_other_rows_than_were_counted_mean_another_attempt(spark, monkeypatch):
-    planned, calls = sharding.communication_matrix, []
+    planned, calls = sharding.running_sums, []
 
-    def wrong_once(parts, shards, seed):
-        calls.append(seed)
-        matrix = planned(parts, shards, seed)
-        if len(calls) == 1:
-            matrix[0, 0] += 1
-        return matrix
+    def wrong_once(parts):
+        calls.append(parts)
+        return planned([parts[0] + 1, *parts[1:]] if len(calls) == 1 else parts)
 
-    monkeypatch.setattr(sharding, "communication_matrix", wrong_once)
+    monkeypatch.setattr(sharding, "running_sums", wrong_once)
     assert sharding.shard_rows(frame(spark), 3).count() == len(documents()) and len(calls) == 2
+
+
+def test_a_task_finds_its_row_without_the_others():
+    """Of many partitions a row takes few draws, and all rows together keep both margins."""
+    rng = np.random.default_rng(4)
+    parts = rng.integers(0, 50, 500).tolist()
+    ends = np.cumsum(parts).tolist()
+    matrix = np.array([sharding.row_of(ends, part, 24, 3) for part in range(len(parts))])
+    assert matrix.sum(axis=1).tolist() == parts
+    assert set(matrix.sum(axis=0)) <= {sum(parts) // 24, sum(parts) // 24 + 1}
+    drawn = []
+    original = sharding.hypergeometric
+    sharding.hypergeometric = lambda *given: drawn.append(1) or original(*given)
+    try:
+        sharding.row_of(list(range(100, 40_000_100, 100)), 123_456, 24)
+    finally:
+        sharding.hypergeometric = original
+    assert len(drawn) <= 24 * 19

@@ -1,14 +1,14 @@
 """A uniform random shuffle into shards of exact size, planned by a communication matrix.
 
 How many rows of input partition p go to shard j, over all permutations of the corpus, follows a
-hypergeometric law. The matrix of these counts is drawn first, from the partition sizes alone: going
-through the partitions, each takes its rows from what the shards still have room for. Given the
-matrix, every partition permutes its own labels, the rows are exchanged, and a second permutation
+hypergeometric law. The matrix of these counts follows from the partition sizes alone, by halves: of the rows
+that all partitions of a range put into each shard, one draw says how many come from its first half,
+and so on down to one partition. The draws of a range have a seed of their own, so every task finds its own row
+of the matrix by itself, in as many steps as the number of tasks has bits. Given its row, every partition permutes its own labels, the rows are exchanged, and a second permutation
 orders each shard; together that is a uniform permutation of all rows, and no shard is ever off by a
 row. The exchange is a range sort by (shard, random key), so a shard may span many tasks.
 
-The matrix has one row per input partition and one column per shard: its size follows the number of
-tasks, not of documents.
+The driver gets one number per input partition, and hands these to the tasks.
 """
 
 from __future__ import annotations
@@ -47,20 +47,40 @@ def hypergeometric(good: int, bad: int, drawn: int, rng: np.random.Generator) ->
     return first + int(np.searchsorted(law, rng.random() * law[-1], side="right"))
 
 
+def split(room: list[int], drawn: int, rng: np.random.Generator) -> list[int]:
+    """How many of ``drawn`` rows lie in each shard, of all that have this room: one draw after the other."""
+    rest, taken = sum(room), []
+    for size in room:
+        rest -= size
+        taken.append(hypergeometric(size, rest, drawn, rng))
+        drawn -= taken[-1]
+    return taken
+
+
+def row_of(ends: list[int], part: int, shards: int, seed: int = SEED) -> list[int]:
+    """Rows of one partition per shard; ``ends`` are running sums of the partition sizes. Shard sizes differ by
+    one at most."""
+    room = [ends[-1] // shards + (j < ends[-1] % shards) for j in range(shards)]
+    low, high = 0, len(ends)
+    while high - low > 1:
+        middle = (low + high) // 2
+        before = ends[low - 1] if low else 0
+        first = split(room, ends[middle - 1] - before, np.random.default_rng([seed, low, high]))
+        if part < middle:
+            room, high = first, middle
+        else:
+            room, low = [size - taken for size, taken in zip(room, first, strict=True)], middle
+    return room
+
+
+def running_sums(parts: list[int]) -> list[int]:
+    return np.cumsum(parts, dtype=np.int64).tolist()
+
+
 def communication_matrix(parts: list[int], shards: int, seed: int = SEED) -> np.ndarray:
-    """Rows per (partition, shard). Shard sizes differ by one at most."""
-    rng = np.random.default_rng(seed)
-    rows = sum(parts)
-    room = [rows // shards + (j < rows % shards) for j in range(shards)]
-    matrix = np.zeros((len(parts), shards), dtype=np.int64)
-    for p, drawn in enumerate(parts):
-        rest = sum(room)
-        for j in range(shards):
-            rest -= room[j]
-            taken = hypergeometric(room[j], rest, drawn, rng)
-            matrix[p, j], drawn = taken, drawn - taken
-            room[j] -= taken
-    return matrix
+    """Rows per (partition, shard), for looking at it as a whole."""
+    ends = running_sums(parts)
+    return np.array([row_of(ends, part, shards, seed) for part in range(len(parts))], dtype=np.int64).reshape(-1, shards)
 
 
 def shard_rows(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
@@ -84,8 +104,8 @@ def placed_rows(held: DataFrame, shards: int, seed: int) -> DataFrame:
     counts = held.groupBy(F.spark_partition_id().alias("part")).count().collect()  # a row per task
     sizes = {row["part"]: row["count"] for row in counts}
     order = sorted(sizes)
-    matrix = communication_matrix([sizes[part] for part in order], shards, seed)
-    wanted = dict(zip(order, matrix.tolist(), strict=True))
+    ends = running_sums([sizes[part] for part in order])
+    shared = held.sparkSession.sparkContext.broadcast(({part: k for k, part in enumerate(order)}, ends))
     schema = T.StructType(
         held.schema.fields + [T.StructField("shard", T.IntegerType()), T.StructField("draw", T.LongType())]
     )
@@ -95,10 +115,11 @@ def placed_rows(held: DataFrame, shards: int, seed: int) -> DataFrame:
         for batch in batches:
             if labels is None:  # the column says where the rows were counted, whoever asks for them
                 part = batch.column(1)[0].as_py()
-                if part not in wanted:
+                places, running = shared.value
+                if part not in places:
                     raise RuntimeError(f"more {RECOUNT}")
-                rng = np.random.default_rng([seed, 1, part])
-                labels = np.repeat(np.arange(shards, dtype=np.int32), wanted[part])
+                rng = np.random.default_rng([seed, 1, part, shards])
+                labels = np.repeat(np.arange(shards, dtype=np.int32), row_of(running, places[part], shards, seed))
                 rng.shuffle(labels)
             own = labels[at : at + batch.num_rows]
             at += batch.num_rows
