@@ -104,11 +104,17 @@ def test_equal_and_null_keys_spread_over_buckets(spark):
     docs = frame(spark, rows)
     held, heads = fingerprints.dealt(docs, "doc_id", "text", 20)
     sizes = [row["count"] for row in held.groupBy("bucket").count().collect()]
-    assert sum(sizes) == len(rows) and max(sizes) <= 60 and len(heads) == len(sizes)
+    assert sum(sizes) == len(rows) and max(sizes) <= 60 and heads.count() == len(sizes)
     pairs = lambda size: sorted(str(row) for row in fingerprints.with_next(docs, "doc_id", "text", size).select("text", "next").collect())
     assert pairs(20) == pairs(10_000)
 
 
+def test_the_plan_does_not_grow_with_the_buckets(spark):
+    docs = frame(spark, [(k, f"text {k}", None, None, 0) for k in range(3000)])
+    lengths = [len(fingerprints.with_next(docs, "doc_id", "text", size)._jdf.queryExecution().optimizedPlan().toString()) for size in (1, 3000)]
+    assert abs(lengths[0] - lengths[1]) < 200
+
+
 def test_one_row_and_none(spark):
     assert fingerprints.fingerprints(frame(spark, [])).count() == 0
     row = fingerprints.with_next(frame(spark, [(1, "abc", None, None, 0)]), "doc_id", "text").first()

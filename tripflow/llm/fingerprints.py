@@ -11,13 +11,11 @@ All steps are array expressions within one row: shifted copies of the array of w
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import accumulate
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tripflow.llm.text import SPACE, packed, table, whole
+from tripflow.session import stage
 
 K, S = 5, 2
 W = K - S + 1  # inner substrings of K words
@@ -111,28 +109,32 @@ def matches(one: Column, other: Column) -> Column:
     return F.flatten(pairs)
 
 
-def dealt(docs: DataFrame, key: str, text: str, bucket_rows: int) -> tuple[DataFrame, list[tuple]]:
-    """Rows as struct ``row`` with ``rank``, ``tie`` and ``bucket``, and the head of every bucket in use.
+def dealt(docs: DataFrame, key: str, text: str, bucket_rows: int) -> tuple[DataFrame, DataFrame]:
+    """Rows as struct ``row`` with their place in the order (``falling``, ``tie``), their ``bucket``, and for rows that
+    lead one the bucket ``before``; and the leading places.
 
-    Buckets follow the order of (rank descending, tie). Quantiles of the rank bound them; a rank that several
-    quantiles fall on has buckets of its own, which part the range of ``tie``. A head is (bucket, rank, tie).
+    Only places are put in order, by ranges over all tasks; a bucket is a run of ``bucket_rows`` of them in one
+    range, and rows find theirs by a join. The bucket before the first of a range is the last of the range
+    before, and before the first of all is the last: one row per task is looked at for that.
     """
-    rank = F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))
-    parts = max(1, docs.count() // bucket_rows)
-    shares = [(parts - i) / parts for i in range(1, parts)]
-    found = docs.select(F.percentile_approx(rank, shares, max(10_000, 100 * parts))).first()[0] if shares else []
-    times = Counter(found)
-    hot = {value: n for value, n in times.items() if n > 1}
-    bounds = sorted({*times, *(value + 1 for value in hot if value < 2**63 - 1)}, reverse=True)
-    pieces = [hot.get(low, 0) + 1 for low in bounds] + [1]
-    starts = list(accumulate(pieces, initial=0))[:-1]
-    held = packed(docs, rank=rank, tie=F.xxhash64(whole(F.col(text))), range=bucket_of(rank, bounds))
-    own = F.get(F.lit(pieces), F.col("range"))
-    piece = F.least(F.floor((F.col("tie") / F.lit(2.0**64) + 0.5) * own).cast("int"), own - 1)
-    held = held.select("row", "rank", "tie", (F.get(F.lit(starts), F.col("range")) + piece).alias("bucket"))
-    first = F.min(F.struct(F.bitwise_not("rank").alias("falling"), "tie")).alias("first")
-    heads = held.groupBy("bucket").agg(first).collect()  # a row per bucket
-    return held, sorted((row["bucket"], ~row["first"]["falling"], row["first"]["tie"]) for row in heads)
+    places = {
+        "falling": F.bitwise_not(F.coalesce(F.col(key).cast("long"), F.lit(-(2**63)))),
+        "tie": F.xxhash64(whole(F.col(text))),
+    }
+    order = docs.select(*[place.alias(name) for name, place in places.items()]).distinct()
+    order = order.repartitionByRange(*places).sortWithinPartitions(*places)
+    order = stage(order.withColumn("at", F.monotonically_increasing_id()), "fingerprint-order")
+    number = F.expr(f"(at & {(1 << 33) - 1}L) div {bucket_rows}")
+    order = order.select(*places, "at", F.shiftright("at", 33).alias("range"), number.alias("number"))
+    in_order = Window.orderBy("range")
+    bucket = lambda name: F.shiftleft("range", 33) + F.col(name)
+    ranges = order.groupBy("range").agg(F.max("number").alias("last")).withColumn("final", bucket("last"))
+    last_of_all = F.last("final").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    ranges = ranges.select("range", F.coalesce(F.lag("final").over(in_order), last_of_all).alias("back"))
+    leads = F.expr(f"(at & {(1 << 33) - 1}L) % {bucket_rows} = 0")
+    back = F.when(leads, F.when(F.col("number") == 0, F.col("back")).otherwise(bucket("number") - 1))
+    numbered = order.join(F.broadcast(ranges), "range").select(*places, bucket("number").alias("bucket"), back.alias("before"))
+    return packed(docs, **places).join(numbered, [*places]), numbered.filter("before IS NOT NULL")
 
 
 def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
@@ -140,23 +142,15 @@ def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_RO
     descending order of key.
 
     NULL keys come last, equal keys go by a hash of the text, the last row is followed by the first.
-    Rows are dealt to buckets of about ``bucket_rows`` neighbours in this order (some numbers per bucket
-    come to the driver), and a bucket also gets a copy of the first row after it; so no order is ever
-    made over all rows in one task. Only rows equal in key and text cannot be parted.
+    Rows are dealt to buckets of about ``bucket_rows`` neighbours in this order, and a bucket also gets a
+    copy of the first row after it; so no order of texts is ever made over all rows, and nothing comes to the
+    driver. Only rows equal in key and text cannot be parted.
     """
-    held, heads = dealt(docs, key, text, bucket_rows)
+    held, _ = dealt(docs, key, text, bucket_rows)
     inside = F.col(f"row.`{text}`")
-    copies = F.array("bucket")
-    if heads:
-        size = heads[-1][0] + 1
-        ranks, ties, before = [0] * size, [0] * size, [0] * size
-        for k, (bucket, rank, tie) in enumerate(heads):
-            ranks[bucket], ties[bucket], before[bucket] = rank, tie, heads[k - 1][0]
-        of_bucket = lambda values, kind: F.get(F.lit(values).cast(f"array<{kind}>"), F.col("bucket"))
-        leads = (F.col("rank") == of_bucket(ranks, "bigint")) & (F.col("tie") == of_bucket(ties, "bigint"))
-        copies = F.array_compact(F.array(F.col("bucket"), F.when(leads, of_bucket(before, "int"))))
-    spread = held.select("row", "rank", "tie", F.posexplode(copies).alias("copy", "bucket"))
-    follows = Window.partitionBy("bucket").orderBy("copy", F.desc("rank"), "tie")
+    copies = F.array_compact(F.array("bucket", "before"))
+    spread = held.select("row", "falling", "tie", F.posexplode(copies).alias("copy", "bucket"))
+    follows = Window.partitionBy("bucket").orderBy("copy", "falling", "tie")
     # Whole columns lead, so that no second copy of a text goes through the exchange.
     followed = spread.select("*", F.lead("row").over(follows).alias("follower"))
     return followed.filter("copy = 0").select(
@@ -164,31 +158,6 @@ def with_next(docs: DataFrame, key: str, text: str, bucket_rows: int = BUCKET_RO
     )
 
 
-def bucket_of(rank: Column, bounds: list[int]) -> Column:
-    """How many of the descending ``bounds`` are above the rank, by bisection."""
-    if not bounds:
-        return F.lit(0)
-    steps = len(bounds).bit_length()
-    table = F.lit(bounds)
-    low = F.lit(0)
-    found = F.aggregate(
-        F.array_repeat(F.lit(0), steps),
-        F.struct(low.alias("low"), F.lit(len(bounds)).alias("high")),
-        lambda span, _: _halved(span, table, rank),
-    )
-    return found["low"]
-
-
-def _halved(span: Column, table: Column, rank: Column) -> Column:
-    middle = F.floor((span["low"] + span["high"]) / 2).cast("int")
-    above = (span["low"] < span["high"]) & (F.get(table, middle) > rank)
-    below = (span["low"] < span["high"]) & ~(F.get(table, middle) > rank)
-    return F.struct(
-        F.when(above, middle + 1).otherwise(span["low"]).alias("low"),
-        F.when(below, middle).otherwise(span["high"]).alias("high"),
-    )
-
-
 def fingerprints(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All rows as struct ``row`` with the fingerprints of the text, of its edited form, and of the next text.
 
