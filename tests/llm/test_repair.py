@@ -101,7 +101,7 @@ def test_equals_brute_force_whatever_the_pieces(spark, monkeypatch, rows, chars)
     monkeypatch.setattr(repair, "PIECE_CHARS", chars)
     turns = generated(120)
     frame = spark.createDataFrame(turns, SCHEMA).withColumns({n: F.lit("x") for n in ("part", "seq", "first", "digest", "cost")})
-    assert collected(repair.repair(repair.damaged(frame))) == brute(turns)
+    assert collected(repair.digests(repair.repair(repair.damaged(frame)))) == brute(turns)
 
 
 def test_block_tables_equal_single_rows():
@@ -124,11 +124,11 @@ def test_one_conversation_over_many_tasks(spark):
     long = [(7, k, ["user", "assistant"][k % 2], f"said {k % 400}{'.' * (k % 3)}") for k in range(4000)]
     turns = [*generated(40), *long, *([(7, 5, "user", "again")] * 300)]
     frame = spark.createDataFrame(turns, SCHEMA).repartition(16)
-    whole = collected(repair.repair(repair.damaged(frame)))
+    whole = collected(repair.digests(repair.repair(repair.damaged(frame))))
     merging = "spark.sql.adaptive.coalescePartitions.enabled"
     spark.conf.set(merging, "false")  # or AQE makes one task of so few rows
     try:
-        found = collected(repair.repair(repair.damaged(frame)))
+        found = collected(repair.digests(repair.repair(repair.damaged(frame))))
         solved = repair.solved(repair.ordered(repair.damaged(frame).withColumn("times", F.col("times").cast("long"))))
         assert solved.filter("part IS NOT NULL AND conv_id = 7").select("part").distinct().count() > 1
     finally:
@@ -143,13 +143,22 @@ def test_one_conversation_over_many_tasks(spark):
 
 def test_clean_dropped_and_no_conversations(spark):
     clean = [(1, 0, "system", "Be kind."), (1, 1, "user", "Hi?"), (1, 2, "assistant", "Hello!")]
-    found = collected(repair.repair(spark.createDataFrame(clean, SCHEMA)))
+    found = collected(repair.digests(repair.repair(spark.createDataFrame(clean, SCHEMA))))
     digest = hashlib.sha256(b"system:Be kind.\nuser:Hi?\nassistant:Hello!").hexdigest()
     assert found[1] == (1, 0, 0, 0, 0, 0, 0, "KKK", digest)
     gone = next(k for k in range(1000) if zlib.crc32(f"{k}:0".encode()) % 20 == 0)
-    found = collected(repair.repair(repair.damaged(spark.createDataFrame([(gone, 0, "user", "x")], SCHEMA))))
+    found = collected(repair.digests(repair.repair(repair.damaged(spark.createDataFrame([(gone, 0, "user", "x")], SCHEMA)))))
     assert found[gone] == (gone, 0, 0, 0, 0, 0, 0, "", hashlib.sha256(b"").hexdigest())
-    assert repair.repair(spark.createDataFrame([], SCHEMA)).count() == 0
+    assert repair.digests(repair.repair(spark.createDataFrame([], SCHEMA))).count() == 0
+
+
+def test_repaired_rows_follow_the_pattern(spark):
+    frame = spark.createDataFrame(generated(80), SCHEMA)
+    for row in repair.repair(frame).collect():
+        assert PATTERN.match("".join(role[:1] for role in row["repaired_roles"])) and row["segment"] == 0 and row["last"]
+        kept = [text for text in row["repaired_texts"] if text]
+        assert len(row["repaired_texts"]) == sum(row["audit"].count(letter) for letter in "KRI")
+        assert len(kept) == sum(row["audit"].count(letter) for letter in "KR")
 
 
 def test_whole_table(spark):

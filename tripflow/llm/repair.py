@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from functools import cache, lru_cache
 
 import numpy as np
@@ -45,11 +45,17 @@ SPACES = " \t\n\x0b\x0c\r"
 PIECE_ROWS, PIECE_CHARS = 50_000, 4_000_000
 PREFIX = 32  # characters of a text that decide where rows of one turn are dealt
 
+COUNTS = ("blank", "duplicate", "truncated", "illegal")
 RESULT = (
     "conv_id long, gaps long, blank long, duplicate long, truncated long, illegal long, cost long, "
     "audit string, repaired_sha256 string"
 )
 RESULT_NAMES = [column.split()[0] for column in RESULT.split(", ")]
+SEGMENT = (
+    "conv_id long, segment int, last boolean, gaps long, blank long, duplicate long, truncated long, illegal long, "
+    "cost long, audit string, repaired_roles array<string>, repaired_texts array<string>"
+)
+SEGMENT_NAMES = [column.split()[0] for column in SEGMENT.split(", ")]
 PIECE = (
     "part int, seq int, symbols binary, extras array<long>, roles array<string>, texts array<string>, "
     "first_turn long, last_turn long, turns long, first_initial string, last_initial string, "
@@ -195,38 +201,42 @@ def block_edits(symbols: bytes, end: int, state: int) -> tuple[tuple[str, ...],
 
 
 def edits_of(symbols: np.ndarray, end: int, state: int) -> Iterator[str]:
-    """Edits of every row in order; returns the state behind them."""
+    """Edits of every row in order."""
     between, _ = vectors_between(symbols, end)
     loose, blocks = blocks_of(symbols)
     for rows, behind in zip([loose, *blocks], between[1:], strict=True):
         edits, state = block_edits(rows.tobytes(), behind, state)
         yield from edits
-    return state
 
 
 @dataclass
 class Repaired:
-    """What comes out of a conversation's pieces, put in one after the other."""
+    """What comes out of a conversation's pieces, put in one after the other. Counts, cost, edits and rows are those
+    since the last segment was taken."""
 
     state: int = START
-    cost: int = 0
-    counts: dict = field(default_factory=lambda: dict.fromkeys(("blank", "duplicate", "truncated", "illegal"), 0))
-    audit: list[str] = field(default_factory=list)
     first_turn: int | None = None
     last_turn: int | None = None
     turns: int = 0
     last_initial: str | None = None
+    segments: int = 0
 
     def __post_init__(self) -> None:
-        self.digest, self.empty = hashlib.sha256(), True
+        self.clear()
+
+    def clear(self) -> None:
+        self.cost, self.counts = 0, dict.fromkeys(COUNTS, 0)
+        self.audit: list[str] = []
+        self.roles: list[str] = []
+        self.texts: list[str] = []
 
     def write(self, role: str, text: str) -> None:
-        self.digest.update(f"{'' if self.empty else chr(10)}{role}:{text}".encode(errors="surrogatepass"))
-        self.empty = False
+        self.roles.append(role)
+        self.texts.append(text)
 
     def add(self, piece: dict, end: int) -> None:
         """One piece, before the vector of number ``end``."""
-        for name in self.counts:
+        for name in COUNTS:
             self.counts[name] += piece[name]
         if self.last_initial is not None and piece["first_initial"] is not None:
             self.counts["illegal"] += self.last_initial + piece["first_initial"] not in LEGAL
@@ -237,45 +247,40 @@ class Repaired:
             self.first_turn = piece["first_turn"] if self.first_turn is None else self.first_turn
             self.last_turn = piece["last_turn"]
         symbols = np.frombuffer(piece["symbols"], dtype=np.uint8)
-        edits = edits_of(symbols, end, self.state)
-        k = 0
-        while True:
-            try:
-                letters = next(edits)
-            except StopIteration as done:
-                self.state = done.value
-                return
-            state, symbol = self.state, symbols[k]
+        for k, letters in enumerate(edits_of(symbols, end, self.state)):
+            truncated = (int(symbols[k]) - 1) % 2 * TRUNCATED
             for letter in letters:
+                if letter == "D":
+                    self.cost += DELETE
+                    continue
+                due = DUE[self.state]
                 if letter == "I":
-                    self.write(NAMES[DUE[state]], "")
+                    self.write(NAMES[due], "")
                     self.cost += INSERT
                 elif letter == "R":
-                    self.write(NAMES[DUE[state]], piece["texts"][k])
-                    self.cost += REROLE + (int(symbol) - 1) % 2 * TRUNCATED
-                elif letter == "K":
-                    self.write(piece["roles"][k], piece["texts"][k])
-                    self.cost += KEEP + (int(symbol) - 1) % 2 * TRUNCATED
+                    self.write(NAMES[due], piece["texts"][k])
+                    self.cost += REROLE + truncated
                 else:
-                    self.cost += DELETE
-                if letter == "K":
-                    state = kept_state(state, KINDS[(int(symbol) - 1) // 2])
-                elif letter != "D":
-                    state = DUE[state]
-            self.state = state
+                    due = kept_state(self.state, KINDS[(int(symbols[k]) - 1) // 2])
+                    self.write(piece["roles"][k], piece["texts"][k])
+                    self.cost += KEEP + truncated
+                self.state = due
             self.cost += DELETE * piece["extras"][k]
             self.audit.append(letters + "D" * piece["extras"][k])
-            k += 1
 
-    def row(self, conv) -> dict:
-        while self.state in (SYSTEM, USER):
+    def segment(self, conv: int | None, last: bool) -> dict:
+        """What has come out since the last one; the last also has the insertions at the end, and the gaps."""
+        while last and self.state in (SYSTEM, USER):
             self.state = DUE[self.state]
             self.write(NAMES[self.state], "")
             self.cost += INSERT
             self.audit.append("I")
-        gaps = self.last_turn - self.first_turn + 1 - self.turns if self.turns else 0
-        result = {"conv_id": conv, "gaps": gaps, "cost": self.cost, "audit": "".join(self.audit)}
-        return result | self.counts | {"repaired_sha256": self.digest.hexdigest()}
+        gaps = self.last_turn - self.first_turn + 1 - self.turns if last and self.turns else 0
+        row = {"conv_id": conv, "segment": self.segments, "last": last, "gaps": gaps, "cost": self.cost}
+        row |= self.counts | {"audit": "".join(self.audit), "repaired_roles": self.roles, "repaired_texts": self.texts}
+        self.segments += 1
+        self.clear()
+        return row
 
 
 class Piece:
@@ -283,7 +288,7 @@ class Piece:
 
     def __init__(self) -> None:
         self.symbols, self.extras, self.roles, self.texts = bytearray(), [], [], []
-        self.counts = dict.fromkeys(("blank", "duplicate", "truncated", "illegal"), 0)
+        self.counts = dict.fromkeys(COUNTS, 0)
         self.first_turn = self.last_turn = self.first_initial = self.last_initial = None
         self.turns = self.chars = 0
 
@@ -352,8 +357,8 @@ def ordered(rows: DataFrame) -> DataFrame:
 
 
 def solved(rows: DataFrame) -> DataFrame:
-    """Results of the conversations inside one task, and pieces of all others."""
-    schema = arrow_schema(rows.sparkSession, f"{RESULT}, {PIECE}")
+    """Repaired conversations that lie inside one task, and pieces of all others."""
+    schema = arrow_schema(rows.sparkSession, f"{SEGMENT}, {PIECE}")
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, seq, done = TaskContext.get().partitionId(), 0, []
@@ -364,7 +369,7 @@ def solved(rows: DataFrame) -> DataFrame:
             if not edge:
                 repaired = Repaired()
                 repaired.add(piece.as_dict(), tables().end)
-                return repaired.row(conv)
+                return repaired.segment(conv, last=True)
             seq += 1
             before, added = whole_map(np.frombuffer(bytes(piece.symbols), dtype=np.uint8))
             own = piece.as_dict() | {"conv_id": conv, "part": part, "seq": seq}
@@ -389,7 +394,7 @@ def solved(rows: DataFrame) -> DataFrame:
         if done:
             yield pa.RecordBatch.from_pylist(done, schema=schema)
 
-    return rows.mapInArrow(made, f"{RESULT}, {PIECE}")
+    return rows.mapInArrow(made, f"{SEGMENT}, {PIECE}")
 
 
 def ends_of(pieces: DataFrame) -> DataFrame:
@@ -415,32 +420,34 @@ def ends_of(pieces: DataFrame) -> DataFrame:
 
 
 def joined(pieces: DataFrame) -> DataFrame:
-    """Results of the conversations in pieces. Their texts pass through in order, one piece at a time."""
-    schema = arrow_schema(pieces.sparkSession, RESULT)
+    """The conversations in pieces, a segment for each. Their texts pass through in order, one piece at a time."""
+    schema = arrow_schema(pieces.sparkSession, SEGMENT)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         conv, repaired = None, None
         for batch in batches:
             for k in range(batch.num_rows):
                 piece = batch.slice(k, 1).to_pylist()[0]
-                if repaired is not None and piece["conv_id"] != conv:
-                    yield pa.RecordBatch.from_pylist([repaired.row(conv)], schema=schema)
-                    repaired = None
+                if repaired is not None:
+                    last = piece["conv_id"] != conv
+                    yield pa.RecordBatch.from_pylist([repaired.segment(conv, last)], schema=schema)
+                    repaired = None if last else repaired
                 conv = piece["conv_id"]
                 repaired = Repaired() if repaired is None else repaired
                 repaired.add(piece, piece["behind"])
         if repaired is not None:
-            yield pa.RecordBatch.from_pylist([repaired.row(conv)], schema=schema)
+            yield pa.RecordBatch.from_pylist([repaired.segment(conv, True)], schema=schema)
 
     ended = pieces.join(ends_of(pieces), ["part", "seq"]).drop("before", "added")
-    return ended.repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq").mapInArrow(made, RESULT)
+    return ended.repartition("conv_id").sortWithinPartitions("conv_id", "part", "seq").mapInArrow(made, SEGMENT)
 
 
 def repair(rows: DataFrame) -> DataFrame:
     """The least-cost repair of every conversation of ``conv_id``, ``turn``, ``role``, ``text``.
 
-    One row per conversation, rows with a NULL id being one: faults, cost, the edits' letters, and the
-    digest of the repaired rows. NULL roles and texts read as one space; NULL turns come first, rows of one
+    The repaired rows of a conversation (``repaired_roles``, ``repaired_texts``), the letters of its edits, its faults
+    and its cost; rows with a NULL id are one conversation. One row each, but for a conversation in pieces: that has
+    a row per ``segment``, whose counts and costs add up, and ``gaps`` on the ``last``. NULL roles and texts read as one space; NULL turns come first, rows of one
     turn by role and text. A column ``times`` says how often a row stands (1 where there is none); 0 names
     the conversation only, so that one without rows still has its result. Other columns go. Of a row that
     stands several times one may be kept. An empty table gives no rows. Memory holds one piece
@@ -454,8 +461,39 @@ def repair(rows: DataFrame) -> DataFrame:
         F.coalesce("role", space).alias("role"), F.coalesce("text", space).alias("text"), times.alias("times"),
     )
     found = stage(solved(ordered(plain)), "repair-solved")
-    pieces = found.filter("part IS NOT NULL").drop("gaps", "cost", "audit", "repaired_sha256")
-    return found.filter("part IS NULL").select(*RESULT_NAMES).union(joined(pieces).select(*RESULT_NAMES))
+    pieces = found.filter("part IS NOT NULL").drop(*[name for name in SEGMENT_NAMES if name not in ("conv_id", *COUNTS)])
+    return found.filter("part IS NULL").select(*SEGMENT_NAMES).union(joined(pieces).select(*SEGMENT_NAMES))
+
+
+def digests(segments: DataFrame) -> DataFrame:
+    """One row per conversation: faults, cost, all edits, and the SHA-256 of its repaired rows as ``role:text`` lines.
+
+    A conversation of one segment is digested where it is; the segments of others come together in order, and a
+    digest of one text is sequential, so they pass through one task.
+    """
+    lines = F.zip_with("repaired_roles", "repaired_texts", lambda role, text: F.concat(role, F.lit(":"), text))
+    whole = F.sha2(F.array_join(lines, "\n"), 256).alias("repaired_sha256")
+    single = segments.filter("segment = 0 AND last").select(*RESULT_NAMES[:-1], whole)
+    schema = arrow_schema(segments.sparkSession, RESULT)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest, total, audit, empty = hashlib.sha256(), {}, [], True
+        for batch in batches:
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
+                for role, text in zip(row["repaired_roles"], row["repaired_texts"], strict=True):
+                    digest.update(f"{'' if empty else chr(10)}{role}:{text}".encode(errors="surrogatepass"))
+                    empty = False
+                audit.append(row["audit"])
+                for name in ("gaps", "cost", *COUNTS):
+                    total[name] = total.get(name, 0) + row[name]
+                if row["last"]:
+                    done = total | {"conv_id": row["conv_id"], "audit": "".join(audit), "repaired_sha256": digest.hexdigest()}
+                    yield pa.RecordBatch.from_pylist([done], schema=schema)
+                    digest, total, audit, empty = hashlib.sha256(), {}, [], True
+
+    several = segments.filter("NOT (segment = 0 AND last)").repartition("conv_id").sortWithinPartitions("conv_id", "segment")
+    return single.union(several.mapInArrow(made, RESULT).select(*RESULT_NAMES))
 
 
 def damaged(rows: DataFrame) -> DataFrame:
@@ -473,4 +511,4 @@ def damaged(rows: DataFrame) -> DataFrame:
 
 
 def op13_conversation_repair(spark, sf_dir: str) -> DataFrame:
-    return repair(damaged(table(spark, sf_dir, "conversations")))
+    return digests(repair(damaged(table(spark, sf_dir, "conversations"))))
