@@ -85,3 +85,17 @@ def test_empty_table_and_native_plan(spark):
     assert line_dedup.mark_copied_lines(frame(spark, [])).count() == 0
     plan = line_dedup.mark_copied_lines(frame(spark))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_rows_of_one_key_spread_over_tasks(spark):
+    docs = frame(spark, [(None if k % 2 else 7, f"text {k}", None, None, 0) for k in range(4000)]).repartition(4)
+    merging = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(merging, "false")  # or AQE makes one task of so few rows
+    try:
+        rows = line_dedup.placed_rows(docs, "doc_id").selectExpr("row.doc_id", "at", "at >> 33 AS part").collect()
+    finally:
+        spark.conf.unset(merging)
+    assert len({row["at"] for row in rows}) == 4000
+    assert max(row["at"] for row in rows if row["doc_id"] == 7) < min(row["at"] for row in rows if row["doc_id"] is None)
+    sizes = [sum(row["part"] == part for row in rows) for part in {row["part"] for row in rows}]
+    assert len(sizes) >= 3 and max(sizes) < 2000

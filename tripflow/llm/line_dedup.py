@@ -28,13 +28,15 @@ MIN_WORDS = 50
 def placed_rows(docs: DataFrame, key: str) -> DataFrame:
     """Rows as struct ``row`` with ``at``, unique and in the order of the key (NULL last).
 
-    That is the key itself if it is unique. Otherwise a copy of the rows is written in that order.
+    That is the key itself if it is unique. Otherwise a copy of the rows is written in that order, where rows
+    of one key, or without one, go by their place in the input and may spread over many tasks.
     """
     repeated = docs.groupBy(key).count().filter(F.col(key).isNull() | (F.col("count") > 1))
     if repeated.isEmpty():
         return packed(docs, at=F.col(key).cast("long"))
     order = F.col(f"row.`{key}`").asc_nulls_last()
-    rows = packed(docs).repartitionByRange(order).sortWithinPartitions(order)
+    rows = packed(docs).withColumn("place", F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(order, "place").sortWithinPartitions(order, "place").drop("place")
     return stage(rows.withColumn("at", F.monotonically_increasing_id()), "line-rows")
 
 

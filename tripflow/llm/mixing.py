@@ -27,7 +27,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tripflow.llm.text import SPACE, packed, table, whole
+from tripflow.llm.text import SPACE, Stages, packed, table, whole
 from tripflow.session import stage
 
 CAP = 3
@@ -93,9 +93,10 @@ def solve_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> D
             "gap": F.lit(math.inf),
         })
     )
-    state = stage(state, "mix-state")
+    held = Stages(cells.sparkSession)  # a step's state goes when the next one stands
+    state = held(state, "step 0")
     exact = lambda column: F.sum(column.cast("decimal(32,6)")).cast("double")
-    for _ in range(STEPS):
+    for step in range(1, STEPS + 1):
         free = F.exp(F.col("multiplier") * F.col("x"))
         tokens = F.col("n") * F.col("size")
         sums = (
@@ -114,7 +115,7 @@ def solve_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> D
         inside = (newton > low) & (newton < high)
         fixed = F.col("taken").isNull() | (F.abs(F.col("multiplier")) == math.inf)
         done = fixed | (F.abs(gap) <= TOLERANCE * F.col("target") + 1e-3)
-        state = stage(
+        state = held(
             state.alias("t").join(sums.alias("c"), same, "left")
             .select("t.*", "taken", "slope")
             .withColumns({
@@ -126,8 +127,9 @@ def solve_multipliers(cells: DataFrame, targets: DataFrame, cap: int = CAP) -> D
                 "gap": F.when(done, 0.0).otherwise(F.abs(gap)),
             })
             .drop("taken", "slope"),
-            "mix-state",
+            f"step {step}",
         )
+        held.drop(f"step {step}")
         if state.filter("gap > 0").isEmpty():
             return state.drop("low", "high", "gap")
     missed = [row["source"] for row in state.filter("gap > 0").select("source").collect()]
