@@ -22,6 +22,7 @@ from tripflow.contracts import (
     BRONZE,
     BRONZE_PARTITIONS,
     FACT_PARTITIONS,
+    RAW,
     PAYMENT_TYPES,
     TIE_BREAK,
     TRIP_KEY,
@@ -67,6 +68,7 @@ from tripflow.sinks.fact import (
 )
 from tripflow.sinks.published import publish, publish_all
 from tripflow.sinks.tables import create_table, overwrite_table
+from tripflow.sources.footers import filled_counts, read_footers
 from tripflow.sources.landing import audit_landing, bronze_manifest, landing_path, read_landing
 from tripflow.sources.seeds import read_zone_seed
 from tripflow.sources.tables import bronze_view, read_bronze, read_fact
@@ -181,6 +183,12 @@ def bronze_table_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.sql("SELECT _year, _month, count(*) AS trips FROM trips_bronze GROUP BY ALL")
 
 
+def bronze_filled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and non-null values of every raw column by month, from the footers of the stored files."""
+    stored = read_footers(spark, loaded_bronze(spark, sf_dir), BRONZE)
+    return filled_counts(stored, BRONZE_PARTITIONS, RAW.names)
+
+
 def bronze_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["VendorID", "tpep_pickup_datetime", "total_amount"]
     view = bronze_view(spark, loaded_bronze(spark, sf_dir), "trips_bronze")
@@ -209,7 +217,7 @@ def landing_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("yellow_tripdata_"), ordered, F.lit(".parquet")).alias("_source_file")
     )
     audit = audit_landing(
-        spark, files, loaded=bronze_manifest(read_bronze(spark, path)), expected=expected, min_bytes=1_000
+        spark, files, loaded=bronze_manifest(read_footers(spark, path, BRONZE)), expected=expected, min_bytes=1_000
     )
     return audit.drop("bytes")
 
@@ -403,6 +411,12 @@ def dq_bronze_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_rules(bronze(spark, sf_dir), suites.bronze_values())
 
 
+def dq_stored_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The suite on the stored first delivery: footers decide what counts decide, a scan the rest."""
+    path = loaded_bronze(spark, sf_dir)
+    return run_rules(read_bronze(spark, path), suites.bronze_values(), read_footers(spark, path, BRONZE))
+
+
 def dq_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The verdict a gate acts on, over the whole bronze suite."""
     return summarize(run_rules(bronze(spark, sf_dir), suites.bronze_suite()))
@@ -621,6 +635,7 @@ def reference_queries() -> dict[str, Query]:
         "bronze_load": bronze_load,
         "bronze_write": bronze_write,
         "bronze_reconcile": bronze_reconcile,
+        "bronze_filled": bronze_filled,
         "bronze_view": bronze_table_view,
         "bronze_preview": bronze_preview,
         "bronze_sample": bronze_sample,
@@ -657,6 +672,7 @@ def reference_queries() -> dict[str, Query]:
         "trips_by_daypart": trips_by_daypart,
         "dq_columns": dq_columns,
         "dq_bronze_suite": dq_bronze_suite,
+        "dq_stored_suite": dq_stored_suite,
         "dq_gate": dq_gate,
         "dq_not_null": model_checks("not_null"),
         "dq_unique": model_checks("unique"),

@@ -215,23 +215,23 @@ def outcome(check: str, column: str, evaluated: str, failed: str, success: str,
       {success} AS success FROM {source}"""
 
 
-def value_rule(check: str, column: str, good: str) -> str:
+def value_rule(check: str, column: str, good: str, source: str) -> str:
     failed = f"count(*) FILTER (NOT ({good}))"
     success = f"coalesce((count({column}) - {failed}) / nullif(count({column}), 0) >= {BRONZE_MOSTLY}, true)"
-    return outcome(check, column, f"count({column})", failed, success, "bronze")
+    return outcome(check, column, f"count({column})", failed, success, source)
 
 
-def bronze_values() -> str:
+def bronze_values(source: str = "bronze") -> str:
     rules = []
     for column in BRONZE_REQUIRED:
         nulls = f'count(*) FILTER ("{column}" IS NULL)'
-        rules.append(outcome("not_null", column, "count(*)", nulls, f"{nulls} = 0", "bronze"))
+        rules.append(outcome("not_null", column, "count(*)", nulls, f"{nulls} = 0", source))
     for column, (low, high) in BRONZE_RANGES.items():
-        rules.append(value_rule("between", column, f"{column} BETWEEN {low} AND {high}"))
-    rules.append(value_rule("in_set", "payment_type", f"payment_type IN ({commas(PAYMENT_TYPES)})"))
+        rules.append(value_rule("between", column, f"{column} BETWEEN {low} AND {high}", source))
+    rules.append(value_rule("in_set", "payment_type", f"payment_type IN ({commas(PAYMENT_TYPES)})", source))
     enough = f"count(*) >= {BRONZE_MIN_ROWS}"
     short = f"CASE WHEN {enough} THEN 0 ELSE 1 END"
-    rules.append(outcome("row_count", "*", "count(*)", short, enough, "bronze"))
+    rules.append(outcome("row_count", "*", "count(*)", short, enough, source))
     return "\nUNION ALL ".join(rules)
 
 
@@ -414,6 +414,8 @@ def statements() -> dict[str, str]:
         "bronze_reconcile": """SELECT _year AS year, _month AS month, count(*) AS input_count,
             count(*) AS output_count, cast(0 AS bigint) AS difference, true AS reconciled
             FROM batch_1 GROUP BY ALL""",
+        "bronze_filled": f"""SELECT _year, _month, count(*) AS rows,
+            {", ".join(f'count("{name}") AS "{name}"' for name in BRONZE[:19])} FROM batch_1 GROUP BY ALL""",
         "bronze_view": "SELECT _year, _month, count(*) AS trips FROM batch_1 GROUP BY ALL",
         "bronze_preview": """SELECT "VendorID", tpep_pickup_datetime, total_amount FROM batch_1
             ORDER BY ALL LIMIT 5""",
@@ -460,6 +462,7 @@ def statements() -> dict[str, str]:
             FROM fact LEFT JOIN calendar ON {ON_HOUR} GROUP BY ALL""",
         "dq_columns": bronze_columns(),
         "dq_bronze_suite": bronze_values(),
+        "dq_stored_suite": bronze_values("batch_1"),
         "dq_gate": f"""SELECT count(*) AS evaluated, count(*) FILTER (success) AS successful,
             count(*) FILTER (NOT success) AS unsuccessful, bool_and(success) AS success
             FROM ({bronze_columns()} UNION ALL {bronze_values()})""",

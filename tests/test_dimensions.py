@@ -100,12 +100,17 @@ def test_lookups_run_no_job_while_they_are_built(spark, zones):
 
 
 def test_a_stray_date_spreads_over_tasks(spark):
-    bounds = spark.createDataFrame([("2024-01-01", "2400-01-01")], "a string, b string").selectExpr(
+    bounds = lambda low, high: spark.createDataFrame([(low, high)], "a string, b string").selectExpr(
         "cast(a AS date) AS first_day", "cast(b AS date) AS last_day"
     )
-    hours = date_spine(bounds)
-    assert hours.count() == 24 * 137_332 // 1
-    assert "Exchange" in hours._jdf.queryExecution().executedPlan().toString()
+    hours = date_spine(bounds("1024-01-01", "5000-01-01"))
+    tasks = hours.groupBy(F.spark_partition_id()).count().collect()
+    assert sum(row["count"] for row in tasks) == 24 * ((date(5000, 1, 1) - date(1024, 1, 1)).days + 1)
+    assert len(tasks) >= 3
+    assert "Exchange" not in hours._jdf.queryExecution().sparkPlan().toString().partition("Subquery")[0]
+    ends = date_spine(bounds("0001-01-01", "0001-01-01")).union(date_spine(bounds("9999-12-31", "9999-12-31")))
+    assert ends.count() == 48
+    assert date_spine(bounds(None, None)).count() == 0
 
 
 def test_all_zones_are_ranked(spark, zones):

@@ -31,14 +31,22 @@ def dim_zones(zones: DataFrame) -> DataFrame:
     )
 
 
+# The days of the SQL date type, 0001-01-01 to 9999-12-31, counted from 1970-01-01.
+FIRST_DAY, LAST_DAY = -719162, 2932896
+
+
 def date_spine(bounds: DataFrame) -> DataFrame:
     """Every hour of every day from ``first_day`` to ``last_day`` of a one-row frame.
 
-    Days and hours are generated in place, without a join. One task makes the days (a stray date
-    far off costs it a row per day); they are spread before each becomes 24 rows.
+    Days are those between the bounds among all days of the calendar, which tasks generate in ranges and test
+    in place. So there is neither a join nor an exchange, and a stray date far off spreads over tasks. Bounds
+    outside the years 1 to 9999 are cut to them; NULL bounds give no days.
     """
-    days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("date_day"))
-    days = days.repartition("date_day")
+    ends = F.struct(F.unix_date("first_day").alias("low"), F.unix_date("last_day").alias("high"))
+    ends = bounds.select(ends.alias("ends")).scalar()
+    days = bounds.sparkSession.range(FIRST_DAY, LAST_DAY + 1)
+    days = days.filter((F.col("id") >= ends["low"]) & (F.col("id") <= ends["high"]))
+    days = days.select(F.date_from_unix_date(F.col("id").cast("int")).alias("date_day"))
     hours = days.select("date_day", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour_of_day"))
     return hours.select(
         F.timestamp_add("HOUR", "hour_of_day", F.col("date_day").cast("timestamp_ntz")).alias(

@@ -49,13 +49,21 @@ def row_count(low: int, high: int | None = None) -> Rule:
     return Rule("row_count", "*", low, high)
 
 
-def run_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+def run_rules(rows: DataFrame, rules: Sequence[Rule], footers: DataFrame | None = None) -> DataFrame:
     """All rules in one aggregate pass over the table.
 
+    With ``footers``, the same rows as ``sources.footers`` reads them, rules that counts decide are answered
+    there, and the pass reads only the columns of the others.
+
     Bounds are inclusive. Missing values (NaN counts as missing) leave the denominator of
     range and set rules, a column without values passes them, and a rule succeeds when at
     least ``mostly`` of the evaluated values pass. A rule on an absent column fails.
     """
+    if footers is not None:
+        counted = [rule for rule in rules if _is_counted(rule, rows)]
+        others = [rule for rule in rules if rule not in counted]
+        passes = [run_rules(source, own) for source, own in ((rows, others), (footers, counted)) if own]
+        return reduce(DataFrame.unionAll, passes)
     counters = ["count(1) AS rows"]
     outcomes = []
     for position, rule in enumerate(rules):
@@ -75,7 +83,11 @@ def run_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
             continue
         value = f"`{rule.column}`"
         absent = f"{value} IS NULL"
-        if isinstance(rows.schema[rule.column].dataType, (T.DoubleType, T.FloatType)):
+        if _is_counted(rule, rows):
+            counters.append(f"count(1) - count({value}) AS {failing}")
+            outcomes.append(_outcome(rule, "rows", failing))
+            continue
+        if _has_nan(rows, rule.column):
             absent = f"({absent} OR isnan({value}))"
         if rule.check == "not_null":
             counters.append(f"count_if({absent}) AS {failing}")
@@ -93,6 +105,17 @@ def run_rules(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return rows.agg(*map(F.expr, counters)).selectExpr(_rows_of(outcomes))
 
 
+def _has_nan(rows: DataFrame, column: str) -> bool:
+    return isinstance(rows.schema[column].dataType, (T.DoubleType, T.FloatType))
+
+
+def _is_counted(rule: Rule, rows: DataFrame) -> bool:
+    """Whether counts of rows and of non-null values decide the rule."""
+    if rule.check == "not_null":
+        return rule.column in rows.columns and not _has_nan(rows, rule.column)
+    return rule.check == "row_count"
+
+
 def _literal(value: object) -> str:
     """A number or text as SQL; fractions as DOUBLE, not DECIMAL."""
     if isinstance(value, str):

@@ -25,6 +25,7 @@ from tripflow.sinks.fact import months_of, of_months
 from tripflow.sinks.published import ensure_published, point_catalog, publish
 from tripflow.sinks.tables import create_table, overwrite_table
 from tripflow.sources.landing import landing_name
+from tripflow.sources.footers import folder_footers
 from tripflow.sources.published import exists, last_of, last_seq, log_of, read_folders, read_published
 from tripflow.sources.seeds import read_zone_seed
 from tripflow.sources.tables import read_fact
@@ -112,9 +113,10 @@ def refresh_late(spark: SparkSession, layout: Layout) -> list[datetime]:
     return months
 
 
-def check_bronze(bronze: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """The bronze suite over all rows given; more than ``max_rows`` of them fail it."""
-    return run_rules(bronze, bronze_suite(max_rows))
+def check_bronze(bronze: DataFrame, max_rows: int | None = None, footers: DataFrame | None = None) -> DataFrame:
+    """The bronze suite over all rows given; more than ``max_rows`` of them fail it. With ``footers``, the same
+    rows read by ``sources.footers``, rules that counts decide read no column."""
+    return run_rules(bronze, bronze_suite(max_rows), footers)
 
 
 def tested_columns(table: str) -> list[str]:
@@ -145,13 +147,13 @@ def judge_periods(
     delivery withdraws its month; ``may_be_empty`` lets it pass.
     """
     waiting = deliveries(spark, layout.bronze, periods)
-    rows = read_folders(spark, layout.bronze, BRONZE, waiting)
+    judged = list(waiting)
     if scope == "table":
         named = {entry.partition for entry in waiting}
-        others = [e for name, entries in last_of(log_of(spark, layout.bronze)).items() if name not in named for e in entries]
-        rows = read_folders(spark, layout.bronze, BRONZE, [*waiting, *others])
+        judged += [e for name, entries in last_of(log_of(spark, layout.bronze)).items() if name not in named for e in entries]
     if not (may_be_empty and all(entry.folder is None for entry in waiting)):
-        gate(check_bronze(rows))
+        rows = read_folders(spark, layout.bronze, BRONZE, judged)
+        gate(check_bronze(rows, footers=folder_footers(spark, layout.bronze, BRONZE, judged)))
     publish(spark, layout.bronze, [replace(entry, passed=True) for entry in waiting if not entry.passed])
 
 

@@ -14,9 +14,10 @@ from tripflow.contracts import BRONZE, BRONZE_PARTITIONS
 from tripflow.operators.silver import in_periods
 from tripflow.sinks.published import partition_name, publish, stage_run
 from tripflow.sinks.tables import clear_partition, replace_partitions
+from tripflow.sources.footers import filled_counts, folder_footers, read_footers
 from tripflow.sources.landing import landing_files, landing_name, read_landing, scan_month
 from tripflow.sources.published import Folder, is_published, last_of, log_of, read_folders
-from tripflow.sources.tables import read_bronze, read_bronze_month
+from tripflow.sources.tables import read_bronze_month
 
 
 @dataclass(frozen=True)
@@ -111,21 +112,21 @@ def load_landing(
         entries = [delivered(row["_year"], row["_month"], dataset, run if row["input_count"] else None) for row in counted]
         publish(spark, bronze_path, entries)
         inputs = spark.createDataFrame(counted, found.schema)
-        return reconcile(inputs, count_rows(read_folders(spark, bronze_path, BRONZE, entries), "output_count"))
+        return reconcile(inputs, count_rows(folder_footers(spark, bronze_path, BRONZE, entries), "output_count"))
     for row in counted:
         if not row["input_count"]:
             values = {name: row[name] for name in BRONZE_PARTITIONS}
             clear_partition(spark, bronze_path, BRONZE, values)
     stored = in_periods(
-        read_bronze(spark, bronze_path), [(row["_year"], row["_month"]) for row in counted]
+        read_footers(spark, bronze_path, BRONZE), [(row["_year"], row["_month"]) for row in counted]
     )
     inputs = spark.createDataFrame(counted, found.schema)
     return reconcile(inputs, count_rows(stored, "output_count"))
 
 
 def count_rows(bronze: DataFrame, name: str) -> DataFrame:
-    """Rows per month; the stored files' footers answer it."""
-    return bronze.groupBy(*BRONZE_PARTITIONS).agg(F.count(F.lit(1)).alias(name))
+    """Rows per month, of a stored table (``sources.footers``) answered by the footers of its files."""
+    return filled_counts(bronze, BRONZE_PARTITIONS, []).withColumnRenamed("rows", name)
 
 
 def reconcile(inputs: DataFrame, outputs: DataFrame) -> DataFrame:

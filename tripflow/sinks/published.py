@@ -91,12 +91,15 @@ def drop_unused(spark: SparkSession, path: str) -> list[str]:
 def point_catalog(spark: SparkSession, name: str, schema: T.StructType, path: str, partitions: Sequence[str]) -> None:
     """Creates the external table if absent and sets the location of every partition to its published folder.
 
-    A partition of several folders has no one location: ``compact`` it first.
+    Partitions that the log does not name leave the catalog. A partition of several folders has no one
+    location: ``compact`` it first.
     """
     log = log_of(spark, path)
     create_table(spark, name, schema, f"{path.rstrip('/')}/_catalog", partitions, recover=False)
     known = {row["partition"] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
-    for partition, entries in last_of(log).items():
+    state = last_of(log)
+    unnamed = {other: [] for other in known if not any(_same(other, partition) for partition in state)}
+    for partition, entries in (unnamed | state).items():
         folders = [entry for entry in entries if entry.folder is not None]
         if len(folders) > 1 or any(entry.excluded for entry in folders):
             raise ValueError(f"partition {partition} of {name} lies in several folders; compact it first")

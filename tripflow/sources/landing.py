@@ -10,9 +10,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tripflow.contracts import DATASETS, MIN_FILE_BYTES, RAW
+from tripflow.contracts import BRONZE_PARTITIONS, DATASETS, MIN_FILE_BYTES, RAW
 from tripflow.functions import to_integral
 from tripflow.periods import check_period
+from tripflow.sources.footers import filled_counts
 
 # Fixed value: the name of a raw month. Spark may have written it as a folder of part files.
 NAME_FORMAT = "{dataset}_tripdata_{year}-{month:02d}.parquet"
@@ -156,12 +157,12 @@ def landing_files(spark: SparkSession, *paths: str) -> DataFrame:
 
 def bronze_manifest(bronze: DataFrame, dataset: str = "yellow") -> DataFrame:
     """Names of the raw months a bronze table holds. A month is one partition, so only partition
-    values are read, no column of any row."""
+    values are read, no column of any row; ``sources.footers`` counts them without a scan."""
     name = F.concat(
         F.lit(landing_name(0, 0, dataset).partition("0-")[0]),
         F.col("_year"), F.lit("-"), F.lpad(F.col("_month").cast("string"), 2, "0"), F.lit(".parquet"),
     )
-    return bronze.select("_year", "_month").distinct().select(name.alias("_source_file"))
+    return filled_counts(bronze, BRONZE_PARTITIONS, []).select(name.alias("_source_file"))
 
 
 def audit_landing(

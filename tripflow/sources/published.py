@@ -20,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 LOG = "_published"
-RUN = "_run="
+RUN_COLUMN = "_run"
+RUN = f"{RUN_COLUMN}="
 ENTRY = (
     "seq long, partition string, folder string, passed boolean, sources array<string>, "
     "excluded array<string>, upto long"
@@ -93,13 +94,19 @@ def file_place(path: str = "_metadata.file_path") -> Column:
 
 
 def read_folders(
-    spark: SparkSession, path: str, schema: T.StructType, folders: Iterable[Folder], with_place: bool = False
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    folders: Iterable[Folder],
+    with_place: bool = False,
+    with_run: bool = False,
 ) -> DataFrame:
-    """The rows of some folders of a table, with ``_place`` (the file of each) on request.
+    """The rows of some folders of a table, with ``_place`` (the file of each) or ``_run`` on request.
 
     Files that a later run replaced are ruled out by name when the scan lists its files.
     """
-    names = [*schema.names, "_place"] if with_place else schema.names
+    added = [name for name, wanted in (("_place", with_place), (RUN_COLUMN, with_run)) if wanted]
+    names = [*schema.names, *added]
     frames, root = [], path.rstrip("/")
     for of_run in (True, False):  # folders from before the table had a log lie without a run
         own = [entry for entry in folders if entry.folder is not None and entry.folder.startswith(RUN) == of_run]
@@ -109,11 +116,14 @@ def read_folders(
         gone = sorted({place for entry in own for place in entry.excluded})
         if gone:
             rows = rows.filter(~file_place().isin(gone))
-        frames.append(rows.withColumn("_place", file_place()).select(*names) if with_place else rows.select(*names))
+        if with_place:
+            rows = rows.withColumn("_place", file_place())
+        if with_run and not of_run:
+            rows = rows.withColumn(RUN_COLUMN, F.lit(None).cast("string"))
+        frames.append(rows.select(*names))
     if frames:
         return reduce(DataFrame.unionAll, frames)
-    empty = T.StructType([*schema.fields, T.StructField("_place", T.StringType())] if with_place else schema.fields)
-    return spark.createDataFrame([], empty)
+    return spark.createDataFrame([], T.StructType([*schema.fields, *[T.StructField(name, T.StringType()) for name in added]]))
 
 
 def read_published(spark: SparkSession, path: str, schema: T.StructType, judged: bool = False) -> DataFrame:
