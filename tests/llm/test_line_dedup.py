@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.cases import WORD, clashing, documents, frame
 from tripflow.llm import line_dedup
@@ -11,20 +12,22 @@ from tripflow.llm import line_dedup
 def brute(rows: list[tuple], min_words: int) -> list[list[int]]:
     """Lines in any run of enough words that occurs at an earlier place."""
     order = sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0))
-    docs = [(rows[k][1] or "").split("\n") for k in order]
-    seen: dict = {}
-    for d, lines in enumerate(docs):
-        for a in range(len(lines)):
-            for b in range(a + 1, len(lines) + 1):
-                if sum(len(WORD.findall(line)) for line in lines[a:b]) >= min_words:
-                    seen.setdefault(tuple(lines[a:b]), []).append((d, a, b))
-    gone = [set() for _ in docs]
-    for places in seen.values():
-        for d, a, b in sorted(places)[1:]:
-            gone[d].update(range(a, b))
+    runs: dict = {}  # (number of a run, next line) -> number of the longer run, of all runs seen so far
     result: list = [None] * len(rows)
-    for place, k in enumerate(order):
-        result[k] = sorted(gone[place])
+    for k in order:
+        lines = (rows[k][1] or "").split("\n")
+        counts = [len(WORD.findall(line)) for line in lines]
+        gone: set = set()
+        for a in range(len(lines)):
+            run, words, end = 0, 0, a
+            for b in range(a, len(lines)):
+                words += counts[b]
+                known = len(runs) + 1
+                run = runs.setdefault((run, lines[b]), known)
+                if run != known and words >= min_words:
+                    end = b + 1
+            gone.update(range(a, end))
+        result[k] = sorted(gone)
     return result
 
 
@@ -53,17 +56,38 @@ def test_deleted_lines_match_brute_force(spark, seed, min_words):
 
 
 def test_documents_of_all_kinds(spark):
-    short = [row for row in documents() if len(row[1] or "") < 5000]
-    rows = marked(frame(spark, short), 50)
-    want = [(*row[:2], gone) for row, gone in zip(short, brute(short, 50), strict=True)]
+    rows = marked(frame(spark), 50)
+    want = [(*row[:2], gone) for row, gone in zip(documents(), brute(documents(), 50), strict=True)]
     assert sorted(str(row[2]) for row in rows) == sorted(str(row[2]) for row in want)
-    assert len(rows) == len(short)
+    assert len(rows) == len(documents())
+    assert max(len(row[2]) for row in rows) > 1000  # a very long copy goes
+
+
+def test_one_hash_does_not_make_lines_equal(spark, monkeypatch):
+    hashes = line_dedup.line_hashes
+    rows = lines(5, 25)
+    want = sorted(((*row[:2], gone) for row, gone in zip(rows, brute(rows, 5), strict=True)), key=str)
+    for weak in (0, 1):
+        def worse(text, weak=weak):
+            return tuple(
+                F.lit(7).cast("long").alias(name) if place == weak else value
+                for place, (name, value) in enumerate(zip(("hash", "other"), hashes(text), strict=True))
+            )
+
+        monkeypatch.setattr(line_dedup, "line_hashes", worse)
+        assert marked(frame(spark, rows), 5) == want
+
+
+def test_a_line_in_a_third_of_all_documents(spark):
+    rows = [(k, "\n".join(["one two three"] * 3 + [f"own {k}"] if k % 3 == 0 else [f"a {k}", "b b b b b", f"c {k % 9}"]), None, None, 0)
+            for k in range(900)]
+    got = marked(frame(spark, rows).repartition(6), 9)
+    want = sorted(((*row[:2], gone) for row, gone in zip(rows, brute(rows, 9), strict=True)), key=str)
+    assert got == want and sum(bool(gone) for *_, gone in got) == 299
 
 
 def test_remaining_text(spark):
     docs = spark.createDataFrame([("a\n\nb\nc", [1, 2]), ("a", [0]), (None, [])], "text string, gone array<int>")
-    from pyspark.sql import functions as F
-
     clean = docs.select(line_dedup.remaining(F.col("text"), F.col("gone")).alias("clean")).collect()
     assert [row["clean"] for row in clean] == ["a\nc", "", ""]
 

@@ -3,7 +3,8 @@
 The suffix array is built by prefix doubling. Lines that occur once end every run and leave first; so do
 stretches between them that have too few words. Round k ranks all runs of 2^k lines: a run's rank is the
 place of the pair (rank of its first half, rank of its second half) in a range sort of all distinct pairs
-that occur more than once, so ranks are in the order of the suffixes that start with the runs. A window
+that occur more than once, so ranks are in the order of the suffixes that start with the runs. Round 0 ranks
+the lines themselves, told apart by 128 bits (two hashes of different seeds). A window
 over a document's own lines brings the halves together; only distinct pairs meet across documents,
 counted before they are shuffled, so a frequent line is one row per task. Runs that occur once leave.
 
@@ -44,8 +45,12 @@ def lines_of(text: Column) -> Column:
     return F.split(whole(text), "\n")
 
 
+def line_hashes(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("hash"), F.xxhash64(F.lit(1), text).alias("other")
+
+
 def repeated_stretches(rows: DataFrame, text: str, min_words: int) -> DataFrame:
-    """``at``, ``i``, ``line`` (id), ``words`` of lines in stretches of repeated lines with enough words.
+    """``at``, ``i``, ``line`` (its rank), ``words`` of lines in stretches of repeated lines with enough words.
 
     ``stretch`` numbers consecutive lines of a document; ``upto`` is its running sum of words.
     """
@@ -53,13 +58,16 @@ def repeated_stretches(rows: DataFrame, text: str, min_words: int) -> DataFrame:
     lines = split.select(
         "at",
         "i",
-        F.xxhash64("text").alias("line"),
+        *line_hashes(F.col("text")),
         F.regexp_count("text", F.lit(f"[^{SPACE}]+")).cast("long").alias("words"),
     )
-    repeated = lines.groupBy("line").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("line")
+    repeated = lines.groupBy("hash", "other").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("hash", "other")
+    ordered = repeated.repartitionByRange("hash", "other").sortWithinPartitions("hash", "other")
+    ranked = stage(ordered.withColumn("line", F.monotonically_increasing_id()), "line-ids")
     order = Window.partitionBy("at").orderBy("i")
     stretch = Window.partitionBy("at", "stretch")
-    kept = lines.join(repeated, "line").withColumn("stretch", F.col("i") - F.row_number().over(order))
+    ids = lines.join(ranked, ["hash", "other"]).select("at", "i", "line", "words")
+    kept = ids.withColumn("stretch", F.col("i") - F.row_number().over(order))
     kept = kept.withColumn("total", F.sum("words").over(stretch)).filter(F.col("total") >= min_words)
     return kept.withColumn("upto", F.sum("words").over(stretch.orderBy("i"))).drop("total")
 
