@@ -581,10 +581,12 @@ def fact_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_summary(spark: SparkSession, layout: Layout, phase: str) -> DataFrame:
+    """Trips and fares by delivery and month; fares are added as decimals, so their order does not matter."""
+    fares = F.sum(F.col("fare_amount").cast("decimal(24,9)")).cast("double")
     return (
         read_fact(spark, layout.fact)
         .groupBy(F.lit(phase).alias("phase"), "_source_file", "pickup_month")
-        .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("fare_amount"), 2).alias("fares"))
+        .agg(F.count(F.lit(1)).alias("trips"), fares.alias("fares"))
     )
 
 

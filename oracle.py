@@ -370,7 +370,7 @@ DELIVERED = f"""SELECT * REPLACE (cast(2024 AS int) AS _year, cast({PERIOD} AS i
 def fact_after(phase: str, condition: str, delivered: str = DELIVERED) -> str:
     silver = silver_of(f"(SELECT * FROM ({delivered}) WHERE {condition})")
     return f"""SELECT '{phase}' AS phase, _source_file, pickup_month, count(*) AS trips,
-      round(sum(fare_amount), 2) AS fares FROM ({fact_of(f'({silver})')}) GROUP BY ALL"""
+      cast(sum(cast(fare_amount AS decimal(24, 9))) AS double) AS fares FROM ({fact_of(f'({silver})')}) GROUP BY ALL"""
 
 
 # The same trips as three deliveries that each have all pickup months.
