@@ -14,10 +14,12 @@ from pyspark.sql import functions as F
 from tripflow.contracts import FACT, FACT_PARTITIONS
 from tripflow.operators.merge import delete_insert
 from tripflow.session import stage
+from tripflow.sinks.tables import CODEC
 from tripflow.sources.published import exists
 
 KEY = "trip_id"
 BUCKET_BYTES = 1 << 30
+ROW_BYTES = 512  # of a fact in the sorts of a task that merges and writes a bucket
 
 
 def buckets_for(table_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
@@ -25,6 +27,11 @@ def buckets_for(table_bytes: int, bucket_bytes: int = BUCKET_BYTES) -> int:
     return max(8, -(-table_bytes // bucket_bytes))
 
 
+def buckets_of(rows: int) -> int:
+    """Buckets of a table of so many facts, each merged and written within about ``BUCKET_BYTES`` of memory."""
+    return buckets_for(rows * ROW_BYTES)
+
+
 def versions(spark: SparkSession, name: str) -> list[str]:
     """Versions of the table, oldest first."""
     database, _, table = name.rpartition(".")
@@ -54,15 +61,16 @@ def _write_version(fact: DataFrame, name: str, buckets: int) -> None:
     while exists(spark, f"{folder}/{table.lower()}_v{number}"):  # files of a job that was lost while writing
         number += 1
     (
-        fact.select(*FACT.names).write.format("parquet").partitionBy(*FACT_PARTITIONS)
+        fact.select(*FACT.names).write.format("parquet").option("compression", CODEC).partitionBy(*FACT_PARTITIONS)
         .bucketBy(buckets, KEY).sortBy(KEY).saveAsTable(f"{name}_v{number}")
     )
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {name}_v{number}")
 
 
-def write_bucketed(fact: DataFrame, name: str, buckets: int) -> None:
-    """Full load: one exchange by key, in as many tasks as buckets, so a month gets a file per bucket."""
-    _write_version(fact.repartition(buckets, KEY), name, buckets)
+def write_bucketed(fact: DataFrame, name: str, buckets: int, dealt: bool = False) -> None:
+    """Full load: one exchange by key, in as many tasks as buckets, so a month gets a file per bucket.
+    ``dealt`` tells that the rows lie so already (``silver_trips`` with ``buckets``)."""
+    _write_version(fact if dealt else fact.repartition(buckets, KEY), name, buckets)
 
 
 def read_bucketed(spark: SparkSession, name: str) -> DataFrame:
@@ -82,9 +90,17 @@ def merged(spark: SparkSession, name: str, batch: DataFrame) -> DataFrame:
 
 
 def upsert_bucketed(spark: SparkSession, name: str, batch: DataFrame) -> None:
-    """Writes the next version. The batch is staged, because keys and rows of it are read."""
-    staged = stage(batch, "bucketed-batch")
-    _write_version(merged(spark, name, staged), name, bucket_count(spark, current(spark, name)))
+    """Writes the next version. The batch is staged, because keys and rows of it are read.
+
+    Before buckets outgrow twice the memory that they are meant for, the rows are dealt to more of them.
+    """
+    staged, shown = stage(batch, "bucketed-batch"), current(spark, name)
+    buckets, wanted = bucket_count(spark, shown), buckets_of(spark.table(shown).count() + staged.count())
+    if wanted > 2 * buckets:
+        target = spark.table(shown).select(*FACT.names).repartition(wanted, KEY)
+        rows = delete_insert(target, staged.select(*FACT.names).repartition(wanted, KEY), [KEY])
+        return write_bucketed(rows, name, wanted)
+    _write_version(merged(spark, name, staged), name, buckets)
 
 
 def drop_old(spark: SparkSession, name: str) -> list[str]:
