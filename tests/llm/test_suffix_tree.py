@@ -84,6 +84,31 @@ def test_equals_brute_force(spark, depth, p_min):
     assert (p_min == 0.5 or any(map(np.any, model.states))) and len(brute.states) == sum(int(each.sum()) for each in model.states)
 
 
+@pytest.mark.parametrize("p_min, bucket, depth", [(2e-3, 10**6, 3), (2e-3, 1500, 3), (1e-6, 200, 3), (1.0, 3000, 2)])
+def test_whole_tree_equals_brute_force(spark, monkeypatch, p_min, bucket, depth):
+    """Runs of two occurrences are contexts where P_MIN is more than that, and where contexts lie in several tasks."""
+    monkeypatch.setattr(suffix_tree, "P_MIN", p_min)
+    monkeypatch.setattr(suffix_tree, "BUCKET", bucket)
+    monkeypatch.setattr(suffix_tree, "CHUNK", 4000)
+    rows = documents()
+    docs = clashing(frame(spark)).withColumns({name: F.lit("x") for name in ("learns", "codes", "chunk", "lengths", "kind")})
+    scores, learned = suffix_tree.tree_scores(docs, ~suffix_tree.held_out(F.col("doc_id")), depth=depth)
+    brute = Brute([row[1] for row in rows if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 10], depth, 0.0)
+    assert learned == brute.tokens
+    order = lambda row: (row[0] is None, row[0] or 0, *row[1:])
+    found, expected = sorted(map(tuple, scores.collect()), key=order), sorted(((row[0], *brute.scores(row[1])) for row in rows), key=order)
+    assert [row[:3] for row in found] == [row[:3] for row in expected]
+    assert np.allclose([row[3:] for row in found], [row[3:] for row in expected], rtol=1e-9)
+
+
+def test_whole_tree_without_rows_or_teachers(spark):
+    scores, learned = suffix_tree.tree_scores(frame(spark), F.lit(False))
+    assert learned == 0 and {(row["n_known"], row["base_score"], row["score"]) for row in scores.collect()} == {(0, 0.0, 0.0)}
+    assert scores.count() == len(documents())
+    scores, learned = suffix_tree.tree_scores(frame(spark, []), F.lit(True))
+    assert learned == 0 and scores.count() == 0
+
+
 def test_distributions_sum_to_one(spark):
     texts = [prose(k % 3, 60) for k in range(12)]
     model, _ = suffix_tree.fit(frame(spark, [(k, text, None, None, 0) for k, text in enumerate(texts)]), p_min=0.0)

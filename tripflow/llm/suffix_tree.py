@@ -14,22 +14,33 @@
 4. A token is scored at the longest state that ends right before it. Words below ``P_MIN`` are looked
    up in the table of all counts by a join; the rest is found where the text is.
 
-Words are told apart by 64-bit hashes.
+``fit`` and ``score`` do that with a tree that fits a broadcast. ``tree_scores`` is the whole tree, without
+``P_MIN``: every run of ``LEAST`` occurrences may be a context, at any size of corpus. It holds no tree. Every token
+is sent, with the ``DEPTH`` words before it, to the task of its last context word, where all contexts that end in
+that word meet, each with its suffixes: they are counted, tested and used there. Words with more than
+``BUCKET`` tokens after them are divided by the word before, and so on; what is then spread over tasks (how often a
+word follows) is counted first, in an exchange by the run itself.
+
+Words are told apart by 64-bit hashes (63 bits if below ``P_MIN``, where the whole tree is used), longer runs by
+64-bit hashes among those of one task.
 """
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripflow.llm.near_duplicates import LOWER, PIECE, word_hashes
+from tripflow.llm.near_duplicates import LOWER, PIECE, mixed, word_hashes
 from tripflow.llm.text import bounded_batches, table, whole
 from tripflow.session import stage
 
@@ -40,6 +51,10 @@ DISCOUNT = 0.75
 ADDED = 0.1
 END = np.uint64(1)
 HELD = 3_000_000  # distinct keys that a task holds before it passes counts on
+BUCKET = 500_000  # tokens after one context that a task takes at once, with up to about as many after others
+CHUNK = 1_000_000  # tokens of texts that are sent at once, less than 1 << INDEX
+PASSES = 6  # in which tokens are scored, a part of the contexts each, so that few lie on disk at once
+INDEX = 20  # bits for a text's place in its chunk
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 LOW = (1 << 32) - 1
 
@@ -319,6 +334,533 @@ def score(docs: DataFrame, model: Model, words: DataFrame, key: str = "doc_id",
     )
 
 
+# Rows between tasks: tokens to be counted after a hot context of ``kind`` words, or (PLACED + k) to be scored at contexts
+# of k words and more; sums of texts; what is known of a chunk's texts; parts of the test of a hot context of
+# (TESTED + k) words.
+ROWS = "kind int, bucket long, chunk long, n long, data binary, stats array<double>"
+PLACED, SUMS, RARE_SUMS, TEXTS, TESTED, HAS_STATE = 10, 20, 21, 22, 30, 40
+TAIL, FAR = np.uint64(1 << 63), np.uint64((1 << 32) - 1)
+
+
+def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+    kinds = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.float64())]
+    arrays = [pa.array(values, kind) for values, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=[field.split()[0] for field in ROWS.split(", ")])
+
+
+def pressed(columns: list[np.ndarray], coded: int = 0) -> bytes:
+    """Columns of one length as bytes, equal bytes of neighbouring values side by side. The first ``coded`` are codes of
+    words, of which those of rare words stand at the end."""
+    planes = lambda each: np.ascontiguousarray(each).view(np.uint8).reshape(len(each), -1).T.tobytes()
+    raw = [planes(np.minimum(each, FAR).astype(np.uint32)) for each in columns[:coded]]
+    raw += [planes(each) for each in columns[coded:]]
+    raw += [each[each >= TAIL].tobytes() for each in columns[:coded]]
+    raw = b"".join(raw)
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(raw, asbytes=True)
+
+
+def unpressed(data: bytes, n: int, kinds: list[str], coded: int = 0) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.Codec("zstd").decompress(data[8:], int.from_bytes(data[:8], "little"), asbytes=True), dtype=np.uint8)
+    kinds, at, columns = ["u4"] * coded + kinds[coded:], 0, []
+    for kind in kinds:
+        end = at + n * np.dtype(kind).itemsize
+        columns.append(np.array(raw[at:end].reshape(-1, n).T, order="C").view(kind).ravel())
+        at = end
+    rare = raw[at:].view(np.uint64) if at % 8 == 0 else np.frombuffer(raw[at:].tobytes(), dtype=np.uint64)
+    for k in range(coded):
+        columns[k] = columns[k].astype(np.uint64)
+        far = np.flatnonzero(columns[k] == FAR)
+        columns[k][far], rare = rare[: len(far)], rare[len(far) :]
+    return columns
+
+
+def named(*columns: np.ndarray) -> np.ndarray:
+    key = np.zeros(len(columns[0]), dtype=np.uint64)
+    for each in columns:
+        key = mixed((key ^ each.astype(np.uint64)) + np.uint64(0x9E3779B97F4A7C15))
+    return key
+
+
+@dataclass(frozen=True)
+class Hot:
+    """What every task knows: words that make up ``P_MIN`` of all tokens (``head``; a word's code is its place there
+    from 1, or its hash with the top bit set; 0 is no word), runs of more than ``BUCKET`` tokens (``runs``, by their
+    words' codes) and, once tested, whether those that are contexts are states, and what they hand on."""
+
+    head: Runs
+    runs: list[Runs]
+    tokens: int
+    vocabulary: int
+    threshold: int
+    depth: int
+    states: tuple = ()
+    rest: tuple = ()
+
+    @property
+    def kinds(self) -> list[str]:
+        """Of a token: its word and those before it, its text (the place in its chunk as the last bits), whether it
+        teaches, and how often it follows no word, one word and so on."""
+        return ["u8"] * (self.depth + 1) + ["u8", "u1"] + ["u8"] * len(self.runs)
+
+    @property
+    def unit(self) -> float:
+        return self.tokens + ADDED * (self.vocabulary + 1)
+
+    def learns(self, columns: list[np.ndarray]) -> np.ndarray:
+        return columns[self.depth + 2].astype(float)
+
+    def counts(self, columns: list[np.ndarray], k: int) -> np.ndarray:
+        """How often the word follows k words, where that is known."""
+        return columns[self.depth + 3 + k]
+
+    def codes(self, flat: np.ndarray) -> np.ndarray:
+        found = places(self.head.keys, flat)
+        return np.where(found >= 0, (found + 1).astype(np.uint64), flat | TAIL)
+
+    def number(self, oldest_first: list[np.ndarray]) -> np.ndarray:
+        """Numbers of hot runs, or -1."""
+        if len(oldest_first) > len(self.runs):
+            return np.full(len(oldest_first[0]), -1, dtype=np.int64)
+        own = [places(self.runs[0].keys, each) for each in oldest_first]
+        found = own[0]
+        for level, last in zip(self.runs[1:], own[1:], strict=False):
+            ok = (found >= 0) & (last >= 0)
+            found = np.where(ok, places(level.keys, np.where(ok, found << 32 | last, -1)), -1)
+        return found
+
+    def context(self, columns: list[np.ndarray], k: int) -> np.ndarray:
+        return self.number(columns[k:0:-1])
+
+    def often(self, columns: list[np.ndarray], k: int) -> np.ndarray:
+        """How often the word follows k words, -1 if no task knows that yet."""
+        if k == 0:
+            known = columns[0] < TAIL
+            return np.where(known, self.head.counts[np.where(known, columns[0] - np.uint64(1), 0).astype(np.int64)] if len(self.head.counts) else -1, -1)
+        found = self.number(columns[k::-1])
+        return np.where(found >= 0, self.runs[k].counts[found], -1) if k < len(self.runs) and len(self.runs[k].keys) else np.full(len(found), -1)
+
+    def tested(self, stats: list[np.ndarray]) -> Hot:
+        """``stats``: of every hot context, sums over the words that follow it and are no hot run with it."""
+        states, rest, suffixes = [], [], []
+        for k, (level, sums) in enumerate(zip(self.runs, stats, strict=False), 1):
+            last = level.keys & LOW
+            suffixes.append(None if k == 1 else last if k == 2 else places(self.runs[k - 2].keys, (suffixes[k - 2][level.keys >> 32] << 32) | last))
+            n = level.counts.astype(float)
+            parent = float(self.tokens) if k == 1 else self.runs[k - 2].counts[suffixes[k - 1]].astype(float)
+            if k < len(self.runs):
+                longer = self.runs[k]
+                before, end = longer.keys >> 32, longer.keys & LOW
+                inner = end if k == 1 else places(level.keys, (suffixes[k - 1][before] << 32) | end)
+                own, shorter = longer.counts.astype(float), level.counts[inner].astype(float)
+                parts = (own, np.ones(len(own)), own * np.log(own / shorter), shorter)
+                sums = sums + np.array([np.bincount(before, each, len(n)) for each in parts]).T
+            total, stored, spread, outside = sums.T
+            states.append(pays(n, parent, total, stored, spread, outside, self.tokens))
+            rest.append(1 - (total - DISCOUNT * stored) / n)
+        for k in range(len(states) - 1, 0, -1):  # suffixes of states
+            states[k - 1][suffixes[k][states[k]]] = True
+        return replace(self, states=tuple(states), rest=tuple(rest))
+
+
+def pays(n, parent, total, stored, spread, outside, tokens: int) -> np.ndarray:
+    """The test of contexts: occurrences of each and of its suffix; over the words it stores the sums of their counts,
+    of 1, of count * log(count / count after the suffix), and of their counts after the suffix."""
+    tiny = 1e-12
+    n = np.maximum(n, tiny)
+    p_rest, q_rest = np.maximum(1 - total / n, 0), np.maximum(1 - outside / parent, 0)
+    divergence = (spread + total * np.log(parent / n)) / n + p_rest * np.log((p_rest + tiny) / (q_rest + tiny))
+    return (stored > 0) & (n * divergence >= 0.5 * np.log(max(tokens, 2)) * stored)
+
+
+CHUNKS = "chunk long, ids array<long>, lengths array<int>, learns array<boolean>, codes binary"
+
+
+def chunks_of(docs: DataFrame, hot: Hot) -> DataFrame:
+    """Texts (``id``, ``learns``, ``text``) as codes, some million tokens a row."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, chunk = shared.value, TaskContext.get().partitionId() << INDEX
+        held, size = [], 0
+        names = [field.split()[0] for field in CHUNKS.split(", ")]
+
+        def sent() -> pa.RecordBatch:
+            ids, learns, lengths, codes = zip(*held, strict=True)
+            lists = [sum((each.to_pylist() for each in ids), []), np.concatenate(lengths).tolist(), sum((each.to_pylist() for each in learns), [])]
+            kinds = [pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.bool_())]
+            arrays = [pa.array([chunk]), *[pa.array([each], kind) for each, kind in zip(lists, kinds, strict=True)]]
+            return pa.RecordBatch.from_arrays([*arrays, pa.array([pressed([np.concatenate(codes)])], pa.binary())], names=names)
+
+        for part, flat, lengths in batches_of(batches, 2):
+            held.append((part.column(0), part.column(1), lengths, known.codes(flat)))
+            size += len(flat)
+            if size >= CHUNK:
+                yield sent()
+                held, size, chunk = [], 0, chunk + 1
+        if held:
+            yield sent()
+
+    return docs.select("id", "learns", "text").mapInArrow(made, CHUNKS)
+
+
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        for chunk, ids, lengths, learns, data in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            lengths = np.array(lengths, dtype=np.int64)
+            yield chunk, ids, lengths, np.array(learns, dtype=bool), unpressed(data, int(lengths.sum()), ["u8"])[0]
+
+
+def hot_runs(chunks: DataFrame, hot: Hot) -> Hot:
+    """Runs of more than ``BUCKET`` training tokens, word by word longer: at most tokens / ``BUCKET`` of each length."""
+    least = max(BUCKET, hot.threshold, int(np.ceil(P_MIN * hot.tokens)))
+    often = np.flatnonzero(hot.head.counts > least)
+    runs = [Runs((often + 1).astype(np.uint64), hot.head.counts[often])]
+    while len(runs) <= hot.depth and len(runs[-1].keys):
+        shared = chunks.sparkSession.sparkContext.broadcast(runs)
+
+        def made(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            counter = Counter()
+            for _, _, lengths, learns, codes in opened(batches):
+                found = numbers(shared.value, codes, lengths)
+                before = np.roll(found[-1], 1)
+                before[(np.cumsum(lengths) - lengths)[lengths > 0]] = -1
+                ok = (before >= 0) & (found[-1] >= 0) & np.repeat(learns, lengths)
+                yield from counter.add((before[ok] << 32) | found[0][ok])
+            yield from counter.rows()
+
+        counts = chunks.mapInArrow(made, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+        runs.append(frequent(counts, least + 1, words=False))
+    return replace(hot, runs=runs)
+
+
+def dealt(columns: list[np.ndarray], place: np.ndarray, kind: int, hot: Hot, wanted: Wanted) -> Iterator[pa.RecordBatch]:
+    bucket = (place % np.uint64(wanted.buckets)).astype(np.int64)
+    if kind >= PLACED:
+        own = bucket % wanted.passes == wanted.part
+        bucket, columns = bucket[own], [each[own] for each in columns]
+        if not own.any():
+            return
+    order = np.argsort(bucket, kind="stable")
+    bucket = bucket[order]
+    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    columns = [each[order] for each in columns]
+    rows = []
+    for start, end in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
+        rows.append((kind, int(bucket[start]), -1, int(end - start), pressed([each[start:end] for each in columns], hot.depth + 1), None))
+        if len(rows) == 500:
+            yield rows_of(rows)
+            rows = []
+    if rows:
+        yield rows_of(rows)
+
+
+@dataclass(frozen=True)
+class Wanted:
+    """Which rows a pass over the tokens sends: those to be counted after ``k`` words, or with ``k`` None the placed
+    ones of a part of the buckets. What is counted is sent on whole."""
+
+    buckets: int
+    k: int | None = None
+    part: int = 0
+    passes: int = 1
+    onward: bool = False
+
+    def has(self, kind: int) -> bool:
+        return self.onward or (kind >= PLACED if self.k is None else kind == self.k)
+
+
+def routed(columns: list[np.ndarray], hot: Hot, k: int, wanted: Wanted, counted: bool = False) -> Iterator[pa.RecordBatch]:
+    """Tokens on their way: to the task that counts them after k words (unless ``counted``), or on to longer contexts
+    until one is not hot."""
+    while len(columns[0]):
+        if k:
+            open_ = hot.context(columns, k) >= 0 if k <= hot.depth else np.zeros(len(columns[0]), dtype=bool)
+            if not open_.all():
+                if wanted.has(PLACED + k):
+                    placed = [each[~open_] for each in columns]
+                    texts = named(placed[hot.depth + 1])  # where no context needs its tokens together
+                    place = texts if k > hot.depth else np.where(placed[k] == 0, texts, named(*placed[1 : k + 1]))
+                    yield from dealt(placed, place, PLACED + k, hot, wanted)
+                columns = [each[open_] for each in columns]
+        if not counted and len(columns[0]):
+            n = hot.often(columns, k)
+            if (n < 0).any():
+                if wanted.has(k):
+                    away = [each[n < 0] for each in columns]
+                    yield from dealt(away, named(*away[: k + 1]), k, hot, wanted)
+                columns = [each[n >= 0] for each in columns]
+        if k == wanted.k and not wanted.onward:
+            return
+        k, counted = k + 1, False
+
+
+def tokens_of(chunks: DataFrame, hot: Hot, wanted: Wanted) -> DataFrame:
+    """The tokens of all texts (``ROWS``), as far as they are wanted and no rare word comes in between."""
+    shared = chunks.sparkSession.sparkContext.broadcast(hot)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for chunk, _, lengths, learns, codes in opened(batches):
+            texts = np.repeat(np.uint64(chunk << INDEX) + np.arange(len(lengths), dtype=np.uint64), lengths)
+            first = np.cumsum(lengths) - lengths
+            before = [codes]
+            for _ in range(known.depth):
+                before.append(np.roll(before[-1], 1))
+                before[-1][first] = 0
+            columns = [*before, texts, np.repeat(learns, lengths).astype(np.uint8)]
+            chosen = (codes >= TAIL) == (wanted.k == 0)
+            columns = [each[chosen] for each in columns]
+            columns += [np.zeros(len(columns[0]), dtype=np.uint64) for _ in known.runs]
+            yield from routed(columns, known, 0, wanted)
+
+    return chunks.mapInArrow(made, ROWS)
+
+
+def texts_of(chunks: DataFrame, hot: Hot) -> DataFrame:
+    """Of the texts of each chunk: tokens, those that are no rare words and the sum of their base, and the ids."""
+    shared = chunks.sparkSession.sparkContext.broadcast(hot)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = shared.value
+        for chunk, ids, lengths, _, codes in opened(batches):
+            n, first = known.often([codes], 0), np.cumsum(lengths) - lengths
+            base = np.add.reduceat(np.where(n >= 0, np.log10((np.maximum(n, 0) + ADDED) / known.unit), 0), first)
+            seen = np.add.reduceat((n >= 0).astype(np.int64), first)
+            keys = np.array([each or 0 for each in ids], dtype=np.int64)
+            nulls = np.array([each is None for each in ids], dtype=np.uint8)
+            yield rows_of([(TEXTS, -1, chunk, len(ids), pressed([lengths, seen, base, keys, nulls]), None)])
+
+    return chunks.mapInArrow(made, ROWS)
+
+
+def joined(table: pa.Table, hot: Hot) -> list[np.ndarray]:
+    """All tokens of a task's rows by text, an order that reruns share."""
+    rows, at = table.select(["n", "data"]), 0
+    columns = [np.empty(pc.sum(table.column("n")).as_py(), dtype=kind) for kind in hot.kinds]
+    for batch in rows.to_batches(max_chunksize=100):
+        for n, data in zip(*[column.to_pylist() for column in batch.columns], strict=True):
+            for column, part in zip(columns, unpressed(data, n, hot.kinds, hot.depth + 1), strict=True):
+                column[at : at + n] = part
+            at += n
+    order = np.argsort(columns[hot.depth + 1], kind="stable")
+    for k in range(len(columns)):
+        columns[k] = columns[k][order]
+    for k in range(len(hot.runs)):  # counts that every task knows are not sent
+        n = hot.often(columns, k)
+        columns[hot.depth + 3 + k] = np.where(n >= 0, n, columns[hot.depth + 3 + k].astype(np.int64)).astype(np.uint64)
+    return columns
+
+
+def sums_of(texts: np.ndarray, *values: np.ndarray) -> list[pa.RecordBatch]:
+    """Sums of every text, a row per chunk."""
+    texts, place = np.unique(texts, return_inverse=True)
+    sums = [np.bincount(place, each) for each in values]
+    chunk = (texts >> np.uint64(INDEX)).astype(np.int64)
+    inside = (texts & np.uint64((1 << INDEX) - 1)).astype(np.uint32)
+    starts = np.flatnonzero(np.diff(chunk, prepend=-1))
+    rows = []
+    for start, end in zip(starts, np.append(starts[1:], len(texts)), strict=True):
+        data = pressed([each[start:end] for each in (inside, *sums)])
+        rows.append((SUMS + len(values) // 3, -1, int(chunk[start]), int(end - start), data, None))
+    return [rows_of(rows)]
+
+
+def counted_after(rows: DataFrame, hot: Hot, k: int, wanted: Wanted) -> DataFrame:
+    """Tokens with the count of their word after k words, sent on; parts of the test of those k words."""
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
+
+    def made(table: pa.Table) -> pa.Table:
+        known = shared.value
+        columns = joined(table, known)
+        _, at, run = np.unique(named(*columns[: k + 1]), return_index=True, return_inverse=True)
+        n = np.bincount(run, known.learns(columns))
+        columns[known.depth + 3 + k] = n[run].astype(np.uint64)
+        found = list(routed(list(columns), known, k, replace(wanted, onward=True), counted=True))
+        if k == 0:  # what rare words add to the sums of their texts
+            rate = np.log10((n[run] + ADDED) / known.unit)
+            found += sums_of(columns[known.depth + 1], n[run] > 0, rate, np.zeros(len(run)))
+        else:
+            stored = n >= known.threshold
+            first = at[stored]
+            own, shorter = n[stored], known.counts(columns, k - 1)[first].astype(float)
+            context = known.context([each[first] for each in columns], k)
+            contexts, place = np.unique(context, return_inverse=True)
+            sums = [np.bincount(place, each) for each in (own, np.ones(len(own)), own * np.log(own / shorter), shorter)]
+            stats = [(TESTED + k, int(each), -1, 0, None, list(map(float, row))) for each, *row in zip(contexts, *sums, strict=True)]
+            found += [rows_of(stats)] if stats else []
+        return pa.Table.from_batches(found)
+
+    return rows.filter(F.col("kind") == k).groupBy("bucket").applyInArrow(made, ROWS)
+
+
+def grown(columns: list[np.ndarray], hot: Hot, k: int) -> tuple[list[tuple], list[np.ndarray]]:
+    """Contexts of k words and more, for all of which the columns have all tokens: of every length the tokens they hold,
+    the context of each, what a stored word gets there (else 0) and what the context hands on, and which are states."""
+    taught, levels, states = hot.learns(columns), [], []
+    at = np.flatnonzero(columns[k] != 0) if k <= hot.depth else np.zeros(0, dtype=np.int64)
+    shorter = hot.counts(columns, k - 1)[at].astype(float)
+    if k == 1:
+        parent = np.full(len(at), float(hot.tokens))
+    elif k <= hot.depth:
+        parent = hot.runs[k - 2].counts[hot.context([each[at] for each in columns], k - 1)].astype(float) if len(at) else np.zeros(0)
+    name = named(*[each[at] for each in columns[1:k]]) if k > 1 else np.zeros(len(at), dtype=np.uint64)
+    for length in range(k, hot.depth + 1):
+        if not len(at):
+            break
+        name = named(name, columns[length][at])
+        _, first, context = np.unique(name, return_index=True, return_inverse=True)
+        _, sample, run = np.unique(named(context, columns[0][at]), return_index=True, return_inverse=True)
+        n, own = np.bincount(context, taught[at]), np.bincount(run, taught[at])
+        stored = own >= hot.threshold
+        sample, own_stored = sample[stored], own[stored]
+        after = shorter[sample]
+        sums = [np.bincount(context[sample], each, len(n)) for each in (own_stored, np.ones(len(own_stored)), own_stored * np.log(own_stored / after), after)]
+        states.append(pays(n, np.maximum(parent[first], 1e-12), *sums, hot.tokens))
+        some = np.maximum(n, 1e-12)
+        rest = 1 - (sums[0] - DISCOUNT * sums[1]) / some
+        share = np.where(stored[run], own[run] - DISCOUNT, 0) / some[context]
+        levels.append((at, context, share, rest))
+        longer = (sums[1][context] > 0) & (columns[min(length + 1, hot.depth)][at] != 0)
+        shorter, parent, name, at = own[run][longer], n[context][longer], name[longer], at[longer]
+        levels[-1] += (longer,)
+    for length in range(len(levels) - 1, 0, -1):  # suffixes of states
+        shorter_context = levels[length - 1][1][levels[length - 1][4]]
+        states[length - 1][shorter_context[states[length][levels[length][1]]]] = True
+    return levels, states
+
+
+def hot_with_states(rows: DataFrame, hot: Hot) -> Hot:
+    """Hot contexts are states too where a longer context is one that is not hot."""
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
+
+    def made(table: pa.Table) -> pa.Table:
+        known, found = shared.value, [rows_of([(HAS_STATE, -1, -1, 0, None, None)]).slice(0, 0)]
+        for kind in set(table.column("kind").to_pylist()):
+            columns = joined(table.filter(pc.equal(table.column("kind"), kind)), known)
+            k = kind - PLACED
+            levels, states = grown(columns, known, k)
+            if states:
+                at = levels[0][0][states[0][levels[0][1]]]
+                numbers_ = np.unique(known.context([each[at] for each in columns], k - 1))
+                found += [rows_of([(HAS_STATE + k - 1, int(each), -1, 0, None, None) for each in numbers_])] if len(numbers_) else []
+        return pa.Table.from_batches(found)
+
+    deep = rows.filter(F.col("kind").between(PLACED + 2, PLACED + hot.depth))
+    flags = deep.groupBy("bucket").applyInArrow(made, ROWS).select("kind", F.col("bucket").alias("number")).distinct()
+    states = [each.copy() for each in hot.states]
+    for kind, number in flags.collect():  # at most the hot contexts
+        states[kind - HAS_STATE - 1][number] = True
+    for k in range(len(states), 1, -1):
+        level = hot.runs[k - 1]
+        on = np.flatnonzero(states[k - 1])
+        for number in on:  # the suffix: the run without its first word
+            words = run_words(hot, k, int(number))[1:]
+            states[k - 2][hot.number([np.array([each], dtype=np.uint64) for each in words])[0]] = True
+    return replace(hot, states=tuple(states))
+
+
+def run_words(hot: Hot, length: int, number: int) -> list[int]:
+    """Their codes, the oldest first."""
+    words = []
+    for k in range(length, 1, -1):
+        key = int(hot.runs[k - 1].keys[number])
+        words.insert(0, int(hot.runs[0].keys[key & LOW]))
+        number = key >> 32
+    return [int(hot.runs[0].keys[number]), *words]
+
+
+def scored(rows: DataFrame, hot: Hot) -> DataFrame:
+    """Sums of the log10 of placed tokens, of every text in a task."""
+    shared = rows.sparkSession.sparkContext.broadcast(hot)
+
+    def made(table: pa.Table) -> pa.Table:
+        known, found = shared.value, [rows_of([(SUMS, -1, -1, 0, None, None)]).slice(0, 0)]
+        for kind in sorted(set(table.column("kind").to_pylist())):
+            columns = joined(table.filter(pc.equal(table.column("kind"), kind)), known)
+            p = (known.counts(columns, 0) + ADDED) / known.unit
+            for k in range(1, kind - PLACED):
+                number, n = known.context(columns, k), known.counts(columns, k).astype(float)
+                share = np.where(n >= known.threshold, n - DISCOUNT, 0) / known.runs[k - 1].counts[number]
+                p = np.where(known.states[k - 1][number], known.rest[k - 1][number] * p + share, p)
+            levels, states = grown(columns, known, kind - PLACED)
+            for (at, context, share, rest, _), state in zip(levels, states, strict=True):
+                on = state[context]
+                p[at[on]] = rest[context[on]] * p[at[on]] + share[on]
+            found += sums_of(columns[known.depth + 1], np.log10(p))
+        return pa.Table.from_batches(found)
+
+    return rows.filter(F.col("kind").between(PLACED, PLACED + hot.depth + 1)).groupBy("bucket").applyInArrow(made, ROWS)
+
+
+def summed(rows: DataFrame) -> DataFrame:
+    """A row per text, from the rows of its chunk."""
+    names = "id long, n_tokens long, n_known long, base_score double, score double"
+
+    def made(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("kind", "descending"), ("n", "ascending"), ("data", "ascending")])
+        held = list(zip(*[table.column(name).to_pylist() for name in ("kind", "n", "data")], strict=True))
+        lengths, known, base, keys, nulls = unpressed(held[0][2], held[0][1], ["i8", "i8", "f8", "i8", "u1"])
+        score = np.zeros(len(keys))
+        for kind, n, data in held[1:]:
+            if kind == SUMS:
+                texts, value = unpressed(data, n, ["u4", "f8"])
+                score[texts] += value
+            else:
+                texts, more, rate, _ = unpressed(data, n, ["u4", "f8", "f8", "f8"])
+                known[texts] += more.astype(np.int64)
+                base[texts] += rate
+        columns = [pa.array(keys, mask=nulls.astype(bool)), *map(pa.array, (lengths, known, base, score))]
+        return pa.table(columns, names=[field.split()[0] for field in names.split(", ")])
+
+    return rows.filter(F.col("kind").isin(SUMS, RARE_SUMS, TEXTS)).groupBy("chunk").applyInArrow(made, names)
+
+
+def tree_scores(docs: DataFrame, learns: Column, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> tuple[DataFrame, int]:
+    """What ``score`` returns, for all rows, from the whole tree of those that ``learns`` is true for; and the tokens of these."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(learns, F.lit(False)).alias("learns"), whole(F.col(text)).alias("text"))
+    words = stage(counted(rows.filter("learns").select("text"), []), "suffix-words")
+    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
+    head = frequent(words, max(LEAST, int(np.ceil(P_MIN * total["tokens"]))), words=True)
+    hot = Hot(head, [], total["tokens"], total["words"], LEAST, depth)
+    chunks = stage(chunks_of(rows, hot), "suffix-chunks")
+    hot = hot_runs(chunks, hot)
+    everything = chunks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0]
+    wanted = Wanted(max(PASSES, -(-2 * (everything or 0) // BUCKET)))
+    send = lambda k: tokens_of(chunks, hot, replace(wanted, k=k))
+    ready = [stage(counted_after(send(0), hot, 0, wanted), "suffix-rare")]
+    contexts, stats = [level for level in hot.runs[:depth] if len(level.keys)], []
+    for k, level in enumerate(contexts, 1):
+        free_shuffles(spark)
+        ready.append(stage(counted_after(union([send(k), *ready]), hot, k, wanted), "suffix-counted"))
+        sums = np.zeros((len(level.keys), 4))
+        parts = [F.sum(F.col("stats")[i]) for i in range(4)]
+        for number, *own in ready[-1].filter(F.col("kind") == TESTED + k).groupBy("bucket").agg(*parts).collect():  # hot contexts
+            sums[number] = own
+        stats.append(sums)
+    hot = hot.tested(stats)
+    if not all(each.all() for each in hot.states):
+        hot = hot_with_states(union([tokens_of(chunks, hot, wanted), *ready]), hot)
+    found = []
+    for part in range(PASSES):
+        free_shuffles(spark)
+        own = [each.filter(F.col("bucket") % PASSES == part) for each in ready]
+        found.append(stage(scored(union([tokens_of(chunks, hot, replace(wanted, part=part, passes=PASSES)), *own]), hot), "suffix-sums"))
+    free_shuffles(spark)
+    return summed(union([texts_of(chunks, hot), ready[0], *found])), total["tokens"]
+
+
+def free_shuffles(spark) -> None:
+    """Spark deletes the files of finished exchanges once the driver's garbage is collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
+def union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, frames)
+
+
 def held_out(key: Column) -> Column:
     """A NULL id is held out: it teaches nothing."""
     return F.coalesce(F.crc32(key.cast("string").cast("binary")) % 10 == 0, F.lit(True))
@@ -326,8 +868,8 @@ def held_out(key: Column) -> Column:
 
 def op12_lm_scores(spark, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    model, words = fit(docs.filter(~held_out(F.col("doc_id"))))
-    return score(docs, model, words).select(
+    scores, learned = tree_scores(docs, ~held_out(F.col("doc_id")))
+    return scores.select(
         F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score",
+        F.lit(learned).cast("long").alias("train_tokens"), "base_score", "score",
     )
