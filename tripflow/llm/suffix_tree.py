@@ -41,7 +41,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripflow.llm.near_duplicates import LOWER, PIECE, mixed, word_hashes
-from tripflow.llm.text import bounded_batches, table, whole
+from tripflow.llm.text import Stages, bounded_batches, table, whole
 from tripflow.session import stage
 
 DEPTH = 3
@@ -54,6 +54,7 @@ HELD = 3_000_000  # distinct keys that a task holds before it passes counts on
 BUCKET = 500_000  # tokens after one context that a task takes at once, with up to about as many after others
 CHUNK = 1_000_000  # tokens of texts that are sent at once, less than 1 << INDEX
 PASSES = 6  # in which tokens are scored, a part of the contexts each, so that few lie on disk at once
+FEWER = 8  # what is counted first is a part of all tokens, and is dealt to so many times fewer tasks
 INDEX = 20  # bits for a text's place in its chunk
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 LOW = (1 << 32) - 1
@@ -534,7 +535,8 @@ def hot_runs(chunks: DataFrame, hot: Hot) -> Hot:
 
 
 def dealt(columns: list[np.ndarray], place: np.ndarray, kind: int, hot: Hot, wanted: Wanted) -> Iterator[pa.RecordBatch]:
-    bucket = (place % np.uint64(wanted.buckets)).astype(np.int64)
+    buckets = wanted.buckets if kind >= PLACED else max(1, wanted.buckets // FEWER)
+    bucket = (place % np.uint64(buckets)).astype(np.int64)
     if kind >= PLACED:
         own = bucket % wanted.passes == wanted.part
         bucket, columns = bucket[own], [each[own] for each in columns]
@@ -820,10 +822,12 @@ def tree_scores(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
     spark = docs.sparkSession
     bounded_batches(spark)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.coalesce(learns, F.lit(False)).alias("learns"), whole(F.col(text)).alias("text"))
-    words = stage(counted(rows.filter("learns").select("text"), []), "suffix-words")
+    stages = Stages(spark)
+    words = stages(counted(rows.filter("learns").select("text"), []), "suffix-words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
     head = frequent(words, max(LEAST, int(np.ceil(P_MIN * total["tokens"]))), words=True)
     hot = Hot(head, [], total["tokens"], total["words"], LEAST, depth)
+    stages.drop()
     chunks = stage(chunks_of(rows, hot), "suffix-chunks")
     hot = hot_runs(chunks, hot)
     everything = chunks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0]
