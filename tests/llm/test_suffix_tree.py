@@ -101,6 +101,39 @@ def test_whole_tree_equals_brute_force(spark, monkeypatch, p_min, bucket, depth)
     assert np.allclose([row[3:] for row in found], [row[3:] for row in expected], rtol=1e-9)
 
 
+@pytest.mark.parametrize("head, p_min, bucket, depth", [(10**6, 1e-6, 200, 3), (20, 2e-3, 200, 3), (60, 1e-6, 1500, 2), (0, 1e-6, 400, 3)])
+def test_head_of_any_size_and_sums_of_few_rows(spark, monkeypatch, head, p_min, bucket, depth):
+    """Scores don't depend on how many words every task knows, or on parts; what a pass leaves is a row per chunk."""
+    for name, value in (("HEAD", head), ("P_MIN", p_min), ("BUCKET", bucket), ("CHUNK", 4000)):
+        monkeypatch.setattr(suffix_tree, name, value)
+    left = {}
+
+    def stage(df, label, kept=suffix_tree.stage):
+        found = kept(df, label)
+        left.setdefault(label, []).append(found.count())
+        return found
+
+    monkeypatch.setattr(suffix_tree, "stage", stage)
+    rows = documents()
+    scores, _ = suffix_tree.tree_scores(frame(spark), ~suffix_tree.held_out(F.col("doc_id")), depth=depth)
+    brute = Brute([row[1] for row in rows if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 10], depth, 0.0)
+    order = lambda row: (row[0] is None, row[0] or 0, *row[1:])
+    found, expected = sorted(map(tuple, scores.collect()), key=order), sorted(((row[0], *brute.scores(row[1])) for row in rows), key=order)
+    assert [row[:3] for row in found] == [row[:3] for row in expected]
+    assert np.allclose([row[3:] for row in found], [row[3:] for row in expected], rtol=1e-9)
+    assert len(left["suffix-sums"]) == suffix_tree.PASSES and max(left["suffix-sums"]) <= left["suffix-chunks"][0]
+
+
+def test_frequent_words_have_small_codes():
+    words = suffix_tree.Runs(np.array([5, 9, 2**63 + 7, 2**64 - 1], dtype=np.uint64), np.array([3, 8, 4, 9]))
+    head, counts = suffix_tree.Head.ranked(words)
+    assert counts.tolist() == [9, 8, 4, 3]
+    flat = np.array([9, 2**64 - 1, 6, 5, 2**63 + 7, 2**63 + 8], dtype=np.uint64)
+    assert head.of(flat).tolist() == [2, 1, 2**63 + 6, 4, 3, 2**63 + 8]
+    empty, _ = suffix_tree.Head.ranked(suffix_tree.Runs(np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=np.int64)))
+    assert empty.of(flat[:1]).tolist() == [2**63 + 9]
+
+
 def test_whole_tree_without_rows_or_teachers(spark):
     scores, learned = suffix_tree.tree_scores(frame(spark), F.lit(False))
     assert learned == 0 and {(row["n_known"], row["base_score"], row["score"]) for row in scores.collect()} == {(0, 0.0, 0.0)}

@@ -21,22 +21,23 @@ that word meet, each with its suffixes: they are counted, tested and used there.
 ``BUCKET`` tokens after them are divided by the word before, and so on; what is then spread over tasks (how often a
 word follows) is counted first, in an exchange by the run itself.
 
-Words are told apart by 64-bit hashes (63 bits if below ``P_MIN``, where the whole tree is used), longer runs by
-64-bit hashes among those of one task.
+Words are told apart by 64-bit hashes (63 bits if not among the ``HEAD`` most frequent, where the whole tree is used),
+longer runs by 64-bit hashes among those of one task.
 """
 
 from __future__ import annotations
 
 import gc
 import re
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,11 +52,13 @@ DISCOUNT = 0.75
 ADDED = 0.1
 END = np.uint64(1)
 HELD = 3_000_000  # distinct keys that a task holds before it passes counts on
-BUCKET = 500_000  # tokens after one context that a task takes at once, with up to about as many after others
-CHUNK = 1_000_000  # tokens of texts that are sent at once, less than 1 << INDEX
-PASSES = 6  # in which tokens are scored, a part of the contexts each, so that few lie on disk at once
-FEWER = 8  # what is counted first is a part of all tokens, and is dealt to so many times fewer tasks
-INDEX = 20  # bits for a text's place in its chunk
+BUCKET = 500_000  # tokens after one context that a task takes at once, with about as many after others
+CHUNK = 3_000_000  # tokens of texts that are sent at once, less than 1 << INDEX
+PASSES = 3  # in which tokens are scored, a part of the contexts each, so that few lie on disk at once
+HEAD = 500_000  # most frequent words at most, whose counts every task holds
+PARTS = 4  # of a bucket, whose contexts are tested one after another
+FEWER = 4  # what is counted first is a part of all tokens, and is dealt to so many times fewer tasks
+INDEX = 22  # bits for a text's place in its chunk
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 LOW = (1 << 32) - 1
 
@@ -340,7 +343,7 @@ def score(docs: DataFrame, model: Model, words: DataFrame, key: str = "doc_id",
 # (TESTED + k) words.
 ROWS = "kind int, bucket long, chunk long, n long, data binary, stats array<double>"
 PLACED, SUMS, RARE_SUMS, TEXTS, TESTED, HAS_STATE = 10, 20, 21, 22, 30, 40
-TAIL, FAR = np.uint64(1 << 63), np.uint64((1 << 32) - 1)
+TAIL, FAR, FIRST = np.uint64(1 << 63), np.uint64((1 << 32) - 1), np.uint64(44)
 
 
 def rows_of(rows: list[tuple]) -> pa.RecordBatch:
@@ -382,13 +385,69 @@ def named(*columns: np.ndarray) -> np.ndarray:
     return key
 
 
+def grouped(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A member of each group of equal names, in the order of names, and the group of every member."""
+    order = np.argsort(names)
+    ordered = names[order]
+    fresh = np.ones(len(names), dtype=bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    group = np.empty(len(names), dtype=np.int64)
+    group[order] = np.cumsum(fresh) - 1
+    return order[fresh], group
+
+
+def head_least(words: DataFrame) -> int:
+    """The least count of a word in the head, by numbers of words with about one count: a few hundred rows."""
+    near = F.floor(F.log2("n") * 8).alias("near")
+    bins = words.filter(F.col("n") >= LEAST).groupBy(near).agg(F.min("n").alias("least"), F.count(F.lit(1)).alias("words"))
+    least, held = 0, 0
+    for row in sorted(bins.collect(), key=lambda row: -row["near"]):
+        held += row["words"]
+        if held > HEAD:
+            return least or 1 << 62
+        least = row["least"]
+    return LEAST
+
+
+@dataclass(frozen=True)
+class Head:
+    """The most frequent words: their hashes, sorted, and the code of each, its rank by count from 1. Frequent words have
+    small codes, which take few bytes."""
+
+    keys: np.ndarray
+    codes: np.ndarray
+    starts: np.ndarray  # of the keys that begin with the same bits
+
+    @staticmethod
+    def ranked(words: Runs) -> tuple[Head, np.ndarray]:
+        """The head of these words, and their counts by code."""
+        order = np.argsort(-words.counts, kind="stable")
+        codes = np.empty(len(order), dtype=np.uint64)
+        codes[order] = np.arange(1, len(order) + 1, dtype=np.uint64)
+        starts = np.searchsorted(words.keys >> FIRST, np.arange((1 << 20) + 1, dtype=np.uint64))
+        return Head(words.keys, codes, starts.astype(np.int32)), words.counts[order]
+
+    def of(self, flat: np.ndarray) -> np.ndarray:
+        first = (flat >> FIRST).astype(np.int64)
+        place, end, codes = self.starts[first], self.starts[first + 1], flat | TAIL
+        at = np.flatnonzero(place < end)
+        while len(at):  # a few words at most begin with the same bits
+            here = place[at]
+            same = self.keys[here] == flat[at]
+            codes[at[same]] = self.codes[here[same]]
+            at = at[~same]
+            place[at] += 1
+            at = at[place[at] < end[at]]
+        return codes
+
+
 @dataclass(frozen=True)
 class Hot:
-    """What every task knows: words that make up ``P_MIN`` of all tokens (``head``; a word's code is its place there
-    from 1, or its hash with the top bit set; 0 is no word), runs of more than ``BUCKET`` tokens (``runs``, by their
-    words' codes) and, once tested, whether those that are contexts are states, and what they hand on."""
+    """What every task knows: counts of the most frequent words (``head``, by their codes; the code of another word is
+    its hash with the top bit set; 0 is no word), runs of more than ``BUCKET`` tokens (``runs``, by their words' codes)
+    and, once tested, whether those that are contexts are states, and what they hand on."""
 
-    head: Runs
+    head: np.ndarray
     runs: list[Runs]
     tokens: int
     vocabulary: int
@@ -397,11 +456,10 @@ class Hot:
     states: tuple = ()
     rest: tuple = ()
 
-    @property
-    def kinds(self) -> list[str]:
+    def kinds(self, counts: int) -> list[str]:
         """Of a token: its word and those before it, its text (the place in its chunk as the last bits), whether it
         teaches, and how often it follows no word, one word and so on."""
-        return ["u8"] * (self.depth + 1) + ["u8", "u1"] + ["u8"] * len(self.runs)
+        return ["u8"] * (self.depth + 1) + ["u8", "u1"] + ["u8"] * counts
 
     @property
     def unit(self) -> float:
@@ -414,10 +472,6 @@ class Hot:
         """How often the word follows k words, where that is known."""
         return columns[self.depth + 3 + k]
 
-    def codes(self, flat: np.ndarray) -> np.ndarray:
-        found = places(self.head.keys, flat)
-        return np.where(found >= 0, (found + 1).astype(np.uint64), flat | TAIL)
-
     def number(self, oldest_first: list[np.ndarray]) -> np.ndarray:
         """Numbers of hot runs, or -1."""
         if len(oldest_first) > len(self.runs):
@@ -434,11 +488,14 @@ class Hot:
 
     def often(self, columns: list[np.ndarray], k: int) -> np.ndarray:
         """How often the word follows k words, -1 if no task knows that yet."""
+        n = np.full(len(columns[0]), -1, dtype=np.int64)
         if k == 0:
-            known = columns[0] < TAIL
-            return np.where(known, self.head.counts[np.where(known, columns[0] - np.uint64(1), 0).astype(np.int64)] if len(self.head.counts) else -1, -1)
-        found = self.number(columns[k::-1])
-        return np.where(found >= 0, self.runs[k].counts[found], -1) if k < len(self.runs) and len(self.runs[k].keys) else np.full(len(found), -1)
+            at = np.flatnonzero(columns[0] < TAIL)
+            n[at] = self.head[columns[0][at].astype(np.int64) - 1]
+        elif k < len(self.runs) and len(self.runs[k].keys):
+            found = self.number(columns[k::-1])
+            n = np.where(found >= 0, self.runs[k].counts[found], n)
+        return n
 
     def tested(self, stats: list[np.ndarray]) -> Hot:
         """``stats``: of every hot context, sums over the words that follow it and are no hot run with it."""
@@ -476,9 +533,9 @@ def pays(n, parent, total, stored, spread, outside, tokens: int) -> np.ndarray:
 CHUNKS = "chunk long, ids array<long>, lengths array<int>, learns array<boolean>, codes binary"
 
 
-def chunks_of(docs: DataFrame, hot: Hot) -> DataFrame:
+def chunks_of(docs: DataFrame, head: Head) -> DataFrame:
     """Texts (``id``, ``learns``, ``text``) as codes, some million tokens a row."""
-    shared = docs.sparkSession.sparkContext.broadcast(hot)
+    shared = docs.sparkSession.sparkContext.broadcast(head)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, chunk = shared.value, TaskContext.get().partitionId() << INDEX
@@ -493,7 +550,7 @@ def chunks_of(docs: DataFrame, hot: Hot) -> DataFrame:
             return pa.RecordBatch.from_arrays([*arrays, pa.array([pressed([np.concatenate(codes)])], pa.binary())], names=names)
 
         for part, flat, lengths in batches_of(batches, 2):
-            held.append((part.column(0), part.column(1), lengths, known.codes(flat)))
+            held.append((part.column(0), part.column(1), lengths, known.of(flat)))
             size += len(flat)
             if size >= CHUNK:
                 yield sent()
@@ -514,8 +571,8 @@ def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 def hot_runs(chunks: DataFrame, hot: Hot) -> Hot:
     """Runs of more than ``BUCKET`` training tokens, word by word longer: at most tokens / ``BUCKET`` of each length."""
     least = max(BUCKET, hot.threshold, int(np.ceil(P_MIN * hot.tokens)))
-    often = np.flatnonzero(hot.head.counts > least)
-    runs = [Runs((often + 1).astype(np.uint64), hot.head.counts[often])]
+    often = np.flatnonzero(hot.head > least)
+    runs = [Runs((often + 1).astype(np.uint64), hot.head[often])]
     while len(runs) <= hot.depth and len(runs[-1].keys):
         shared = chunks.sparkSession.sparkContext.broadcast(runs)
 
@@ -534,18 +591,23 @@ def hot_runs(chunks: DataFrame, hot: Hot) -> Hot:
     return replace(hot, runs=runs)
 
 
-def dealt(columns: list[np.ndarray], place: np.ndarray, kind: int, hot: Hot, wanted: Wanted) -> Iterator[pa.RecordBatch]:
+Take = Callable[[np.ndarray, int], np.ndarray]  # of the tokens at some places, a column as in ``Hot.kinds``
+
+
+def dealt(take: Take, at: np.ndarray, place: np.ndarray, kind: int, hot: Hot, wanted: Wanted) -> Iterator[pa.RecordBatch]:
+    """The tokens ``at`` these places, dealt to buckets."""
     buckets = wanted.buckets if kind >= PLACED else max(1, wanted.buckets // FEWER)
-    bucket = (place % np.uint64(buckets)).astype(np.int64)
-    if kind >= PLACED:
-        own = bucket % wanted.passes == wanted.part
-        bucket, columns = bucket[own], [each[own] for each in columns]
-        if not own.any():
-            return
+    bucket = place % np.uint64(buckets)
+    if kind >= PLACED and wanted.passes > 1:
+        own = np.flatnonzero(bucket % np.uint64(wanted.passes) == wanted.part)
+        at, bucket = at[own], bucket[own]
+    if not len(at):
+        return
+    bucket = bucket.astype(np.uint16 if buckets <= 1 << 16 else np.int64)
     order = np.argsort(bucket, kind="stable")
-    bucket = bucket[order]
-    starts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    columns = [each[order] for each in columns]
+    at, bucket = at[order], bucket[order]
+    starts = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1]))
+    columns = [take(at, each) for each in range(len(hot.kinds(kind % PLACED)))]
     rows = []
     for start, end in zip(starts, np.append(starts[1:], len(bucket)), strict=True):
         rows.append((kind, int(bucket[start]), -1, int(end - start), pressed([each[start:end] for each in columns], hot.depth + 1), None))
@@ -559,68 +621,72 @@ def dealt(columns: list[np.ndarray], place: np.ndarray, kind: int, hot: Hot, wan
 @dataclass(frozen=True)
 class Wanted:
     """Which rows a pass over the tokens sends: those to be counted after ``k`` words, or with ``k`` None the placed
-    ones of a part of the buckets. What is counted is sent on whole."""
+    ones, at contexts of ``least`` words and more, of a part of the buckets. What is counted is sent on whole."""
 
     buckets: int
     k: int | None = None
     part: int = 0
     passes: int = 1
     onward: bool = False
+    least: int = 1
 
     def has(self, kind: int) -> bool:
-        return self.onward or (kind >= PLACED if self.k is None else kind == self.k)
+        return self.onward or (kind >= PLACED + self.least if self.k is None else kind == self.k)
 
 
-def routed(columns: list[np.ndarray], hot: Hot, k: int, wanted: Wanted, counted: bool = False) -> Iterator[pa.RecordBatch]:
-    """Tokens on their way: to the task that counts them after k words (unless ``counted``), or on to longer contexts
-    until one is not hot."""
-    while len(columns[0]):
+def routed(take: Take, at: np.ndarray, hot: Hot, k: int, wanted: Wanted, counted: bool = False) -> Iterator[pa.RecordBatch]:
+    """The tokens ``at`` these places on their way: to the task that counts them after k words (unless ``counted``), or on
+    to longer contexts until one is not hot."""
+    of = lambda at, *wanted: [take(at, each) for each in wanted]
+    while len(at):
         if k:
-            open_ = hot.context(columns, k) >= 0 if k <= hot.depth else np.zeros(len(columns[0]), dtype=bool)
-            if not open_.all():
-                if wanted.has(PLACED + k):
-                    placed = [each[~open_] for each in columns]
-                    texts = named(placed[hot.depth + 1])  # where no context needs its tokens together
-                    place = texts if k > hot.depth else np.where(placed[k] == 0, texts, named(*placed[1 : k + 1]))
-                    yield from dealt(placed, place, PLACED + k, hot, wanted)
-                columns = [each[open_] for each in columns]
-        if not counted and len(columns[0]):
-            n = hot.often(columns, k)
-            if (n < 0).any():
-                if wanted.has(k):
-                    away = [each[n < 0] for each in columns]
-                    yield from dealt(away, named(*away[: k + 1]), k, hot, wanted)
-                columns = [each[n >= 0] for each in columns]
+            open_ = np.zeros(len(at), dtype=bool)
+            if k <= hot.depth:
+                open_ = hot.number(of(at, *range(k, 0, -1))) >= 0
+            if wanted.has(PLACED + k) and not open_.all():
+                closed = at[~open_]
+                if k > hot.depth:
+                    place = named(*of(closed, hot.depth + 1))
+                else:
+                    before = of(closed, *range(1, k + 1))
+                    place = named(*before)
+                    none = np.flatnonzero(before[-1] == 0)  # where no context needs its tokens together
+                    place[none] = named(*of(closed[none], hot.depth + 1))
+                yield from dealt(take, closed, place, PLACED + k, hot, wanted)
+            at = at[open_]
+        if not counted and len(at):
+            away = hot.often(of(at, *range(k + 1)), k) < 0
+            if wanted.has(k) and away.any():
+                yield from dealt(take, at[away], named(*of(at[away], *range(k + 1))), k, hot, wanted)
+            at = at[~away]
         if k == wanted.k and not wanted.onward:
             return
         k, counted = k + 1, False
 
 
-def tokens_of(chunks: DataFrame, hot: Hot, wanted: Wanted) -> DataFrame:
+def tokens_of(chunks: DataFrame, shared: Broadcast, wanted: Wanted) -> DataFrame:
     """The tokens of all texts (``ROWS``), as far as they are wanted and no rare word comes in between."""
-    shared = chunks.sparkSession.sparkContext.broadcast(hot)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
         for chunk, _, lengths, learns, codes in opened(batches):
             texts = np.repeat(np.uint64(chunk << INDEX) + np.arange(len(lengths), dtype=np.uint64), lengths)
-            first = np.cumsum(lengths) - lengths
-            before = [codes]
-            for _ in range(known.depth):
-                before.append(np.roll(before[-1], 1))
-                before[-1][first] = 0
-            columns = [*before, texts, np.repeat(learns, lengths).astype(np.uint8)]
-            chosen = (codes >= TAIL) == (wanted.k == 0)
-            columns = [each[chosen] for each in columns]
-            columns += [np.zeros(len(columns[0]), dtype=np.uint64) for _ in known.runs]
-            yield from routed(columns, known, 0, wanted)
+            taught = np.repeat(learns, lengths).astype(np.uint8)
+
+            def take(at: np.ndarray, column: int, codes=codes, texts=texts, taught=taught) -> np.ndarray:
+                if 0 < column <= known.depth:  # nothing reaches back into another text
+                    before = at - column
+                    return np.where((before >= 0) & (texts[before] == texts[at]), codes[before], np.uint64(0))
+                own = {0: codes, known.depth + 1: texts, known.depth + 2: taught}
+                return own[column][at] if column in own else np.zeros(len(at), dtype=np.uint64)
+
+            yield from routed(take, np.flatnonzero((codes >= TAIL) == (wanted.k == 0)), known, 0, wanted)
 
     return chunks.mapInArrow(made, ROWS)
 
 
-def texts_of(chunks: DataFrame, hot: Hot) -> DataFrame:
+def texts_of(chunks: DataFrame, shared: Broadcast) -> DataFrame:
     """Of the texts of each chunk: tokens, those that are no rare words and the sum of their base, and the ids."""
-    shared = chunks.sparkSession.sparkContext.broadcast(hot)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = shared.value
@@ -635,19 +701,20 @@ def texts_of(chunks: DataFrame, hot: Hot) -> DataFrame:
     return chunks.mapInArrow(made, ROWS)
 
 
-def joined(table: pa.Table, hot: Hot) -> list[np.ndarray]:
-    """All tokens of a task's rows by text, an order that reruns share."""
-    rows, at = table.select(["n", "data"]), 0
-    columns = [np.empty(pc.sum(table.column("n")).as_py(), dtype=kind) for kind in hot.kinds]
+def joined(table: pa.Table, hot: Hot, kind: int) -> list[np.ndarray]:
+    """All tokens of a task's rows of a kind by text, an order that reruns share."""
+    rows, at, counts = table.select(["n", "data"]), 0, kind % PLACED
+    kinds = hot.kinds(counts)
+    columns = [np.empty(pc.sum(table.column("n")).as_py(), dtype=each) for each in kinds]
     for batch in rows.to_batches(max_chunksize=100):
         for n, data in zip(*[column.to_pylist() for column in batch.columns], strict=True):
-            for column, part in zip(columns, unpressed(data, n, hot.kinds, hot.depth + 1), strict=True):
+            for column, part in zip(columns, unpressed(data, n, kinds, hot.depth + 1), strict=True):
                 column[at : at + n] = part
             at += n
     order = np.argsort(columns[hot.depth + 1], kind="stable")
     for k in range(len(columns)):
         columns[k] = columns[k][order]
-    for k in range(len(hot.runs)):  # counts that every task knows are not sent
+    for k in range(counts):  # counts that every task knows are not sent
         n = hot.often(columns, k)
         columns[hot.depth + 3 + k] = np.where(n >= 0, n, columns[hot.depth + 3 + k].astype(np.int64)).astype(np.uint64)
     return columns
@@ -667,17 +734,17 @@ def sums_of(texts: np.ndarray, *values: np.ndarray) -> list[pa.RecordBatch]:
     return [rows_of(rows)]
 
 
-def counted_after(rows: DataFrame, hot: Hot, k: int, wanted: Wanted) -> DataFrame:
+def counted_after(rows: DataFrame, shared: Broadcast, k: int, wanted: Wanted) -> DataFrame:
     """Tokens with the count of their word after k words, sent on; parts of the test of those k words."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
 
     def made(table: pa.Table) -> pa.Table:
         known = shared.value
-        columns = joined(table, known)
-        _, at, run = np.unique(named(*columns[: k + 1]), return_index=True, return_inverse=True)
+        columns = joined(table, known, k)
+        at, run = grouped(named(*columns[: k + 1]))
         n = np.bincount(run, known.learns(columns))
-        columns[known.depth + 3 + k] = n[run].astype(np.uint64)
-        found = list(routed(list(columns), known, k, replace(wanted, onward=True), counted=True))
+        columns.append(n[run].astype(np.uint64))
+        columns += [np.zeros(len(run), dtype=np.uint64) for _ in known.runs[k + 1 :]]
+        found = list(routed(lambda at, column: columns[column][at], np.arange(len(run)), known, k, replace(wanted, onward=True), counted=True))
         if k == 0:  # what rare words add to the sums of their texts
             rate = np.log10((n[run] + ADDED) / known.unit)
             found += sums_of(columns[known.depth + 1], n[run] > 0, rate, np.zeros(len(run)))
@@ -710,8 +777,8 @@ def grown(columns: list[np.ndarray], hot: Hot, k: int) -> tuple[list[tuple], lis
         if not len(at):
             break
         name = named(name, columns[length][at])
-        _, first, context = np.unique(name, return_index=True, return_inverse=True)
-        _, sample, run = np.unique(named(context, columns[0][at]), return_index=True, return_inverse=True)
+        first, context = grouped(name)
+        sample, run = grouped(named(context, columns[0][at]))
         n, own = np.bincount(context, taught[at]), np.bincount(run, taught[at])
         stored = own >= hot.threshold
         sample, own_stored = sample[stored], own[stored]
@@ -731,20 +798,29 @@ def grown(columns: list[np.ndarray], hot: Hot, k: int) -> tuple[list[tuple], lis
     return levels, states
 
 
-def hot_with_states(rows: DataFrame, hot: Hot) -> Hot:
+def apart(columns: list[np.ndarray], hot: Hot, k: int) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """A bucket's tokens in parts that share no context of k words and more, and their places."""
+    part = (named(*columns[1 : min(k, hot.depth) + 1]) >> np.uint64(32)) % np.uint64(PARTS)  # buckets follow the last bits
+    for each in range(PARTS):
+        at = np.flatnonzero(part == each)
+        if len(at):
+            yield at, [column[at] for column in columns]
+
+
+def hot_with_states(rows: DataFrame, shared: Broadcast) -> Hot:
     """Hot contexts are states too where a longer context is one that is not hot."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
+    hot = shared.value
 
     def made(table: pa.Table) -> pa.Table:
         known, found = shared.value, [rows_of([(HAS_STATE, -1, -1, 0, None, None)]).slice(0, 0)]
         for kind in set(table.column("kind").to_pylist()):
-            columns = joined(table.filter(pc.equal(table.column("kind"), kind)), known)
-            k = kind - PLACED
-            levels, states = grown(columns, known, k)
-            if states:
-                at = levels[0][0][states[0][levels[0][1]]]
-                numbers_ = np.unique(known.context([each[at] for each in columns], k - 1))
-                found += [rows_of([(HAS_STATE + k - 1, int(each), -1, 0, None, None) for each in numbers_])] if len(numbers_) else []
+            tokens_, k = joined(table.filter(pc.equal(table.column("kind"), kind)), known, kind), kind - PLACED
+            for _, columns in apart(tokens_, known, k):
+                levels, states = grown(columns, known, k)
+                if states:
+                    at = levels[0][0][states[0][levels[0][1]]]
+                    numbers_ = np.unique(known.context([each[at] for each in columns], k - 1))
+                    found += [rows_of([(HAS_STATE + k - 1, int(each), -1, 0, None, None) for each in numbers_])] if len(numbers_) else []
         return pa.Table.from_batches(found)
 
     deep = rows.filter(F.col("kind").between(PLACED + 2, PLACED + hot.depth))
@@ -771,29 +847,50 @@ def run_words(hot: Hot, length: int, number: int) -> list[int]:
     return [int(hot.runs[0].keys[number]), *words]
 
 
-def scored(rows: DataFrame, hot: Hot) -> DataFrame:
+def chances(columns: list[np.ndarray], hot: Hot, k: int) -> np.ndarray:
+    """Of tokens whose contexts of fewer than k words are hot: their probability at the longest state."""
+    p = (hot.counts(columns, 0) + ADDED) / hot.unit
+    for shorter in range(1, k):
+        number, n = hot.context(columns, shorter), hot.counts(columns, shorter).astype(float)
+        share = np.where(n >= hot.threshold, n - DISCOUNT, 0) / hot.runs[shorter - 1].counts[number]
+        p = np.where(hot.states[shorter - 1][number], hot.rest[shorter - 1][number] * p + share, p)
+    levels, states = grown(columns, hot, k)
+    for (at, context, share, rest, _), state in zip(levels, states, strict=True):
+        on = state[context]
+        p[at[on]] = rest[context[on]] * p[at[on]] + share[on]
+    return p
+
+
+def scored(rows: DataFrame, shared: Broadcast) -> DataFrame:
     """Sums of the log10 of placed tokens, of every text in a task."""
-    shared = rows.sparkSession.sparkContext.broadcast(hot)
+    hot = shared.value
 
     def made(table: pa.Table) -> pa.Table:
         known, found = shared.value, [rows_of([(SUMS, -1, -1, 0, None, None)]).slice(0, 0)]
         for kind in sorted(set(table.column("kind").to_pylist())):
-            columns = joined(table.filter(pc.equal(table.column("kind"), kind)), known)
-            p = (known.counts(columns, 0) + ADDED) / known.unit
-            for k in range(1, kind - PLACED):
-                number, n = known.context(columns, k), known.counts(columns, k).astype(float)
-                share = np.where(n >= known.threshold, n - DISCOUNT, 0) / known.runs[k - 1].counts[number]
-                p = np.where(known.states[k - 1][number], known.rest[k - 1][number] * p + share, p)
-            levels, states = grown(columns, known, kind - PLACED)
-            for (at, context, share, rest, _), state in zip(levels, states, strict=True):
-                on = state[context]
-                p[at[on]] = rest[context[on]] * p[at[on]] + share[on]
-            found += sums_of(columns[known.depth + 1], np.log10(p))
+            columns = joined(table.filter(pc.equal(table.column("kind"), kind)), known, kind)
+            logs = np.empty(len(columns[0]))
+            for place, part in apart(columns, known, kind - PLACED):
+                logs[place] = np.log10(chances(part, known, kind - PLACED))
+            found += sums_of(columns[known.depth + 1], logs)
         return pa.Table.from_batches(found)
 
     return rows.filter(F.col("kind").between(PLACED, PLACED + hot.depth + 1)).groupBy("bucket").applyInArrow(made, ROWS)
 
 
+def gathered(rows: DataFrame) -> DataFrame:
+    """One row of sums for every chunk, of those from many tasks."""
+
+    def made(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("n", "ascending"), ("data", "ascending")])
+        parts = [unpressed(data, n, ["u4", "f8"]) for n, data in zip(*[table.column(name).to_pylist() for name in ("n", "data")], strict=True)]
+        sums = np.bincount(*map(np.concatenate, zip(*parts, strict=True)))
+        data = pressed([np.arange(len(sums), dtype=np.uint32), sums])
+        return pa.Table.from_batches([rows_of([(SUMS, -1, table.column("chunk")[0].as_py(), len(sums), data, None)])])
+
+    return rows.groupBy("chunk").applyInArrow(made, ROWS)
+
+
 def summed(rows: DataFrame) -> DataFrame:
     """A row per text, from the rows of its chunk."""
     names = "id long, n_tokens long, n_known long, base_score double, score double"
@@ -825,19 +922,21 @@ def tree_scores(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
     stages = Stages(spark)
     words = stages(counted(rows.filter("learns").select("text"), []), "suffix-words")
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.count(F.lit(1)).alias("words")).first()
-    head = frequent(words, max(LEAST, int(np.ceil(P_MIN * total["tokens"]))), words=True)
-    hot = Hot(head, [], total["tokens"], total["words"], LEAST, depth)
+    head, counts = Head.ranked(frequent(words, head_least(words), words=True))
+    hot = Hot(counts, [], total["tokens"], total["words"], LEAST, depth)
     stages.drop()
-    chunks = stage(chunks_of(rows, hot), "suffix-chunks")
+    chunks = stage(chunks_of(rows, head), "suffix-chunks")
     hot = hot_runs(chunks, hot)
     everything = chunks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0]
-    wanted = Wanted(max(PASSES, -(-2 * (everything or 0) // BUCKET)))
-    send = lambda k: tokens_of(chunks, hot, replace(wanted, k=k))
-    ready = [stage(counted_after(send(0), hot, 0, wanted), "suffix-rare")]
+    wanted = Wanted(max(PASSES, -(-(everything or 0) // BUCKET)))
+    share = spark.sparkContext.broadcast
+    shared = share(hot)
+    send = lambda k: tokens_of(chunks, shared, replace(wanted, k=k))
+    ready = [stage(counted_after(send(0), shared, 0, wanted), "suffix-rare")]
     contexts, stats = [level for level in hot.runs[:depth] if len(level.keys)], []
     for k, level in enumerate(contexts, 1):
         free_shuffles(spark)
-        ready.append(stage(counted_after(union([send(k), *ready]), hot, k, wanted), "suffix-counted"))
+        ready.append(stage(counted_after(union([send(k), *ready]), shared, k, wanted), "suffix-counted"))
         sums = np.zeros((len(level.keys), 4))
         parts = [F.sum(F.col("stats")[i]) for i in range(4)]
         for number, *own in ready[-1].filter(F.col("kind") == TESTED + k).groupBy("bucket").agg(*parts).collect():  # hot contexts
@@ -845,20 +944,25 @@ def tree_scores(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
         stats.append(sums)
     hot = hot.tested(stats)
     if not all(each.all() for each in hot.states):
-        hot = hot_with_states(union([tokens_of(chunks, hot, wanted), *ready]), hot)
-    found = []
+        shared = share(hot)
+        hot = hot_with_states(union([tokens_of(chunks, shared, replace(wanted, least=2)), *ready]), shared)
+    shared, found = share(hot), []
     for part in range(PASSES):
         free_shuffles(spark)
         own = [each.filter(F.col("bucket") % PASSES == part) for each in ready]
-        found.append(stage(scored(union([tokens_of(chunks, hot, replace(wanted, part=part, passes=PASSES)), *own]), hot), "suffix-sums"))
+        rows = union([tokens_of(chunks, shared, replace(wanted, part=part, passes=PASSES)), *own])
+        found.append(stage(gathered(scored(rows, shared)), "suffix-sums"))
     free_shuffles(spark)
-    return summed(union([texts_of(chunks, hot), ready[0], *found])), total["tokens"]
+    return summed(union([texts_of(chunks, shared), ready[0], *found])), total["tokens"]
 
 
 def free_shuffles(spark) -> None:
-    """Spark deletes the files of finished exchanges once the driver's garbage is collected."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Spark deletes the files of finished exchanges once the driver's garbage is collected. Its listeners hold the last
+    one for a moment."""
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.5)
 
 
 def union(frames: list[DataFrame]) -> DataFrame:
