@@ -52,12 +52,13 @@ DISCOUNT = 0.75
 ADDED = 0.1
 END = np.uint64(1)
 HELD = 3_000_000  # distinct keys that a task holds before it passes counts on
-BUCKET = 500_000  # tokens after one context that a task takes at once, with about as many after others
-CHUNK = 3_000_000  # tokens of texts that are sent at once, less than 1 << INDEX
-PASSES = 3  # in which tokens are scored, a part of the contexts each, so that few lie on disk at once
+BUCKET = 500_000  # tokens after one context that a task takes at once, with about two times as many after others
+CHUNK = 2_000_000  # tokens of texts that are sent at once, less than 1 << INDEX
+PASSES = 6  # in which tokens are scored, a part of the contexts each, so that few lie on disk at once
+TRIED = 8  # a part of so many of the buckets is searched first for states that make their suffixes states
 HEAD = 500_000  # most frequent words at most, whose counts every task holds
-PARTS = 4  # of a bucket, whose contexts are tested one after another
-FEWER = 4  # what is counted first is a part of all tokens, and is dealt to so many times fewer tasks
+PARTS = 8  # of a bucket, whose contexts are tested one after another
+FEWER = 2  # what is counted first is a part of all tokens, and is dealt to so many times fewer tasks
 INDEX = 22  # bits for a text's place in its chunk
 SPACE = re.compile(rb"[\x20\x09-\x0D]")
 LOW = (1 << 32) - 1
@@ -519,6 +520,10 @@ class Hot:
             states[k - 1][suffixes[k][states[k]]] = True
         return replace(self, states=tuple(states), rest=tuple(rest))
 
+    def settled(self) -> bool:
+        """Whether every hot context that stores a word is known to be a state. One that stores none has none beyond it."""
+        return all((state | (rest >= 1)).all() for state, rest in zip(self.states, self.rest, strict=True))
+
 
 def pays(n, parent, total, stored, spread, outside, tokens: int) -> np.ndarray:
     """The test of contexts: occurrences of each and of its suffix; over the words it stores the sums of their counts,
@@ -928,7 +933,7 @@ def tree_scores(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
     chunks = stage(chunks_of(rows, head), "suffix-chunks")
     hot = hot_runs(chunks, hot)
     everything = chunks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, n: a + n))).first()[0]
-    wanted = Wanted(max(PASSES, -(-(everything or 0) // BUCKET)))
+    wanted = Wanted(max(PASSES, -(-(everything or 0) // (2 * BUCKET))))
     share = spark.sparkContext.broadcast
     shared = share(hot)
     send = lambda k: tokens_of(chunks, shared, replace(wanted, k=k))
@@ -943,9 +948,12 @@ def tree_scores(docs: DataFrame, learns: Column, key: str = "doc_id", text: str
             sums[number] = own
         stats.append(sums)
     hot = hot.tested(stats)
-    if not all(each.all() for each in hot.states):
+    for passes in (TRIED, 1):  # a few of the longer contexts mostly tell it of all
+        if hot.settled():
+            break
         shared = share(hot)
-        hot = hot_with_states(union([tokens_of(chunks, shared, replace(wanted, least=2)), *ready]), shared)
+        own = [each.filter(F.col("bucket") % passes == 0) for each in ready]
+        hot = hot_with_states(union([tokens_of(chunks, shared, replace(wanted, least=2, passes=passes)), *own]), shared)
     shared, found = share(hot), []
     for part in range(PASSES):
         free_shuffles(spark)
